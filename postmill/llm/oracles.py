@@ -22,7 +22,7 @@ def _op1() -> str:
             GROUP BY doc_id"""
 
     def fold(name: str, source: str) -> str:
-        steps = [f"{name}0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, x -> '|' || x || '|'), 'string_agg', '') AS rest, []::VARCHAR[] AS found FROM {source})"]
+        steps = [f"{name}0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '|' || x || '|'), 'string_agg', '') AS rest, []::VARCHAR[] AS found FROM {source})"]
         for n, (licence, need) in enumerate(licenses.RULES, 1):
             pattern = quoted("|" + "||".join(need) + "|")
             steps.append(
