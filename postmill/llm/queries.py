@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import licenses, quality, urls
+from postmill.llm import licenses, mixing, quality, urls
 from postmill.llm.common import table
 
 
@@ -24,6 +24,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    taken = taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -33,5 +39,6 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_url_filter": op4_url_filter,
+    "op5_source_mix": op5_source_mix,
     "op6_quality": op6_quality,
 }
