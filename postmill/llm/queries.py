@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import licenses, mixing, quality, urls
+from postmill.llm import licenses, mixing, pieces, quality, toxicity, urls
 from postmill.llm.common import table
 
 
@@ -36,9 +36,22 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).drop("text")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_texts(docs, pieces.PieceModel.load()).drop("text")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op4_url_filter": op4_url_filter,
     "op5_source_mix": op5_source_mix,
     "op6_quality": op6_quality,
+    "op8_toxicity": op8_toxicity,
+    "op10_sentencepiece": op10_sentencepiece,
 }
