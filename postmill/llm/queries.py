@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import licenses, mixing, pieces, quality, toxicity, urls
+from postmill.llm import licenses, mixing, pieces, private, quality, topk, toxicity, urls
 from postmill.llm.common import table
 
 
@@ -19,6 +19,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = private.find_private(docs).withColumnRenamed("_key", "_found")
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_row")).join(found, F.col("_row") == F.col("_found"), "left")
+    base, terms = (F.coalesce(c, F.lit("")) for c in ("base", "terms"))
+    counts = [F.size(F.filter(F.split(base, ","), lambda x: F.substring_index(x, ":", 1) == kind)).cast("long").alias(f"n_{kind}") for kind in private.KINDS[:4]]
+    spans = F.array_join(F.filter(F.array(base, terms), lambda x: x != ""), ",")
+    return rows.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), F.coalesce("removed", F.lit("")).alias("removed"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return found.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -42,6 +52,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode_texts(docs, pieces.PieceModel.load()).drop("text")
@@ -49,9 +63,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_private_data": op2_private_data,
     "op4_url_filter": op4_url_filter,
     "op5_source_mix": op5_source_mix,
     "op6_quality": op6_quality,
     "op8_toxicity": op8_toxicity,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_sentencepiece": op10_sentencepiece,
 }
