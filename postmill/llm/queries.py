@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import licenses, mixing, pieces, private, quality, topk, toxicity, urls
+from postmill.llm import licenses, mixing, near, pieces, private, quality, repeats, topk, toxicity, urls
 from postmill.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return found.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -46,6 +50,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).drop("text")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -64,9 +72,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_private_data": op2_private_data,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_url_filter": op4_url_filter,
     "op5_source_mix": op5_source_mix,
     "op6_quality": op6_quality,
+    "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_sentencepiece": op10_sentencepiece,
