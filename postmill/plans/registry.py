@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postmill.plans import categories, people, periods  # noqa: F401  they register their queries
+from postmill.plans import categories, people, periods, texts  # noqa: F401  they register their queries
 from postmill.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
