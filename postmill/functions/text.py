@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Usage counts and remarks behind a product name, removed one after the other. The first two spare years (19xx, 20xx).
 USAGE = (
@@ -103,7 +104,7 @@ def for_alignment(text: Column) -> Column:
     return one_space(F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), "&", " and "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clean_body(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Compatibility forms, character references, typographic quotes and escapes made plain; needs Unicode tables, hence Arrow."""
     plain = str.maketrans({0x2019: "'", 0x2018: "'", 0x201C: '"', 0x201D: '"', 0x2013: "-", 0x2014: "-"} | dict.fromkeys((0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))

@@ -17,7 +17,7 @@ ALIASES: dict[str, tuple[str, ...]] = {
 MARKED = (
     r"(?i)^[ ]*[*-][ ]+[*][*]{a}[ ]*[:-][ ]*[*][*][ ]*(.+)$",
     r"(?i)^[ ]*[*][*]{a}[ ]*[:-][ ]*[*][*][ ]*(.+)$",
-    r"(?i)^[^a-z0-9]*{a}[ ]*[:-][ ]*(.+)$",
+    r"(?i)^[^a-z0-9]*{a}[ ]*[:-][*_ ]*(.+)$",
     r"(?i)^[ ]*([*-][ ]+)?[*][*]{a}[*][*][ ]*[:-][ ]*(.+)$",
     r"(?i)^[^a-z0-9]*[*]{a}[*]+[ ]*[:-][ ]*(.+)$",
     r"(?i)^[ ]*([*-][ ]+)?[*][*]{a}[ ]*[*][*][ ]*(.+)$",

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
@@ -16,14 +17,14 @@ def edit_ratio(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 1.0).otherwise(1.0 - F.levenshtein(a, b) / longest)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Matching characters by longest common blocks, twice their number over both lengths."""
     for a, b in batches:
         yield pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Twice the longest common subsequence over both lengths, in hundredths."""
 
