@@ -1,10 +1 @@
-"""Training-data operators. Nothing else in the library imports this subpackage.
-
-The functions that run inside tasks are shipped by value, so executors need no installed copy of the library.
-"""
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules["postmill"])
+"""Training-data operators. Nothing else in the library imports this subpackage."""
