@@ -5,8 +5,9 @@ that of the first filled one in an order of its own. Equal shingle sets collapse
 no pairs. Nodes that agree in all values of a band share a bucket. Each bucket is a star around its least node, and a
 node is compared with the one centre with which it shares most buckets. Where after that a bucket still spans several
 components, the members outside its largest one are compared with the members of other components, so no link between
-bucket mates is lost, and the pairs stay few because bucket mates mostly are linked by then. Links are confirmed on the
-full shingle sets.
+bucket mates is lost. Which of these pairs go on is decided within the join by parity sketches: each shingle flips one
+of ODD bits, so two sketches differ in no more bits than their sets differ in shingles, and a pair whose sketches differ
+in more bits than a link allows is none for certain. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from postmill.llm.common import cut, cut_table
 #: 42 bands of 6: a pair at similarity 0.8 shares no bucket with a chance of 3 in a million, one at 0.3 shares one with 3 in 100.
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
+#: Bits of a parity sketch.
+ODD = 1024
 #: Words of a shingle, and the least similarity of a link in hundredths.
 SHINGLE, PERCENT = 2, 80
 #: Words whose hashes a task keeps.
@@ -92,25 +95,32 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-SIGNED = "id long, n long, sig binary, buckets array<long>"
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as ODD / 64 whole numbers."""
+    bits = np.bincount((hashes & np.uint64(ODD - 1)).astype(np.int64), minlength=ODD) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+SIGNED = "id long, n long, sig binary, buckets array<long>, odd array<long>"
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Of each row (id, text): the size of its shingle set, the set's 128-bit digest, and its band keys; both null without words."""
+    """Of each row (id, text): the size of its shingle set, the set's 128-bit digest, its band keys and its parity sketch; all null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         shingles, orders = Shingler(shingle), []
         for batch in batches:
-            sizes, digests, keys = [], [], []
+            sizes, digests, keys, odd = [], [], [], []
             for value in batch["text"]:
                 h = shingles(value.as_py() or "")
                 sizes.append(len(h))
                 digests.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 keys.append(band_keys(densified(h, BINS, orders), BANDS, ROWS) if len(h) else None)
-            lists = pa.array(keys, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "sig", "buckets"])
+                odd.append(parity(h) if len(h) else None)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (keys, odd)]
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *lists], names=["id", "n", "sig", "buckets", "odd"])
 
     return docs.mapInArrow(run, SIGNED)
 
@@ -173,7 +183,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = cut_table(signatures(rows, shingle))
-    node_of = signed.where("id IS NOT NULL AND sig IS NOT NULL").groupBy("sig").agg(F.min("id").alias("node"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("buckets").alias("buckets"))
+    node_of = signed.where("id IS NOT NULL AND sig IS NOT NULL").groupBy("sig").agg(F.min("id").alias("node"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("odd").alias("odd"))
     nodes = cut_table(node_of)
 
     members = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
@@ -194,9 +204,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     placed = stars.select("bucket", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut_table(placed)
     spans = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    words = range(ODD // 64)
     open_ = placed.join(spans.select("bucket", F.col("top.component").alias("top")), "bucket")
-    minor = open_.where("component <> top").select("bucket", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    pairs = minor.join(open_.select("bucket", "node", "n", "component"), "bucket").where("component <> xc").where(close(F.col("n"), F.col("xn")))
+    open_ = cut(open_.join(nodes.select("node", *[F.col("odd")[k].alias(f"o{k}") for k in words]), "node"))
+    minor = open_.where("component <> top").select("bucket", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), *[F.col(f"o{k}").alias(f"x{k}") for k in words])
+    differ = sum((F.bit_count(F.col(f"o{k}").bitwiseXOR(F.col(f"x{k}"))) for k in words), F.lit(0))
+    may = differ * (100 + percent) <= (F.col("n") + F.col("xn")) * (100 - percent)
+    pairs = minor.join(open_, "bucket").where("component <> xc").where(close(F.col("n"), F.col("xn"))).where(may)
     pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
