@@ -135,7 +135,9 @@ def mix(docs: DataFrame, text: str = "text", weights: tuple[float, ...] = WEIGHT
 
 def mixed_documents(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """The documents as often as the mix takes them; rows taken no time go. Columns stay as they are."""
-    taken = mix(docs, text, **how).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("source").alias("_source"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_hash", F.xxhash64("doc_id", text))
-    joined = keyed.join(taken, (F.col("_hash") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # names that no input column is likely to have
+    taken = mix(docs, text, **how).where("copies > 0").select(*[F.col(c).alias(f"__mix_{c}") for c in ("doc_id", "key", "source", "copies")])
+    keyed = docs.withColumn("__mix_hash", F.xxhash64("doc_id", text))
+    same = (F.col("__mix_hash") == F.col("__mix_key")) & docs["doc_id"].eqNullSafe(F.col("__mix_doc_id")) & docs["source"].eqNullSafe(F.col("__mix_source"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))
+    return keyed.join(taken, same).withColumn("__mix_n", copies).select(*docs.columns)

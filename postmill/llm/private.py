@@ -178,14 +178,16 @@ def sanitised(text: str, base: str, terms: str, removed: str) -> str:
 
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents with their texts sanitised; rows and columns stay as they are, and null texts stay null."""
-    found = find_private(docs, text, key).withColumnRenamed("_key", "_found")
-    joined = docs.withColumn("_row", F.xxhash64(key, text)).join(found, F.col("_row") == F.col("_found"), "left")
+    # names that no input column is likely to have
+    own = {c: f"__private_{c.strip('_')}" for c in ("_key", "base", "terms", "removed")}
+    found = find_private(docs, text, key).withColumnsRenamed(own)
+    joined = docs.withColumn("__private_row", F.xxhash64(key, text)).join(found, F.col("__private_row") == F.col(own["_key"]), "left")
     schema = StructType(docs.schema.fields)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [batch[c].to_pylist() for c in (text, "base", "terms", "removed")]
+            lists = [batch[c].to_pylist() for c in (text, own["base"], own["terms"], own["removed"])]
             texts = [t if t is None or b is None else sanitised(t, b, w, r) for t, b, w, r in zip(*lists)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch[c].type) if c == text else batch[c] for c in schema.names], names=schema.names)
 
-    return joined.select(*schema.names, *[c for c in ("base", "terms", "removed")]).mapInArrow(clean, schema)
+    return joined.select(*schema.names, own["base"], own["terms"], own["removed"]).mapInArrow(clean, schema)
