@@ -187,7 +187,7 @@ def common_prefixes(spark, sf):
     return ends.groupBy(F.substring("p_name", F.lit(1), F.col("n")).alias("prefix")).agg(F.count("*").alias("names")).where("names > 20")
 
 
-TITLES = "CASE event_id % 5 WHEN 0 THEN 'Thread for Mar ' || CAST(event_id % 33 AS VARCHAR(10)) || ', 2023' WHEN 1 THEN 'SOTD ' || CAST(event_id % 14 AS VARCHAR(10)) || '/' || CAST(event_id % 30 AS VARCHAR(10)) || '/2022' WHEN 2 THEN 'On ' || CAST(event_id % 31 AS VARCHAR(10)) || ' October 2021' WHEN 3 THEN CAST(event_id % 32 AS VARCHAR(10)) || '. June' ELSE 'No day here' END"
+TITLES = "CASE event_id % 5 WHEN 0 THEN 'Thread for Mar ' || CAST(event_id % 33 AS VARCHAR(10)) || ', 2023' WHEN 1 THEN 'Day of ' || CAST(event_id % 14 AS VARCHAR(10)) || '/' || CAST(event_id % 30 AS VARCHAR(10)) || '/2022' WHEN 2 THEN 'On ' || CAST(event_id % 31 AS VARCHAR(10)) || ' October 2021' WHEN 3 THEN CAST(event_id % 32 AS VARCHAR(10)) || '. June' ELSE 'No day here' END"
 
 
 def _try(y: str, m: str, d: str) -> str:

@@ -67,7 +67,7 @@ def test_concentration_counts_all_posts_in_shares(spark):
 
 @pytest.mark.parametrize(
     "title, day",
-    [("SOTD May 3, 2025", "2025-05-03"), ("SOTD 5/3/2025", "2025-05-03"), ("on 3 May 2025", "2025-05-03"), ("3. May", "2024-05-03"), ("Feb 30, 2025", None), ("April 2020", None), ("Jun 3", "2024-06-03")],
+    [("Day of May 3, 2025", "2025-05-03"), ("Day of 5/3/2025", "2025-05-03"), ("on 3 May 2025", "2025-05-03"), ("3. May", "2024-05-03"), ("Feb 30, 2025", None), ("April 2020", None), ("Jun 3", "2024-06-03")],
 )
 def test_title_dates(spark, title, day):
     assert one(spark, F.date_format(dates.title_date(F.lit(title), F.lit(2024)), "yyyy-MM-dd")) == day
