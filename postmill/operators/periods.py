@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,21 +18,31 @@ def move_text(delta: Column) -> Column:
     return F.when(delta.isNull(), "n/a").when(delta > 0, F.concat(F.lit("↑"), delta)).when(delta < 0, F.concat(F.lit("↓"), -delta)).otherwise("=")
 
 
-def rank_moves(tables: DataFrame, keys: Sequence[str], backs: Sequence[int], period: str = "month") -> DataFrame:
-    """Add delta_k and move_k, the earlier rank minus the rank, against the table k months before.
+def earlier_ranks(tables: DataFrame, keys: Sequence[str], later: Mapping[str, Column], period: str) -> DataFrame:
+    """Add, for each name, the rank of the same key in an earlier period; `later` says in which period a row is the earlier one.
 
-    Each comparison is a join on key and period with the same table, so all periods are compared at once. Rows of the
-    earlier table whose key is null never match; of several the best rank counts.
+    Each row is sent to its own period and to those in which it is an earlier one, and all meet in one grouping, so the
+    table is computed and shuffled once however many periods are compared. Keys are unique within a period; null keys
+    meet nothing.
     """
-    out = tables
+    own = F.struct(F.lit("").alias("as"), F.col(period).alias("at"))
+    sent = F.explode(F.array(own, *[F.struct(F.lit(n).alias("as"), at.alias("at")) for n, at in later.items()]))
+    rows = tables.select(F.struct(*tables.columns).alias("_row"), sent.alias("_s"))
+    met = rows.groupBy("_s.at", *[F.col(f"_row.{k}").alias(k) for k in keys]).agg(
+        F.max(F.when(F.col("_s.as") == "", F.col("_row"))).alias("_row"), *[F.min(F.when(F.col("_s.as") == n, F.col("_row.rank"))).alias(n) for n in later]
+    )
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(f"_row.{k}").isNotNull()
+    return met.where("_row IS NOT NULL").select("_row.*", *[F.when(known, F.col(n)).alias(n) for n in later])
+
+
+def rank_moves(tables: DataFrame, keys: Sequence[str], backs: Sequence[int], period: str = "month") -> DataFrame:
+    """Add delta_k and move_k, the earlier rank minus the rank, against the table k months before; all periods at once."""
+    out = earlier_ranks(tables, keys, {f"_then_{k}": months_before(F.col(period), -k) for k in backs}, period)
     for k in backs:
-        earlier = tables.groupBy(F.col(period).alias("_p"), *[F.col(c).alias(f"_{c}") for c in keys]).agg(F.min("rank").alias("_rank"))
-        on = (months_before(out[period], k) == F.col("_p")) & F.lit(True)
-        for c in keys:
-            on = on & (out[c] == F.col(f"_{c}"))
-        out = out.join(earlier, on, "left").withColumn(f"delta_{k}", F.col("_rank") - F.col("rank")).withColumn(f"move_{k}", move_text(F.col(f"delta_{k}")))
-        out = out.drop("_p", "_rank", *[f"_{c}" for c in keys])
-    return out
+        out = out.withColumn(f"delta_{k}", F.col(f"_then_{k}") - F.col("rank")).withColumn(f"move_{k}", move_text(F.col(f"delta_{k}")))
+    return out.drop(*[f"_then_{k}" for k in backs])
 
 
 def paired_ranks(tables: DataFrame, key: str, now: str, then: str, period: str = "month") -> DataFrame:

@@ -149,11 +149,8 @@ def delta_category_batch(spark, sf):
 def delta_annual(spark, sf):
     """Years are compared by name; one column per comparison year."""
     table_ = ranked(posts(spark, sf).groupBy("year", F.col("razor_brand").alias("brand")).agg(F.count("*").alias("shaves")), [F.desc("shaves")], ["year"])
-    out = table_
-    for back in (1, 5):
-        earlier = table_.select((F.col("year") + back).alias("year"), "brand", F.col("rank").alias("_then"))
-        out = out.join(earlier, ["year", "brand"], "left").withColumn(f"delta_{back}", F.col("_then") - F.col("rank")).drop("_then")
-    return out
+    out = periods.earlier_ranks(table_, ["brand"], {f"_then_{k}": F.col("year") + k for k in (1, 5)}, "year")
+    return out.select("year", "brand", "shaves", "rank", *[(F.col(f"_then_{k}") - F.col("rank")).alias(f"delta_{k}") for k in (1, 5)])
 
 
 YEARS = tuple(range(1995, 2002))
