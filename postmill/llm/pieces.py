@@ -2,8 +2,8 @@
 
 The automaton reads a text once. At each position its output links name the pieces that end there, and each relaxes the
 best score of that position from the best score where the piece began. Characters that no piece covers become bytes.
-No piece reaches from a non-blank over a blank, or over a line break, so the search can run on those stretches one by
-one; each distinct stretch is searched once per task while it stays in a bounded cache.
+Where the vocabulary shows that no piece reaches over a cut, as between a word and the blank behind it, the search runs on
+the stretches between one by one; each distinct stretch is searched once per task while it stays in a bounded cache.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ UNKNOWN_PENALTY = 10.0
 #: Distinct stretches kept per task, and the longest stretch that is kept.
 CACHE, CACHED_LENGTH = 400_000, 64
 MARK = "▁"
+LOWEST = float("-inf")
+LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"
 
 
 @dataclass
@@ -37,8 +39,17 @@ class PieceModel:
     unknown: float = field(init=False)
 
     def __post_init__(self) -> None:
-        over = [p for p in self.scores if "\n" in p and p != "\n" or re.search("[^ ] ", p)]
-        self.stretch = r"(?s).+" if over else r" *[^ \n]+|\n| +"
+        def none_has(pattern: str) -> bool:
+            return not any(re.search(pattern, p) for p in self.scores)
+
+        # cuts that no piece reaches over: before a blank, at a line break, and between Latin letters and other signs
+        other = LATIN.replace("[", "[^ \n")
+        if not none_has(r"[^ ] |\n.|.\n"):
+            self.stretch = r"(?s).+"
+        elif none_has(f"{LATIN}{other}|{other}{LATIN}"):
+            self.stretch = f" *(?:{LATIN}+|{other}+)|\n| +"
+        else:
+            self.stretch = r" *[^ \n]+|\n| +"
         self.unknown = min((s for _, s in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
 
     @classmethod
@@ -75,30 +86,35 @@ class Encoder:
 
     def viterbi(self, text: str) -> tuple[int, ...]:
         """Ids of the best-scored segmentation; among equal scores the longest last piece wins, at every position."""
-        n, unknown, single = len(text), self.model.unknown, self.single
-        best, back = [float("-inf")] * (n + 1), [(-1, -1)] * (n + 1)
-        best[0], closed = 0.0, 0
-
-        def close(upto: int) -> None:
-            for at in range(closed, upto):
-                if text[at] not in single and best[at] + unknown > best[at + 1]:
-                    best[at + 1], back[at + 1] = best[at] + unknown, (at, -1)
-
-        for end, (length, i, score) in self.automaton.iter(text):
-            if closed < end:
-                close(end)
+        n = len(text)
+        best, back = [0.0] + [LOWEST] * n, [None] * (n + 1)
+        known, closed = self.single.issuperset(text), 0
+        for end, piece in self.automaton.iter(text):
+            if not known and closed < end:
+                self._skip_unknown(text, closed, end, best, back)
                 closed = end
-            start = end + 1 - length
-            if best[start] + score > best[end + 1]:
-                best[end + 1], back[end + 1] = best[start] + score, (start, i)
-        close(n)
+            end += 1
+            score = best[end - piece[0]] + piece[2]
+            if score > best[end]:
+                best[end], back[end] = score, piece
+        if not known:
+            self._skip_unknown(text, closed, n, best, back)
         out: list[int] = []
         while n:
-            start, i = back[n]
-            out.extend((i,) if i >= 0 else (self.model.byte_ids[b] for b in reversed(text[start:n].encode())))
-            n = start
+            length, i, _ = back[n]
+            if i >= 0:
+                out.append(i)
+            else:
+                out.extend(self.model.byte_ids[b] for b in reversed(text[n - 1].encode()))
+            n -= length
         return tuple(reversed(out))
 
+    def _skip_unknown(self, text: str, start: int, end: int, best: list[float], back: list) -> None:
+        """Step over characters without a piece of their own, at their cost."""
+        for at in range(start, end):
+            if text[at] not in self.single and best[at] + self.model.unknown > best[at + 1]:
+                best[at + 1], back[at + 1] = best[at] + self.model.unknown, (1, -1, 0.0)
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, which is read with one blank before it; an empty text has none."""
         ids: list[int] = []
