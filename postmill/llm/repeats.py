@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import cut, cut_table
+from postmill.llm.common import cut_table
 
 LENGTH, GRAM = 400, 32
 #: Different stretches of an anchor that are sorted in one task.
-BUSY = 256
+BUSY = 64
 
 _random = np.random.default_rng(20240501)
 #: Byte values and odd bases of two independent polynomial hashes modulo 2**64; fixed by the seed.
@@ -243,7 +243,8 @@ def counted_repeats(ends: DataFrame, length: int) -> DataFrame:
                 keys = [_mixed(PrefixHash(data, p, k).of(np.arange(n), length)).view(np.int64) for k, p in enumerate(powers)]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), pa.array([i] * n, pa.int64()), pa.array(np.arange(lo, lo + n), pa.int32())], names=["x", "y", "id", "lo"])
 
-    hashed = cut(ends.select("id", "lo", "bytes").mapInArrow(run, "x long, y long, id long, lo int"))
+    # hashed twice rather than kept: the rows take more room than their making takes time
+    hashed = ends.select("id", "lo", "bytes").mapInArrow(run, "x long, y long, id long, lo int")
     twice = hashed.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
     return hashed.join(twice, ["x", "y"]).select("id", "lo", F.col("lo").alias("hi"))
 
