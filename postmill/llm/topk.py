@@ -5,7 +5,8 @@ a query block is copied to every candidate block, and a candidate block to every
 has more than a block of either. Phase 1: each meeting gives its best entries of every list, with whole scores; the k-th
 best of a query's is a safe cutoff. Phase 2: an entry can reach the cutoff only if one of its lists has cutoff / LISTS,
 the same threshold for all lists; each meeting gathers those. Phase 3: their other lists are added, and what is below
-the cutoff goes. The k best of the rest are exact.
+the cutoff goes. The k best of the rest are exact; a meeting passes on no more than k entries of a query, so a vector
+that very many rows share adds no ties beyond them.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from postmill.llm.common import cut
 K, LISTS, SCALE = 5, 4, 256
 #: About so many candidates and queries meet in one task.
 CANDIDATES, QUERIES = 8_192, 2_048
+#: Of these, so many queries are scored at a time, which bounds a task's memory.
+SLICE = 128
 
 
 def usable(vector: str) -> Column:
@@ -56,37 +59,56 @@ def _pairs(qi: np.ndarray, ci: np.ndarray, rows: np.ndarray, cols: np.ndarray, t
 
 
 def _sides(queries: pd.DataFrame, candidates: pd.DataFrame):
+    """Partial and whole scores, for SLICE queries at a time: where the slice lies, ids of both sides, lists, totals."""
     width = max([0, *map(len, queries["q_v"]), *map(len, candidates["v"])])
-    parts = _partial(_matrix(queries["q_v"], width), _matrix(candidates["v"], width))
-    return queries["q_id"].to_numpy(), candidates["id"].to_numpy(), parts, sum(parts[1:], parts[0])
+    asked, held = _matrix(queries["q_v"], width), _matrix(candidates["v"], width)
+    qi, ci = queries["q_id"].to_numpy(), candidates["id"].to_numpy()
+    for at in range(0, len(qi), SLICE):
+        parts = _partial(asked[at : at + SLICE], held)
+        yield slice(at, at + SLICE), qi[at : at + SLICE], ci, parts, sum(parts[1:], parts[0])
+
+
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best distinct entries of each query; no others of a block can be among the k best of all."""
+    found = found.drop_duplicates().sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return found[found.groupby("query_id").cumcount() < k]
+
+
+def _joined(found: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
 
 def _gather(k: int):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(candidates):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        qi, ci, parts, total = _sides(queries, candidates)
-        hits = np.zeros(total.shape, bool)
-        most = min(k + 1, len(ci))  # one more, for the query's own row
-        for part in parts:
-            best = np.argpartition(-part, most - 1, axis=1)[:, :most]
-            np.put_along_axis(hits, best, True, axis=1)
-        return _pairs(qi, ci, *np.nonzero(hits), total)
+        found = []
+        if len(candidates):
+            for _, qi, ci, parts, total in _sides(queries, candidates):
+                hits = np.zeros(total.shape, bool)
+                most = min(k + 1, len(ci))  # one more, for the query's own row
+                for part in parts:
+                    best = np.argpartition(-part, most - 1, axis=1)[:, :most]
+                    np.put_along_axis(hits, best, True, axis=1)
+                found.append(_pairs(qi, ci, *np.nonzero(hits), total))
+        return _joined(found)
 
     return run
 
 
-def _resolve(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-    if not len(queries) or not len(candidates):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-    qi, ci, parts, total = _sides(queries, candidates)
-    cutoff = queries["cutoff"].to_numpy(np.float64, na_value=-np.inf)[:, None]
-    enough = np.zeros(total.shape, bool)
-    for part in parts:
-        enough |= part >= cutoff / LISTS - 1e-6  # float rounding of the share must not lose an entry
-    rows, cols = np.nonzero(enough)
-    keep = total[rows, cols] >= cutoff[rows, 0]
-    return _pairs(qi, ci, rows[keep], cols[keep], total)
+def _resolve(k: int):
+    def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+        cutoffs, found = queries["cutoff"].to_numpy(np.float64, na_value=-np.inf)[:, None], []
+        if len(candidates):
+            for where, qi, ci, parts, total in _sides(queries, candidates):
+                cutoff = cutoffs[where]
+                enough = np.zeros(total.shape, bool)
+                for part in parts:
+                    enough |= part >= cutoff / LISTS - 1e-6  # float rounding of the share must not lose an entry
+                rows, cols = np.nonzero(enough)
+                keep = total[rows, cols] >= cutoff[rows, 0]
+                found.append(_best(_pairs(qi, ci, rows[keep], cols[keep], total), k))
+        return _joined(found)
+
+    return run
 
 
 def _meet(queries: DataFrame, candidates: DataFrame, run, q_blocks: int, c_blocks: int) -> DataFrame:
@@ -114,5 +136,5 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str =
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     cutoffs = gathered.withColumn("_n", F.row_number().over(place)).where(F.col("_n") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff"))
     asked = queries.join(cut(cutoffs), "id", "left")
-    resolved = _meet(asked, candidates, _resolve, *blocks).distinct()
+    resolved = _meet(asked, candidates, _resolve(k), *blocks).distinct()
     return resolved.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
