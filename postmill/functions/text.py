@@ -64,8 +64,38 @@ def strip_tags(text: Column, strip: Sequence[str], keep: Sequence[str] = ()) ->
     return one_space(F.regexp_replace(text, r"(?i)[`*]*[$#](" + "|".join(map(re.escape, tags)) + r")\b[`*]*", ""))
 
 
+HANDLE_REMARK = r"(?i)\([^)]*\bhandle\b[^)]*\)"
+#: Product words in brackets, and behind a dash at the end.
+PRODUCT_WORDS = (r"(?i)[ ]*[(\[][ ]*(shaving[ ]+)?(soap|cream|croap|stick|puck)s?[ ]*[)\]]", r"(?i)[ ]+-[ ]+(soap|cream|croap|stick|puck)s?[ ]*$")
+LAST_SOAP = r"(?i)[ ]+soaps?[ ]*$"
+BRACKETED = r"[(\[{][^)\]}]*[)\]}]"
+#: Parts of column names that a title has in capitals.
+ACRONYMS = ("ac", "cb", "de", "gem", "hhi", "id")
+
+
 def strip_handle_remark(text: Column) -> Column:
-    return one_space(F.regexp_replace(text, r"(?i)\([^)]*\bhandle\b[^)]*\)", ""))
+    return one_space(F.regexp_replace(text, HANDLE_REMARK, ""))
+
+
+def strip_product_words(text: Column) -> Column:
+    return one_space(_fold(text, PRODUCT_WORDS))
+
+
+def strip_last_soap(text: Column) -> Column:
+    """A maker's name without "soap" or "soaps" at its end, as lists of makers often have it."""
+    return F.regexp_replace(text, LAST_SOAP, "")
+
+
+def plain_remainder(text: Column, brackets: bool = True) -> Column:
+    """Lower-case letters and digits of a remainder, one blank between them; without what brackets hold, if so asked."""
+    kept = F.lower(text) if brackets else F.regexp_replace(F.lower(text), BRACKETED, " ")
+    return F.trim(F.regexp_replace(kept, "[^a-z0-9]+", " "))
+
+
+def titled(name: Column) -> Column:
+    """A column name as a title: words with a capital, acronyms in capitals."""
+    words = F.transform(F.split(name, "_"), lambda w: F.when(w.isin(*ACRONYMS), F.upper(w)).otherwise(F.initcap(w)))
+    return F.array_join(words, " ")
 
 
 def strip_soap_suffixes(text: Column, passes: int = 3) -> Column:

@@ -27,6 +27,9 @@ MARKED = (
 )
 #: Without any mark; used only if no line has one.
 BARE = r"(?i)^[ ]*{a}[ ]+([^:=-]+)$"
+#: A field within a line, and where the next one of the line begins.
+INLINE = r"(?i)\b{a}[*_ ]*[:=][ ]*(.+)$"
+NEXT_FIELD = r"(?i)[ ]+[*_]*(razor|blade|brush|soap|lather)[*_]*[ ]*[:=].*$"
 NOT_A_FIELD = {"soap": r"(?i)^lather[ ]+games", "razor": r"(?i)^razor[ ]+test"}
 
 
@@ -57,6 +60,18 @@ def field_value(body: Column, field: str, aliases: Mapping[str, Sequence[str]] =
     return F.coalesce(_first_line(lines, marked, skip), _first_line(lines, bare, skip))
 
 
+def inline_value(line: Column, field: str) -> Column:
+    """Value of a field that shares its line with others: it ends where the next field begins; null if there is none."""
+    value = F.regexp_extract(line, INLINE.replace("{a}", field), 1)
+    return F.nullif(F.trim(F.regexp_replace(value, NEXT_FIELD, "")), F.lit(""))
+
+
+def guarded_lines(body: Column, field: str) -> Column:
+    """Number of lines that begin like a field but are none; a null body has none."""
+    lines = F.split(F.coalesce(body, F.lit("")), "\n")
+    return F.size(F.filter(lines, lambda line: line.rlike(NOT_A_FIELD[field]))).cast("long")
+
+
 def extract(posts: DataFrame, body: str = "body") -> DataFrame:
     """Add a column for each field, null where a body has none."""
     return posts.withColumns({field: field_value(F.col(body), field) for field in ALIASES})

@@ -236,12 +236,6 @@ def union_months(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("month").agg(F.count("*").alias("posts"))
 
 
-@query("except_dates", "SELECT strftime(g.d, '%Y-%m-%d') AS day FROM generate_series((SELECT min(o_orderdate) FROM orders WHERE o_custkey < 50), (SELECT max(o_orderdate) FROM orders WHERE o_custkey < 50), INTERVAL 1 DAY) g(d) WHERE g.d::DATE NOT IN (SELECT o_orderdate::DATE FROM orders WHERE o_custkey < 50)")
-def except_dates(spark, sf):
-    days = store.missing_days(table(spark, sf, "orders").where("o_custkey < 50"), F.to_date("o_orderdate"))
-    return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"))
-
-
 @query("intersect_names", "SELECT DISTINCT razor_model AS name FROM posts WHERE month = '2000-02' INTERSECT SELECT DISTINCT razor_model FROM posts WHERE month = '2000-03'", posts=True)
 def intersect_names(spark, sf):
     view = posts(spark, sf)
@@ -287,11 +281,6 @@ def thread_overrides(spark, sf):
     return store.with_thread_overrides(pick("o_orderstatus = 'F'"), pick("o_orderkey % 7 = 0"), pick("o_orderpriority = '1-URGENT'"), "o_orderkey")
 
 
-@query("audit_missing", "SELECT strftime(g.d, '%Y-%m') AS month FROM generate_series((SELECT date_trunc('month', min(o_orderdate)) FROM orders WHERE o_custkey < 20), (SELECT date_trunc('month', max(o_orderdate)) FROM orders WHERE o_custkey < 20), INTERVAL 1 MONTH) g(d) WHERE strftime(g.d, '%Y-%m') NOT IN (SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_custkey < 20)")
-def audit_missing(spark, sf):
-    return store.missing_months(table(spark, sf, "orders").where("o_custkey < 20").select(F.date_format("o_orderdate", "yyyy-MM").alias("month")))
-
-
 @query("scan_year", "SELECT month, count(*) AS posts FROM posts WHERE year = 2000 GROUP BY 1", posts=True)
 def scan_year(spark, sf):
     """A year of the view; the filter on the order date reaches the scan of orders."""

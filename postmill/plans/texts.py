@@ -37,19 +37,19 @@ HANDLES = r"regexp_replace({c}, '(^|[ (])@([A-Za-z0-9_]+)', '\1\2', 'g')"
 ASTERISKS = r"trim(regexp_replace(replace({c}, '*', ''), '^[ \-:;,.]+', ''))"
 
 
-@query("strip_md_links", f"WITH {BODIES_SQL} SELECT id, {_on(LINKS, 'body')} AS text FROM b WHERE use_count % 6 = 5", posts=True)
+@query("strip_md_links", f"WITH {BODIES_SQL} SELECT id, {_on(LINKS, 'body')} AS text FROM b", posts=True)
 def strip_md_links(spark, sf):
-    return bodies(spark, sf).where("use_count % 6 = 5").select("id", text.strip_links(F.col("body")).alias("text"))
+    return bodies(spark, sf).select("id", text.strip_links(F.col("body")).alias("text"))
 
 
-@query("strip_handles", f"WITH {BODIES_SQL} SELECT id, {_on(HANDLES, 'body')} AS text FROM b WHERE use_count % 6 = 5", posts=True)
+@query("strip_handles", f"WITH {BODIES_SQL} SELECT id, {_on(HANDLES, 'body')} AS text FROM b", posts=True)
 def strip_handles(spark, sf):
-    return bodies(spark, sf).where("use_count % 6 = 5").select("id", text.strip_handles(F.col("body")).alias("text"))
+    return bodies(spark, sf).select("id", text.strip_handles(F.col("body")).alias("text"))
 
 
-@query("strip_asterisks", f"WITH {BODIES_SQL} SELECT id, {_on(ASTERISKS, 'body')} AS text FROM b WHERE use_count % 6 = 0", posts=True)
+@query("strip_asterisks", f"WITH {BODIES_SQL} SELECT id, {_on(ASTERISKS, 'body')} AS text FROM b", posts=True)
 def strip_asterisks(spark, sf):
-    return bodies(spark, sf).where("use_count % 6 = 0").select("id", text.strip_asterisks(F.col("body")).alias("text"))
+    return bodies(spark, sf).select("id", text.strip_asterisks(F.col("body")).alias("text"))
 
 
 @query("strip_competition_tags", """SELECT conv_id, turn, trim(regexp_replace(regexp_replace('$GAME ' || role || ' `#KEEP` *$Test*', '(?i)[`*]*[$#](GAME|TEST)\\b[`*]*', '', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g')) AS text FROM conversations""")
@@ -274,13 +274,13 @@ def blade_ctx(spark, sf):
     return resolution.laddered(candidates, ladder, "context", ["author", "context"])
 
 
-@query("blade_pattern_score", """SELECT p_partkey, p_type <> 'STANDARD' AS special, length(p_name) AS length, length(p_name) - length(replace(p_name, 'e', '')) AS metas, row_number() OVER (ORDER BY p_type = 'STANDARD', length(p_name) DESC, length(p_name) - length(replace(p_name, 'e', '')) DESC, p_partkey)::INTEGER AS priority FROM part WHERE p_partkey < 200""")
+@query("blade_pattern_score", """WITH d AS (SELECT DISTINCT p_type, p_name FROM part) SELECT p_type, p_name, p_type <> 'STANDARD' AS special, length(p_name) AS length, length(p_name) - length(replace(p_name, 'e', '')) AS metas, row_number() OVER (ORDER BY p_type = 'STANDARD', length(p_name) DESC, length(p_name) - length(replace(p_name, 'e', '')) DESC, p_name, p_type)::INTEGER AS priority FROM d""")
 def blade_pattern_score(spark, sf):
-    """Order of a pattern dimension: special formats first, then length, then metacharacters. The dimension is small."""
+    """Order of a pattern dimension: special formats first, then length, then metacharacters. Only distinct names are put in one order."""
     from postmill.operators.ranking import numbered
 
-    dim = table(spark, sf, "part").where("p_partkey < 200").select("p_partkey", (F.col("p_type") != "STANDARD").alias("special"), F.length("p_name").cast("long").alias("length"), (F.length("p_name") - F.length(F.replace("p_name", F.lit("e"), F.lit("")))).cast("long").alias("metas"))
-    return numbered(dim, [F.desc("special"), F.desc("length"), F.desc("metas"), F.asc("p_partkey")], (), "priority")
+    dim = table(spark, sf, "part").select("p_type", "p_name").distinct().select("p_type", "p_name", (F.col("p_type") != "STANDARD").alias("special"), F.length("p_name").cast("long").alias("length"), (F.length("p_name") - F.length(F.replace("p_name", F.lit("e"), F.lit("")))).cast("long").alias("metas"))
+    return numbered(dim, [F.desc("special"), F.desc("length"), F.desc("metas"), F.asc("p_name"), F.asc("p_type")], (), "priority")
 
 
 @query("cartridge_auto", "SELECT razor_format, blade_format, count(*) AS posts, CASE razor_format WHEN 'LARGE' THEN 'auto_cartridge' WHEN 'PROMO' THEN 'irrelevant_razor_format' ELSE 'match' END AS route FROM posts GROUP BY 1, 2", posts=True)

@@ -46,11 +46,15 @@ def with_thread_overrides(threads: DataFrame, exclude: DataFrame, include: DataF
     return threads.join(exclude.select(key), key, "left_anti").unionByName(include).dropDuplicates([key])
 
 
-def missing_days(rows: DataFrame, day: Column) -> DataFrame:
-    """Days between the first and the last without any row."""
-    days = rows.select(day.alias("day")).distinct()
-    every = days.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
-    return every.join(days, "day", "left_anti")
+def missing_by(rows: DataFrame, keys: Sequence[str], day: Column, unit: str) -> DataFrame:
+    """Per group the days or months, by `unit`, between its first and last one that have no row, as dates in column missing.
+
+    A group gathers each of its days once, so what it holds is bounded by the calendar.
+    """
+    periods = rows.select(*keys, F.date_trunc(unit, day).cast("date").alias("_at")).where("_at IS NOT NULL").distinct()
+    seen = periods.groupBy(*keys).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.collect_set("_at").alias("_have"))
+    every = F.sequence("_first", "_last", F.expr(f"interval 1 {unit}"))
+    return seen.select(*keys, F.explode(F.array_except(every, "_have")).alias("missing"))
 
 
 def missing_months(rows: DataFrame, month: str = "month") -> DataFrame:
