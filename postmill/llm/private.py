@@ -60,7 +60,7 @@ def emails(text: str) -> list[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed kinds, by kind and then start."""
     found = [("email", *m) for m in emails(text)]
-    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p[-3:]) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 13 <= len(digits) <= 19 and luhn(digits):

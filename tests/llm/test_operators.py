@@ -401,6 +401,23 @@ def test_top_k_as_by_all_pairs(spark, monkeypatch):
     assert sorted(map(tuple, got)) == plain_top(rows)
 
 
+def test_top_k_with_very_many_ties(spark, monkeypatch):
+    """A vector that most rows share: the smaller ids win, and a block passes on no more than k entries of a query."""
+    monkeypatch.setattr(topk, "CANDIDATES", 40)
+    monkeypatch.setattr(topk, "SLICE", 2)
+    frame = spark.createDataFrame([(i, [1.0, 0.5] if i % 10 else [0.25, 0.0]) for i in range(400)], "vec_id long, embedding array<float>")
+    got = topk.exact_top_k(frame, F.col("vec_id") % 50 == 0).collect()
+    score = lambda a, b: sum(int(256 * x) * int(256 * y) for x, y in zip(a, b))
+    want = [(q, n + 1, v, score([0.25, 0.0], [1.0, 0.5])) for q in range(0, 400, 50) for n, v in enumerate((1, 2, 3, 4, 5))]
+    assert sorted(tuple(r) for r in got) == want
+
+
+def test_ip_parts_with_very_many_zeros():
+    """Leading zeros do not count, however many there are."""
+    address = "0" * 5000 + "7.1.2.255"
+    assert [x for x in private.base_spans(address + " and 1.2.3.256") if x[0] == "ip"] == [("ip", 0, len(address))]
+
+
 def test_top_k_of_few_rows(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.exact_top_k(frame, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1, 131072)]
