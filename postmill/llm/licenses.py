@@ -1,9 +1,10 @@
 """Licence scan by sentence rules: known sentences become identifiers, ordered rules read the identifier sequence.
 
 A text is cut into sentences, each is normalised, and those in a fixed catalogue turn into identifiers. Licence rules
-are sequences of identifiers, tried in order; what a rule has matched is used up. Two cuts are read, since licence text
-is often wrapped: at sentence ends with line breaks as blanks, and at sentence ends and line breaks. All of it is
-DataFrame functions on one row at a time: no shuffle, no Python.
+are sequences of identifiers, tried in order; what a rule has matched is used up. Three cuts are read, since licence
+text is often wrapped: at sentence ends with line breaks as blanks; at sentence ends and line breaks; and, as whole
+licence files need it, at sentence ends, blank lines, list markers and copyright lines, with other line breaks as blanks.
+All of it is DataFrame functions on one row at a time: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -69,7 +70,17 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MPL-2.0", ("MPL-2-NAMED",)),
     ("Proprietary", ("RESERVED",)),
 )
+#: Rules of the third cut, before the others: a reservation in front of a licence's terms belongs to that licence.
+FILE_RULES = tuple((name, ("RESERVED", *need)) for name, need in RULES if need[0] in ("BSD-GRANT", "MIT-GRANT"))
 WRAPPED, LINED = r"[.!?;]+[ \t\r\n]+", r"[.!?;]+[ \t\r\n]+|\n"
+#: Line marks of comments are blanks between paragraphs. A list marker is a number or a letter, not a bullet, which comments have too.
+PARAGRAPHS = (
+    r"(?i)[.!?;]+[ \t\r\n]+|:[ \t\r]*\n|\n[ \t\r#*/]*+\n"
+    r"|\n[ \t#*/]*+(?:[0-9]{1,2}[.)]|\([0-9a-z]{1,3}\)|[a-z]\))[ \t]+"
+    r"|\n(?=[ \t#*/]*+(?:permission is hereby|redistribution and use|all rights reserved))"
+)
+#: A line that names the owner is a paragraph of its own.
+OWNER = r"(?im)^([ \t#*/]*+(?:copyright[ \t]+)?(?:\(c\)|©|copyright[ \t]+(?=[0-9<\[{]))[^\n]*)$"
 
 
 def identifiers(text: Column, cut: str, sentences: Mapping[str, str]) -> Column:
@@ -102,9 +113,15 @@ def scan_licences(
     """Add sentence_ids (known sentences in order) and licences (sorted, distinct) to every row.
 
     A null or empty text has neither. The whole text is read, however long; repeated rows stay repeated, and input
-    columns that have one of the new names are replaced.
+    columns that have one of the new names are replaced. The identifiers are those of the cut that has the most. Where
+    the third cut finds every reservation in front of a licence's terms, there is no licence "Proprietary".
     """
-    both = docs.withColumns({"_wrapped": identifiers(F.col(text), WRAPPED, sentences), "_lined": identifiers(F.col(text), LINED, sentences)})
-    found = F.array_sort(F.array_union(licences(F.col("_wrapped"), rules), licences(F.col("_lined"), rules)))
+    cuts = {"_wrapped": (F.col(text), WRAPPED), "_lined": (F.col(text), LINED), "_filed": (F.regexp_replace(text, OWNER, "\n\n$1\n\n"), PARAGRAPHS)}
+    read = docs.withColumns({name: identifiers(value, cut, sentences) for name, (value, cut) in cuts.items()})
+    read = read.withColumn("_file", licences(F.col("_filed"), (*FILE_RULES, *rules) if rules is RULES else rules))
+    owned = F.array_contains("_filed", "RESERVED") & ~F.array_contains("_file", "Proprietary")
+    found = F.array_sort(F.array_union(F.array_union(licences(F.col("_wrapped"), rules), licences(F.col("_lined"), rules)), F.col("_file")))
+    found = F.when(owned, F.array_remove(found, "Proprietary")).otherwise(found)
     ids = F.when(F.size("_lined") >= F.size("_wrapped"), F.col("_lined")).otherwise(F.col("_wrapped"))
-    return both.withColumns({"sentence_ids": ids, "licences": found}).drop("_wrapped", "_lined")
+    ids = F.when(F.size("_filed") > F.size(ids), F.col("_filed")).otherwise(ids)
+    return read.withColumns({"sentence_ids": ids, "licences": found}).drop(*cuts, "_file")

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -65,6 +66,21 @@ def test_licences_of_odd_rows(odd, none):
     assert licenses.scan_licences(none).count() == 0
 
 
+def test_whole_licence_files(spark):
+    mit, bsd, apache = ((Path(__file__).parent / "files" / f"{n}.txt").read_text() for n in ("mit", "bsd3", "apache2"))
+    rows = {
+        "mit": mit, "bsd": bsd, "apache": apache, "crlf": bsd.replace("\n", "\r\n"), "dense": bsd.replace("\n\n", "\n"), "dense mit": mit.replace("\n\n", "\n"), "between": "Read this.\n\n" + mit + "\nAnd go on.",
+        "same line": bsd.replace("Doe\nAll", "Doe. All"), "comment": "\n".join(" * " + x for x in bsd.split("\n")), "reserved": "My text\n\nCopyright (c) 2020 X\nAll rights reserved.\n\nMore.", "other": bsd + "\nBook. All rights reserved.",
+    }
+    got = {r.k: (r.licences, r.sentence_ids) for r in licenses.scan_licences(spark.createDataFrame(list(rows.items()), "k string, text string")).collect()}
+    want = {"mit": ["MIT"], "bsd": ["BSD-3-Clause"], "apache": ["Apache-2.0"], "reserved": ["Proprietary"], "other": ["BSD-3-Clause", "Proprietary"]}
+    want |= {"crlf": want["bsd"], "dense": want["bsd"], "same line": want["bsd"], "comment": want["bsd"], "dense mit": want["mit"], "between": want["mit"]}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert got["mit"][1] == ["MIT-GRANT", "MIT-NOTICE", "MIT-WARRANTY"]
+    assert got["bsd"][1] == ["RESERVED", "BSD-GRANT", "BSD-SOURCE", "BSD-BINARY", "BSD-ENDORSE"]
+    assert got["apache"][1] == ["APACHE-2-NAMED", "APACHE-2-COMPLY", "APACHE-2-COPY", "APACHE-2-AS-IS"]
+
+
 # ---- 2 personal data
 
 
