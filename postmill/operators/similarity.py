@@ -53,6 +53,44 @@ def blocked_pairs(rows: DataFrame, key: str, block: Column) -> DataFrame:
     return sided("a").join(sided("b"), "_block").where(F.col(f"a_{key}") < F.col(f"b_{key}")).drop("_block")
 
 
+def bag_prefix(text: Column, least: float) -> Column:
+    """Keys of which two texts share one wherever twice their common characters over both lengths are `least` or more.
+
+    A text is a bag of characters, the second "a" being another one than the first. Such texts share at least the part
+    least / (2 - least) of either bag, so of each bag, in a fixed order, all but that many and one more are enough. No
+    ratio of matching blocks or of a common subsequence exceeds that of the bags.
+    """
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    nth = F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda d: d == c)).cast("string")))
+    n = F.size(chars)
+    keys = F.slice(F.array_sort(nth), F.lit(1), (n - F.ceil(n * (least / (2 - least)) - 1e-9) + 1).cast("int"))
+    return F.when(n == 0, F.array(F.lit(""))).otherwise(keys)
+
+
+def like_texts(rows: DataFrame, column: str, least: float) -> DataFrame:
+    """(a, b, ratio) of all ordered pairs of distinct texts, equal ones too, with a matching-block ratio of `least` or more."""
+    texts = rows.select(F.col(column).alias("a")).where(F.col("a").isNotNull()).distinct()
+    keyed = texts.withColumn("_key", F.explode(bag_prefix(F.col("a"), least)))
+    la, lb = F.length("a"), F.length("b")
+    pairs = keyed.join(keyed.withColumnRenamed("a", "b"), "_key").where(2 * F.least(la, lb) >= least * (la + lb) - 1e-9)
+    return pairs.select("a", "b").distinct().withColumn("ratio", sequence_ratio("a", "b")).where(F.col("ratio") >= least)
+
+
+def like_products(products: DataFrame, maker: str, name: str, least: float) -> DataFrame:
+    """Pairs of products of different but like makers: maker ratio from 0.8 * least, mean of maker and name ratio from least.
+
+    Columns maker, name, other_maker, other_name and similarity. A pair comes in both orders, as the ratio depends on it;
+    products without a maker or a name have no pairs.
+    """
+    rows = products.select(F.lower(maker).alias("m"), F.lower(name).alias("n")).where("m <> '' AND n <> ''").distinct()
+    makers = like_texts(rows, "m", 0.8 * least).where("a <> b").select(F.col("a").alias("maker"), F.col("b").alias("other_maker"), F.col("ratio").alias("maker_ratio"))
+    # makers differ, so their ratio is below 1
+    names = like_texts(rows, "n", max(0.0, 2 * least - 1)).select(F.col("a").alias("name"), F.col("b").alias("other_name"), F.col("ratio").alias("name_ratio"))
+    one, other = rows.toDF("maker", "name"), rows.toDF("other_maker", "other_name")
+    pairs = one.join(makers, "maker").join(names, "name").withColumn("similarity", (F.col("maker_ratio") + F.col("name_ratio")) / 2).where(F.col("similarity") >= least)
+    return pairs.join(other, ["other_maker", "other_name"]).select("maker", "name", "other_maker", "other_name", "similarity")
+
+
 def clusters(pairs: DataFrame, a: str, b: str, rounds: int = 20) -> DataFrame:
     """(node, cluster): the least node that links reach, by passing least names on until nothing changes."""
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))

@@ -183,6 +183,16 @@ def soap_duplicates(spark, sf):
     return pairs.select(F.col("a_brand").alias("brand"), F.col("a_name").alias("name"), F.col("b_name").alias("other"), "similarity")
 
 
+@query("soap_duplicates_full")
+def soap_duplicates_full(spark, sf):
+    """Like products of different makers with like names, by maker and name, and the rows of both; tests have a plain version."""
+    parts = table(spark, sf, "part")
+    rows = parts.groupBy(F.lower("p_brand").alias("maker"), F.lower("p_name").alias("name")).agg(F.count("*").alias("rows"))
+    pairs = similarity.like_products(parts, "p_brand", "p_name", 0.8)
+    counted = pairs.join(rows, ["maker", "name"]).join(rows.toDF("other_maker", "other_name", "other_rows"), ["other_maker", "other_name"])
+    return counted.select("maker", "name", "other_maker", "other_name", F.round("similarity", 3).alias("similarity"), (F.col("rows") + F.col("other_rows")).alias("rows"))
+
+
 @query("soap_neighbors", "WITH d AS (SELECT DISTINCT p_brand AS brand, p_name AS name FROM part), w AS (SELECT *, lag(name) OVER p AS a, lead(name) OVER p AS b FROM d WINDOW p AS (PARTITION BY brand ORDER BY name)) SELECT brand, name, round_even(greatest(coalesce(1.0 - levenshtein(name, a) / greatest(length(name), length(a)), 0), coalesce(1.0 - levenshtein(name, b) / greatest(length(name), length(b)), 0)), 4) AS similarity FROM w")
 def soap_neighbors(spark, sf):
     """The larger of the likenesses to the names before and after within a brand."""

@@ -145,6 +145,31 @@ def test_ratios_as_the_plain_versions(spark):
     assert one(spark, similarity.token_sorted(F.lit("Red big Brush"))) == "big brush red"
 
 
+def ratio(a, b):
+    return difflib.SequenceMatcher(None, a, b).ratio()
+
+
+SOAPS = [("Barrister and Mann", "Seville"), ("Barrister & Mann", "Seville"), ("barrister and man", "Sevile"), ("Stirling", "Seville"), ("Sterling", "Bay Rum"), ("Stirling", "bay rum"), ("Stirling", "bay rhum"), ("aé😀", "x"), ("aé😀b", "x"), ("", "x"), (None, "x"), ("Stirling", None)]
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 0.9])
+def test_like_products_as_all_pairs(spark, least):
+    rows = sorted({(m.lower(), n.lower()) for m, n in SOAPS if m and n})
+    want = {(m, n, o, p): (ratio(m, o) + ratio(n, p)) / 2 for m, n in rows for o, p in rows if m != o and ratio(m, o) >= 0.8 * least and (ratio(m, o) + ratio(n, p)) / 2 >= least}
+    got = {tuple(r)[:4]: r.similarity for r in similarity.like_products(spark.createDataFrame(SOAPS, "m string, n string"), "m", "n", least).collect()}
+    assert got == pytest.approx(want) and want
+
+
+def test_soap_duplicates_full_as_all_pairs(spark):
+    from postmill.plans.registry import QUERIES
+
+    parts = [(r.p_brand.lower(), r.p_name.lower()) for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()]
+    rows = sorted(set(parts))
+    likes = {(m, o): ratio(m, o) for m in {m for m, _ in rows} for o in {m for m, _ in rows} if m != o}
+    want = {(m, n, o, p, parts.count((m, n)) + parts.count((o, p))) for m, n in rows for o, p in rows if m != o and likes[m, o] >= 0.64 and (likes[m, o] + ratio(n, p)) / 2 >= 0.8}
+    assert {(r.maker, r.name, r.other_maker, r.other_name, r.rows) for r in QUERIES["soap_duplicates_full"](spark, "/root/testdata/sf0.001").collect()} == want
+
+
 def test_clusters_follow_chains(spark):
     pairs = spark.createDataFrame([("b", "c"), ("a", "b"), ("x", "y")], "a string, b string")
     assert {tuple(r) for r in similarity.clusters(pairs, "a", "b").collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
