@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from postmill.functions.text import for_alignment
+
 
 def edit_ratio(a: Column, b: Column) -> Column:
     """1 - edit distance over the longer length; 1 for two empty texts."""
@@ -91,6 +93,25 @@ def like_products(products: DataFrame, maker: str, name: str, least: float) -> D
     return pairs.join(other, ["other_maker", "other_name"]).select("maker", "name", "other_maker", "other_name", "similarity")
 
 
+def aligned(parts: DataFrame, catalog: DataFrame, least: float) -> DataFrame:
+    """Pairs of (p_brand, p_name) and (c_brand, c_name) with score = 0.6 brand + 0.4 sorted-word ratio from `least`.
+
+    Every part meets every entry: equal brands alone reach 60, so no block of names keeps all pairs. Brands meet brands
+    and names meet names first, each distinct text once, which bounds the comparisons; the brands' share of the score
+    drops pairs before the names join.
+    """
+    brand, name = lambda c: for_alignment(F.col(c)), lambda c: token_sorted(for_alignment(F.col(c)))
+    p = parts.withColumns({"_pb": brand("p_brand"), "_pn": name("p_name")}).where("_pb IS NOT NULL AND _pn IS NOT NULL")
+    c = catalog.withColumns({"_cb": brand("c_brand"), "_cn": name("c_name")}).where("_cb IS NOT NULL AND _cn IS NOT NULL")
+
+    def met(x: str, y: str, ratio: str) -> DataFrame:
+        return p.select(x).distinct().crossJoin(c.select(y).distinct()).withColumn(ratio, indel_ratio(x, y))
+
+    brands = met("_pb", "_cb", "_b").where(F.col("_b") * 0.6 + 40 >= least - 1e-3)
+    scored = p.join(brands, "_pb").join(c, "_cb").join(met("_pn", "_cn", "_n"), ["_pn", "_cn"]).withColumn("score", F.round(0.6 * F.col("_b") + 0.4 * F.col("_n"), 4))
+    return scored.where(F.col("score") >= least).select("p_brand", "p_name", "c_brand", "c_name", "score")
+
+
 def clusters(pairs: DataFrame, a: str, b: str, rounds: int = 20) -> DataFrame:
     """(node, cluster): the least node that links reach, by passing least names on until nothing changes."""
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))

@@ -214,12 +214,10 @@ def soap_clusters(spark, sf):
 
 @query("fuzzy_align")
 def fuzzy_align(spark, sf):
-    """Each part's best catalog names by 0.6 brand and 0.4 sorted words; candidates share their first letter. Tests have a plain version."""
+    """Each part's best catalog names by 0.6 brand and 0.4 sorted words, of all catalog entries; tests have a plain version."""
     parts = table(spark, sf, "part").select("p_brand", "p_name").distinct()
     catalog = parts.where("length(p_name) % 3 = 0").select(F.col("p_brand").alias("c_brand"), F.col("p_name").alias("c_name"))
-    pairs = parts.join(catalog, (F.substring("p_name", 1, 1) == F.substring("c_name", 1, 1)) & (F.col("p_brand") == F.col("c_brand")))
-    score = 0.6 * similarity.indel_ratio("p_brand", "c_brand") + 0.4 * similarity.indel_ratio(similarity.token_sorted(F.col("p_name")), similarity.token_sorted(F.col("c_name")))
-    return numbered(pairs.withColumn("score", F.round(score, 4)).where("score >= 60"), [F.desc("score"), F.asc("c_brand"), F.asc("c_name")], ["p_brand", "p_name"]).where("rank <= 3")
+    return numbered(similarity.aligned(parts, catalog, 60.0), [F.desc("score"), F.asc("c_brand"), F.asc("c_name")], ["p_brand", "p_name"]).where("rank <= 3")
 
 
 @query("non_match_filter", "SELECT DISTINCT p_brand, p_name FROM part WHERE (p_brand, p_name) NOT IN (SELECT p_brand, p_name FROM part WHERE p_size = 50)")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import difflib
+import functools
 import html
 import unicodedata
 
@@ -170,6 +171,42 @@ def test_soap_duplicates_full_as_all_pairs(spark):
     assert {(r.maker, r.name, r.other_maker, r.other_name, r.rows) for r in QUERIES["soap_duplicates_full"](spark, "/root/testdata/sf0.001").collect()} == want
 
 
+@functools.cache
+def common(a, b):
+    """Length of the longest common subsequence."""
+    if not a or not b:
+        return 0
+    return common(a[1:], b[1:]) + 1 if a[0] == b[0] else max(common(a[1:], b), common(a, b[1:]))
+
+
+def align_score(p, c):
+    ratio = lambda a, b: 200 * common(a, b) / (len(a) + len(b))
+    words = lambda t: " ".join(sorted(t.lower().split()))
+    return 0.6 * ratio(p[0].lower(), c[0].lower()) + 0.4 * ratio(words(p[1]), words(c[1]))
+
+
+def test_alignment_as_all_pairs(spark):
+    parts = [("Brand#12", "cold ring"), ("Brand#9", "old bolt"), ("Other", "cold ring")]
+    catalog = [("Brand#13", "ring cold"), ("BRAND#12", "bolt"), ("Brand#1", "zinc"), ("Othello", "xyz"), ("zzz", "cold ring")]
+    want = {(*p, *c): round(s, 4) for p in parts for c in catalog if (s := align_score(p, c)) >= 60}
+    got = similarity.aligned(spark.createDataFrame(parts, "p_brand string, p_name string"), spark.createDataFrame(catalog, "c_brand string, c_name string"), 60.0)
+    assert {tuple(r)[:4]: r.score for r in got.collect()} == pytest.approx(want)
+    assert ("Brand#12", "cold ring", "Brand#13", "ring cold") in want and len(want) < len(parts) * len(catalog)
+
+
+def test_fuzzy_align_as_all_pairs(spark):
+    from postmill.plans.registry import QUERIES
+
+    parts = {(r.p_brand, r.p_name) for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()}
+    catalog = [c for c in parts if len(c[1]) % 3 == 0]
+    want = set()
+    for p in parts:
+        best = sorted((-round(s, 4), *c) for c in catalog if (s := align_score(p, c)) >= 60)[:3]
+        want |= {(*p, b, n, -s, k) for k, (s, b, n) in enumerate(best, 1)}
+    got = {(r.p_brand, r.p_name, r.c_brand, r.c_name, r.score, r["rank"]) for r in QUERIES["fuzzy_align"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want
+
+
 def test_clusters_follow_chains(spark):
     pairs = spark.createDataFrame([("b", "c"), ("a", "b"), ("x", "y")], "a string, b string")
     assert {tuple(r) for r in similarity.clusters(pairs, "a", "b").collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
