@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -93,6 +94,15 @@ def like_products(products: DataFrame, maker: str, name: str, least: float) -> D
     return pairs.join(other, ["other_maker", "other_name"]).select("maker", "name", "other_maker", "other_name", "similarity")
 
 
+def like_keys(products: DataFrame, maker: str, name: str, least: float) -> DataFrame:
+    """(a, b) of 'maker|name' keys, trimmed and in lower case, whose makers and whose names are each alike by more than `least`."""
+    rows = products.select(F.lower(F.trim(maker)).alias("m"), F.lower(F.trim(name)).alias("n")).where("m IS NOT NULL AND n IS NOT NULL").distinct()
+    likes = lambda c: like_texts(rows, c, least).where(F.col("ratio") > least)
+    makers, names = likes("m").select(F.col("a").alias("m"), F.col("b").alias("om")), likes("n").select(F.col("a").alias("n"), F.col("b").alias("on"))
+    pairs = rows.join(makers, "m").join(names, "n").join(rows.toDF("om", "on"), ["om", "on"]).where("m <> om OR n <> on")
+    return pairs.select(F.concat_ws("|", "m", "n").alias("a"), F.concat_ws("|", "om", "on").alias("b"))
+
+
 def aligned(parts: DataFrame, catalog: DataFrame, least: float) -> DataFrame:
     """Pairs of (p_brand, p_name) and (c_brand, c_name) with score = 0.6 brand + 0.4 sorted-word ratio from `least`.
 
@@ -112,17 +122,30 @@ def aligned(parts: DataFrame, catalog: DataFrame, least: float) -> DataFrame:
     return scored.where(F.col("score") >= least).select("p_brand", "p_name", "c_brand", "c_name", "score")
 
 
-def clusters(pairs: DataFrame, a: str, b: str, rounds: int = 20) -> DataFrame:
-    """(node, cluster): the least node that links reach, by passing least names on until nothing changes."""
-    edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y"))
-    edges = edges.union(edges.select("y", "x")).distinct()
-    names = edges.select(F.col("x").alias("node")).distinct().withColumn("cluster", F.col("node"))
-    for _ in range(rounds):
-        heard = edges.join(names, F.col("y") == F.col("node")).groupBy("x").agg(F.min("cluster").alias("heard"))
-        after = names.join(heard, F.col("node") == F.col("x")).select("node", F.least("cluster", "heard").alias("after"), "cluster")
-        after = after.persist()
-        done = after.where("after <> cluster").isEmpty()
-        names = after.select("node", F.col("after").alias("cluster"))
-        if done:
+def _cut(frame: DataFrame) -> DataFrame:
+    """Go on from a written copy, so that the plan does not grow with the rounds."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(frame.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postmill-"))
+    return frame.checkpoint(eager=True)
+
+
+def clusters(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, cluster): the least node that links reach, by large-star and small-star steps in turn until nothing changes."""
+    edges = _cut(pairs.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    seen = None
+    while True:
+        # large star: each node sends its larger neighbours to the least node that it knows
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = _cut(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        # small star: each node sends its smaller neighbours, and itself, to the least of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = _cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == seen:
             break
-    return names
+        seen = now
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("cluster")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("cluster")).union(roots)

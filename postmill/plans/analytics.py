@@ -206,10 +206,8 @@ def soap_neighbors(spark, sf):
 
 @query("soap_clusters")
 def soap_clusters(spark, sf):
-    """Names linked within a brand by matching blocks above 0.9, as clusters under their least name; tests have a plain version."""
-    names = table(spark, sf, "part").select(F.concat_ws("|", "p_brand", "p_name").alias("name"), F.col("p_brand").alias("brand")).distinct()
-    pairs = similarity.blocked_pairs(names, "name", F.col("brand"))
-    return similarity.clusters(pairs.where(similarity.sequence_ratio("a_name", "b_name") > 0.9), "a_name", "b_name")
+    """Products linked by brands and names that are each alike by more than 0.9, as clusters under their least key; tests have a plain version."""
+    return similarity.clusters(similarity.like_keys(table(spark, sf, "part"), "p_brand", "p_name", 0.9), "a", "b")
 
 
 @query("fuzzy_align")

@@ -212,6 +212,35 @@ def test_clusters_follow_chains(spark):
     assert {tuple(r) for r in similarity.clusters(pairs, "a", "b").collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
 
 
+def test_clusters_follow_long_chains(spark):
+    names = [f"n{i * 37 % 50:02}" for i in range(50)]
+    pairs = spark.createDataFrame(list(zip(names, names[1:])), "a string, b string")
+    assert {tuple(r) for r in similarity.clusters(pairs, "a", "b").collect()} == {(n, "n00") for n in names}
+
+
+def test_like_keys_need_like_makers_and_like_names(spark):
+    rows = [("Barrister and Mann", "Seville Nights"), ("barrister and man ", "Seville Night"), ("Barrister and Mann", "Leviathan"), ("A very long name of a maker", "x"), ("A very long name of a maker", "y"), ("Stirling", "Seville Nights")]
+    keys = sorted({(m.lower().strip(), n.lower().strip()) for m, n in rows})
+    want = {("|".join(x), "|".join(y)) for x in keys for y in keys if x != y and ratio(x[0], y[0]) > 0.9 and ratio(x[1], y[1]) > 0.9}
+    assert {tuple(r) for r in similarity.like_keys(spark.createDataFrame(rows, "m string, n string"), "m", "n", 0.9).collect()} == want and len(want) == 2
+
+
+def test_soap_clusters_as_all_pairs(spark):
+    from postmill.plans.registry import QUERIES
+
+    keys = sorted({(r.p_brand.lower().strip(), r.p_name.lower().strip()) for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()})
+    links = {x: [y for y in keys if y != x and (ratio(x[0], y[0]) > 0.9 and ratio(x[1], y[1]) > 0.9 or ratio(y[0], x[0]) > 0.9 and ratio(y[1], x[1]) > 0.9)] for x in keys}
+    want = {}
+    for x in keys:
+        todo = [x] if links[x] and x not in want else []
+        while todo:
+            y = todo.pop()
+            if y not in want:
+                want[y] = x
+                todo += links[y]
+    assert {(r.node, r.cluster) for r in QUERIES["soap_clusters"](spark, "/root/testdata/sf0.001").collect()} == {("|".join(k), min("|".join(x) for x in want if want[x] == v)) for k, v in want.items()}
+
+
 def test_upsert_keeps_the_old_row_on_equal_stamps(spark):
     old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "id int, ts int, v string")
     new = spark.createDataFrame([(1, 5, "new"), (2, 6, "new"), (3, 1, "new")], "id int, ts int, v string")
