@@ -1,4 +1,4 @@
-"""Text normalisation as Column functions. All but `clean_body` run on the JVM."""
+"""Text normalisation as Column functions. All but `clean_body` and `strip_soap_rules` run on the JVM."""
 
 from __future__ import annotations
 
@@ -105,6 +105,51 @@ def strip_soap_suffixes(text: Column, passes: int = 3) -> Column:
     return one_space(F.regexp_replace(text, r"\(\s*\)|\[\s*\]", ""))
 
 
+def _soap_rules() -> list[re.Pattern]:
+    """Remarks in brackets, then words at the end, in the surveyed order."""
+    mark = r"\s*[.!?]*\s*$"
+    either = lambda word, end=mark: [rf"\s*-\s*{word}{end}", rf"\s+{word}{end}"]
+    samples, formats = ("sample", "tester", "samp", "smush"), ("cream", "gel", "foam", "puck", "stick", "croap", "soap")
+    remarks = [rf"{w}[^)]*" for w in samples] + [r"\d+oz", r"big\s+ass\s+og\s+\d+oz[^)]*", r"est\.\s*\d+[^)]*"]
+    remarks += [r"premium\s+base", r"luxury\s+base", r"omnibus\s+base", "milksteak", "tusk", "professional", r"tallow\s+base", r"tallow\s+formulation", "tallow", "vegan"]
+    rules = [rf"\s*\({r}\)\s*" for r in remarks]
+    rules += [rf"\s*-\s*{w}\s*$" for w in samples] + [rf"\s+{w}\s*$" for w in samples]
+    for verb in ("shaving", "shave"):
+        rules += [rf"\s*-\s*{verb}\s+{f}{mark}" for f in formats] + [rf"\s+{verb}\s+{f}{mark}" for f in formats]
+    for word in ("stick", "tube", "hard", r"crema\s+da\s+barba"):
+        rules += either(word)
+    # "soap" needs a dash, as makers' names end with it
+    rules.append(rf"\s*-\s*soap{mark}")
+    for word in ("cream", "gel", "foam", "puck", "croap"):
+        rules += either(word)
+    rules += [r"\s+crema\s+da\s+barba\s+", *either("omnibus", r"\s*$"), *either("shaving")]
+    return [re.compile(r, re.IGNORECASE) for r in rules]
+
+
+SOAP_RULES = _soap_rules()
+
+
+def plain_soap(text: str | None) -> str | None:
+    """A soap's text by all rules in order, again and again until nothing changes."""
+    if text is None or not text.strip():
+        return text
+    before = None
+    while before != text:
+        before = text
+        for rule in SOAP_RULES:
+            text = rule.sub("", text)
+        text = re.sub(r"\s+", " ", text)
+        text = re.sub(r"^\s*-\s*", "", re.sub(r"\s*-\s*$", "", text)).strip()
+    return text
+
+
+@F.pandas_udf(StringType())
+def strip_soap_rules(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Soap remarks and product words until nothing changes; a loop of unknown length, hence Arrow."""
+    for batch in batches:
+        yield batch.map(plain_soap)
+
+
 def strip_end(text: Column) -> Column:
     return F.regexp_replace(text, r"[.!,;: \t\r\n]+$", "")
 
@@ -122,7 +167,7 @@ def for_matching(text: Column, field: str, tags: Sequence[str] = (), usage: Sequ
     if field == "razor":
         out = strip_handle_remark(out)
     if field == "soap":
-        out = strip_soap_suffixes(out)
+        out = strip_soap_rules(out)
     return F.nullif(one_space(strip_end(bracket_spaces(out))), F.lit(""))
 
 

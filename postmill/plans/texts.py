@@ -82,6 +82,12 @@ def norm_soap_suffix(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.strip_soap_suffixes(F.concat("source", F.lit(" shaving soap () sample."))).alias("text"))
 
 
+@query("norm_soap_suffix_full")
+def norm_soap_suffix_full(spark, sf):
+    """All surveyed rules over the whole texts until nothing changes; other engines cannot loop so, and tests cover it."""
+    return table(spark, sf, "documents").select("doc_id", text.strip_soap_rules("text").alias("text"))
+
+
 @query("strip_trailing_punct", "SELECT doc_id, regexp_replace(text, '[.!,;: \\t\\r\\n]+$', '') AS text FROM documents")
 def strip_trailing_punct(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.strip_end(F.col("text")).alias("text"))

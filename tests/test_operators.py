@@ -241,6 +241,16 @@ def test_soap_clusters_as_all_pairs(spark):
     assert {(r.node, r.cluster) for r in QUERIES["soap_clusters"](spark, "/root/testdata/sf0.001").collect()} == {("|".join(k), min("|".join(x) for x in want if want[x] == v)) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("raw, want", [
+    ("X soap cream stick tube", "X soap"), ("X cream stick tube puck foam - soap", "X"), ("X (sample -- thanks)", "X"), ("X (2oz)", "X"), ("X (est. 1899)", "X"), ("X (tallow base)", "X"),
+    ("Soap Commander - Hope (Vegan) - Shaving Soap!", "Soap Commander - Hope"), ("X (big ass og 4oz tub) - omnibus - tester", "X"), ("Proraso crema da barba", "Proraso"), ("X shave  stick. - hard", "X"), ("- X shaving -", "X"), (" ", " "), (None, None),
+])
+def test_soap_rules_until_nothing_changes(spark, raw, want):
+    assert one(spark, text.strip_soap_rules(F.lit(raw).cast("string"))) == want
+    if want and want.strip():
+        assert one(spark, text.for_matching(F.lit(raw), "soap")) == want
+
+
 def test_upsert_keeps_the_old_row_on_equal_stamps(spark):
     old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "id int, ts int, v string")
     new = spark.createDataFrame([(1, 5, "new"), (2, 6, "new"), (3, 1, "new")], "id int, ts int, v string")
