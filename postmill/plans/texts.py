@@ -58,6 +58,13 @@ def strip_competition_tags(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", text.strip_tags(tagged, ["GAME", "TEST", "KEEP"], ["keep"]).alias("text"))
 
 
+@query("strip_competition_tags_full")
+def strip_competition_tags_full(spark, sf):
+    """The same over the whole texts, with the tags in front; tests have a plain version."""
+    tagged = F.concat(F.lit("$GAME `#KEEP` *$Test* "), "text")
+    return table(spark, sf, "conversations").select("conv_id", "turn", text.strip_tags(tagged, ["GAME", "TEST", "KEEP"], ["keep"]).alias("text"))
+
+
 USAGE_SQL = "{c}"
 for _p in text.PLAIN_USAGE:
     USAGE_SQL = f"regexp_replace({USAGE_SQL}, '{_p}', '', 'g')"

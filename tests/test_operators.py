@@ -4,6 +4,7 @@ import datetime as dt
 import difflib
 import functools
 import html
+import re
 import unicodedata
 
 import pytest
@@ -251,6 +252,15 @@ def test_soap_rules_until_nothing_changes(spark, raw, want):
         assert one(spark, text.for_matching(F.lit(raw), "soap")) == want
 
 
+def test_competition_tags_of_whole_texts(spark):
+    from postmill.plans.registry import QUERIES
+
+    tags = re.compile(r"[`*]*[$#](GAME|TEST)\b[`*]*", re.IGNORECASE | re.ASCII)
+    want = [(r.conv_id, r.turn, r.text and re.sub("[ \t\r\n\f]+", " ", tags.sub("", "$GAME `#KEEP` *$Test* " + r.text)).strip(" ")) for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()]
+    got = [tuple(r) for r in QUERIES["strip_competition_tags_full"](spark, "/root/testdata/sf0.001").select("conv_id", "turn", "text").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_upsert_keeps_the_old_row_on_equal_stamps(spark):
     old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "id int, ts int, v string")
     new = spark.createDataFrame([(1, 5, "new"), (2, 6, "new"), (3, 1, "new")], "id int, ts int, v string")
