@@ -44,3 +44,11 @@ def cut_table(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def drop_table(frame: DataFrame) -> None:
+    """Delete what cut_table wrote, once nothing that is still to come reads it."""
+    spark = frame.sparkSession
+    for path in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,13 +1,14 @@
 """Exact repeated passages: a hash-compared suffix sort over the places where repeats can be.
 
-A position is repeated if its suffix shares LENGTH bytes with another suffix. Only equal suffixes need to meet, so each
-suffix is filed under an anchor, the least hash of a GRAM-byte string within its LENGTH bytes, which equal suffixes have
-at the same distance. Neighbouring suffixes with one anchor make a stretch. A stretch whose anchor is the only one of its
-kind holds no repeat; one that is equal as a whole to another is all repeats; both are found by counting hashes. What is
-left are the ends of repeats. Their bytes meet by anchor, and a mergesort puts suffixes of equal distance in order; it
-compares two by finding their common extension with prefix polynomial hashes and binary search, and equal neighbours are
-verified byte by byte. An anchor with more than BUSY different stretches is not gathered in one task: its suffixes are
-counted by a 128-bit hash instead, which is as exact and spreads over all tasks.
+A suffix is repeated if it shares LENGTH bytes with another one, and it is in a shared passage if it shares PASSAGE bytes
+with one of another document. Only suffixes that agree in PASSAGE bytes need to meet, so each is filed under an anchor,
+the least hash of a GRAM-byte string within its first PASSAGE bytes, which such suffixes have at the same distance.
+Neighbouring suffixes with one anchor make a stretch. A stretch whose anchor is the only one of its kind holds no repeat;
+one that is equal as a whole to another is all repeats; both are found by counting 128 bits of hashes. What is left are
+the ends of repeats. Their bytes meet by anchor; suffixes of equal distance and equal hash of PASSAGE bytes are put in
+order by a mergesort that compares two by finding their common extension with prefix polynomial hashes and binary search,
+and the extensions of neighbours are verified byte by byte. Where more than BUSY different stretches have one anchor, its
+suffixes are dealt out by a 128-bit hash of their bytes instead of meeting in one task: nothing is left out by it.
 """
 
 from __future__ import annotations
@@ -19,10 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from postmill.llm.common import cut_table
+from postmill.llm.common import cut_table, drop_table
 
-LENGTH, GRAM = 400, 32
+#: Bytes of a repeat that is removed, of a shared passage that is reported (some 40 words), and of an anchor.
+LENGTH, PASSAGE, GRAM = 400, 256, 32
 #: Different stretches of an anchor that are sorted in one task.
 BUSY = 64
 
@@ -82,50 +86,69 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return order[np.minimum(right[:n], left[width - 1 : width - 1 + n])]
 
 
-STRETCHES = "anchor long, whole long, id long, lo int, hi int, at int, n_bytes long, sha string"
+def _key_type(texts: DataFrame) -> str:
+    return texts.schema["key"].dataType.simpleString()
 
 
-def stretches(texts: DataFrame, length: int) -> DataFrame:
-    """Per text (id, text) one row with its size and digest, without anchor; per stretch of suffixes lo to hi a row with its anchor."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string()]
-    names = [c.split()[0] for c in STRETCHES.split(", ")]
-    gram = min(GRAM, length)
+def _batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
+    target = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in target]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], names=target.names)
+
+
+def stretches(texts: DataFrame, length: int, passage: int) -> DataFrame:
+    """Of texts (key, part, text), a row for each stretch of suffixes lo to hi: its anchor, and a hash of all its bytes with `length` for the last suffix."""
+    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(texts)}, part int, lo int, hi int, at int")
+    gram = min(GRAM, passage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        powers = Powers(BASES[0])
+        powers, target = Powers(BASES[0]), to_arrow_schema(schema)
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for i, value in zip(batch["id"].to_pylist(), batch["text"]):
-                raw = value.as_buffer().to_pybytes() if value.is_valid else b""
-                for c, x in zip(columns, (None, None, i, None, None, None, len(raw), hashlib.sha256(raw).hexdigest())):
-                    c.append(x)
-                if len(raw) < length:
+            anchors, wholes, owners, los, his, ats = [], [], [], [], [], []
+            for i, value in enumerate(batch["text"]):
+                if not value.is_valid:
+                    continue
+                raw = value.as_buffer().to_pybytes()
+                if len(raw) < passage:
                     continue
                 data = np.frombuffer(raw, np.uint8)
                 grams = _mixed(PrefixHash(data, powers).of(np.arange(len(raw) - gram + 1), gram))
-                at = sliding_least(grams, length - gram + 1)
+                at = sliding_least(grams, passage - gram + 1)
                 lo = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
                 hi = np.concatenate([lo[1:] - 1, [len(at) - 1]])
                 # the distance of the anchor is hashed too, so equal bytes around equal anchors only count as equal
                 whole = [xxhash.xxh3_64_intdigest(raw[a : b + length], int(m - a)) for a, b, m in zip(lo.tolist(), hi.tolist(), at[lo].tolist())]
-                for c, x in zip(columns, (grams[at[lo]].view(np.int64).tolist(), np.array(whole, np.uint64).view(np.int64).tolist(), [i] * len(lo), lo.tolist(), hi.tolist(), at[lo].tolist(), [None] * len(lo), [None] * len(lo))):
-                    c.extend(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+                anchors.append(grams[at[lo]].view(np.int64))
+                wholes.append(np.array(whole, np.uint64).view(np.int64))
+                owners.append(np.full(len(lo), i))
+                los.append(lo)
+                his.append(hi)
+                ats.append(at[lo])
+            if not owners:
+                continue
+            owner = pa.array(np.concatenate(owners))
+            columns = [np.concatenate(anchors), np.concatenate(wholes), batch["key"].take(owner), batch["part"].take(owner), *(np.concatenate(c).astype(np.int32) for c in (los, his, ats))]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=target.names)
 
-    return texts.mapInArrow(run, STRETCHES)
+    return texts.mapInArrow(run, schema)
 
 
 class SuffixSorter:
-    """Order of suffixes within groups, by mergesort with hash comparisons."""
+    """Order of suffixes within groups, by mergesort with hash comparisons. A suffix ends after `length` bytes, or where `ends` says so."""
 
-    def __init__(self, data: np.ndarray, length: int, powers: Powers) -> None:
+    def __init__(self, data: np.ndarray, length: int, powers: Powers, ends: np.ndarray | None = None) -> None:
         self.data, self.length, self.hash = data, length, PrefixHash(data, powers)
+        #: Where the suffix that starts at a byte is over.
+        self.ends = np.full(len(data), len(data)) if ends is None else ends
+
+    def reach(self, x: np.ndarray) -> np.ndarray:
+        return np.minimum(self.ends[x] - x, self.length)
 
     def extension(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Length of what suffixes x and y have in common, up to `length`: binary search over prefix hashes."""
-        low, high = np.zeros(len(x), np.int64), np.full(len(x), self.length, np.int64)
+        """Length of what suffixes x and y have in common: binary search over prefix hashes."""
+        low, high = np.zeros(len(x), np.int64), np.minimum(self.reach(x), self.reach(y))
         while (low < high).any():
             mid = (low + high + 1) // 2
             same = self.hash.of(x, mid) == self.hash.of(y, mid)
@@ -133,10 +156,11 @@ class SuffixSorter:
         return low
 
     def less(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Whether suffix x comes before suffix y."""
+        """Whether suffix x comes before suffix y; one that is over comes first."""
         e = self.extension(x, y)
-        differ = e < self.length
-        out = np.zeros(len(x), bool)
+        over = e == self.reach(x)
+        out = over & (e < self.reach(y))
+        differ = ~over & (e < self.reach(y))
         out[differ] = self.data[x[differ] + e[differ]] < self.data[y[differ] + e[differ]]
         return out
 
@@ -165,17 +189,43 @@ class SuffixSorter:
             starts, run = merged, 2 * run
         return starts
 
-    def repeated(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """The suffixes, sorted, that share `length` bytes with another of their group; equal hashes are verified on the bytes."""
+    def verified(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the bytes of x and y are equal for `size` bytes. Neighbouring pairs with one shift are compared in one go."""
+        order = np.lexsort((x, y - x))
+        a, b, n = x[order], y[order], size[order]
+        new = np.concatenate([[True], (np.diff(a) != 1) | (np.diff(b - a) != 0)]) if len(a) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        good = np.zeros(len(a), bool)
+        for i, j in zip(first.tolist(), [*first[1:].tolist(), len(a)]):
+            reach = int((a[i:j] + n[i:j]).max() - a[i])
+            if np.array_equal(self.data[a[i] : a[i] + reach], self.data[b[i] : b[i] + reach]):
+                good[i:j] = True
+            else:  # hashes collided somewhere: each pair by itself
+                good[i:j] = [np.array_equal(self.data[p : p + k], self.data[q : q + k]) for p, q, k in zip(a[i:j], b[i:j], n[i:j])]
+        out = np.empty_like(good)
+        out[order] = good
+        return out
+
+    def repeated(self, starts: np.ndarray, group: np.ndarray, owner: np.ndarray, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Suffixes in order, whether each shares `length` bytes with another of its group, and whether `passage` bytes with one of another owner.
+
+        `owner` says for each byte whose it is.
+        """
         starts = self.sort(starts, group)
-        same = (group[1:] == group[:-1]) & (self.hash.of(starts[1:], self.length) == self.hash.of(starts[:-1], self.length))
-        for i in np.flatnonzero(same):
-            a, b = starts[i], starts[i + 1]
-            same[i] = np.array_equal(self.data[a : a + self.length], self.data[b : b + self.length])
+        x, y, near = starts[:-1], starts[1:], group[1:] == group[:-1]
+        e = np.zeros(len(near), np.int64)
+        e[near] = self.extension(x[near], y[near])
+        test = np.flatnonzero(e >= passage)
+        e[test[~self.verified(x[test], y[test], e[test])]] = 0
         twice = np.zeros(len(starts), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        return starts[twice]
+        twice[1:] |= e >= self.length
+        twice[:-1] |= e >= self.length
+        first = np.flatnonzero(np.concatenate([[True], e < passage])) if len(starts) else np.zeros(0, np.int64)
+        if not len(first):
+            return starts, twice, twice
+        whose = owner[starts]
+        several = np.minimum.reduceat(whose, first) != np.maximum.reduceat(whose, first)
+        return starts, twice, np.repeat(several, np.diff(np.concatenate([first, [len(starts)]])))
 
 
 def _spans(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,138 +237,179 @@ def _spans(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return ids[first], at[first], at[last]
 
 
-FOUND = "id long, lo int, hi int"
-
-
-def _found(ids, lo, hi) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["id", "lo", "hi"])
+#: What a span of suffixes has: LENGTH bytes that also start elsewhere, or PASSAGE bytes that start in another document.
+REPEATED, SHARED = 0, 1
 
 
-def sorted_repeats(ends: DataFrame, length: int) -> DataFrame:
-    """Repeated suffixes among stretches (anchor, id, lo, at, bytes) that meet by anchor."""
+def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
+    """Spans (key, part, lo, hi, kind) of suffixes among stretches (anchor, whole, key, part, lo, at, bytes) that meet by anchor; also their anchor, whole and at."""
+    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(ends)}, part int, at int, lo int, hi int, kind int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(BASES[0])
 
         def solve(rows: list[tuple]) -> pa.RecordBatch:
-            data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-            base = np.cumsum([0, *(len(r[4]) for r in rows[:-1])])
-            count = np.array([len(r[4]) - length + 1 for r in rows])
-            owner = np.repeat(np.arange(len(rows)), count)
-            local = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            anchor = np.array([r[0] for r in rows], np.int64)[owner]
-            distance = np.array([r[3] - r[2] for r in rows], np.int64)[owner] - local
-            order = np.lexsort((distance, anchor))
-            change = (np.diff(anchor[order]) != 0) | (np.diff(distance[order]) != 0)
+            data = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+            sizes = np.array([len(r[6]) for r in rows])
+            base, count = np.cumsum(sizes) - sizes, np.array([r[7] for r in rows])
+            row = np.repeat(np.arange(len(rows)), count)
+            local = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            starts = base[row] + local
+            anchor = np.array([r[0] for r in rows], np.int64)[row]
+            distance = np.array([r[5] - r[4] for r in rows], np.int64)[row] - local
+            sorter = SuffixSorter(data, length, powers, np.repeat(base + sizes, sizes))
+            # only suffixes that agree in all this and lie in groups of two and more are worth an order
+            head = sorter.hash.of(starts, passage)
+            order = np.lexsort((head, distance, anchor))
+            change = (np.diff(anchor[order]) != 0) | (np.diff(distance[order]) != 0) | (np.diff(head[order]) != 0)
             group = np.concatenate([[0], np.cumsum(change)])
-            starts = (base[owner] + local)[order]
-            hits = SuffixSorter(data, length, powers).repeated(starts, group)
-            row = np.searchsorted(base, hits, side="right") - 1
-            ids, lows = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-            return _found(*_spans(ids[row], lows[row] + hits - base[row]))
+            some = np.bincount(group)[group] > 1
+            code: dict = {}
+            owner = np.repeat(np.array([code.setdefault(r[2], len(code)) for r in rows]), sizes)
+            hits, twice, shared = sorter.repeated(starts[order][some], group[some], owner, passage)
+            out = []
+            for kind, chosen in ((REPEATED, hits[twice]), (SHARED, hits[shared])):
+                which = np.searchsorted(base, chosen, side="right") - 1
+                for k, lo, hi in zip(*(c.tolist() for c in _spans(which, chosen - base[which]))):
+                    a, whole, key, part, start, at = rows[k][:6]
+                    out.append((a, whole, key, part, at, start + lo, start + hi, kind))
+            return _batch(out, schema)
 
         held: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "id", "lo", "at", "bytes"))):
-                if len(held) >= 4 * BUSY and held[-1][0] != row[0]:
+            for found in zip(*(batch[c].to_pylist() for c in ("anchor", "whole", "key", "part", "lo", "at", "bytes", "n"))):
+                if len(held) >= 4 * BUSY and held[-1][0] != found[0]:
                     yield solve(held)
                     held = []
-                held.append(row)
+                held.append(found)
         if held:
             yield solve(held)
 
-    by_anchor = ends.repartition("anchor").sortWithinPartitions("anchor", "id", "lo")
-    return by_anchor.select("anchor", "id", "lo", "at", "bytes").mapInArrow(run, FOUND)
+    return ends.repartition("anchor").sortWithinPartitions("anchor", "key", "part", "lo").mapInArrow(run, schema)
 
 
-def counted_repeats(ends: DataFrame, length: int) -> DataFrame:
-    """Repeated suffixes among stretches (id, lo, bytes), by counting a 128-bit hash of each suffix."""
+def counted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
+    """The same spans of stretches of busy anchors, of one suffix each, by a 128-bit hash of a suffix's bytes; its rows are dealt out by that."""
+    schema = StructType.fromDDL(f"x long, y long, kind int, anchor long, whole long, key {_key_type(ends)}, part int, at int, lo int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = [Powers(b) for b in BASES]
+        names = to_arrow_schema(schema).names
         for batch in batches:
-            for i, lo, raw in zip(batch["id"].to_pylist(), batch["lo"].to_pylist(), batch["bytes"].to_pylist()):
+            for i, (lo, raw, n) in enumerate(zip(batch["lo"].to_pylist(), batch["bytes"].to_pylist(), batch["n"].to_pylist())):
                 data = np.frombuffer(raw, np.uint8)
-                n = len(raw) - length + 1
-                keys = [_mixed(PrefixHash(data, p, k).of(np.arange(n), length)).view(np.int64) for k, p in enumerate(powers)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), pa.array([i] * n, pa.int64()), pa.array(np.arange(lo, lo + n), pa.int32())], names=["x", "y", "id", "lo"])
+                hashes = [PrefixHash(data, p, k) for k, p in enumerate(powers)]
+                for kind, size in ((REPEATED, length), (SHARED, passage)):
+                    m = min(n, len(raw) - size + 1)
+                    if m < 1:
+                        continue
+                    x, y = (_mixed(h.of(np.arange(m), size)).view(np.int64) for h in hashes)
+                    same = pa.array(np.full(m, i))
+                    own = [batch[c].take(same) for c in ("anchor", "whole", "key", "part", "at")]
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(m, kind, np.int32)), *own, pa.array(np.arange(lo, lo + m, dtype=np.int32))], names=names)
 
     # hashed twice rather than kept: the rows take more room than their making takes time
-    hashed = ends.select("id", "lo", "bytes").mapInArrow(run, "x long, y long, id long, lo int")
-    twice = hashed.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
-    return hashed.join(twice, ["x", "y"]).select("id", "lo", F.col("lo").alias("hi"))
+    hashed = ends.mapInArrow(run, schema)
+    other = ~F.min("key").eqNullSafe(F.max("key")) | ((F.count("key") > 0) & (F.count("key") < F.count("*")))
+    groups = hashed.groupBy("x", "y", "kind").agg(F.count("*").alias("c"), other.alias("several"))
+    twice = groups.where(F.when(F.col("kind") == REPEATED, F.col("c") > 1).otherwise(F.col("several"))).select("x", "y", "kind")
+    return hashed.join(twice, ["x", "y", "kind"]).select("anchor", "whole", "key", "part", "at", "lo", F.col("lo").alias("hi"), "kind")
 
 
-def _with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each text (id, text) that has spans, with the list of them."""
-    lists = spans.groupBy("id").agg(F.collect_list(F.struct(*[c for c in spans.columns if c != "id"])).alias("spans"))
-    return texts.join(lists, "id")
+def _listed(rows: DataFrame, name: str) -> DataFrame:
+    """Per text (key, part) the list of its rows, which a text's own length bounds."""
+    lists = rows.groupBy("key", "part").agg(F.collect_list(F.struct(*[c for c in rows.columns if c not in ("key", "part")])).alias(name))
+    return lists.withColumnsRenamed({"key": "_key", "part": "_part"})
 
 
-def cut_out(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
-    """Texts (id, text) without the bytes that repeated suffixes (id, lo, hi) cover: id, n_removed, n_spans, kept bytes."""
+def _of_text(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    return texts.join(lists, F.col("key").eqNullSafe(F.col("_key")) & (F.col("part") == F.col("_part")), how).drop("_key", "_part")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            removed, runs, kept = [], [], []
-            for value, found in zip(batch["text"], batch["spans"].to_pylist()):
-                raw = value.as_buffer().to_pybytes()
-                rest, at, gone, n = [], 0, 0, 0
-                end = -1
-                for lo, hi in sorted((s["lo"], s["hi"] + length) for s in found):
-                    if lo > end:
-                        rest.append(raw[max(end, 0) : lo])
-                        n += 1
-                        gone += hi - lo
-                        end = hi
-                    elif hi > end:
-                        gone += hi - end
-                        end = hi
-                rest.append(raw[max(end, 0) :])
-                removed.append(gone)
-                runs.append(n)
-                kept.append(b"".join(rest))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["id", "n_removed", "n_spans", "kept"])
-
-    return _with_spans(docs, spans).mapInArrow(run, "id long, n_removed long, n_spans long, kept binary")
-
-
-def find_repeats(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """For texts (id, text), whose id stands for key and text: (id, n_bytes, sha) of all, and spans (id, lo, hi) of repeated suffixes' starts."""
-    rows = cut_table(stretches(texts, length))
-    sizes, found = rows.where("anchor IS NULL").select("id", "n_bytes", "sha"), rows.where("anchor IS NOT NULL").drop("n_bytes", "sha")
-    kinds = found.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "lo", "hi", "at")).alias("one"))
-    kinds = cut_table(kinds)
-    many = kinds.groupBy("anchor").agg(F.sum("n").alias("rows"), F.count("*").alias("kinds")).where("rows > 1")
-    equal = found.join(kinds.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi").select("id", "lo", "hi")
-    ends = kinds.join(many.where("kinds > 1").select("anchor", "kinds"), "anchor").select("anchor", "kinds", "n", "one.*")
-    ends = cut_table(ends)
+
+def find_repeats(texts: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """For texts (key, part, text): spans (key, part, lo, hi, kind) of the starts of repeated suffixes and of those in shared passages.
+
+    `length` is not less than `passage`. Spans of kind REPEATED may go on to suffixes that are shorter than `length`, which do not count.
+    """
+    rows = cut_table(stretches(texts, length, passage))
+    where = F.struct("key", "part", "lo", "hi", "at")
+    kinds = cut_table(rows.groupBy("anchor", "whole").agg(F.count("*").alias("rows"), F.min(where).alias("one"), F.max("key").alias("last")))
+    many = kinds.groupBy("anchor").agg(F.sum("rows").alias("all"), F.count("*").alias("kinds")).where("all > 1")
+    twice = kinds.where("rows > 1").select("anchor", "whole", (~F.col("last").eqNullSafe(F.col("one.key"))).alias("several"))
+    equal = cut_table(rows.join(twice, ["anchor", "whole"]).select("anchor", "whole", "key", "part", "at", "lo", "hi", "several"))
+    ends = cut_table(kinds.join(many.where("kinds > 1").select("anchor", "kinds"), "anchor").select("anchor", "whole", "kinds", "one.*"))
+    drop_table(rows)
+    drop_table(kinds)
+
+    schema = StructType.fromDDL(f"anchor long, whole long, kinds long, key {_key_type(texts)}, part int, lo int, at int, n int, bytes binary")
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, value, spans in zip(batch["id"].to_pylist(), batch["text"], batch["spans"].to_pylist()):
+            for key, part, value, found in zip(batch["key"].to_pylist(), batch["part"].to_pylist(), batch["text"], batch["found"].to_pylist()):
                 raw = value.as_buffer().to_pybytes()
-                out += [(s["anchor"], s["kinds"], i, s["lo"], s["at"], raw[s["lo"] : s["hi"] + length]) for s in spans]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            columns = list(zip(*out)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["anchor", "kinds", "id", "lo", "at", "bytes"])
+                out += [(s["anchor"], s["whole"], s["kinds"], key, part, s["lo"], s["at"], s["hi"] - s["lo"] + 1, raw[s["lo"] : s["hi"] + length]) for s in found]
+            yield _batch(out, schema)
+
+    held = cut_table(_of_text(texts, _listed(ends, "found"), "inner").mapInArrow(bytes_of, schema))
+    drop_table(ends)
+    parts = sorted_repeats(held.where(F.col("kinds") <= BUSY), length, passage).unionByName(counted_repeats(held.where(F.col("kinds") > BUSY), length, passage))
+    parts = cut_table(parts)
+    drop_table(held)
+    # a stretch that one document alone has several times was judged once, by its first occurrence
+    shift = F.col("at") - F.col("_at")
+    own = equal.where("NOT several").drop("lo", "hi").join(parts.where(F.col("kind") == SHARED).select("anchor", "whole", F.col("at").alias("_at"), "lo", "hi"), ["anchor", "whole"])
+    span = ["key", "part", "lo", "hi", "kind"]
+    own = own.select("key", "part", (F.col("lo") + shift).alias("lo"), (F.col("hi") + shift).alias("hi"), F.lit(SHARED).alias("kind"))
+    whole = equal.select("key", "part", "lo", "hi", F.explode(F.when(F.col("several"), F.array(F.lit(REPEATED), F.lit(SHARED))).otherwise(F.array(F.lit(REPEATED)))).alias("kind"))
+    return whole.unionByName(parts.select(*span)).unionByName(own)
+
+
+def _covered(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Maximal runs of bytes that spans (start, end) cover."""
+    at = None
+    for lo, hi in sorted(spans):
+        if at and lo <= at[1]:
+            at = (at[0], max(at[1], hi))
+            continue
+        if at:
+            yield at
+        at = (lo, hi)
+    if at:
+        yield at
+
+
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, n_passages long"
+
+
+def cut_out(texts: DataFrame, spans: DataFrame, length: int, passage: int) -> DataFrame:
+    """Of each text (key, part, text) the counts of RESULT, and kept, the bytes that no repeat covers (null for null)."""
+    schema = StructType.fromDDL(f"key {_key_type(texts)}, {RESULT}, kept binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, value, found in zip(batch["key"].to_pylist(), batch["text"], batch["found"].to_pylist()):
+                raw = value.as_buffer().to_pybytes() if value.is_valid else b""
+                reach = {REPEATED: length, SHARED: passage}
+                ends = {kind: [(s["lo"], min(s["hi"] + n, len(raw))) for s in found or () if s["kind"] == kind and s["lo"] + n <= len(raw)] for kind, n in reach.items()}
+                gone, passages = list(_covered(ends[REPEATED])), list(_covered(ends[SHARED]))
+                kept = b"".join(raw[a:b] for a, b in zip([0, *(hi for _, hi in gone)], [*(lo for lo, _ in gone), len(raw)]))
+                size = lambda runs: sum(hi - lo for lo, hi in runs)
+                out.append((key, len(raw), size(gone), len(gone), hashlib.sha256(kept).hexdigest(), size(passages), len(passages), kept if value.is_valid else None))
+            yield _batch(out, schema)
 
-    held = cut_table(_with_spans(texts, ends.drop("n")).mapInArrow(bytes_of, "anchor long, kinds long, id long, lo int, at int, bytes binary"))
-    parts = sorted_repeats(held.where(F.col("kinds") <= BUSY), length).unionByName(counted_repeats(held.where(F.col("kinds") > BUSY), length))
-    return sizes, equal.unionByName(parts)
+    return _of_text(texts, _listed(spans, "found"), "left").select("key", "text", "found").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
-    """Of each row: key, n_bytes, n_removed, n_spans, and kept_sha256, the digest of the bytes that stay.
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """Of each row: key, n_bytes, n_removed, n_spans, kept_sha256, n_shared, n_passages.
 
-    A byte goes if a string of `length` bytes that also starts elsewhere covers it. Null and empty texts have no bytes.
-    Rows alike in key and text are repeats of each other and get one result.
+    A byte goes if a string of `length` bytes that also starts elsewhere covers it; kept_sha256 is the digest of the
+    bytes that stay. n_shared counts the bytes that strings of `passage` bytes cover which a row of another key holds
+    too, n_passages their maximal runs; `passage` is `length` at most. Null and empty texts have no bytes. Rows alike in
+    key and text are repeats of each other and get one result.
     """
-    texts = docs.select(F.xxhash64(key, text).alias("id"), F.col(key).alias("_key"), F.col(text).alias("text"))
-    sizes, spans = find_repeats(texts.select("id", "text"), length)
-    cleaned = cut_out(texts.where("text IS NOT NULL").select("id", "text"), spans, length)
-    digests = cleaned.select("id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept")).dropDuplicates(["id"])
-    rows = texts.select("id", "_key").join(sizes.distinct(), "id").join(digests, "id", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return rows.select(F.col("_key").alias(key), "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
+    texts = docs.select(F.col(key).alias("key"), F.hash(text).alias("part"), F.col(text).alias("text"))
+    found = find_repeats(texts, length, min(passage, length))
+    return cut_out(texts, found, length, min(passage, length)).drop("kept").withColumnRenamed("key", key)

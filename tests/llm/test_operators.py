@@ -317,20 +317,27 @@ def test_quality_of_odd_rows(spark, odd, none):
 # ---- 7 repeats
 
 
-def plain_repeats(rows, length):
-    seen = Counter()
+def plain_repeats(rows, length, passage):
+    seen, owners = Counter(), defaultdict(set)
     raws = [(i, (t or "").encode()) for i, t in rows]
-    for _, b in raws:
+    for i, b in raws:
         seen.update(b[p : p + length] for p in range(len(b) - length + 1))
+        for p in range(len(b) - passage + 1):
+            owners[b[p : p + passage]].add(i)
+
+    def covered(b, size, good):
+        gone = bytearray(len(b))
+        for p in range(len(b) - size + 1):
+            if good(b[p : p + size]):
+                gone[p : p + size] = b"\1" * size
+        return gone, sum(1 for k in range(len(b)) if gone[k] and not (k and gone[k - 1]))
+
     out = []
     for i, b in raws:
-        gone = bytearray(len(b))
-        for p in range(len(b) - length + 1):
-            if seen[b[p : p + length]] > 1:
-                gone[p : p + length] = b"\1" * length
-        spans = sum(1 for k in range(len(b)) if gone[k] and not (k and gone[k - 1]))
+        gone, spans = covered(b, length, lambda s: seen[s] > 1)
+        shared, passages = covered(b, passage, lambda s: len(owners[s]) > 1)
         kept = bytes(c for c, g in zip(b, gone) if not g)
-        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest(), sum(shared), passages))
     return sorted(out, key=str)
 
 
@@ -340,20 +347,34 @@ def test_repeats_as_by_counting(spark, documents, busy, monkeypatch):
     rng = np.random.default_rng(9)
     passage = "".join(rng.choice(list("abcdefg "), 130))
     extra = [(10_000 + i, "".join(rng.choice(list("hijklmn "), int(rng.integers(0, 90)))) + passage[int(rng.integers(0, 20)) :] + "é" * int(rng.integers(0, 3))) for i in range(40)]
-    rows = [*documents[:60], *extra, (20_000, "ab" * 300), (20_001, None), (20_002, "")]
-    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=80).collect()
-    assert sorted(map(tuple, got), key=str) == plain_repeats(rows, 80)
+    # parts of one text that another has once and this one several times, at the end of a text, and across keys alike
+    part = "".join(rng.choice(list("opqrstu "), 70))
+    own = [(30_000, f"{part}-1-{part}-2-{part}"), (30_001, f"x{part}"), (30_002, "v" + passage + "w" + passage), (30_003, passage[60:]), (30_003, "z" + passage[50:]), (None, "nobody's " + part), (None, None)]
+    rows = [*documents[:60], *extra, *own, (20_000, "ab" * 300), (20_001, None), (20_002, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for length, least in ((80, 50), (80, 80), (64, 33)):
+        assert sorted(map(tuple, repeats.remove_repeats(frame, length=length, passage=least).collect()), key=str) == plain_repeats(rows, length, least)
 
 
 def test_repeats_of_odd_rows(odd, none):
     got = repeats.remove_repeats(odd.withColumn("n_spans", F.lit(1))).collect()
     assert len(got) == len(odd_rows())
-    want = {i: (n, gone) for i, n, gone, _, _ in plain_repeats([(r[0], r[1] if r[1] != LONG else None) for r in odd_rows()], 400)}
+    want = {r[0]: r[1:] for r in plain_repeats([(r[0], r[1] if r[1] != LONG else None) for r in odd_rows()], 400, 256)}
     for r in got:
-        assert (r.n_bytes, r.n_removed) == ((len(LONG), len(LONG)) if r.doc_id == 7 else want[r.doc_id])
+        assert (r.n_bytes, r.n_removed, r.n_shared) == ((len(LONG), len(LONG), 0) if r.doc_id == 7 else (*want[r.doc_id][:2], want[r.doc_id][4]))
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_passages_of_over_fifty_words_are_shared(spark):
+    rng = np.random.default_rng(3)
+    words = lambda n: " ".join("".join(rng.choice(list("aeionrst"), int(rng.integers(4, 8)))) for _ in range(n))
+    passage = words(52)
+    rows = [(i, f"{words(60)} {passage} {words(40)}" if i < 3 else words(200)) for i in range(8)]
+    got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all((got[i].n_passages, got[i].n_removed) == (1, 0) and got[i].n_shared >= len(passage) for i in range(3))
+    assert all(got[i].n_shared == 0 for i in range(3, 8))
+
+
 def test_mergesort_orders_suffixes_within_groups():
     rng = np.random.default_rng(2)
     data = np.frombuffer(bytes(rng.choice(list(b"ab"), 3000)), np.uint8)
