@@ -418,26 +418,45 @@ def test_toxicity_of_odd_rows(spark, odd, none):
 
 
 def plain_top(rows, k=5):
-    good = sorted({(i, tuple(int(np.floor(float(x) * 256)) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)})
-    out = []
-    for q, a in good:
+    good = [(i, tuple(int(np.floor(float(x) * 256)) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    found = defaultdict(list)
+    for q, a in set(good):
         if q % 50 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q)
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
-    return sorted(out)
+            found[q] += [(-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i) for i, b in good if i != q]
+    return sorted((q, n, i, -s) for q, scores in found.items() for n, (s, i) in enumerate(sorted(scores)[:k], 1))
 
 
 def test_top_k_as_by_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 60)
     monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "SEEDS", 6)
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in np.round(rng.normal(size=7), 1)]) for i in range(400)]
     rows += [(400, rows[0][1]), (401, rows[0][1]), (402, None), (450, [None] * 7), (500, [float("nan")] * 7), (None, rows[1][1]), rows[50], (550, [1e7] * 7), (551, [])]
+    # candidates that are repeated, ids with several vectors, vectors that only differ below 1/256
+    rows += [rows[7]] * 3 + [(8, rows[9][1]), (100, rows[3][1]), (150, [x + 1e-9 for x in rows[150][1]])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     got = topk.exact_top_k(frame, F.col("vec_id") % 50 == 0).collect()
     assert sorted(map(tuple, got)) == plain_top(rows)
 
 
+def test_top_k_of_huge_components(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [-1e308, 5.0]), (3, [0.0, 2.0]), (50, [-1.0, 3.0]), (51, [1e15, 1e15])]
+    got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == plain_top([(i, [min(max(x, -7e305), 7e305) for x in v]) for i, v in rows])
+
+
+def test_uniform_threshold_spares_most_whole_scores():
+    rng = np.random.default_rng(6)
+    q, c = (np.floor(256 * rng.normal(size=(n, 64))) for n in (40, 8_000))
+    lists = [topk._list(q, c, s) for s in topk._slices(64)]
+    whole = sum(lists)
+    local = np.argpartition(-lists[0], topk.SEEDS, axis=1)[:, : topk.SEEDS]
+    cutoff = np.sort(np.take_along_axis(whole, local, 1), axis=1)[:, -topk.K]
+    enough = topk.sufficient(lists, cutoff)
+    assert enough.mean() < 0.5 and not (whole[~enough] >= np.repeat(cutoff[:, None], 8_000, 1)[~enough]).any()
+
+
 def test_top_k_with_very_many_ties(spark, monkeypatch):
     """A vector that most rows share: the smaller ids win, and a block passes on no more than k entries of a query."""
     monkeypatch.setattr(topk, "CANDIDATES", 40)
