@@ -27,8 +27,8 @@ from postmill.llm.common import cut_table, drop_table
 
 #: Bytes of a repeat that is removed, of a shared passage that is reported (some 40 words), and of an anchor.
 LENGTH, PASSAGE, GRAM = 400, 256, 32
-#: Different stretches of an anchor that are sorted in one task.
-BUSY = 64
+#: Different stretches of an anchor that are sorted in one task, and stretches of several anchors that are sorted at once.
+BUSY, AT_ONCE = 2_048, 1_024
 
 _random = np.random.default_rng(20240501)
 #: Byte values and odd bases of two independent polynomial hashes modulo 2**64; fixed by the seed.
@@ -278,7 +278,7 @@ def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for found in zip(*(batch[c].to_pylist() for c in ("anchor", "whole", "key", "part", "lo", "at", "bytes", "n"))):
-                if len(held) >= 4 * BUSY and held[-1][0] != found[0]:
+                if len(held) >= AT_ONCE and held[-1][0] != found[0]:
                     yield solve(held)
                     held = []
                 held.append(found)
@@ -296,17 +296,20 @@ def counted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
         powers = [Powers(b) for b in BASES]
         names = to_arrow_schema(schema).names
         for batch in batches:
+            found: list[list[np.ndarray]] = [[] for _ in range(5)]
             for i, (lo, raw, n) in enumerate(zip(batch["lo"].to_pylist(), batch["bytes"].to_pylist(), batch["n"].to_pylist())):
                 data = np.frombuffer(raw, np.uint8)
                 hashes = [PrefixHash(data, p, k) for k, p in enumerate(powers)]
                 for kind, size in ((REPEATED, length), (SHARED, passage)):
                     m = min(n, len(raw) - size + 1)
-                    if m < 1:
-                        continue
-                    x, y = (_mixed(h.of(np.arange(m), size)).view(np.int64) for h in hashes)
-                    same = pa.array(np.full(m, i))
-                    own = [batch[c].take(same) for c in ("anchor", "whole", "key", "part", "at")]
-                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(m, kind, np.int32)), *own, pa.array(np.arange(lo, lo + m, dtype=np.int32))], names=names)
+                    if m > 0:
+                        x, y = (_mixed(h.of(np.arange(m), size)).view(np.int64) for h in hashes)
+                        for c, values in zip(found, (x, y, np.full(m, kind, np.int32), np.arange(lo, lo + m, dtype=np.int32), np.full(m, i))):
+                            c.append(values)
+            if found[0]:
+                x, y, kind, at, row = (np.concatenate(c) for c in found)
+                own = [batch[c].take(pa.array(row)) for c in ("anchor", "whole", "key", "part", "at")]
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(kind), *own, pa.array(at)], names=names)
 
     # hashed twice rather than kept: the rows take more room than their making takes time
     hashed = ends.mapInArrow(run, schema)
