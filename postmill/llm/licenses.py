@@ -1,7 +1,8 @@
 """Licence scan by sentence rules: known sentences become identifiers, ordered rules read the identifier sequence.
 
 A text is cut into sentences, each is normalised, and those in a fixed catalogue turn into identifiers. Licence rules
-are sequences of identifiers, tried in order; what a rule has matched is used up. Three cuts are read, since licence
+are sequences of identifiers, tried in order; what a rule has matched is used up, and its neighbours do not become
+adjacent by it. Three cuts are read, since licence
 text is often wrapped: at sentence ends with line breaks as blanks; at sentence ends and line breaks; and, as whole
 licence files need it, at sentence ends, blank lines, list markers and copyright lines, with other line breaks as blanks.
 All of it is DataFrame functions on one row at a time: no shuffle, no Python.
@@ -47,6 +48,34 @@ SENTENCES: dict[str, str] = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSD-BINARY",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSD-ENDORSE",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "MPL-2-NAMED",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL-2-NAMED",
+    "this source code form is subject to the terms of the mozilla public license version 2 0": "MPL-2-NAMED",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "MPL-2-COPY",
+    "this library is free software": "LGPL-FREE",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "LGPL-TERMS",
+    "either version 2 1 of the license or at your option any later version": "GPL-2-1-OR-LATER",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation": "AGPL-TERMS",
+    "licensed under the gnu lesser general public license version 3": "LGPL-3-NAMED",
+    "licensed under the gnu affero general public license version 3": "AGPL-3-NAMED",
+    "licensed under the gnu general public license version 2": "GPL-2-NAMED",
+    "licensed under the gnu general public license version 3": "GPL-3-NAMED",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISC-GRANT",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0BSD-GRANT",
+    "licensed under the isc license": "ISC-NAMED",
+    "boost software license version 1 0": "BSL-TITLE",
+    "distributed under the boost software license version 1 0": "BSL-NAMED",
+    "this is free and unencumbered software released into the public domain": "UNLICENSE",
+    "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "CC0-WAIVED",
+    "licensed under cc0 1 0": "CC0-NAMED",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "CC-BY-SA-4-NAMED",
+    "licensed under cc by nd 4 0": "CC-BY-ND-4-NAMED",
+    "licensed under cc by nc sa 4 0": "CC-BY-NC-SA-4-NAMED",
+    "licensed under cc by nc nd 4 0": "CC-BY-NC-ND-4-NAMED",
+    "this software is provided as is without any express or implied warranty": "ZLIB-AS-IS",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "ZLIB-GRANT",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0": "EPL-2-NAMED",
+    "licensed under the bsd 3 clause license": "BSD-3-NAMED",
+    "licensed under the bsd 2 clause license": "BSD-2-NAMED",
     "all rights reserved": "RESERVED",
 }
 # Licence rules in the order in which they are tried, the more specific ones first.
@@ -63,10 +92,32 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0-or-later", ("GPL-FREE", "GPL-3-TERMS")),
     ("GPL-3.0-or-later", ("GPL-FREE", "GPL-TERMS", "GPL-3-OR-LATER")),
     ("GPL-2.0-or-later", ("GPL-FREE", "GPL-TERMS", "GPL-2-OR-LATER")),
+    ("LGPL-2.1-or-later", ("LGPL-FREE", "LGPL-TERMS", "GPL-2-1-OR-LATER")),
+    ("LGPL-3.0-or-later", ("LGPL-FREE", "LGPL-TERMS", "GPL-3-OR-LATER")),
+    ("AGPL-3.0-or-later", ("GPL-FREE", "AGPL-TERMS", "GPL-3-OR-LATER")),
     ("GPL-3.0-only", ("GPL-3-NAMED",)),
+    ("GPL-2.0-only", ("GPL-2-NAMED",)),
+    ("LGPL-3.0-only", ("LGPL-3-NAMED",)),
+    ("AGPL-3.0-only", ("AGPL-3-NAMED",)),
+    ("ISC", ("ISC-GRANT",)),
+    ("ISC", ("ISC-NAMED",)),
+    ("0BSD", ("0BSD-GRANT",)),
+    ("BSL-1.0", ("BSL-TITLE",)),
+    ("BSL-1.0", ("BSL-NAMED",)),
+    ("Zlib", ("ZLIB-AS-IS", "ZLIB-GRANT")),
+    ("BSD-3-Clause", ("BSD-3-NAMED",)),
+    ("BSD-2-Clause", ("BSD-2-NAMED",)),
+    ("CC-BY-NC-SA-4.0", ("CC-BY-NC-SA-4-NAMED",)),
+    ("CC-BY-NC-ND-4.0", ("CC-BY-NC-ND-4-NAMED",)),
+    ("CC-BY-ND-4.0", ("CC-BY-ND-4-NAMED",)),
+    ("CC0-1.0", ("CC0-WAIVED",)),
+    ("CC0-1.0", ("CC0-NAMED",)),
+    ("Unlicense", ("UNLICENSE",)),
+    ("EPL-2.0", ("EPL-2-NAMED",)),
     ("CC-BY-NC-4.0", ("CC-BY-NC-4-NAMED",)),
     ("CC-BY-SA-4.0", ("CC-BY-SA-4-NAMED",)),
     ("CC-BY-4.0", ("CC-BY-4-NAMED",)),
+    ("MPL-2.0", ("MPL-2-NAMED", "MPL-2-COPY")),
     ("MPL-2.0", ("MPL-2-NAMED",)),
     ("Proprietary", ("RESERVED",)),
 )
@@ -94,12 +145,12 @@ def identifiers(text: Column, cut: str, sentences: Mapping[str, str]) -> Column:
 
 
 def licences(ids: Column, rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
-    """Licences whose rules fit an identifier sequence, in rule order; a rule uses up all its matches."""
+    """Licences whose rules fit an identifier sequence, in rule order; a rule uses up all its matches and leaves a break there."""
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("|" + "||".join(need) + "|").alias("need")) for name, need in rules])
     start = F.struct(F.concat_ws("", F.transform(ids, lambda i: F.concat(F.lit("|"), i, F.lit("|")))).alias("left"), F.array().cast("array<string>").alias("found"))
     step = lambda acc, r: F.when(
         F.contains(acc["left"], r["need"]),
-        F.struct(F.replace(acc["left"], r["need"], F.lit("")).alias("left"), F.array_append(acc["found"], r["name"]).alias("found")),
+        F.struct(F.replace(acc["left"], r["need"], F.lit("/")).alias("left"), F.array_append(acc["found"], r["name"]).alias("found")),
     ).otherwise(acc)
     return F.when(F.size(ids) == 0, F.array().cast("array<string>")).otherwise(F.aggregate(table, start, step)["found"])
 
@@ -116,12 +167,12 @@ def scan_licences(
     columns that have one of the new names are replaced. The identifiers are those of the cut that has the most. Where
     the third cut finds every reservation in front of a licence's terms, there is no licence "Proprietary".
     """
-    cuts = {"_wrapped": (F.col(text), WRAPPED), "_lined": (F.col(text), LINED), "_filed": (F.regexp_replace(text, OWNER, "\n\n$1\n\n"), PARAGRAPHS)}
+    cuts = {"__licence_wrapped": (F.col(text), WRAPPED), "__licence_lined": (F.col(text), LINED), "__licence_filed": (F.regexp_replace(text, OWNER, "\n\n$1\n\n"), PARAGRAPHS)}
     read = docs.withColumns({name: identifiers(value, cut, sentences) for name, (value, cut) in cuts.items()})
-    read = read.withColumn("_file", licences(F.col("_filed"), (*FILE_RULES, *rules) if rules is RULES else rules))
-    owned = F.array_contains("_filed", "RESERVED") & ~F.array_contains("_file", "Proprietary")
-    found = F.array_sort(F.array_union(F.array_union(licences(F.col("_wrapped"), rules), licences(F.col("_lined"), rules)), F.col("_file")))
+    read = read.withColumn("__licence_file", licences(F.col("__licence_filed"), (*FILE_RULES, *rules) if rules is RULES else rules))
+    owned = F.array_contains("__licence_filed", "RESERVED") & ~F.array_contains("__licence_file", "Proprietary")
+    found = F.array_sort(F.array_union(F.array_union(licences(F.col("__licence_wrapped"), rules), licences(F.col("__licence_lined"), rules)), F.col("__licence_file")))
     found = F.when(owned, F.array_remove(found, "Proprietary")).otherwise(found)
-    ids = F.when(F.size("_lined") >= F.size("_wrapped"), F.col("_lined")).otherwise(F.col("_wrapped"))
-    ids = F.when(F.size("_filed") > F.size(ids), F.col("_filed")).otherwise(ids)
-    return read.withColumns({"sentence_ids": ids, "licences": found}).drop(*cuts, "_file")
+    ids = F.when(F.size("__licence_lined") >= F.size("__licence_wrapped"), F.col("__licence_lined")).otherwise(F.col("__licence_wrapped"))
+    ids = F.when(F.size("__licence_filed") > F.size(ids), F.col("__licence_filed")).otherwise(ids)
+    return read.withColumns({"sentence_ids": ids, "licences": found}).drop(*cuts, "__licence_file")

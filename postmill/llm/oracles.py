@@ -22,11 +22,11 @@ def _op1() -> str:
             GROUP BY doc_id"""
 
     def fold(name: str, source: str) -> str:
-        steps = [f"{name}0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '|' || x || '|'), 'string_agg', '') AS rest, []::VARCHAR[] AS found FROM {source})"]
+        steps = [f"{name}0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS rest, []::VARCHAR[] AS found FROM {source})"]
         for n, (licence, need) in enumerate(licenses.RULES, 1):
-            pattern = quoted("|" + "||".join(need) + "|")
+            pattern = quoted("".join(f"<{n}>" for n in need))
             steps.append(
-                f"{name}{n} AS (SELECT doc_id, ids, replace(rest, {pattern}, '') AS rest, "
+                f"{name}{n} AS (SELECT doc_id, ids, replace(rest, {pattern}, '<>') AS rest, "
                 f"CASE WHEN contains(rest, {pattern}) THEN list_append(found, {quoted(licence)}) ELSE found END AS found FROM {name}{n - 1})"
             )
         return ", ".join(steps)
