@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from postmill.llm.common import cut
@@ -81,83 +84,98 @@ def entity_key(kind: str, value: str) -> int:
 
 
 def near_terms(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, int]]:
-    """(entity, term, start, end) for words near each span that lie outside all spans."""
+    """(entity, term, start, end) for the NEAR words on either side of each span, however far they are, but not those in a span."""
+    words = [m.span() for m in WORD.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
     covered = sorted((s, e) for _, s, e in spans)
+    opens, reach = [s for s, _ in covered], list(accumulate((e for _, e in covered), max))
+
+    def inside(s: int, e: int) -> bool:
+        """Whether a word overlaps a span: of those that start before its end, the farthest reaches beyond its start."""
+        k = bisect_left(opens, e)
+        return k > 0 and reach[k - 1] > s
+
     for kind, start, end in spans:
-        entity = entity_key(kind, text[start:end])
-        # words end at a blank or so; a bounded stretch on either side is enough for NEAR words of usual length
-        left = max(0, start - 24 * NEAR)
-        while left and text[left - 1].isalnum():
-            left -= 1
-        right = min(len(text), end + 24 * NEAR)
-        before = [m.span() for m in WORD.finditer(text, left, start)][-NEAR:]
-        after = [m.span() for m in WORD.finditer(text, end, right)][:NEAR]
-        if after and after[-1][1] == right < len(text):
-            after.pop()
-        for s, e in before + after:
-            if not any(s < b and a < e for a, b in covered):
+        entity, before, after = entity_key(kind, text[start:end]), bisect_right(ends, start), bisect_left(starts, end)
+        for s, e in words[max(0, before - NEAR) : before] + words[after : after + NEAR]:
+            if not inside(s, e):
                 yield entity, _hash(text[s:e].lower()), s, e
 
 
 #: Terms counted per task before the counts go on, which bounds a task's memory.
 HELD_TERMS = 300_000
-SEEN = "doc long, pos int, n int, spans string, entity long, term long, s int, e int"
+#: Parts into which the rows of one entity and term are dealt, as one address may be in a third of all texts.
+SALTS = 16
+
+
+def _seen(key: str) -> StructType:
+    return StructType.fromDDL(f"key {key}, part int, pos int, n int, spans string, entity long, term long, s int, e int")
 
 
-def _first_pass(text: str, key: str):
-    """Per text a row with its fixed spans; per entity and near term a row; per term a row with its document count."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    names = [c.split()[0] for c in SEEN.split(", ")]
+def _first_pass(schema: StructType):
+    """Per text (key, part, text) a row with its fixed spans; per entity and near term a row; per term a row with its document count."""
+    target = to_arrow_schema(schema)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(target), target)], names=target.names)
+
+    def counted(counts: Counter) -> pa.RecordBatch:
+        return batch_of([(None, None, 2, n, None, None, _hash(w), None, None) for w, n in counts.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             rows = []
-            for doc, value in zip(batch[key].to_pylist(), batch[text]):
+            for key, part, value in zip(batch["key"].to_pylist(), batch["part"].to_pylist(), batch["text"]):
                 content = value.as_py() or ""
                 spans = base_spans(content)
                 if spans:
-                    rows.append((doc, 0, None, ",".join(f"{k}:{s}:{e}" for k, s, e in spans), None, None, None, None))
-                    rows += [(doc, 1, None, None, *found) for found in near_terms(content, spans)]
+                    rows.append((key, part, 0, None, ",".join(f"{k}:{s}:{e}" for k, s, e in spans), None, None, None, None))
+                    rows += [(key, part, 1, None, None, *found) for found in near_terms(content, spans)]
                 counts.update(set(WORD.findall(content.lower())))
                 if len(counts) > HELD_TERMS:
                     yield batch_of(rows)
-                    rows = [(None, 2, n, None, None, _hash(w), None, None) for w, n in counts.items()]
+                    yield counted(counts)
                     counts.clear()
-                    yield batch_of(rows)
                     rows = []
             yield batch_of(rows)
-        yield batch_of([(None, 2, n, None, None, _hash(w), None, None) for w, n in counts.items()])
+        yield counted(counts)
 
     return run
 
 
+def keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """What stands for a row: its key and a hash of its text."""
+    return docs.select(F.col(key).alias("key"), F.hash(text).alias("part"), F.col(text).alias("text"))
+
+
 def find_private(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per distinct text with any personal data: _key (hash of id and text), base and terms, both as kind:start:end lists.
+    """Per distinct row with any personal data: _key, _part (a hash of the text), base and terms, both as kind:start:end lists.
 
-    terms has the disclosing terms, those of `removed` among them wholly. Whole texts are read; null ones are empty.
-    Documents are counted by their rows. Equal rows share one result.
+    terms has the disclosing terms, those of `removed` among them wholly. A term meets an entity if it is one of the NEAR
+    words on either side of it; d(t) and d(c) count all documents with the term or the entity anywhere. Whole texts are
+    read; null ones are empty. Documents are counted by their rows. Equal rows share one result.
     """
-    keyed = docs.select(F.xxhash64(key, text).alias("_key"), F.col(text).alias("_text"))
-    seen = cut(keyed.mapInArrow(_first_pass("_text", "_key"), SEEN))
+    schema = _seen(docs.schema[key].dataType.simpleString())
+    seen = cut(keyed(docs, text, key).mapInArrow(_first_pass(schema), schema))
     documents = docs.count()
-    base = seen.where("pos = 0").groupBy("doc").agg(F.first("spans").alias("base"))
-    pairs = seen.where("pos = 1").select("doc", "entity", "term", "s", "e")
-    met = pairs.select("doc", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("j")).where(F.col("j") >= MIN_MEETINGS)
-    entities = pairs.select("doc", "entity").distinct().groupBy("entity").agg(F.count("*").alias("dc"))
+    base = seen.where("pos = 0").groupBy("key", "part").agg(F.first("spans").alias("base"))
+    pairs = seen.where("pos = 1").select("key", "part", "entity", "term", "s", "e")
+    met = pairs.select("key", "part", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("j")).where(F.col("j") >= MIN_MEETINGS)
+    entities = pairs.select("key", "part", "entity").distinct().groupBy("entity").agg(F.count("*").alias("dc"))
     terms = seen.where("pos = 2").groupBy("term").agg(F.sum("n").alias("dt"))
     n = F.lit(float(documents))
     content = F.log(n / F.col("dc"))
     pmi = F.log(n * F.col("j") / (F.col("dc") * F.col("dt")))
     judged = met.join(entities, "entity").join(terms, "term").where((content > 0) & (pmi >= content / ALPHA))
-    told = pairs.join(judged.select("entity", "term", (pmi >= content - 1e-9).alias("whole")), ["entity", "term"])
-    spans = told.groupBy("doc", "s", "e").agg(F.max("whole").alias("whole")).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("s", "e", "whole"))).alias("terms"))
+    judged = judged.select("entity", "term", (pmi >= content - 1e-9).alias("whole"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    told = pairs.withColumn("salt", F.pmod(F.hash("key", "part"), F.lit(SALTS))).join(judged, ["entity", "term", "salt"])
+    spans = told.groupBy("key", "part", "s", "e").agg(F.max("whole").alias("whole")).groupBy("key", "part").agg(F.array_sort(F.collect_list(F.struct("s", "e", "whole"))).alias("terms"))
     listed = F.array_join(F.transform("terms", lambda x: F.concat_ws(":", F.lit("term"), x["s"], x["e"])), ",")
     whole = F.array_join(F.transform(F.filter("terms", lambda x: x["whole"]), lambda x: F.concat_ws(":", F.lit("term"), x["s"], x["e"])), ",")
-    return base.join(spans, "doc", "left").select(F.col("doc").alias("_key"), "base", F.coalesce(listed, F.lit("")).alias("terms"), F.coalesce(whole, F.lit("")).alias("removed"))
+    base, spans = base.withColumnsRenamed({"key": "_key", "part": "_part"}), spans.withColumn("_listed", listed).withColumn("_whole", whole)
+    joined = base.join(spans, F.col("_key").eqNullSafe(F.col("key")) & (F.col("_part") == F.col("part")), "left")
+    return joined.select("_key", "_part", "base", F.coalesce("_listed", F.lit("")).alias("terms"), F.coalesce("_whole", F.lit("")).alias("removed"))
 
 
 def sanitised(text: str, base: str, terms: str, removed: str) -> str:
@@ -179,9 +197,10 @@ def sanitised(text: str, base: str, terms: str, removed: str) -> str:
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents with their texts sanitised; rows and columns stay as they are, and null texts stay null."""
     # names that no input column is likely to have
-    own = {c: f"__private_{c.strip('_')}" for c in ("_key", "base", "terms", "removed")}
+    own = {c: f"__private_{c.strip('_')}" for c in ("_key", "_part", "base", "terms", "removed")}
     found = find_private(docs, text, key).withColumnsRenamed(own)
-    joined = docs.withColumn("__private_row", F.xxhash64(key, text)).join(found, F.col("__private_row") == F.col(own["_key"]), "left")
+    same = F.col(key).eqNullSafe(F.col(own["_key"])) & (F.hash(text) == F.col(own["_part"]))
+    joined = docs.join(found, same, "left")
     schema = StructType(docs.schema.fields)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
