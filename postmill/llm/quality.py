@@ -31,32 +31,43 @@ def _mixed(x: np.ndarray, bits: int) -> np.ndarray:
     return ((x * MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A hash of each word that is the same in every process: its length, first and last eight bytes."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = np.frombuffer(b"".join(w[:8].ljust(8, b"\0") + w[-8:].rjust(8, b"\0") for w in words), dtype="<u8").reshape(-1, 2)
-    return (joined[:, 0] * MIX) ^ (joined[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.array([len(w) for w in words], np.uint64)
-
-
-def features(raw: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of one text and their weights; each family's weights have a length of one."""
-    half = BITS - 1
-    b = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    numbers, weights = [], []
-    grams = _mixed(b[:-2] | (b[1:-1] << np.uint64(8)) | (b[2:] << np.uint64(16)), half) if len(b) > 2 else np.zeros(0, np.int64)
-    h = word_hashes(words)
-    pairs = np.concatenate([_mixed(h, half), _mixed(h[:-1] * np.uint64(31) + h[1:], half)]) if len(h) else np.zeros(0, np.int64)
-    for base, found in ((0, grams), (1 << half, pairs)):
-        if len(found):
-            counts = np.bincount(found, minlength=1 << half)
-            at = np.flatnonzero(counts)
-            w = np.sqrt(counts[at])
-            numbers.append(at + base)
-            weights.append(w / np.linalg.norm(w))
-    return (np.concatenate(numbers), np.concatenate(weights)) if numbers else (np.zeros(0, np.int64), np.zeros(0))
+#: Words whose hashes a task keeps.
+HELD_WORDS = 500_000
+
+
+class Features:
+    """Feature numbers of a text and their weights; each family's weights have a length of one."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+
+    def word_hashes(self, words: list[bytes]) -> np.ndarray:
+        """A hash of each whole word that is the same in every process."""
+        import xxhash
+
+        if len(self.known) > HELD_WORDS:
+            self.known.clear()
+        known = self.known
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+    def __call__(self, text: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        half = BITS - 1
+        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        numbers, weights = [], []
+        grams = _mixed(c[:-2] | (c[1:-1] << np.uint64(21)) | (c[2:] << np.uint64(42)), half) if len(c) > 2 else np.zeros(0, np.int64)
+        h = self.word_hashes(words)
+        pairs = np.concatenate([_mixed(h, half), _mixed(h[:-1] * np.uint64(31) + h[1:], half)]) if len(h) else np.zeros(0, np.int64)
+        for base, found in ((0, grams), (1 << half, pairs)):
+            if len(found):
+                counts = np.bincount(found, minlength=1 << half)
+                at = np.flatnonzero(counts)
+                w = np.sqrt(counts[at])
+                numbers.append(at + base)
+                weights.append(w / np.linalg.norm(w))
+        return (np.concatenate(numbers), np.concatenate(weights)) if numbers else (np.zeros(0, np.int64), np.zeros(0))
 
 
 @dataclass
@@ -114,11 +125,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", max_rows
     chosen = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(pick), "doc_id")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
         for batch in batches:
             out: list[tuple] = []
             for order, quality, value in zip(batch["_order"].to_pylist(), batch["quality"].to_pylist(), batch["text"].to_pylist()):
-                raw = (value or "").encode()
-                at, x = features(raw, raw.split())
+                at, x = features(value or "", (value or "").encode().split())
                 out.append((order, quality, at.astype(np.int32).tobytes(), x.astype(np.float32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))] if out else [pa.array([], t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary())], names=["o", "y", "at", "x"])
 
@@ -141,15 +152,22 @@ def repeated_words(words: list[bytes], size: int = 5) -> int:
     n = len(words) - size + 1
     if n < 2:
         return 0
-    h = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    number: dict[bytes, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
     key = np.zeros(n, np.uint64)
     for k in range(size):
-        key = key * np.uint64(0xD6E8FEB86659FD93) + h[k : k + n]
+        key = key * np.uint64(0xD6E8FEB86659FD93) + ids[k : k + n].astype(np.uint64) * MIX
         key ^= key >> np.uint64(29)
     order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
-    if not same.any():
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if not len(same):
         return 0
+    # equal hashes are verified on the words
+    x, y = order[same], order[same + 1]
+    good = np.ones(len(same), bool)
+    for k in range(size):
+        good &= ids[x + k] == ids[y + k]
+    same = same[good]
     twice = np.zeros(n, bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
@@ -182,13 +200,14 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", min_
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
         for batch in batches:
             rows = []
             for value in batch[text]:
                 raw = value.as_buffer().to_pybytes() if value.is_valid else b""
                 words = raw.split()
                 m = measures(raw, words)
-                p = model.probability(*features(raw, words))
+                p = model.probability(*features(value.as_py() or "", words))
                 failed = m[0] < MIN_WORDS or 100 * m[4] > MAX_REPEATED * m[0]
                 rows.append((*m, failed, p, not failed and p >= min_probability))
             columns = list(zip(*rows)) if rows else [[] for _ in new]
