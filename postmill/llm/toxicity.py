@@ -22,8 +22,8 @@ from pyspark.sql.types import StructType
 
 #: At most so many labelled rows are used for learning, the first by a hash of their id; one in four calibrates.
 MAX_TRAINING_ROWS = 8_000
-#: At most so many learned insult arcs; each is in so many distinct toxic texts at least, and of its texts so many are toxic.
-MAX_ARCS, MIN_TEXTS, MIN_PRECISION = 2_000, 4, 0.83
+#: A learned insult arc is in so many distinct toxic texts at least, and of its texts so many are toxic.
+MIN_TEXTS, MIN_PRECISION = 4, 0.83
 #: Word beginnings of these lengths can be arcs as well.
 BEGINNINGS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
@@ -173,7 +173,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", max_row
 
     counts = chosen.where(~calibrates).select("toxic", "text").mapInArrow(counted, "arc string, a long, b long").groupBy("arc").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     strong = (F.col("arc") == "") | ((F.col("a") >= MIN_TEXTS) & (F.col("a") / (F.col("a") + F.col("b") + 0.5) >= MIN_PRECISION))
-    rows = counts.where(strong).orderBy(F.col("arc") != "", F.desc("a"), "arc").limit(MAX_ARCS + 1).collect()
+    # the labelled sample bounds their number
+    rows = sorted(counts.where(strong).collect())
     arcs = dict.fromkeys(INSULTS, FIXED_WEIGHT)
     everything = next((r for r in rows if r["arc"] == ""), None)
     if everything is None or not everything["a"] or not everything["b"]:
