@@ -1,7 +1,7 @@
 """URL filter: host/path rules first, then pattern rules found through their rarest literal token.
 
-Each pattern rule names the literal tokens that any URL it fits must hold. The corpus says how often each of these
-tokens occurs; a rule is filed under its rarest one. A URL's own tokens then fetch the few rules that may fit, and only
+Each pattern rule names the literal tokens that any URL it fits must hold, or several such sets, one of which it must.
+The corpus says how often each of these tokens occurs; a rule is filed under the rarest one of each set. A URL's own tokens then fetch the few rules that may fit, and only
 their regular expressions run. Nothing is shuffled but one count per rule token.
 """
 
@@ -34,11 +34,11 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """A regular expression over the lower-cased URL, with the whole tokens that any match holds (none: always run)."""
+    """A regular expression over the lower-cased URL. Each of `ways` names whole tokens that a match of that way holds; every match is of some way."""
 
     name: str
     pattern: str
-    tokens: tuple[str, ...]
+    ways: tuple[tuple[str, ...], ...]
 
 
 # The host/path rules of the query's contract.
@@ -51,12 +51,12 @@ HOST_RULES = (
 )
 # The default pattern rules, each of which blocks.
 PATTERN_RULES = (
-    PatternRule("tracker", r"://([a-z0-9-]+[.])*ads-track[.]", ("ads", "track")),
-    PatternRule("casino", r"://([a-z0-9-]+[.])*casino(-[a-z0-9]+)*[.]", ("casino",)),
-    PatternRule("bets", r"://([a-z0-9-]+[.])*(free-)?bets[.]", ("bets",)),
-    PatternRule("pills", r"://([a-z0-9-]+[.])*cheap-pills[.]", ("cheap", "pills")),
-    PatternRule("executable", r"/[^?#]*[.](exe|msi|apk)([?#]|$)", ()),
-    PatternRule("feed-print", r"/en/[0-9]+[.]html[?]print=1(&|$)", ("print", "html")),
+    PatternRule("tracker", r"://([a-z0-9-]+[.])*ads-track[.]", (("ads", "track"),)),
+    PatternRule("casino", r"://([a-z0-9-]+[.])*casino(-[a-z0-9]+)*[.]", (("casino",),)),
+    PatternRule("bets", r"://([a-z0-9-]+[.])*(free-)?bets[.]", (("bets",),)),
+    PatternRule("pills", r"://([a-z0-9-]+[.])*cheap-pills[.]", (("cheap", "pills"),)),
+    PatternRule("executable", r"/[^?#]*[.](exe|msi|apk)([?#]|$)", (("exe",), ("msi",), ("apk",))),
+    PatternRule("feed-print", r"/en/[0-9]+[.]html[?]print=1(&|$)", (("print", "html"),)),
 )
 
 
@@ -79,7 +79,7 @@ def url_tokens(url: Column) -> Column:
 
 def token_counts(pages: DataFrame, url: str, rules: Sequence[PatternRule]) -> dict[str, int]:
     """In how many URLs each rule token occurs. At most one row per rule token comes to the driver."""
-    wanted = sorted({t for r in rules for t in r.tokens})
+    wanted = sorted({t for r in rules for way in r.ways for t in way})
     if not wanted:
         return {}
     known = F.array(*[F.lit(t) for t in wanted])
@@ -88,10 +88,13 @@ def token_counts(pages: DataFrame, url: str, rules: Sequence[PatternRule]) -> di
 
 
 def rare_token_index(rules: Sequence[PatternRule], counts: dict[str, int]) -> dict[str, list[PatternRule]]:
-    """Each rule under its rarest token, ties to the first by name; rules without tokens under the empty one."""
+    """Each rule under the rarest token of each of its ways, ties to the first by name."""
     index: dict[str, list[PatternRule]] = defaultdict(list)
     for rule in rules:
-        index[min(rule.tokens, key=lambda t: (counts.get(t, 0), t), default="")].append(rule)
+        if not rule.ways or not all(rule.ways):
+            raise ValueError(f"rule {rule.name} has a way without a literal token")
+        for token in sorted({min(way, key=lambda t: (counts.get(t, 0), t)) for way in rule.ways}):
+            index[token].append(rule)
     return dict(index)
 
 
@@ -109,7 +112,7 @@ def fitting_pattern(index: dict[str, list[PatternRule]], rules: Sequence[Pattern
             if url is None:
                 return None
             url = url.translate(to_lower)
-            hits = [(i, name) for t in {"", *split(url)} for i, name, p in compiled.get(t, ()) if p.search(url)]
+            hits = [(i, name) for t in set(split(url)) for i, name, p in compiled.get(t, ()) if p.search(url)]
             return min(hits)[1] if hits else None
 
         for urls in batches:
