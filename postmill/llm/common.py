@@ -24,10 +24,12 @@ def word_count(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that the session names; one of our own only where none is named, as in tests."""
+    """The folder for checkpoints that the session names. Only where driver and executors are one process, one of our own can stand in."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not named and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="postmill-"))
     return named or context.getCheckpointDir()
 

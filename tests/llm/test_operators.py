@@ -60,6 +60,14 @@ def test_licence_rules_read_sequences_in_order(spark):
     assert got == {1: ["MIT"], 2: [], 3: ["CC-BY-NC-4.0", "MIT"], 4: [], 5: ["Proprietary"]}
 
 
+def test_a_used_rule_does_not_join_its_neighbours(spark):
+    text = {i: s for s, i in licenses.SENTENCES.items()}
+    row = ". ".join(text[i].capitalize() for i in ("GPL-FREE", "MIT-NAMED", "GPL-3-TERMS")) + "."
+    assert licenses.scan_licences(spark.createDataFrame([(1, row)], "doc_id long, text string")).first().licences == ["MIT"]
+    every = spark.createDataFrame([(n, ". ".join(text[i].capitalize() for i in need) + ".", name) for n, (name, need) in enumerate(licenses.RULES)], "n long, text string, want string")
+    assert all(r.want in r.licences for r in licenses.scan_licences(every).collect())
+
+
 def test_licences_of_odd_rows(odd, none):
     got = licenses.scan_licences(odd.withColumn("licences", F.lit("mine"))).where("size(licences) > 0").collect()
     assert [(r.doc_id, r.licences) for r in got] == [(10, ["MIT"])]
@@ -123,6 +131,51 @@ def test_disclosing_terms_are_found_by_pmi(spark):
     assert len(found) == 2 and all("term:" in r.removed for r in found.values())
 
 
+def plain_terms(rows):
+    """Disclosing terms by plain counts: (row, start, end, removed)."""
+    n, near, whole, docs = len(rows), defaultdict(set), defaultdict(set), defaultdict(set)
+    places = []
+    for k, (_, text) in enumerate(rows):
+        spans = plain_spans(text)
+        words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]{3,}", text)]
+        for w in {w for _, _, w in ((s, e, w) for s, e, w in words)}:
+            docs[w].add(k)
+        for kind, a, b in spans:
+            entity = kind + re.sub(r"[^0-9a-z@]+", "", text[a:b].lower())
+            for s, e, w in [x for x in words if x[1] <= a][-8:] + [x for x in words if x[0] >= b][:8]:
+                if not any(s < q and p < e for _, p, q in spans):
+                    near[entity, w].add(k)
+                    whole[entity].add(k)
+                    places.append((entity, w, k, s, e))
+    out = defaultdict(bool)
+    for entity, w, k, s, e in places:
+        j, dc, dt = len(near[entity, w]), len(whole[entity]), len(docs[w])
+        ic, pmi = np.log(n / dc), np.log(n * j / (dc * dt))
+        if j >= 2 and ic > 0 and pmi >= ic / 1.25:
+            out[k, s, e] |= pmi >= ic - 1e-9
+    return out
+
+
+def test_disclosing_terms_as_by_plain_counts(spark):
+    rng = np.random.default_rng(8)
+    words, entity = ["alpha", "beta", "gamma", "delta", "omega", "plain", "word", "x" * 200], ["a@b.de", "a@c.de", "+49 30 1234567", "1.2.3.4", ""]
+    names, rows = ["Zanzibar", "Quito", "Lagos", "Osaka", "Turin"], []
+    for i in range(120):
+        k, other = rng.integers(0, 5, 2) if i % 3 == 0 else (4, 4)
+        middle = [str(x) for x in (*rng.choice(words, 6), names[k], entity[k], *rng.choice(words, 9), entity[other], "Quito" if i % 40 == 1 else "none")]
+        rows.append((i, (" " * int(rng.choice([1, 500]))).join(middle)))
+    want = plain_terms(rows)
+    got = {(r._key, int(s), int(e)): f"term:{s}:{e}" in r.removed.split(",") for r in private.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect() for _, s, e in (x.split(":") for x in r.terms.split(",") if x)}
+    assert got == dict(want) and len(got) > 20 and len(set(got.values())) == 2
+
+
+def test_terms_far_from_their_entity_are_found(spark):
+    common = [(i, f"plain words here number{i} and more plain words") for i in range(100)]
+    told = [(200 + i, "+1 (017) 555-7713" + " " * 500 + "Zanzibar") for i in range(2)]
+    got = private.find_private(spark.createDataFrame(common + told, "doc_id long, text string")).collect()
+    assert [r.removed for r in got] == ["term:517:525"] * 2
+
+
 def test_sanitising_odd_rows(odd, none):
     got = private.sanitise(odd.withColumns({"base": F.lit("b"), "terms": F.lit("t")})).collect()
     assert len(got) == len(odd_rows()) and {r.base for r in got} == {"b"}
@@ -212,10 +265,12 @@ def test_url_rules(spark, url, host, path, rule, verdict):
 
 
 def test_rules_are_filed_under_their_rarest_token(spark):
-    rules = [urls.PatternRule("a", "common.*rare", ("common", "rare")), urls.PatternRule("b", "z", ())]
+    rules = [urls.PatternRule("a", "common.*rare", (("common", "rare"),)), urls.PatternRule("b", "z|y", (("z",), ("y", "common")))]
     pages = spark.createDataFrame([("http://common/1",), ("http://common/rare",), ("http://common/2",)], "url string")
     index = urls.rare_token_index(rules, urls.token_counts(pages, "url", rules))
-    assert {k: [r.name for r in v] for k, v in index.items()} == {"rare": ["a"], "": ["b"]}
+    assert {k: [r.name for r in v] for k, v in index.items()} == {"rare": ["a"], "z": ["b"], "y": ["b"]}
+    with pytest.raises(ValueError):
+        urls.rare_token_index([urls.PatternRule("c", ".", ((),))], {})
     assert urls.filter_urls(pages.where("false")).count() == 0
 
 
@@ -305,6 +360,13 @@ def test_quality_model_tells_labelled_rows_apart(spark):
     assert good.kept.mean() > 0.97 and (not len(bad) or (~bad.kept).mean() > 0.5)
 
 
+def test_features_read_whole_words_and_characters():
+    f = quality.Features()
+    assert len(set(f.word_hashes([b"abcdefghXXXXijklmnop", b"abcdefghYYYYijklmnop"]).tolist())) == 2
+    one, two = (set(f(t, [])[0].tolist()) for t in ("éàü", "日本語"))
+    assert len(one) == len(two) == 1 and one != two
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     model = quality.fit_quality(odd, spark.createDataFrame([], "doc_id long, quality int"))
     got = {r.doc_id: r for r in quality.score_quality(odd.withColumn("kept", F.lit("x")), model).collect()}
@@ -407,6 +469,41 @@ def test_grammar_reads_clauses_not_words():
     assert s.total("réeuxpa") == 4.0 and s.total("idiotic pseudoidiot") == 0.0 and s.total("not. idiot") == 5.0
 
 
+def plain_clause(words, weight):
+    """Threats, negations, reports and targets as four passes over the clause, one after the other."""
+    sets = {"T": toxicity.THREATS, "Y": toxicity.TARGETS, "N": toxicity.NEGATIONS, "R": toxicity.REPORTS}
+    marks = ["I" if weight(w) else next((s for s in "RNYT" if w in sets[s]), "O") for w in words]
+    factor = [1.0] * len(words)
+
+    def after(opener, reach, changes, to, times):
+        left = 0
+        for k, mark in enumerate(marks):
+            if mark == opener:
+                left = reach
+            elif left and mark in changes:
+                marks[k], factor[k], left = to, factor[k] * times, 0
+            else:
+                left = max(left - 1, 0)
+
+    after("T", 3, "Y", "H", 1.0)
+    after("N", 2, "IH", "I", 0.5)
+    if "R" in marks:
+        for k in range(marks.index("R"), len(marks)):
+            factor[k] *= 0.6 if marks[k] in "IH" else 1.0
+    after("Y", 4, "I", "I", 1.3)
+    return sum(f * (weight(w) if m == "I" else toxicity.THREAT_WEIGHT if m == "H" else 0.0) for f, m, w in zip(factor, marks, words))
+
+
+def test_composed_grammar_as_by_four_passes():
+    arcs = {"idiot": 5.0, "moron*": 3.5, "scum": 4.0}
+    scorer, rng = toxicity.Scorer(arcs), np.random.default_rng(12)
+    weight = lambda w: max([arcs.get(w, 0.0), *(arcs.get(w[:k] + "*", 0.0) for k in toxicity.BEGINNINGS if len(w) > k)])
+    words = ["idiot", "moronic", "scum", "you", "they", "not", "never", "said", "kill", "hurt", "the", "a", "house", "green"]
+    for _ in range(3000):
+        clauses = [list(rng.choice(words, int(rng.integers(0, 14)))) for _ in range(3)]
+        assert scorer.total(". ".join(map(" ".join, clauses))) == pytest.approx(sum(plain_clause(c, weight) for c in clauses))
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     model = toxicity.fit_toxicity(odd, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int"))
     got = toxicity.score_toxicity(odd.withColumn("score", F.lit("x")), model).collect()

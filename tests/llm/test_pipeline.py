@@ -43,6 +43,13 @@ def test_one_of_each_group_stays(stages):
     assert {r.doc_id for r in stages["near_duplicates"].collect()} == {i for i, c in want.items() if i == c}
 
 
+def test_rows_alike_in_id_are_one_document(spark):
+    words = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, words, "en", "a", 9), (1, words, "en", "a", 9), (2, words + " more", "en", "a", 9), (3, "other text", "en", "b", 1), (3, "another text", "en", "b", 1), (None, "x", "en", "b", 1), (None, "x", "en", "b", 1)]
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, DOCS), SF).collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in got)) == [(0, "x"), (0, "x"), (1, words), (3, "another text")]
+
+
 def test_nothing_personal_is_left(stages):
     after = {r.doc_id: r.text for r in stages["private_data"].collect()}
     assert set(after) == {r.doc_id for r in stages["near_duplicates"].collect()}
