@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import mixing, near, pieces, private, quality
-from postmill.llm.common import cut_table, table
+from postmill.llm.common import cut, cut_table, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,10 +21,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the least id; shingles have five words."""
+    """One document of each group of near duplicates stays, the one with the least id; shingles have five words.
+
+    Rows alike in doc_id are one document, and the least of them stays. Rows without an id are kept.
+    """
     docs = docs.select(*COLUMNS)
-    gone = near.near_duplicates(docs, shingle=5).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    found = near.near_duplicates(docs, shingle=5).groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("rows"))
+    touched = cut(found.where("doc_id IS NOT NULL AND (NOT kept OR rows > 1)"))
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    repeated = docs.join(touched.where("kept").select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    once = docs.join(touched.select("doc_id"), "doc_id", "left_anti")
+    return once.select(*COLUMNS).unionByName(repeated.select("doc_id", "row.*").select(*COLUMNS))
 
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
