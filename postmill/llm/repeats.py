@@ -7,8 +7,9 @@ Neighbouring suffixes with one anchor make a stretch. A stretch whose anchor is
 one that is equal as a whole to another is all repeats; both are found by counting 128 bits of hashes. What is left are
 the ends of repeats. Their bytes meet by anchor; suffixes of equal distance and equal hash of PASSAGE bytes are put in
 order by a mergesort that compares two by finding their common extension with prefix polynomial hashes and binary search,
-and the extensions of neighbours are verified byte by byte. Where more than BUSY different stretches have one anchor, its
-suffixes are dealt out by a 128-bit hash of their bytes instead of meeting in one task: nothing is left out by it.
+and the extensions of neighbours are verified byte by byte. Stretches of an anchor that has more than BUSY different ones
+are cut into parts that meet by nearly all bytes of a passage. Parts of which there are more than BUSY even so are bits of
+one frequent passage: their suffixes are dealt out by a 128-bit hash of their bytes instead of meeting in one task.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from postmill.llm.common import cut_table, drop_table
 
 #: Bytes of a repeat that is removed, of a shared passage that is reported (some 40 words), and of an anchor.
 LENGTH, PASSAGE, GRAM = 400, 256, 32
-#: Different stretches of an anchor that are sorted in one task, and stretches of several anchors that are sorted at once.
-BUSY, AT_ONCE = 2_048, 1_024
+#: Different stretches of an anchor that are sorted in one task, and the suffixes of a part of a stretch of a busier anchor.
+BUSY, PART = 64, 32
 
 _random = np.random.default_rng(20240501)
 #: Byte values and odd bases of two independent polynomial hashes modulo 2**64; fixed by the seed.
@@ -255,13 +256,13 @@ def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
             row = np.repeat(np.arange(len(rows)), count)
             local = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             starts = base[row] + local
-            anchor = np.array([r[0] for r in rows], np.int64)[row]
+            meet = np.array([r[8] for r in rows], np.int64)[row]
             distance = np.array([r[5] - r[4] for r in rows], np.int64)[row] - local
             sorter = SuffixSorter(data, length, powers, np.repeat(base + sizes, sizes))
             # only suffixes that agree in all this and lie in groups of two and more are worth an order
             head = sorter.hash.of(starts, passage)
-            order = np.lexsort((head, distance, anchor))
-            change = (np.diff(anchor[order]) != 0) | (np.diff(distance[order]) != 0) | (np.diff(head[order]) != 0)
+            order = np.lexsort((head, distance, meet))
+            change = (np.diff(meet[order]) != 0) | (np.diff(distance[order]) != 0) | (np.diff(head[order]) != 0)
             group = np.concatenate([[0], np.cumsum(change)])
             some = np.bincount(group)[group] > 1
             code: dict = {}
@@ -277,15 +278,52 @@ def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
 
         held: list[tuple] = []
         for batch in batches:
-            for found in zip(*(batch[c].to_pylist() for c in ("anchor", "whole", "key", "part", "lo", "at", "bytes", "n"))):
-                if len(held) >= AT_ONCE and held[-1][0] != found[0]:
+            for found in zip(*(batch[c].to_pylist() for c in ("anchor", "whole", "key", "part", "lo", "at", "bytes", "n", "meet"))):
+                if len(held) >= 4 * BUSY and held[-1][8] != found[8]:
                     yield solve(held)
                     held = []
                 held.append(found)
         if held:
             yield solve(held)
 
-    return ends.repartition("anchor").sortWithinPartitions("anchor", "key", "part", "lo").mapInArrow(run, schema)
+    return ends.repartition("meet").sortWithinPartitions("meet", "key", "part", "lo").mapInArrow(run, schema)
+
+
+def parted(ends: DataFrame, length: int, passage: int) -> DataFrame:
+    """Stretches of busy anchors in parts of PART suffixes by distance, with `meet`, a hash of the bytes that all suffixes of a part begin with or hold.
+
+    Suffixes that agree in `passage` bytes agree in that too. Those bytes are all but PART of a passage, so parts meet in
+    numbers only where nearly a whole passage is as frequent.
+    """
+    schema = StructType([*ends.schema.fields, *StructType.fromDDL("meet long").fields])
+    size = min(PART, passage)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        names = to_arrow_schema(schema).names
+        for batch in batches:
+            rows, los, counts, contents, meets = [], [], [], [], []
+            for i, (lo, n, at, raw) in enumerate(zip(*(batch[c].to_pylist() for c in ("lo", "n", "at", "bytes")))):
+                hi = lo + n - 1
+                for k in range((at - hi) // size, (at - lo) // size + 1):
+                    # starts of this part's suffixes, and what they share
+                    last, first = at - k * size, at - (k + 1) * size + 1
+                    a, b = max(lo, first), min(hi, last)
+                    rows.append(i)
+                    los.append(a)
+                    counts.append(b - a + 1)
+                    contents.append(raw[a - lo : b - lo + length])
+                    meets.append(xxhash.xxh3_64_intdigest(raw[last - lo : first - lo + passage], k))
+            own = {c: batch[c].take(pa.array(rows, pa.int64())) for c in ("anchor", "whole", "kinds", "key", "part", "at")}
+            own |= {"lo": pa.array(los, pa.int32()), "n": pa.array(counts, pa.int32()), "bytes": pa.array(contents, pa.binary()), "meet": pa.array(np.array(meets, np.uint64).view(np.int64))}
+            yield pa.RecordBatch.from_arrays([own[c] for c in names], names=names)
+
+    parts = ends.mapInArrow(run, schema)
+    several = parts.groupBy("anchor", "meet").agg(F.count("*").alias("parts")).where("parts > 1")
+    return parts.join(several, ["anchor", "meet"])
+
+
 
 
 def counted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
@@ -356,9 +394,11 @@ def find_repeats(texts: DataFrame, length: int = LENGTH, passage: int = PASSAGE)
 
     held = cut_table(_of_text(texts, _listed(ends, "found"), "inner").mapInArrow(bytes_of, schema))
     drop_table(ends)
-    parts = sorted_repeats(held.where(F.col("kinds") <= BUSY), length, passage).unionByName(counted_repeats(held.where(F.col("kinds") > BUSY), length, passage))
-    parts = cut_table(parts)
+    busy = cut_table(parted(held.where(F.col("kinds") > BUSY), length, passage))
+    meeting = held.where(F.col("kinds") <= BUSY).withColumn("meet", F.col("anchor")).unionByName(busy.where(F.col("parts") <= BUSY).drop("parts"))
+    parts = cut_table(sorted_repeats(meeting, length, passage).unionByName(counted_repeats(busy.where(F.col("parts") > BUSY), length, passage)))
     drop_table(held)
+    drop_table(busy)
     # a stretch that one document alone has several times was judged once, by its first occurrence
     shift = F.col("at") - F.col("_at")
     own = equal.where("NOT several").drop("lo", "hi").join(parts.where(F.col("kind") == SHARED).select("anchor", "whole", F.col("at").alias("_at"), "lo", "hi"), ["anchor", "whole"])
