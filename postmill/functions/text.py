@@ -6,27 +6,26 @@ import functools
 import html
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Usage counts and remarks behind a product name, removed one after the other. The first two spare years (19xx, 20xx).
+# A remark behind a product name is in brackets and says how often it was used, that it is new or old, or where it is from.
+#: A number of uses: 3, x3, 3x, 3rd, 3-ish, with a word for use behind it.
+TIMES = r"(?:x[ ]?\d+|\d+[ ]?(?:x|st|nd|rd|th)?(?:[ ]?-?[ ]?ish)?)(?:[ ]+(?:uses?|shaves?))?"
+FRESH = r"(?:brand[ ]+)?(?:new|fresh|first|last|final)(?:[ ]+(?:use|shave|one))?[!?]*"
+PLACE = r"(?:made[ ]+in[ ]+)?(?:usa|uk|china|india|japan|russia|germany|egypt|pakistan|israel|turkey)"
+#: Remarks in brackets, one left open at the end, and counts without brackets. A year (19xx, 20xx) alone is no count.
 USAGE = (
-    r"\*+",
-    r"[(\[{]\s*(?!19\d\d|20\d\d)\d+\s*[)\]}]",
-    r"[(\[{]\s*(?!19\d\d|20\d\d)\d+\s*$",
-    r"(?i)[(\[{]\s*(\d+x|x\d+|\d+\s+uses?|\d+(st|nd|rd|th)(\s+(shave|use))?)\s*[)\]}]",
-    r"(?i)[(\[{]\s*(new|fresh|last|first|final)(\s+(shave|use|one))?[!?]*\s*[)\]}]",
-    r"(?i)[(\[{]\s*\d+\s*-?ish\s*[)\]}]",
-    r"(?i)[(\[{]\s*(made in )?(usa|uk|china|india|japan|russia|germany|egypt|pakistan)\s*[)\]}]",
-    r"(?i)\s#\d+\b",
-    r"(?i)\bx\s?\d+\s*$",
+    rf"(?i)[(\[{{]\s*(?!(?:19|20)\d\d\s*[)\]}}])(?:{TIMES}|{FRESH}|{PLACE})\s*[)\]}}]",
+    r"[(\[{]\s*(?!(?:19|20)\d\d\s*$)\d+\s*$",
+    r"(?i)\s(?:#\d+\b|x\s?\d+\s*$)",
 )
-#: The same without look-ahead, as other regular expression engines take it.
-PLAIN_USAGE = (r"\*+", r"(?i)[(\[{][ ]*([0-9]{1,3}|[0-9]+x|x[0-9]+|[0-9]+[ ]+uses?|[0-9]+(st|nd|rd|th)([ ]+(shave|use))?)[ ]*[)\]}]", r"(?i)[ ]#[0-9]+")
+#: The same without look-ahead, as other regular expression engines take it: counts of at most three digits.
+PLAIN_USAGE = (rf"(?i)[(\[{{][ ]*(?:[0-9]{{1,3}}|[0-9]+x|x[0-9]+|[0-9]+[ ]+uses?|[0-9]+(?:st|nd|rd|th)(?:[ ]+(?:shave|use))?)[ ]*[)\]}}]", r"(?i)[ ]#[0-9]+")
 SOAP_SUFFIX = r"(?i)[\s\-]*\b(shav(e|ing)\s+)?(soap|cream|croap|stick|tube|puck|sample|tester)s?\s*[.!]*$"
 
 
@@ -34,18 +33,34 @@ def _fold(text: Column, patterns: Sequence[str], to: str = "") -> Column:
     return functools.reduce(lambda c, p: F.regexp_replace(c, p, to), patterns, text)
 
 
+def _has(text: Column, *parts: str) -> Column:
+    return functools.reduce(lambda a, b: a | b, (F.contains(text, F.lit(p)) for p in parts))
+
+
+def _where(text: Column, needed: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """The text changed where a cheap look says that there may be something to change.
+
+    The text is bound once by a lambda: named three times, it would be computed, and nested, three times over.
+    """
+    return F.get(F.transform(F.array(text), lambda t: F.when(needed(t), change(t)).otherwise(t)), F.lit(0))
+
+
 def one_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[ \t\r\n\f]+", " "))
 
 
 def strip_links(text: Column) -> Column:
     """[words](address) becomes words; bare addresses and "(link)" go."""
-    return one_space(_fold(F.regexp_replace(text, r"\[([^\]]+)\]\([^)]*\)", "$1"), (r"https?://[^ )\]]+", r"(?i)\(link\)")))
+
+    def change(t: Column) -> Column:
+        return _fold(F.regexp_replace(t, r"\[([^\]]+)\]\([^)]*\)", "$1"), (r"https?://[^ )\]]+", r"(?i)\(link\)"))
+
+    return one_space(_where(text, lambda t: _has(t, "](", "://", "("), change))
 
 
 def strip_handles(text: Column) -> Column:
     """@name becomes name, where it stands at the beginning or after a blank."""
-    return F.regexp_replace(text, r"(^|[ (])@([A-Za-z0-9_]+)", "$1$2")
+    return _where(text, lambda t: _has(t, "@"), lambda t: F.regexp_replace(t, r"(^|[ (])@([A-Za-z0-9_]+)", "$1$2"))
 
 
 def strip_asterisks(text: Column) -> Column:
@@ -53,7 +68,9 @@ def strip_asterisks(text: Column) -> Column:
 
 
 def strip_usage(text: Column, patterns: Sequence[str] = USAGE) -> Column:
-    return one_space(_fold(text, patterns))
+    """Without asterisks and without remarks on usage. Remarks need a bracket, or a mark with a digit."""
+    plain = F.replace(text, F.lit("*"), F.lit(""))
+    return one_space(_where(plain, lambda t: t.rlike(r"[(\[{]|[#xX]\s?\d"), lambda t: _fold(t, patterns)))
 
 
 def strip_tags(text: Column, strip: Sequence[str], keep: Sequence[str] = ()) -> Column:
@@ -156,7 +173,7 @@ def strip_end(text: Column) -> Column:
 
 def bracket_spaces(text: Column) -> Column:
     """No blanks just inside round brackets."""
-    return F.regexp_replace(F.regexp_replace(text, r"\([ ]+", "("), r"[ ]+\)", ")")
+    return _where(text, lambda t: _has(t, "( ", " )"), lambda t: _fold(F.regexp_replace(t, r"\([ ]+", "("), (r"[ ]+\)",), ")"))
 
 
 def for_matching(text: Column, field: str, tags: Sequence[str] = (), usage: Sequence[str] = USAGE) -> Column:

@@ -1,4 +1,4 @@
-"""Fields out of post bodies: for each field the first line that marks it, by a list of markings in order."""
+"""Fields out of post bodies: for each field the first line that marks it, else the first one that begins with its name."""
 
 from __future__ import annotations
 
@@ -7,57 +7,79 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What a field can be called. Soap comes with what follows the shave, or with "shaving" in front.
+AFTER_SHAVE = ("post", "aftershave", "a/s", "as", "splash")
 ALIASES: dict[str, tuple[str, ...]] = {
-    "razor": ("razor", "straight razor"),
+    "razor": ("straight razor", "razor"),
     "blade": ("blade",),
-    "brush": ("brush", "shaving brush"),
-    "soap": ("soap & post", "shaving soap", "soap", "lather"),
+    "brush": ("shaving brush", "brush"),
+    "soap": (*(f"{base} & {post}" for base in ("soap", "lather") for post in AFTER_SHAVE), "shaving soap", "shaving lather", "soap", "lather"),
 }
-#: Markings with a colon, dash or equals sign, the clearest first; {a} is the alias, the group is the value.
-MARKED = (
-    r"(?i)^[ ]*[*-][ ]+[*][*]{a}[ ]*[:-][ ]*[*][*][ ]*(.+)$",
-    r"(?i)^[ ]*[*][*]{a}[ ]*[:-][ ]*[*][*][ ]*(.+)$",
-    r"(?i)^[^a-z0-9]*{a}[ ]*[:-][*_ ]*(.+)$",
-    r"(?i)^[ ]*([*-][ ]+)?[*][*]{a}[*][*][ ]*[:-][ ]*(.+)$",
-    r"(?i)^[^a-z0-9]*[*]{a}[*]+[ ]*[:-][ ]*(.+)$",
-    r"(?i)^[ ]*([*-][ ]+)?[*][*]{a}[ ]*[*][*][ ]*(.+)$",
-    r"(?i)^[ ]*__{a}:__[ ]*(.+)$",
-    r"(?i)^[ ]*##{a}##[ ]*[:-][ ]*(.+)$",
-    r"(?i)^[^a-z0-9]*{a}[ ]*=[ ]*(.+)$",
-)
-#: Without any mark; used only if no line has one.
-BARE = r"(?i)^[ ]*{a}[ ]+([^:=-]+)$"
+
+# A marked line has three parts: a label, with signs around it; a separator, within the signs or behind them; a value.
+#: Signs in front of a label: bullets, check marks, pictures, hashes, asterisks, underscores.
+SIGNS = r"[^\p{L}0-9\n]*"
+#: What stands between label and value.
+SEPARATOR = "(?:[:=-]|//)"
+#: Any text of one line that is more than signs.
+VALUE = r"[^\n]*[^*_\s][^\n]*"
+#: The same up to the next asterisk, for a bold stretch that holds label and value.
+BOLD_VALUE = r"[^*\n]*[^*_\s][^*\n]*"
 #: A field within a line, and where the next one of the line begins.
 INLINE = r"(?i)\b{a}[*_ ]*[:=][ ]*(.+)$"
 NEXT_FIELD = r"(?i)[ ]+[*_]*(razor|blade|brush|soap|lather)[*_]*[ ]*[:=].*$"
 NOT_A_FIELD = {"soap": r"(?i)^lather[ ]+games", "razor": r"(?i)^razor[ ]+test"}
 
 
-def _group(pattern: str) -> int:
-    """The value is in the last group."""
-    return 2 if "([*-][ ]+)?" in pattern else 1
+def _label(names: Sequence[str]) -> str:
+    """Any of the names, the longest first."""
+    return "(?:" + "|".join(n.replace(" ", "[ ]+") for n in sorted(names, key=lambda n: (-len(n), n))) + ")"
+
+
+def marked_line(names: Sequence[str]) -> str:
+    """First line with a label and a mark: the value is group 1 if it is in bold with its label, else group 2.
+
+    Tried in this order: label, separator and value in one bold stretch; a label with a separator, whatever signs stand
+    around them; a label in bold alone.
+    """
+    label = _label(names)
+    bold = rf"[*][*][ ]*{label}[ ]*{SEPARATOR}[ ]*({BOLD_VALUE})"
+    rest = rf"(?:{label}[ *_#]*{SEPARATOR}[ *_]*|[*][*][ ]*{label}[ ]*[*][*])({VALUE})"
+    return rf"(?i)(?:^|\n)(?:{SIGNS}{bold}|{SIGNS}{rest})"
+
 
+def bare_line(names: Sequence[str]) -> str:
+    """First line with a label and a value that has no separator; it counts only where no line is marked."""
+    return rf"(?i)(?:^|\n){SIGNS}{_label(names)}[ ]+([^:=\n-]*[^:=*_\s-][^:=\n-]*)(?:\n|$)"
 
-def _value(line: Column, pattern: str) -> Column:
-    value = F.trim(F.regexp_extract(line, pattern, _group(pattern)))
-    return F.when(~value.isin("", "*", "**"), value)
 
+def unlike_field(field: str) -> str | None:
+    """Whole lines that begin like a field but are none, with the line end in front of them."""
+    return NOT_A_FIELD[field].replace("^", r"(?:^|\n)") + r"[^\n]*" if field in NOT_A_FIELD else None
 
-def _first_line(lines: Column, patterns: Sequence[str], skip: str | None) -> Column:
-    def read(line: Column) -> Column:
-        found = F.coalesce(*[_value(line, p) for p in patterns])
-        return F.when(~line.rlike(skip), found) if skip else found
 
-    return F.get(F.filter(F.transform(lines, read), lambda v: v.isNotNull()), F.lit(0))
+#: Where a line goes on with another field behind a bullet.
+FURTHER = rf"(?i)[ .]+([*-][ ]+[*_]*{_label([n for names in ALIASES.values() for n in names])}[*_]*[ ]*[:=])"
+
+
+def one_field_a_line(body: Column) -> Column:
+    """Fields that follow another one in its line, behind a bullet, get a line of their own; a null body is empty."""
+    return F.regexp_replace(F.coalesce(body, F.lit("")), FURTHER, "\n$1")
 
 
 def field_value(body: Column, field: str, aliases: Mapping[str, Sequence[str]] = ALIASES) -> Column:
-    """Value of a field: the first line with a marking, tried in order for each alias; else the first bare one. No shuffle."""
-    lines = F.split(F.coalesce(body, F.lit("")), "\n")
-    marked = [p.replace("{a}", a) for a in aliases[field] for p in MARKED]
-    bare = [BARE.replace("{a}", a) for a in aliases[field]]
-    skip = NOT_A_FIELD.get(field)
-    return F.coalesce(_first_line(lines, marked, skip), _first_line(lines, bare, skip))
+    """Value of a field: of the first marked line, else of the first bare one. One expression reads the whole body."""
+    unlike, marked = unlike_field(field), marked_line(aliases[field])
+    body = F.regexp_replace(body, unlike, "") if unlike else body
+    part = lambda pattern, group: F.nullif(F.trim(F.regexp_extract(body, pattern, group)), F.lit(""))
+    return F.coalesce(part(marked, 2), part(marked, 1), part(bare_line(aliases[field]), 1))
+
+
+def marking(line: Column, field: str) -> Column:
+    """How a line is marked: signs in front of its label, and what is between label and value; null if it is not of the field."""
+    label = _label(ALIASES[field])
+    pattern = rf"(?i)^({SIGNS}){label}([ *_#]*(?:{SEPARATOR})?[ *_#]*)"
+    return F.when(line.rlike(rf"(?i)^{SIGNS}{label}(?:[ *_#:=-]|//)"), F.concat(F.regexp_extract(line, pattern, 1), F.lit("label"), F.regexp_extract(line, pattern, 2)))
 
 
 def inline_value(line: Column, field: str) -> Column:
@@ -74,7 +96,8 @@ def guarded_lines(body: Column, field: str) -> Column:
 
 def extract(posts: DataFrame, body: str = "body") -> DataFrame:
     """Add a column for each field, null where a body has none."""
-    return posts.withColumns({field: field_value(F.col(body), field) for field in ALIASES})
+    lines = "_field_lines"
+    return posts.withColumn(lines, one_field_a_line(F.col(body))).withColumns({field: field_value(F.col(lines), field) for field in ALIASES}).drop(lines)
 
 
 def kept_and_skipped(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:

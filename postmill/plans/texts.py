@@ -65,7 +65,7 @@ def strip_competition_tags_full(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", text.strip_tags(tagged, ["GAME", "TEST", "KEEP"], ["keep"]).alias("text"))
 
 
-USAGE_SQL = "{c}"
+USAGE_SQL = "replace({c}, '*', '')"
 for _p in text.PLAIN_USAGE:
     USAGE_SQL = f"regexp_replace({USAGE_SQL}, '{_p}', '', 'g')"
 USAGE_SQL = _trimmed(USAGE_SQL)
@@ -123,21 +123,15 @@ def normalize_for_matching(spark, sf):
     return bodies(spark, sf).select("id", text.for_matching(F.col("body"), "blade", usage=text.PLAIN_USAGE).alias("text"))
 
 
-def _field_sql(field: str) -> str:
-    aliases = extraction.ALIASES[field]
-    skip = extraction.NOT_A_FIELD.get(field)
+LINES_SQL = f"regexp_replace(coalesce(body, ''), '{extraction.FURTHER}', chr(10) || '\\1', 'g')"
 
-    def first(patterns: list[str]) -> str:
-        values = []
-        for p in patterns:
-            v = f"trim(regexp_extract(l, '{p}', {extraction._group(p)}))"
-            values.append(f"CASE WHEN {v} NOT IN ('', '*', '**') THEN {v} END")
-        read = f"coalesce({', '.join(values)})"
-        read = f"CASE WHEN NOT regexp_matches(l, '{skip}') THEN {read} END" if skip else read
-        return f"list_filter(list_transform(string_split(body, chr(10)), lambda l: {read}), lambda v: v IS NOT NULL)[1]"
 
-    marked = [p.replace("{a}", a) for a in aliases for p in extraction.MARKED]
-    return f"coalesce({first(marked)}, {first([extraction.BARE.replace('{a}', a) for a in aliases])})"
+def _field_sql(field: str) -> str:
+    unlike, names = extraction.unlike_field(field), extraction.ALIASES[field]
+    body = f"regexp_replace({LINES_SQL}, '{unlike}', '', 'g')" if unlike else LINES_SQL
+    part = lambda pattern, group: f"nullif(trim(regexp_extract({body}, '{pattern}', {group})), '')"
+    marked = extraction.marked_line(names)
+    return f"coalesce({part(marked, 2)}, {part(marked, 1)}, {part(extraction.bare_line(names), 1)})"
 
 
 FIELDS_SQL = ", ".join(f"{_field_sql(f)} AS {f}" for f in extraction.ALIASES)
@@ -169,14 +163,15 @@ def extract_override(spark, sf):
     return extraction.with_overrides(extraction.extract(bodies(spark, sf)).select("month", "id", "razor"), changes, "razor").select("id", "razor", "overridden")
 
 
-@query("pattern_usage", f"WITH {BODIES_SQL}, l AS (SELECT unnest(string_split(body, chr(10))) AS line FROM b) " + " UNION ALL ".join(f"SELECT {i}::INTEGER AS pattern_no, count(*) AS lines FROM l WHERE regexp_matches(line, '{p.replace('{a}', 'razor')}')" for i, p in enumerate(extraction.MARKED)), posts=True)
+_MARK = rf"(?i)^({extraction.SIGNS}){extraction._label(extraction.ALIASES['razor'])}([ *_#]*(?:{extraction.SEPARATOR})?[ *_#]*)"
+
+
+@query("pattern_usage", f"WITH {BODIES_SQL}, l AS (SELECT unnest(string_split(body, chr(10))) AS line FROM b) SELECT regexp_extract(line, '{_MARK}', 1) || 'label' || regexp_extract(line, '{_MARK}', 2) AS marking, count(*) AS lines FROM l WHERE regexp_matches(line, '(?i)^{extraction.SIGNS}{extraction._label(extraction.ALIASES['razor'])}(?:[ *_#:=-]|//)') GROUP BY 1", posts=True)
 def pattern_usage(spark, sf):
-    """Lines that each marking fits, all in one pass."""
+    """Lines of each marking of the razor."""
     lines = bodies(spark, sf).select(F.explode(F.split("body", "\n")).alias("line"))
-    fits = F.array(*[F.when(F.col("line").rlike(p.replace("{a}", "razor")), F.lit(i)) for i, p in enumerate(extraction.MARKED)])
-    every = spark.range(len(extraction.MARKED)).select(F.col("id").cast("int").alias("pattern_no"))
-    counts = lines.select(F.explode(F.array_compact(fits)).alias("pattern_no")).groupBy("pattern_no").agg(F.count("*").alias("lines"))
-    return every.join(counts, "pattern_no", "left").select("pattern_no", F.coalesce("lines", F.lit(0)).alias("lines"))
+    marks = lines.select(extraction.marking(F.col("line"), "razor").alias("marking")).where("marking IS NOT NULL")
+    return marks.groupBy("marking").agg(F.count("*").alias("lines"))
 
 
 @query("skipped_patterns", """WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line FROM documents), c AS (SELECT line, CASE WHEN line = '' THEN 'blank' WHEN regexp_matches(line, '^[*#>-]') THEN 'marked' WHEN contains(line, ':') THEN 'colon' WHEN regexp_matches(line, '[0-9]') THEN 'number' ELSE 'prose' END AS kind FROM l)

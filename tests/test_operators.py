@@ -78,15 +78,24 @@ def test_title_dates(spark, title, day):
 @pytest.mark.parametrize(
     "body, field, value",
     [("* **Razor:** Old Type", "razor", "Old Type"), ("x\nRazor - Slim", "razor", "Slim"), ("__Blade:__ Sharp", "blade", "Sharp"), ("✓Brush: Big", "brush", "Big"), ("##Soap## - Mint", "soap", "Mint"), ("Soap = Lime", "soap", "Lime"),
+     ("* **Razor:** A **b** c", "razor", "A **b** c"), ("**Razor:** Old", "razor", "Old"), ("* Razor: Old", "razor", "Old"), ("* **Razor**: Old", "razor", "Old"), ("✂ *Razor:* Old", "razor", "Old"), ("✂**Razor**: Old", "razor", "Old"), ("* **razor ** Old", "razor", "Old"), ("- **Razor**Old", "razor", "Old"),
+     ("* **Razor - Old Type** thanks", "razor", "Old Type"), ("**Razor //** Old", "razor", "Old"), ("- __Razor:__ Old", "razor", "Old"), ("✓ Razor - Old", "razor", "Old"), ("* ##Razor## - Old", "razor", "Old"), ("* Razor = Old", "razor", "Old"), ("* Razor Old", "razor", "Old"), ("a straight razor: Old", "razor", None),
+     ("Straight Razor: Old", "razor", "Old"), ("Soap & Splash: Mint", "soap", "Mint"), ("Lather & A/S - Mint", "soap", "Mint"), ("Shaving  Brush: Big", "brush", "Big"), ("Razors: Old", "razor", None),
      ("Lather Games day\nLather: Rose", "soap", "Rose"), ("Razor Test it", "razor", None), ("Razor Slim\nRazor: Fat", "razor", "Fat"), ("", "razor", None), (None, "soap", None), ("**Razor** **", "razor", None)],
 )
 def test_extraction(spark, body, field, value):
     assert one(spark, extraction.field_value(F.lit(body).cast("string"), field)) == value
 
 
+def test_fields_of_one_line(spark):
+    rows = spark.createDataFrame([(1, "* **Razor:** Old Type.* **Blade:** Sharp (3) * Brush: Big\nLather games\n- Soap: Mint - Lime"), (2, None)], "id long, body string")
+    got = {r.id: tuple(r)[2:] for r in extraction.extract(rows).collect()}
+    assert got == {1: ("Old Type", "Sharp (3)", "Big", "Mint - Lime"), 2: (None,) * 4}
+
+
 @pytest.mark.parametrize(
     "raw, want",
-    [("Edge (3)", "Edge"), ("Edge [2x]", "Edge"), ("Edge (x12)", "Edge"), ("Edge (2nd use)", "Edge"), ("Edge (new)", "Edge"), ("Edge (1960)", "Edge (1960)"), ("*Edge* (107 uses)", "Edge"), ("Edge (3", "Edge")],
+    [("Edge (12th)", "Edge"), ("Edge {5-ish}", "Edge"), ("Edge (3 uses)", "Edge"), ("Edge (made in India) (first shave!)", "Edge"), ("Edge #4", "Edge"), ("Edge x3", "Edge"), ("Edge (new blade)", "Edge (new blade)"), ("Edge (3)", "Edge"), ("Edge [2x]", "Edge"), ("Edge (x12)", "Edge"), ("Edge (2nd use)", "Edge"), ("Edge (new)", "Edge"), ("Edge (1960)", "Edge (1960)"), ("*Edge* (107 uses)", "Edge"), ("Edge (3", "Edge")],
 )
 def test_usage_counts(spark, raw, want):
     assert one(spark, text.strip_usage(F.lit(raw))) == want
