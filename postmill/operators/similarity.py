@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from postmill.functions.text import for_alignment
+from postmill.sources.store import shared_folder
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
@@ -124,9 +124,7 @@ def aligned(parts: DataFrame, catalog: DataFrame, least: float) -> DataFrame:
 
 def _cut(frame: DataFrame) -> DataFrame:
     """Go on from a written copy, so that the plan does not grow with the rounds."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(frame.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postmill-"))
+    shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 

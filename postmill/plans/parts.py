@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postmill.functions import text
-from postmill.operators import extraction, periods, resolution
+from postmill.operators import catalog, extraction, periods, resolution
 from postmill.operators.ranking import ranked
 from postmill.plans.base import query
-from postmill.plans.texts import BLADE, BODIES_SQL, BRUSH_TEXT, COUNTED, RAZOR, _trimmed, bodies, first_pattern_sql
+from postmill.plans.texts import BLADE, BODIES_SQL, BRUSH_TEXT, COUNTED, ENTRIES, NAMES, RAZOR, _trimmed, bodies, catalog_best_sql, first_pattern_sql
 from postmill.sources import store
 from postmill.sources.posts import posts, table
 
@@ -87,10 +87,20 @@ def brush_texts(spark, sf):
     return posts(spark, sf).select(F.expr(BRUSH_TEXT).alias("t")).distinct()
 
 
-@query("handle_match", f"WITH {TEXTS_SQL} SELECT t, {first_pattern_sql('t', HANDLES, 'brand')} AS brand, {first_pattern_sql('t', HANDLES, 'pattern')} AS pattern FROM t", posts=True)
+def made_handles() -> list[resolution.Pattern]:
+    """Handles by maker and the knot that they hold, in two sections."""
+    return [resolution.Pattern(f"^brand#{1 + n % 60}[ ].*knot {n // 60}( |$)", {"brand": f"Turner {1 + n % 60}", "model": f"Handle {n}"}, 1 + n % 2) for n in range(ENTRIES)]
+
+
+HANDLES_SQL = f"c AS (SELECT n, 1 + n % 2 AS section, 'Turner ' || (1 + n % 60) AS brand, 'Handle ' || n AS model, 'brand#' || (1 + n % 60) || ' ' AS must, '^brand#' || (1 + n % 60) || '[ ].*knot ' || (n // 60) || '( |$)' AS pattern FROM range({ENTRIES}) r(n))"
+
+
+@query("handle_match", f"WITH {TEXTS_SQL}, {HANDLES_SQL}, d AS {catalog_best_sql('t')} SELECT t.t, d.m.brand AS brand, d.m.model AS model, d.m.pattern AS pattern FROM t LEFT JOIN d ON t.t = d.t", posts=True)
 def handle_match(spark, sf):
-    """Handle makers by section, then by length of the pattern."""
-    return brush_texts(spark, sf).select("t", resolution.first_pattern(F.col("t"), HANDLES, ("brand",)).alias("h")).select("t", "h.brand", "h.pattern")
+    """Handle makers by section, then by length of the pattern, out of a catalog."""
+    texts = brush_texts(spark, sf)
+    found = catalog.matched(texts, catalog.catalog_frame(spark, made_handles()), "t", NAMES)
+    return texts.join(found, "t", "left").select("t", "match.brand", "match.model", "match.pattern")
 
 
 @query("known_brush", f"WITH {TEXTS_SQL} SELECT t, {', '.join(f'{first_pattern_sql('t', KNOWN, n)} AS {n}' for n in ('brand', 'model', 'handle'))} FROM t", posts=True)

@@ -117,16 +117,20 @@ def user_analysis(spark, sf):
     return lists.withColumn("usage", F.array_join(F.transform("_list", lambda p: F.concat_ws("=", p["product"], p["n"])), ";")).drop("_list")
 
 
-@query("product_usage", f"""WITH {UNPIVOT}, g AS (SELECT month, kind, product, author, count(*) AS n, list_sort(list(DISTINCT posted_date)) AS days FROM x GROUP BY 1, 2, 3, 4)
-    SELECT month, kind, product, sum(n)::BIGINT AS total_usage, count(*) AS unique_users, max(n) AS most_by_one_user, arg_min(author, [-n, author[2:]::BIGINT]) AS top_user,
-      count(DISTINCT d.day) AS days FROM g, unnest(g.days) d(day) GROUP BY 1, 2, 3""".replace("sum(n)::BIGINT AS total_usage, count(*) AS unique_users", "sum(n / len(g.days))::BIGINT AS total_usage, count(DISTINCT author) AS unique_users"), posts=True)
+@query("product_usage", f"""WITH {UNPIVOT}, g AS (SELECT month, kind, product, author, count(*) AS n FROM x GROUP BY 1, 2, 3, 4), d AS (SELECT month, kind, product, count(DISTINCT posted_date) AS days FROM x GROUP BY 1, 2, 3)
+    SELECT month, kind, product, sum(n)::BIGINT AS total_usage, count(*) AS unique_users, max(n) AS most_by_one_user, arg_min(author, [-n, author[2:]::BIGINT]) AS top_user, any_value(days) AS days FROM g JOIN d USING (month, kind, product) GROUP BY 1, 2, 3""", posts=True)
 def product_usage(spark, sf):
-    """Per month and product: posts, people, the heaviest user, and the days on which it was used."""
-    used = _unpivoted(spark, sf).groupBy("month", "kind", "product", "author").agg(F.count("*").alias("n"), F.collect_set("posted_date").alias("_days"))
-    first = F.struct((-F.col("n")).alias("less"), F.substring("author", 2, 20).cast("long").alias("no"), "author")
-    return used.groupBy("month", "kind", "product").agg(
-        F.sum("n").alias("total_usage"), F.count("*").alias("unique_users"), F.max("n").alias("most_by_one_user"), F.min(first)["author"].alias("top_user"), F.size(F.array_distinct(F.flatten(F.collect_list("_days")))).cast("long").alias("days")
+    """Per month and product: posts, people, the heaviest user, and the days on which it was used.
+
+    A month has 31 days at most, so the days are bits of one number: they combine before the shuffle, and no list is kept.
+    """
+    day = F.expr("shiftleft(1L, dayofmonth(posted_date))")
+    used = _unpivoted(spark, sf).select("month", "kind", "product", F.substring("author", 2, 20).cast("long").alias("no"), day.alias("day"))
+    used = used.groupBy("month", "kind", "product", "no").agg(F.count("*").alias("n"), F.bit_or("day").alias("days"))
+    totals = used.groupBy("month", "kind", "product").agg(
+        F.sum("n").alias("total_usage"), F.count("*").alias("unique_users"), F.max("n").alias("most_by_one_user"), F.min(F.struct((-F.col("n")).alias("less"), "no"))["no"].alias("no"), F.bit_count(F.bit_or("days")).cast("long").alias("days")
     )
+    return totals.select("month", "kind", "product", "total_usage", "unique_users", "most_by_one_user", F.concat(F.lit("u"), "no").alias("top_user"), "days")
 
 
 @query("month_metadata", """WITH u AS (SELECT month, author, count(*) AS n FROM posts GROUP BY 1, 2), m AS (SELECT month, round_even(median(n), 2) AS median_shaves_per_user FROM u GROUP BY 1)

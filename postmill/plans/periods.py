@@ -133,9 +133,10 @@ def tier_splits_merges(spark, sf):
 
 
 @query("delta_category_batch", f"""WITH a0 AS ({MAKERS}), b0 AS ({category_sql(SPECS['brush_fibers'])}), c0 AS ({category_sql(SPECS['soap_makers'])}),
-    t AS (SELECT 'razor_manufacturers' AS category, brand AS name, month, rank FROM a0 UNION ALL SELECT 'brush_fibers', fiber, month, rank FROM b0 UNION ALL SELECT 'soap_makers', brand, month, rank FROM c0)
+    u AS MATERIALIZED (SELECT 'razor_manufacturers' AS category, brand AS name, month, rank FROM a0 UNION ALL SELECT 'brush_fibers', fiber, month, rank FROM b0 UNION ALL SELECT 'soap_makers', brand, month, rank FROM c0),
+    t AS MATERIALIZED (SELECT *, strftime(strptime(month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m') AS earlier FROM u)
     SELECT a.category, a.name, a.month, a.rank, b.rank - a.rank AS delta_1, CASE WHEN b.rank IS NULL THEN 'n/a' WHEN b.rank > a.rank THEN '↑' || (b.rank - a.rank) WHEN b.rank < a.rank THEN '↓' || (a.rank - b.rank) ELSE '=' END AS move_1
-    FROM t a LEFT JOIN t b ON a.category = b.category AND a.name = b.name AND b.month = strftime(strptime(a.month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m')""", posts=True)
+    FROM t a LEFT JOIN t b ON a.category = b.category AND a.name = b.name AND b.month = a.earlier""", posts=True)
 def delta_category_batch(spark, sf):
     view, parts = posts(spark, sf), None
     for name, key in (("razor_manufacturers", "brand"), ("brush_fibers", "fiber"), ("soap_makers", "brand")):

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from postmill.plans.base import query
+from postmill.sources.store import shared_folder
 from postmill.streaming import events as streams
 
 
 def _place(spark) -> str:
-    """A folder that all executors share; one of the machine's own only where the session names none, as in tests."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='postmill-stream-')}/{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _events(spark, sf):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from postmill.functions import dates, text
-from postmill.operators import enrichment, extraction, resolution
+from postmill.operators import catalog, enrichment, extraction, resolution
 from postmill.plans.base import query
+from postmill.sources import store
 from postmill.sources.posts import posts, table
 
 #: A post's body in several markings, as an expression that both engines read.
@@ -259,10 +262,53 @@ def exact_lookup(spark, sf):
     return found.select("p_partkey", F.col("match").isNotNull().alias("verified"))
 
 
-@query("regex_theta", f"SELECT p_partkey, {first_pattern_sql('p_name', CATALOG, 'brand')} AS brand, {first_pattern_sql('p_name', CATALOG, 'pattern')} AS pattern FROM part")
+#: Made catalogs by rule: as many entries as a real one, from names that the texts hold and others.
+ENTRIES, MAKES = 3_000, 30
+SIZES, THINGS = "small red blue cold hot large new old".split(), "anvil bolt gear gizmo plate ring rod widget".split()
+PRODUCT = "lower(p_brand || ' ' || p_name)"
+
+
+def made_catalog() -> list[resolution.Pattern]:
+    """Products: most by make, kind and thing, some without the kind, some without the make."""
+    out = []
+    for n in range(ENTRIES):
+        make, size, thing = f"brand#{1 + n % MAKES}", SIZES[n // MAKES % 8], THINGS[n // (8 * MAKES) % 8]
+        pattern = f"^{make}[ ].*{size}.*{thing}$" if n < 1920 else f"^{make}[ ].*{THINGS[n // MAKES % 8]}" if n < 2400 else f"{size}[ ]+{thing}"
+        out.append(resolution.Pattern(pattern, {"brand": f"Maker {1 + n % MAKES}", "model": f"Model {n}"}, n % 3))
+    return out
+
+
+def _at(words: list[str], n: str) -> str:
+    return f"(['{"', '".join(words)}'])[({n}) % 8 + 1]"
+
+
+CATALOG_SQL = f"""c AS (SELECT n, n % 3 AS section, 'Maker ' || (1 + n % {MAKES}) AS brand, 'Model ' || n AS model,
+    CASE WHEN n < 2400 THEN 'brand#' || (1 + n % {MAKES}) || ' ' ELSE {_at(SIZES, f'n // {MAKES}')} END AS must,
+    CASE WHEN n < 1920 THEN '^brand#' || (1 + n % {MAKES}) || '[ ].*' || {_at(SIZES, f'n // {MAKES}')} || '.*' || {_at(THINGS, f'n // {8 * MAKES}')} || '$'
+      WHEN n < 2400 THEN '^brand#' || (1 + n % {MAKES}) || '[ ].*' || {_at(THINGS, f'n // {MAKES}')} ELSE {_at(SIZES, f'n // {MAKES}')} || '[ ]+' || {_at(THINGS, f'n // {8 * MAKES}')} END AS pattern FROM range({ENTRIES}) r(n))"""
+
+
+def catalog_best_sql(texts: str) -> str:
+    """Of each text t of a table the first entry of c that fits."""
+    return f"(SELECT t, arg_min({{brand: c.brand, model: c.model, pattern: c.pattern}}, [section, -length(pattern), n]) AS m FROM (SELECT DISTINCT t FROM {texts}) x JOIN c ON CASE WHEN contains(lower(t), must) THEN regexp_matches(lower(t), pattern) ELSE false END GROUP BY t)"
+
+
+@query("regex_theta", f"WITH {CATALOG_SQL}, t AS (SELECT p_partkey, {PRODUCT} AS t FROM part), b AS {catalog_best_sql('t')} SELECT p_partkey, m.brand AS brand, m.model AS model, m.pattern AS pattern FROM t LEFT JOIN b USING (t)")
 def regex_theta(spark, sf):
-    none = verified(spark, sf).where("false")
-    return resolution.resolved(table(spark, sf, "part"), "p_name", none, CATALOG, NAMES).select("p_partkey", "match.brand", "match.pattern")
+    """Products by a catalog of thousands of patterns, fetched through their rarest grams."""
+    rows = table(spark, sf, "part").select("p_partkey", F.expr(PRODUCT).alias("t"))
+    found = catalog.matched(rows, catalog.catalog_frame(spark, made_catalog()), "t", NAMES)
+    return rows.join(found, "t", "left").select("p_partkey", "match.brand", "match.model", "match.pattern")
+
+
+@query("scan_yaml_catalog", f"WITH {CATALOG_SQL} SELECT n::INTEGER AS ord, section::INTEGER AS section, brand, model, pattern FROM c")
+def scan_yaml_catalog(spark, sf):
+    """A catalog written as YAML and read back."""
+    place = f"{store.shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
+    texts = [f"{p.attributes['brand']} {n}:\n  {p.attributes['model']}:\n    brand: {p.attributes['brand']}\n    section: {p.section}\n    patterns: ['{p.pattern}']\n" for n, p in enumerate(made_catalog())]
+    spark.createDataFrame([("".join(texts),)], "value string").coalesce(1).write.text(place)
+    found = catalog.catalog_frame(spark, catalog.read_catalog(spark, place))
+    return found.select("ord", "section", F.col("attributes")["brand"].alias("brand"), F.col("attributes")["model"].alias("model"), "pattern")
 
 
 @query("resolve_entities", f"WITH {VERIFIED_SQL}, r AS (SELECT p_partkey, v.key, p_name, {first_pattern_sql('p_name', CATALOG, 'brand')} AS b, {first_pattern_sql('p_name', CATALOG, 'model')} AS m FROM part LEFT JOIN v ON lower(p_name) = v.key) SELECT p_partkey, CASE WHEN key IS NOT NULL THEN 'Verified' ELSE b END AS brand, CASE WHEN key IS NOT NULL THEN 'exact' WHEN b IS NOT NULL THEN 'regex' END AS match_type FROM r")
@@ -298,25 +344,25 @@ def cartridge_auto(spark, sf):
     return posts(spark, sf).groupBy("razor_format", "blade_format").agg(F.count("*").alias("posts")).withColumn("route", route)
 
 
-SCENTS = tuple(resolution.Pattern(p, {"brand": b, "scent": s}) for p, b, s in (("red bolt", "Colour Works", "Red Bolt"), ("cold gear", "Frost", "Cold Gear")))
 BRANDS = tuple(resolution.Pattern(p, {"brand": b}) for p, b in (("^brand#1( |$)", "First"), ("^brand#2( |$)", "Second"), ("^hot", "Heat")))
 SOAP_TEXT = "CASE WHEN p_size % 3 = 0 THEN p_brand || ' - ' || p_name ELSE p_brand || ' ' || p_name END"
 
 
-@query("soap_cascade", f"WITH {VERIFIED_SQL}, t AS (SELECT p_partkey, lower({SOAP_TEXT}) AS t, v.key FROM part LEFT JOIN v ON lower({SOAP_TEXT}) = v.key), r AS (SELECT *, {first_pattern_sql('t', SCENTS, 'brand')} AS sb, {first_pattern_sql('t', SCENTS, 'scent')} AS ss, {first_pattern_sql('t', BRANDS, 'brand')} AS bb, {first_pattern_sql('t', BRANDS, 'pattern')} AS bp FROM t)" + """
+@query("soap_cascade", f"WITH {VERIFIED_SQL}, {CATALOG_SQL}, s AS (SELECT p_partkey, lower({SOAP_TEXT}) AS t FROM part), d AS {catalog_best_sql('s')}, r AS (SELECT p_partkey, s.t, v.key, d.m.brand AS sb, d.m.model AS ss, {first_pattern_sql('s.t', BRANDS, 'brand')} AS bb FROM s LEFT JOIN v ON s.t = v.key LEFT JOIN d ON s.t = d.t)" + """
     SELECT p_partkey, CASE WHEN key IS NOT NULL THEN 'exact' WHEN sb IS NOT NULL THEN 'scent' WHEN bb IS NOT NULL THEN 'brand' WHEN contains(t, ' - ') THEN 'split' END AS match_type,
       CASE WHEN key IS NOT NULL THEN 'Verified' WHEN sb IS NOT NULL THEN sb WHEN bb IS NOT NULL THEN bb WHEN contains(t, ' - ') THEN split_part(t, ' - ', 1) END AS brand,
       CASE WHEN key IS NOT NULL THEN key WHEN sb IS NOT NULL THEN ss WHEN bb IS NOT NULL THEN trim(regexp_replace(t, CASE bb WHEN 'First' THEN '^brand#1( |$)' WHEN 'Second' THEN '^brand#2( |$)' ELSE '^hot' END, '')) WHEN contains(t, ' - ') THEN split_part(t, ' - ', 2) END AS scent FROM r""")
 def soap_cascade(spark, sf):
-    """Verified name, else scent pattern, else brand pattern with the rest as scent, else a split at the dash."""
+    """Verified name, else scent pattern of the catalog, else brand pattern with the rest as scent, else a split at the dash."""
     rows = table(spark, sf, "part").select("p_partkey", F.lower(F.expr(SOAP_TEXT)).alias("t"))
     keys = verified(spark, sf).select("key")
-    scent, brand = resolution.first_pattern(F.col("t"), SCENTS, ("brand", "scent")), resolution.first_pattern(F.col("t"), BRANDS, ("brand",))
-    found = rows.join(keys, F.col("t") == F.col("key"), "left").withColumns({"s": scent, "b": brand, "dash": F.contains(F.col("t"), F.lit(" - "))})
+    scents = catalog.matched(rows, catalog.catalog_frame(spark, made_catalog()), "t", NAMES).withColumnRenamed("match", "s")
+    brand = resolution.first_pattern(F.col("t"), BRANDS, ("brand",))
+    found = rows.join(keys, F.col("t") == F.col("key"), "left").join(scents, "t", "left").withColumns({"b": brand, "dash": F.contains(F.col("t"), F.lit(" - "))})
     part = lambda n: F.split_part(F.col("t"), F.lit(" - "), F.lit(n))
     pick = lambda a, b, c, d: F.when(F.col("key").isNotNull(), a).when(F.col("s").isNotNull(), b).when(F.col("b").isNotNull(), c).when(F.col("dash"), d)
     rest = F.trim(F.regexp_replace(F.col("t"), F.col("b.pattern"), F.lit("")))
-    return found.select("p_partkey", pick(F.lit("exact"), F.lit("scent"), F.lit("brand"), F.lit("split")).alias("match_type"), pick(F.lit("Verified"), F.col("s.brand"), F.col("b.brand"), part(1)).alias("brand"), pick(F.col("key"), F.col("s.scent"), rest, part(2)).alias("scent"))
+    return found.select("p_partkey", pick(F.lit("exact"), F.lit("scent"), F.lit("brand"), F.lit("split")).alias("match_type"), pick(F.lit("Verified"), F.col("s.brand"), F.col("b.brand"), part(1)).alias("brand"), pick(F.col("key"), F.col("s.model"), rest, part(2)).alias("scent"))
 
 
 BRUSH_TEXT = "coalesce(handle_brand, 'Own') || CASE use_count % 4 WHEN 0 THEN ' w/ ' WHEN 1 THEN ' + ' WHEN 2 THEN ' with ' ELSE ' / ' END || knot_brand || ' ' || lower(fiber) || CASE WHEN use_count % 3 = 0 THEN ' ' || CAST(knot_size_mm AS VARCHAR(10)) || 'mm' WHEN use_count % 3 = 1 THEN ' 26x52' ELSE ' 24' END"
@@ -349,12 +395,22 @@ def knot_size(spark, sf):
     return posts(spark, sf).select(F.expr(BRUSH_TEXT).alias("t")).distinct().select("t", resolution.knot_size(F.col("t")).alias("knot_size_mm"))
 
 
-@query("knot_match", f"WITH t AS (SELECT DISTINCT {BRUSH_TEXT} AS t FROM posts), x AS (SELECT t, CASE WHEN regexp_matches(t, '(?i)knot 1') THEN 'Knot One' END AS known, CASE WHEN regexp_matches(t, '(?i)knot [2-4]') THEN 'Other Knot' END AS other, {_fiber_sql('t')} AS f, {SIZE_SQL} AS s FROM t) SELECT t, coalesce(known, other, f, CASE WHEN s IS NOT NULL THEN 'Unknown' END) AS knot, CASE WHEN known IS NOT NULL THEN 'known' WHEN other IS NOT NULL THEN 'other' WHEN f IS NOT NULL THEN 'fiber' WHEN s IS NOT NULL THEN 'size' END AS strategy FROM x", posts=True)
+def made_knots() -> list[resolution.Pattern]:
+    """Knots by maker's number, fibre and size; a third of them in the section of known ones."""
+    fibers = ("badger", "boar", "synthetic")
+    return [resolution.Pattern(f"knot {n % 100} {fibers[n // 100 % 3]} {20 + n // 300}", {"brand": f"Knot Maker {n % 100}", "model": f"Knot {n}"}, 1 + (n % 3 > 0)) for n in range(ENTRIES)]
+
+
+KNOTS_SQL = f"c AS (SELECT n, 1 + (n % 3 > 0)::INTEGER AS section, 'Knot Maker ' || (n % 100) AS brand, 'Knot ' || n AS model, 'knot ' || (n % 100) || ' ' AS must, 'knot ' || (n % 100) || ' ' || (['badger', 'boar', 'synthetic'])[n // 100 % 3 + 1] || ' ' || (20 + n // 300) AS pattern FROM range({ENTRIES}) r(n))"
+
+
+@query("knot_match", f"WITH {KNOTS_SQL}, t AS (SELECT DISTINCT {BRUSH_TEXT} AS t FROM posts), d AS {catalog_best_sql('t')}, x AS (SELECT t.t, d.m.brand AS known, {_fiber_sql('t.t')} AS f, {SIZE_SQL.replace('extract(t,', 'extract(t.t,')} AS s FROM t LEFT JOIN d ON t.t = d.t) SELECT t, coalesce(known, f, CASE WHEN s IS NOT NULL THEN 'Unknown' END) AS knot, CASE WHEN known IS NOT NULL THEN 'known' WHEN f IS NOT NULL THEN 'fiber' WHEN s IS NOT NULL THEN 'size' END AS strategy FROM x", posts=True)
 def knot_match(spark, sf):
-    """Known knot, other knot, fibre, size: the first that says something."""
-    t = F.col("t")
-    steps = (("known", F.when(t.rlike("(?i)knot 1"), "Knot One")), ("other", F.when(t.rlike("(?i)knot [2-4]"), "Other Knot")), ("fiber", resolution.fiber(t)), ("size", F.when(resolution.knot_size(t).isNotNull(), "Unknown")))
-    return posts(spark, sf).select(F.expr(BRUSH_TEXT).alias("t")).distinct().select("t", F.coalesce(*[c for _, c in steps]).alias("knot"), F.coalesce(*[F.when(c.isNotNull(), n) for n, c in steps]).alias("strategy"))
+    """Knot of the catalog, fibre, size: the first that says something."""
+    texts, t = posts(spark, sf).select(F.expr(BRUSH_TEXT).alias("t")).distinct(), F.col("t")
+    known = catalog.matched(texts, catalog.catalog_frame(spark, made_knots()), "t", NAMES)
+    steps = (("known", F.col("match.brand")), ("fiber", resolution.fiber(t)), ("size", F.when(resolution.knot_size(t).isNotNull(), "Unknown")))
+    return texts.join(known, "t", "left").select("t", F.coalesce(*[c for _, c in steps]).alias("knot"), F.coalesce(*[F.when(c.isNotNull(), n) for n, c in steps]).alias("strategy"))
 
 
 WEIGHTS = [("known", "exact", 10.0), ("known", "size", 2.0), ("split", "exact", 6.0), ("split", "fiber", 3.0), ("full", "fiber", 5.0)]

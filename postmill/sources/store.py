@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +12,16 @@ from pyspark.sql.types import StructType
 POST_SCHEMA = "id string, author string, body string, created_utc string, thread_id string, thread_title string, url string"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for checkpoints. Only where driver and executors are one process, one of our own can stand in."""
+    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not named and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="postmill-"))
+    return named or context.getCheckpointDir()
+
+
 def read_month_json(spark: SparkSession, path: str, record: str = POST_SCHEMA) -> DataFrame:
     """Rows of JSON files with an envelope {"meta": ..., "data": [...]}, with the month of the file name. A missing path is an error."""
     schema = StructType.fromDDL(f"meta map<string, string>, data array<struct<{', '.join(f.replace(' ', ': ', 1) for f in record.split(', '))}>>")
