@@ -29,7 +29,7 @@ from postmill.llm.common import cut_table, drop_table
 #: Bytes of a repeat that is removed, of a shared passage that is reported (some 40 words), and of an anchor.
 LENGTH, PASSAGE, GRAM = 400, 256, 32
 #: Different stretches of an anchor that are sorted in one task, and the suffixes of a part of a stretch of a busier anchor.
-BUSY, PART = 64, 32
+BUSY, PART = 16, 32
 
 _random = np.random.default_rng(20240501)
 #: Byte values and odd bases of two independent polynomial hashes modulo 2**64; fixed by the seed.
@@ -279,7 +279,7 @@ def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for found in zip(*(batch[c].to_pylist() for c in ("anchor", "whole", "key", "part", "lo", "at", "bytes", "n", "meet"))):
-                if len(held) >= 4 * BUSY and held[-1][8] != found[8]:
+                if len(held) >= 16 * BUSY and held[-1][8] != found[8]:
                     yield solve(held)
                     held = []
                 held.append(found)
