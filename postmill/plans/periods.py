@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postmill.operators import annual, periods
@@ -172,8 +173,9 @@ def head_to_head(spark, sf):
     brands = {"Brand#1": "a", "Brand#2": "b", "Brand#3": "c"}
     counts = posts(spark, sf).where(F.col("razor_brand").isin(*brands)).groupBy("month").pivot("razor_brand", list(brands)).count().na.fill(0)
     counts = counts.withColumnsRenamed(brands).withColumn("winner", F.when(F.col("a") > F.col("b"), "a").when(F.col("b") > F.col("a"), "b").otherwise("tie"))
-    wins = counts.agg(F.count_if(F.col("a") > F.col("b")).alias("wins_a"), F.count_if(F.col("b") > F.col("a")).alias("wins_b"), F.count_if(F.col("a") == F.col("b")).alias("ties"))
-    return counts.crossJoin(wins)  # one row of totals
+    # one row a month: few enough for one window
+    over_all = lambda hit: F.count_if(hit).over(Window.partitionBy())
+    return counts.withColumns({"wins_a": over_all(F.col("a") > F.col("b")), "wins_b": over_all(F.col("b") > F.col("a")), "ties": over_all(F.col("a") == F.col("b"))})
 
 
 @query("search_index", """SELECT lower('razor:' || razor_brand || ':' || razor_model) AS key, min(month) AS first_seen, max(month) AS last_seen, count(DISTINCT month) AS periods, arg_min('razor:' || razor_brand || ':' || razor_model, month || razor_brand) AS display FROM posts GROUP BY 1
@@ -224,9 +226,12 @@ def field_limit(spark, sf):
 @query("topk_examples", """WITH g AS (SELECT razor_brand AS brand, razor_model AS model, count(*) AS n FROM posts GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY brand ORDER BY n DESC, model) AS k FROM g)
     SELECT brand, sum(n)::BIGINT AS shaves, array_to_string(list(model || ':' || n ORDER BY k) FILTER (k <= 3), ',') AS examples FROM r GROUP BY 1""", posts=True)
 def topk_examples(spark, sf):
+    """The three most used models of each brand; ranks are limited before anything is gathered."""
     counts = posts(spark, sf).groupBy(F.col("razor_brand").alias("brand"), F.col("razor_model").alias("model")).agg(F.count("*").alias("n"))
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "model", "n"))), 1, 3)
-    return counts.groupBy("brand").agg(F.sum("n").alias("shaves"), F.array_join(F.transform(top, lambda x: F.concat_ws(":", x["model"], x["n"])), ",").alias("examples"))
+    best = counts.withColumn("k", F.row_number().over(Window.partitionBy("brand").orderBy(F.desc("n"), "model"))).where("k <= 3")
+    examples = best.groupBy("brand").agg(F.array_sort(F.collect_list(F.struct("k", "model", "n"))).alias("_x"))
+    shown = F.array_join(F.transform("_x", lambda x: F.concat_ws(":", x["model"], x["n"])), ",")
+    return counts.groupBy("brand").agg(F.sum("n").alias("shaves")).join(examples, "brand").select("brand", "shaves", shown.alias("examples"))
 
 
 @query("topk_search", """SELECT razor_brand || ' ' || razor_model AS product, count(*) AS shaves FROM posts WHERE contains(lower(razor_brand || ' ' || razor_model), lower('BOLT')) GROUP BY 1 ORDER BY shaves DESC, product LIMIT 100""", posts=True)
@@ -269,8 +274,6 @@ def observations(spark, sf):
     SELECT name, before, after, levenshtein(name, before)::INTEGER AS to_before, levenshtein(name, after)::INTEGER AS to_after FROM w""")
 def neighbor_lag_lead(spark, sf):
     """Names in order with the edit distance to their neighbours. Only distinct names are put in one order."""
-    from pyspark.sql import Window
-
     order = Window.orderBy("name")
     names = table(spark, sf, "part").select(F.col("p_name").alias("name")).where("name IS NOT NULL").distinct()
     pairs = names.withColumns({"before": F.lag("name").over(order), "after": F.lead("name").over(order)})

@@ -30,6 +30,16 @@ def read_month_json(spark: SparkSession, path: str, record: str = POST_SCHEMA) -
     return files.select(month.alias("month"), F.explode("data").alias("d")).select("month", "d.*")
 
 
+def write_month_json(frame: DataFrame, path: str, month: str = "month") -> None:
+    """JSON files, one row a line, in a folder for each month; only months that the frame has are replaced."""
+    frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).json(path)
+
+
+def read_month_rows(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Rows of such folders with their month. A missing path is an error."""
+    return spark.read.schema(f"{record}, month string").json(path)
+
+
 def write_months(frame: DataFrame, path: str, month: str = "month") -> None:
     """Replace only those months of a table that the frame has."""
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)

@@ -7,11 +7,12 @@ import html
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from postmill.functions import dates, text
-from postmill.operators import enrichment, extraction, people, periods, ranking, resolution, similarity
+from postmill.operators import catalog, enrichment, extraction, people, periods, ranking, resolution, similarity, strategies
 from postmill.operators.categories import SPECS, CategorySpec, category_table
 from postmill.plans import tables
 from postmill.sources import store
@@ -303,3 +304,42 @@ def test_template(spark):
     assert out.startswith("Hi there\n| Rank | Fiber | Shaves |")
     with pytest.raises(ValueError):
         tables.fill("{{nothing}}", {}, spark, "/root/testdata/sf0.001", "2000-03")
+
+
+def test_strategies_come_after_those_that_they_need(spark):
+    assert strategies.order({"a": ("c",), "b": (), "c": ("b",)}) == ["b", "c", "a"]
+    with pytest.raises(ValueError):
+        strategies.order({"a": ("b",), "b": ("a",)})
+    with pytest.raises(ValueError):
+        strategies.order({"a": ("x",)})
+    needs = {"full": ("split",), "split": ("handle",), "handle": ()}
+    ran = lambda **hits: one(spark, F.array_join(strategies.run_in_order({s: F.lit(h).cast("boolean") for s, h in hits.items()}, needs), ","))
+    assert ran(full=True, split=True, handle=True) == "handle,split,full"
+    assert ran(full=True, split=None, handle=True) == "handle" and ran(full=True, split=True, handle=False) == ""
+
+
+@pytest.mark.parametrize(
+    "pattern, runs",
+    [("red.*bolt", ["red", "bolt"]), ("colou?rs", ["colo", "rs"]), (r"^brand#1[ ]x\.y", ["brand#1", "x.y"]), ("a|b", []), ("(red|blue) bolt", [" bolt"]), (r"\bring\d{2}mm", ["ring", "mm"]), ("ab{0,2}c", ["a", "c"]), ("ab+c", ["ab", "c"]), ("[^]x]abc", ["abc"]), ("", [])],
+)
+def test_literal_runs_of_patterns(pattern, runs):
+    assert catalog.literal_runs(pattern) == runs
+
+
+def test_catalog_gives_what_trying_all_patterns_gives(spark):
+    rng = np.random.default_rng(5)
+    words = ["red", "bolt", "ring", "gear", "Old", "x", "a1"]
+    patterns = [resolution.Pattern(p, {"brand": f"b{n}"}, int(rng.integers(0, 3))) for n, p in enumerate(["red.*bolt", "bolt", "r(i|e)ng", "^x", "ge?ar", "old|gear", "[ab]1", "ring$", "zzz", "OLD red", "bolt.?"])]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 5)))) for _ in range(120)] + ["", None]
+    got = {r.t: r.match.pattern for r in catalog.matched(spark.createDataFrame([(t,) for t in texts], "t string"), catalog.catalog_frame(spark, patterns), "t", ("brand",)).collect()}
+    first = lambda t: min(((p.section, -len(p.pattern), n, p.pattern) for n, p in enumerate(patterns) if re.search(p.pattern, t, re.I)), default=None)
+    assert got == {t: first(t)[3] for t in texts if t is not None and first(t)}
+
+
+def test_catalog_out_of_yaml(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text("Maker:\n  section: 2\n  Mode\u0301l:\n    format: DE\n    patterns: [one, 'two.*']\n  Other:\n    patterns:\n      - three\n")
+    got = [(p.pattern, dict(p.attributes), p.section) for p in catalog.read_catalog(spark, str(tmp_path))]
+    assert got == [("one", {"brand": "Maker", "model": "Mod\u00e9l", "format": "DE"}, 2), ("two.*", {"brand": "Maker", "model": "Mod\u00e9l", "format": "DE"}, 2), ("three", {"brand": "Maker", "model": "Other"}, 2)]
+    (tmp_path / "c.yaml").write_text("A:\n  patterns: [x]\nA:\n  patterns: [y]\n")
+    with pytest.raises(ValueError):
+        catalog.read_catalog(spark, str(tmp_path))
