@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import cut, cut_table
+from postmill.llm.common import cut, cut_table, drop_table
 
 #: 42 bands of 6: a pair at similarity 0.8 shares no bucket with a chance of 3 in a million, one at 0.3 shares one with 3 in 100.
 BANDS, ROWS = 42, 6
@@ -203,6 +203,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     # buckets that still span several components: their members outside the largest meet those of other components
     placed = stars.select("bucket", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = cut_table(placed)
+    drop_table(stars)
     spans = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     words = range(ODD // 64)
     open_ = placed.join(spans.select("bucket", F.col("top.component").alias("top")), "bucket")
@@ -215,6 +216,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
     more = cut(linked(pairs, texts, shingle, percent))
+    drop_table(texts)
+    drop_table(placed)
     found = components(links.union(more)) if not more.isEmpty() else found
 
     labels = nodes.select("sig", "node").join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
