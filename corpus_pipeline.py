@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import mixing, near, pieces, private, quality
-from postmill.llm.common import cut, cut_table, table
+from postmill.llm.common import cut, cut_table, drop_table, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,8 +63,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to documents; each stage's result is written and read again before the next."""
+    """Apply all stages to documents; each stage's result is written and read again before the next, and then removed."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut_table(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        kept = cut_table(stage(spark, docs, sf_dir))
+        if k:
+            drop_table(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
