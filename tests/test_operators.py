@@ -337,6 +337,7 @@ def test_catalog_gives_what_trying_all_patterns_gives(spark):
 
 
 def test_catalog_out_of_yaml(spark, tmp_path):
+    pytest.importorskip("yaml")
     (tmp_path / "c.yaml").write_text("Maker:\n  section: 2\n  Mode\u0301l:\n    format: DE\n    patterns: [one, 'two.*']\n  Other:\n    patterns:\n      - three\n")
     got = [(p.pattern, dict(p.attributes), p.section) for p in catalog.read_catalog(spark, str(tmp_path))]
     assert got == [("one", {"brand": "Maker", "model": "Mod\u00e9l", "format": "DE"}, 2), ("two.*", {"brand": "Maker", "model": "Mod\u00e9l", "format": "DE"}, 2), ("three", {"brand": "Maker", "model": "Other"}, 2)]
