@@ -64,4 +64,32 @@ def _op9() -> str:
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
-ORACLES = {"op9_exact_top_k": _op9(), "op1_license_scan": _op1(), "op4_url_filter": _op4()}
+def _op11() -> str:
+    blank = r"[\x20\x09-\x0D]"
+    return rf"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{blank}+'), lambda x: x <> '') AS w FROM documents),
+        p AS (SELECT doc_id, w, unnest(w) AS word, unnest(generate_series(1, len(w))) AS pos FROM d),
+        v AS (SELECT doc_id, word, pos, CASE WHEN pos + 19 <= len(w) THEN array_to_string(w[pos:pos + 19], ' ') END AS twenty FROM p),
+        f AS (SELECT doc_id, word, pos, twenty IS NOT NULL AND row_number() OVER (PARTITION BY twenty ORDER BY doc_id, pos) > 1 AS again FROM v),
+        g AS (SELECT doc_id, word, pos, max(again::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone FROM f),
+        k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM g GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)"""
+
+
+def _op13() -> str:
+    def terms(source: str, key: str) -> str:
+        return rf"SELECT {key}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS term FROM {source}"
+
+    return f"""WITH t AS (SELECT doc_id, term, count(*) AS tf FROM ({terms('documents', 'doc_id')}) GROUP BY doc_id, term),
+        n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+        a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+        i AS (SELECT DISTINCT item_id, term FROM ({terms('benchmark', 'item_id')})),
+        f AS (SELECT term, count(*) AS df FROM t WHERE term IN (SELECT term FROM i) GROUP BY term),
+        w AS (SELECT item_id, term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM i JOIN f USING (term), a),
+        s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+            FROM w JOIN t USING (term) JOIN n USING (doc_id), a GROUP BY item_id, doc_id),
+        r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
+ORACLES = {"op9_exact_top_k": _op9(), "op1_license_scan": _op1(), "op4_url_filter": _op4(), "op11_substring_dedup": _op11(), "op13_ranked_search": _op13()}

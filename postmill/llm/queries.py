@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import licenses, mixing, near, pieces, private, quality, repeats, topk, toxicity, urls
+from postmill.llm import licenses, mixing, near, pieces, private, quality, ranked, repeats, spelling, substrings, topk, toxicity, urls
 from postmill.llm.common import table
 
 
@@ -68,6 +68,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(docs, pieces.PieceModel.load()).drop("text")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_private_data": op2_private_data,
@@ -79,4 +92,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }
