@@ -59,9 +59,10 @@ def counted_terms(texts: DataFrame, cells: bytes | None = None) -> DataFrame:
                 if cells is not None:
                     if len(known) > HELD:
                         known.clear()
-                    for t in found.keys() - known.keys():
-                        cell = zlib.crc32(t) % CELLS
-                        known[t] = bool(cells[cell >> 3] >> (cell & 7) & 1)
+                    for t in found:
+                        if t not in known:
+                            cell = zlib.crc32(t) % CELLS
+                            known[t] = bool(cells[cell >> 3] >> (cell & 7) & 1)
                     found = {t: c for t, c in found.items() if known[t]}
                 sizes.append(len(every))
                 terms.append(list(found))

@@ -27,69 +27,81 @@ WINDOW = 20
 DEPTH, SPARE, RANGE = 2, 8, 21
 #: Bytes of text of a block, and windows for each range of digests.
 BLOCK, DIGESTS = 8 << 20, 1 << 21
-#: Words whose hashes a task keeps.
-HELD = 500_000
+#: Bytes of texts that are hashed at a time.
+PIECE = 1 << 18
 #: In place of a null key, which comes after all others.
 LAST = 2**63 - 1
 K1, K2, K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
+#: Values of bytes and an odd base of the polynomial hash of windows modulo 2**64; fixed by the seed.
+_random = np.random.default_rng(20240930)
+VALUES, BASE = _random.integers(1, 2**63, 256, dtype=np.uint64), int(_random.integers(2**40, 2**63)) | 1
+#: All that separates words becomes a blank.
+BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * K3
     h = (h ^ (h >> np.uint64(29))) * K1
     return h ^ (h >> np.uint64(32))
 
 
+def even(text: bytes) -> bytes:
+    """The words joined by one blank."""
+    text = text.translate(BLANKS)
+    return b" ".join(text.split()) if b"  " in text or text[:1] == b" " or text[-1:] == b" " else text
+
+
+def _words(even_text: bytes) -> int:
+    return even_text.count(b" ") + 1 if even_text else 0
+
+
 def packed(docs: DataFrame, size: int, window: int) -> DataFrame:
-    """Rows (key, text) in blocks of some `size` bytes: block, windows (how many), body (the rows as a compressed Arrow stream)."""
+    """Rows (key, text) in blocks of some `size` bytes: block, windows (how many), body (keys and even texts as a compressed Arrow stream)."""
+    schema = pa.schema([("key", pa.int64()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         first, blocks = TaskContext.get().partitionId() << 32, 0
 
-        def block(rows: list[pa.RecordBatch], windows: int) -> pa.RecordBatch:
+        def block(keys: list, texts: list[bytes]) -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                for r in rows:
-                    out.write_batch(r)
+            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(pa.table([keys, texts], schema=schema))
+            windows = sum(max(0, _words(t) - window + 1) for t in texts)
             columns = [pa.array([first + blocks]), pa.array([windows]), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["block", "windows", "body"])
 
-        held, windows, held_size = [], 0, 0
+        keys, texts, held = [], [], 0
         for batch in batches:
-            start = 0
-            for i, value in enumerate(batch["text"]):
-                raw = value.as_buffer() if value.is_valid else b""
-                windows += max(0, len(bytes(raw).split()) - window + 1)
-                held_size += len(raw)
-                if held_size >= size:
-                    yield block([*held, batch.slice(start, i + 1 - start)], windows)
-                    held, windows, held_size, start, blocks = [], 0, 0, i + 1, blocks + 1
-            if start < batch.num_rows:
-                held.append(batch.slice(start))
-        if held:
-            yield block(held, windows)
+            for key, value in zip(batch["key"].to_pylist(), batch["text"]):
+                keys.append(key)
+                texts.append(even(value.as_buffer().to_pybytes()) if value.is_valid else b"")
+                held += len(texts[-1])
+                if held >= size:
+                    yield block(keys, texts)
+                    keys, texts, held, blocks = [], [], 0, blocks + 1
+        if keys:
+            yield block(keys, texts)
 
     return docs.mapInArrow(run, "block long, windows long, body binary")
 
 
 class Hasher:
-    """64-bit hashes of words, kept for a bounded number of them."""
+    """Polynomial hashes of substrings; keeps the powers of its base."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
+        self.up = self.down = np.ones(1, np.uint64)
 
-        known = self.known
-        if len(known) > HELD:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        up, down = np.uint64(BASE), np.uint64(pow(BASE, -1, 1 << 64))
+        while len(self.up) <= len(data):
+            self.up = np.concatenate([self.up, self.up * (self.up[-1:] * up)])
+            self.down = np.concatenate([self.down, self.down * (self.down[-1:] * down)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[data] * self.up[: len(data)], dtype=np.uint64)])
+        return _mixed((sums[ends] - sums[starts]) * self.down[starts])
 
 
 class Block:
@@ -97,23 +109,47 @@ class Block:
 
     def __init__(self, body: bytes, window: int, hasher: Hasher) -> None:
         rows = pa.ipc.open_stream(body).read_all()
-        keys = rows["key"].to_pylist()
+        keys, texts = rows["key"].to_pylist(), rows["text"].to_pylist()
         order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i] or 0))
-        texts = rows["text"].to_pylist()
-        self.window, self.keys = window, [keys[i] for i in order]
-        self.words = [(texts[i] or "").encode().split() for i in order]
-        size = np.array([max(0, len(w) - window + 1) for w in self.words], np.int64)
-        self.ends = np.cumsum(size)
-        self.first = self.ends - size
-        parts = [np.zeros(0, np.uint64)]
-        for words, n in zip(self.words, size.tolist()):
-            if n:
-                h = hasher(words)
-                out = np.full(n, 1, np.uint64)
-                for k in range(window):
-                    out = out * K2 + h[k : k + n]
-                parts.append(_mixed(out))
-        self.hashes = np.concatenate(parts)
+        self.window, self.keys, self.texts = window, [keys[i] for i in order], [texts[i] for i in order]
+        self.sizes = np.array([_words(t) for t in self.texts], np.int64)
+        windows = np.maximum(0, self.sizes - window + 1)
+        self.ends = np.cumsum(windows)
+        self.first = self.ends - windows
+        #: Where each word of the texts with windows starts and ends in its own text, and the first word of each such text.
+        self.word_at, spans, hashes = np.zeros(len(keys), np.int64), [], [np.zeros(0, np.uint64)]
+        piece, held, words = [], 0, 0
+        last = max(np.flatnonzero(windows), default=-1)
+        for i in np.flatnonzero(windows).tolist():
+            self.word_at[i] = words
+            words += int(self.sizes[i])
+            piece.append(i)
+            held += len(self.texts[i]) + 1
+            if held >= PIECE or i == last:
+                h, a, b = self._piece(piece, hasher)
+                hashes.append(h)
+                spans.append((a, b))
+                piece, held = [], 0
+        self.hashes = np.concatenate(hashes)
+        self.starts, self.stops = (np.concatenate(c) for c in zip(*spans)) if spans else (np.zeros(0, np.int32),) * 2
+
+    def _piece(self, piece: list[int], hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data = np.frombuffer(b" ".join(self.texts[i] for i in piece), np.uint8)
+        blank = np.flatnonzero(data == 32)
+        starts, stops = np.concatenate([[0], blank + 1]), np.append(blank, len(data))
+        sizes = self.sizes[piece]
+        of = np.repeat(np.arange(len(piece)), sizes)
+        w = self.window
+        whole = np.flatnonzero(of[: len(of) - w + 1] == of[w - 1 :])
+        h = hasher(data, starts[whole], stops[whole + w - 1])
+        base = np.array([len(self.texts[i]) + 1 for i in piece])
+        shift = (np.cumsum(base) - base)[of]
+        return h, (starts - shift).astype(np.int32), (stops - shift).astype(np.int32)
+
+    def spans(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of a text with windows start and end."""
+        words = slice(self.word_at[i], self.word_at[i] + self.sizes[i])
+        return self.starts[words], self.stops[words]
 
     def cells(self, row: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A row of this block's sketch: cells in order, whether each is counted twice, and of each window in `order` its place among the cells."""
@@ -144,12 +180,9 @@ class Block:
         edges = np.searchsorted(chosen, self.first), np.searchsorted(chosen, self.ends)
         for i, (a, b) in enumerate(zip(*(e.tolist() for e in edges))):
             if a < b:
-                words, starts = self.words[i], chosen[a:b] - self.first[i]
-                size = np.fromiter(map(len, words), np.int64, len(words))
-                end = np.cumsum(size + 1) - 1
-                joined = b" ".join(words)
-                spans = zip((end - size)[starts].tolist(), end[starts + self.window - 1].tolist())
-                yield i, starts, [hashlib.blake2b(joined[x:y], digest_size=16).digest() for x, y in spans]
+                at, (starts, stops), text = chosen[a:b] - self.first[i], self.spans(i), self.texts[i]
+                spans = zip(starts[at].tolist(), stops[at + self.window - 1].tolist())
+                yield i, at, [hashlib.blake2b(text[x:y], digest_size=16).digest() for x, y in spans]
 
     def order_key(self, i: int) -> int:
         return LAST if self.keys[i] is None else self.keys[i]
@@ -200,16 +233,24 @@ def merged(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows["block"], "row": rows["row"], "part": rows["part"], "mask": pa.array(masks, pa.binary())})
 
 
-def _firsts(block: Block, chosen: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct digests as pairs of numbers, with the least key that has each; the range of each, and their order by range."""
-    seen: dict[bytes, int] = {}
-    for i, _, digests in block.digests(chosen):
-        key = block.order_key(i)
-        for d in digests:
-            seen.setdefault(d, key)
-    values = np.frombuffer(b"".join(seen), np.uint64).reshape(-1, 2)
-    part = (values[:, 0] % np.uint64(ranges)).astype(np.int64)
-    return values, np.fromiter(seen.values(), np.int64, len(seen)), part, np.argsort(part, kind="stable")
+class Digests:
+    """The distinct digests of a block's candidate windows, in order of key: the least key that has each, and where each is."""
+
+    def __init__(self, block: Block, chosen: np.ndarray, ranges: int) -> None:
+        number: dict[bytes, int] = {}
+        least: list[int] = []
+        #: Texts with candidates: number, starts of the windows, and numbers of their digests.
+        self.found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for i, at, digests in block.digests(chosen):
+            mine = np.fromiter((number.setdefault(d, len(number)) for d in digests), np.int64, len(digests))
+            least += [block.order_key(i)] * (len(number) - len(least))
+            self.found.append((i, at, mine))
+        self.values = np.frombuffer(b"".join(number), np.uint64).reshape(-1, 2)
+        self.least = np.array(least, np.int64)
+        self.part = (self.values[:, 0] % np.uint64(ranges)).astype(np.int64)
+        self.order = np.argsort(self.part, kind="stable")
+        #: Ranges, and how many digests lie in each.
+        self.parts, self.counts = np.unique(self.part, return_counts=True)
 
 
 def sent_digests(blocks: DataFrame, bits: int, depth: int, window: int, ranges: int) -> DataFrame:
@@ -220,13 +261,12 @@ def sent_digests(blocks: DataFrame, bits: int, depth: int, window: int, ranges:
         for batch in batches:
             for number, body, replies in zip(batch["block"].to_pylist(), batch["body"], batch["replies"].to_pylist()):
                 block = Block(body.as_buffer().to_pybytes(), window, hasher)
-                values, keys, part, order = _firsts(block, block.candidates(replies, bits, depth), ranges)
+                sent = Digests(block, block.candidates(replies, bits, depth), ranges)
                 out = []
-                for p in np.unique(part).tolist():
-                    mine = order[np.searchsorted(part[order], p) : np.searchsorted(part[order], p, side="right")]
-                    k = keys[mine]
+                for p, mine in zip(sent.parts.tolist(), np.split(sent.order, np.cumsum(sent.counts)[:-1])):
+                    k = sent.least[mine]
                     first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-                    out.append((p, number, values[mine].tobytes(), k[first].tobytes(), np.diff(np.append(first, len(k))).astype(np.int32).tobytes()))
+                    out.append((p, number, sent.values[mine].tobytes(), k[first].tobytes(), np.diff(np.append(first, len(k))).astype(np.int32).tobytes()))
                 if out:
                     part_, block_, *rest = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(part_, pa.int32()), pa.array(block_, pa.int64()), *(pa.array(c, pa.binary()) for c in rest)], names=["part", "block", "digests", "keys", "counts"])
@@ -261,31 +301,28 @@ def cut_out(blocks: DataFrame, bits: int, depth: int, window: int, ranges: int)
         for batch in batches:
             for body, replies, earlier in zip(batch["body"], batch["replies"].to_pylist(), batch["earlier"].to_pylist()):
                 block = Block(body.as_buffer().to_pybytes(), window, hasher)
-                chosen = block.candidates(replies, bits, depth)
-                values, keys, part, order = _firsts(block, chosen, ranges)
+                sent = Digests(block, block.candidates(replies, bits, depth), ranges)
                 masks = {r["part"]: r["mask"] for r in earlier or ()}
-                number, count = np.unique(part, return_counts=True)
-                elsewhere = np.zeros(len(values), bool)
-                if len(number):
-                    elsewhere[order] = np.concatenate([np.unpackbits(np.frombuffer(masks[p], np.uint8), count=n) for p, n in zip(number.tolist(), count.tolist())])
-                state = {v.tobytes(): (k, e) for v, k, e in zip(values, keys.tolist(), elsewhere.tolist())}
-                gone: dict[int, np.ndarray] = {}
-                for i, starts, digests in block.digests(chosen):
-                    key, own, hits = block.order_key(i), set(), []
-                    for at, d in zip(starts.tolist(), digests):
-                        least, before = state[d]
-                        if before or least < key or d in own:
-                            hits.append(at)
-                        own.add(d)
-                    if hits:
-                        change = np.zeros(len(block.words[i]) + 1, np.int64)
+                elsewhere = np.zeros(len(sent.values), bool)
+                if len(sent.parts):
+                    elsewhere[sent.order] = np.concatenate([np.unpackbits(np.frombuffer(masks[p], np.uint8), count=n) for p, n in zip(sent.parts.tolist(), sent.counts.tolist())])
+                kept_texts, removed = list(block.texts), np.zeros(len(block.texts), np.int64)
+                for i, at, mine in sent.found:
+                    again = elsewhere[mine] | (sent.least[mine] < block.order_key(i))
+                    more = np.ones(len(mine), bool)
+                    more[np.unique(mine, return_index=True)[1]] = False  # these start first in this text
+                    hits = at[again | more]
+                    if len(hits):
+                        change = np.zeros(block.sizes[i] + 1, np.int64)
                         change[hits] += 1
-                        np.add.at(change, np.array(hits) + window, -1)
-                        gone[i] = np.cumsum(change)[:-1] > 0
-                out = []
-                for i, words in enumerate(block.words):
-                    kept = words if i not in gone else [w for w, x in zip(words, gone[i].tolist()) if not x]
-                    out.append((block.keys[i], len(words), len(words) - len(kept), b" ".join(kept)))
+                        change[hits + window] -= 1
+                        gone = np.cumsum(change)[:-1] > 0
+                        removed[i] = gone.sum()
+                        edge = np.diff(np.concatenate([[True], gone, [True]]).astype(np.int8))
+                        starts, stops = block.spans(i)
+                        runs = zip(starts[np.flatnonzero(edge[:-1] < 0)].tolist(), stops[np.flatnonzero(edge[1:] > 0)].tolist())
+                        kept_texts[i] = b" ".join(block.texts[i][x:y] for x, y in runs)
+                out = zip(block.keys, block.sizes.tolist(), removed.tolist(), kept_texts)
                 key, n, removed, kept = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["key", "n_words", "n_removed", "kept"])
 

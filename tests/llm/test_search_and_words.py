@@ -91,7 +91,7 @@ def test_sketch_counts_never_too_little():
 
     def body(texts):
         sink = pa.BufferOutputStream()
-        table = pa.table({"key": pa.array(range(len(texts)), pa.int64()), "text": texts})
+        table = pa.table({"key": pa.array(range(len(texts)), pa.int64()), "text": pa.array([t.encode() for t in texts], pa.binary())})
         with pa.ipc.new_stream(sink, table.schema) as out:
             out.write_table(table)
         return sink.getvalue().to_pybytes()
