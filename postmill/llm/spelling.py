@@ -16,10 +16,6 @@ loses no pair, and ends are compared as strings.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,11 +27,11 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
 NOISE = 31
 #: Edges this near the root belong to many words; each is dealt to so many keys.
 SHALLOW, SALTS = 3, 16
-#: A character that may be any, which is no letter.
-OPEN = "\x00"
+#: No letter: what follows a word's last character, and what stands for any character.
+END = OPEN = "\x00"
+#: Characters of a word that are hashed together.
+PIECE = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Base of the hashes of prefixes; odd and fixed.
-BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def spoiled(run: Column, key: Column) -> Column:
@@ -54,34 +50,28 @@ def count_words(docs: DataFrame, text: str = "text", key: str = "doc_id", least_
 
 
 def edges(words: DataFrame) -> DataFrame:
-    """Of each word, under a hash of it, the edges on its way: the node that it leaves, the depth and the character, which is empty at the end."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = np.ones(1, np.uint64)
-        for batch in batches:
-            values = batch["word"].to_pylist()
-            if not values:
-                continue
-            size = np.array([len(v) + 1 for v in values])
-            points = np.frombuffer("\x00".join([*values, ""]).encode("utf-32-le"), np.uint32)
-            first = np.cumsum(size) - size
-            depth = np.arange(len(points)) - np.repeat(first, size)
-            while len(powers) < size.max():
-                powers = np.concatenate([powers, powers * (powers[-1:] * BASE)])
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(0xC2B2AE3D27D4EB4F)) * powers[depth], dtype=np.uint64)])
-            node = sums[:-1] - np.repeat(sums[first], size)
-            chars = [c for v in values for c in (*v, "")]
-            columns = [batch["id"].take(pa.array(np.repeat(np.arange(len(values)), size))), pa.array(node.view(np.int64)), pa.array(depth.astype(np.int32)), pa.array(chars, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "depth", "c"])
-
-    return words.select(F.xxhash64("word").alias("id"), "word").mapInArrow(run, "id long, node long, depth int, c string")
+    """Of each word, under a hash of it, the edges on its way: the node that it leaves, the depth and the character, END at last.
+
+    A node's hash is one of the whole pieces before it and of the characters after these, so that long words take little.
+    """
+
+    def of_piece(before: Column, piece: Column, n: Column) -> Column:
+        def edge(k: Column) -> Column:
+            return F.struct(F.xxhash64(before, F.substring(piece, F.lit(1), k)).alias("node"), (n * PIECE + k).alias("depth"), F.substring(piece, k + 1, F.lit(1)).alias("c"))
+
+        return F.transform(F.sequence(F.lit(0), F.length(piece) - 1), edge)
+
+    pieces = F.regexp_extract_all(F.concat("word", F.lit(END)), F.lit(f"(?s)(.{{1,{PIECE}}})"), F.lit(1))
+    # an array of one, bound by a lambda, so that pieces are cut once
+    way = F.transform(F.array(pieces), lambda all_: F.flatten(F.transform(all_, lambda piece, n: of_piece(F.xxhash64(F.slice(all_, F.lit(1), n)), piece, n))))[0]
+    return words.select(F.xxhash64("word").alias("id"), F.explode(way).alias("e")).select("id", "e.*")
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """All ordered pairs (word, near) among distinct words that differ by one inserted, deleted or replaced code point."""
     way = cut_table(edges(words))
     children = way.groupBy("node", "depth", "c").agg(F.count("*").alias("size"))
-    most = F.max(F.when(F.col("c") != "", F.struct("size", "c"))).over(Window.partitionBy("node", "depth"))
+    most = F.max(F.when(F.col("c") != END, F.struct("size", "c"))).over(Window.partitionBy("node", "depth"))
     light = children.withColumn("heavy", most["c"]).where("c <> heavy")  # a node with an end alone has no heavy child
     salts = F.when(F.col("depth") < SHALLOW, SALTS).otherwise(1)
     light = light.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
