@@ -34,18 +34,19 @@ PIECE = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def spoiled(run: Column, key: Column) -> Column:
-    """The run without the code point that the checksum of key and run picks, where it picks one."""
-    h = F.crc32(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), run))
-    at = (h % F.length(run)).cast("int")
-    return F.when(h % NOISE == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
-
-
 def count_words(docs: DataFrame, text: str = "text", key: str = "doc_id", least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
-    """(word, n) of all texts. A run shorter than a word makes none, so it is passed over."""
-    pattern = F.lit(f"([A-Za-zÀ-ÿ]{{{least_length},}})")
-    runs = docs.select(F.col(key).alias("key"), F.explode(F.regexp_extract_all(F.col(text), pattern, F.lit(1))).alias("run"))
-    words = runs.select(spoiled(F.translate("run", UPPER, LOWER), F.col("key")).alias("word")).where(F.length("word") >= least_length)
+    """(word, n) of all texts. A run shorter than a word makes none, so it is passed over.
+
+    A run goes on without the code point that the checksum of key and run picks, where it picks one.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(f"([A-Za-zÀ-ÿ]{{{least_length},}})"), F.lit(1))
+    lowered = F.transform(found, lambda run: F.translate(run, UPPER, LOWER))
+    prefix = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"))
+    # checksums are taken before the rows are made, so that no expression holds another one many times
+    runs = docs.select(F.explode(F.transform(lowered, lambda run: F.struct(run.alias("run"), F.crc32(F.concat(prefix, run)).alias("h")))).alias("r")).select("r.*")
+    at = (F.col("h") % F.length("run")).cast("int")
+    rest = F.concat(F.substring("run", F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    words = runs.where((F.length("run") > least_length) | ((F.length("run") == least_length) & (F.col("h") % NOISE != 0))).select(F.when(F.col("h") % NOISE == 0, rest).otherwise(F.col("run")).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
 
 
