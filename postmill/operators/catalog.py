@@ -103,10 +103,10 @@ def text_grams(text: Column) -> Column:
     return F.array_distinct(F.array_append(every, F.lit("")))
 
 
-def matched(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
-    """(text, match) of the distinct texts that any pattern fits: match has the names and the pattern of the first one.
+def candidates(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
+    """All patterns that fit a distinct text: (text, section, less, ord, pattern, names), the best ones least in section, less and ord.
 
-    The lower section comes first, then the longer pattern, then catalog order; case does not matter.
+    Case does not matter.
     """
     distinct = texts.select(F.col(text).alias("_t")).where("_t IS NOT NULL").distinct()
     spread = distinct.select("_t", F.explode(text_grams(F.col("_t"))).alias("_gram"))
@@ -115,5 +115,28 @@ def matched(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[str
     filed = filed.join(counts, "_gram", "left").groupBy("ord").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
     indexed = catalog.join(filed, "ord").select("_gram", "section", (-F.length("pattern")).alias("less"), "ord", "pattern", *[F.col("attributes")[n].alias(n) for n in names])
     fits = spread.join(indexed, "_gram").where(F.regexp_like("_t", F.concat(F.lit("(?i)"), "pattern")))
-    best = fits.groupBy("_t").agg(F.min(F.struct("section", "less", "ord", *names, "pattern")).alias("_b"))
-    return best.select(F.col("_t").alias(text), F.struct(*[F.col(f"_b.{n}").alias(n) for n in (*names, "pattern")]).alias("match"))
+    return fits.select(F.col("_t").alias(text), "section", "less", "ord", "pattern", *names)
+
+
+def matched(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
+    """(text, match) of the distinct texts that any pattern fits: match has the names and the pattern of the first one.
+
+    The lower section comes first, then the longer pattern, then catalog order; case does not matter.
+    """
+    best = candidates(texts, catalog, text, names).groupBy(text).agg(F.min(F.struct("section", "less", "ord", *names, "pattern")).alias("_b"))
+    return best.select(text, F.struct(*[F.col(f"_b.{n}").alias(n) for n in (*names, "pattern")]).alias("match"))
+
+
+def resolved_fields(found: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
+    """Of several candidates of a text: how many there are, and for each field its value, whether they differ in it, and the other values.
+
+    The value is that of the longest pattern, then of the lower section, then of the first in the catalog; the other ones
+    are kept in order. Candidates without the field have no say. A group holds no more than the patterns of a catalog.
+    """
+    rows = found.groupBy(text).agg(F.array_sort(F.collect_list(F.struct("less", "section", "ord", *fields))).alias("_c"))
+    values = {f: F.array_distinct(F.array_compact(F.col(f"_c.{f}"))) for f in fields}
+    rows = rows.select(text, F.size("_c").alias("candidates"), *[v.alias(f) for f, v in values.items()])
+    return rows.select(
+        text, "candidates", *[F.get(f, F.lit(0)).alias(f) for f in fields], *[(F.size(f) > 1).alias(f"{f}_conflict") for f in fields],
+        *[F.array_sort(F.slice(f, 2, F.greatest(F.size(f) - 1, F.lit(0)))).alias(f"{f}_others") for f in fields],
+    )

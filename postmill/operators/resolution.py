@@ -48,27 +48,6 @@ def resolved(rows: DataFrame, text: str, lookup: DataFrame, patterns: Sequence[P
     return rows.withColumn("_key", F.lower(text)).join(found, "_key", "left").drop("_key")
 
 
-def laddered(candidates: DataFrame, ladder: DataFrame, context: str, keys: Sequence[str]) -> DataFrame:
-    """Of several candidates per key, the one whose format comes first on the ladder (context, step, format), then by priority.
-
-    Candidates have keys, context, format, priority and others; a context without steps takes none.
-    """
-    steps = candidates.join(ladder, [context, "format"])
-    rest = [c for c in candidates.columns if c not in keys]
-    best = steps.groupBy(*keys).agg(F.min(F.struct("step", "priority", *[c for c in rest if c != "priority"])).alias("_b"))
-    return best.select(*keys, "_b.step", "_b.priority", *[F.col(f"_b.{c}") for c in rest if c != "priority"])
-
-
-def split_candidates(text: Column, delimiters: Sequence[tuple[str, str]]) -> Column:
-    """All ways to cut a text in two at a delimiter (text, confidence): array of (left, right, delimiter, confidence)."""
-    cuts = []
-    for d, confidence in delimiters:
-        at = F.instr(F.lower(text), d)
-        cut = F.struct(F.trim(F.substring(text, F.lit(1), at - 1)).alias("left"), F.trim(F.substring(text, at + len(d), F.length(text))).alias("right"), F.lit(d).alias("delimiter"), F.lit(confidence).alias("confidence"))
-        cuts.append(F.when((at > 1) & (at + len(d) - 1 < F.length(text)), cut))
-    return F.array_compact(F.array(*cuts))
-
-
 #: Fibre by the first expression that fits; mixtures come before pure ones.
 FIBERS = (
     ("Mixed", r"(badger|boar|horse)[ ]*[/+&-][ ]*(badger|boar|horse|synth)|hybrid|mixed|fusion"),
@@ -93,17 +72,6 @@ def knot_size(text: Column) -> Column:
     return F.coalesce(part(r"(?i)([0-9]{2}(?:\.[0-9]+)?)[ ]*(?:mm)?[ ]*[x×][ ]*[0-9]{2}"), part(r"(?i)([0-9]{2}(?:\.[0-9]+)?)[ ]*mm"), F.when(bare.between(20, 35), bare))
 
 
-def best_scored(strategies: DataFrame, weights: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Score strategies (keys, strategy, ord, modifier, value) and keep the best of each key, the first of equal ones.
-
-    score = base weight of the strategy + sum of value times weight over its modifiers.
-    """
-    scored = strategies.join(weights, ["strategy", "modifier"], "left").groupBy(*keys, "strategy", "ord").agg(F.sum(F.col("value") * F.coalesce("weight", F.lit(0.0))).alias("_plus"))
-    scored = scored.join(base, "strategy").withColumn("score", F.col("base") + F.col("_plus"))
-    top = scored.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("ord")).alias("_o"), "strategy")).alias("_t"))
-    return top.select(*keys, "_t.strategy", "_t.score")
-
-
 def component_score(brand: Column, model: Column, fiber_: Column, size: Column, priority: Column) -> Column:
     """5 each for brand, model and fibre, 2 for a size, and 2 or 1 for a known or other section."""
     one = lambda c, n: F.when(c.isNotNull() & (c.cast("string") != ""), n).otherwise(0)

@@ -133,15 +133,6 @@ def learning_report(spark, sf):
     return rows.groupBy("strategy").agg(F.count("*").alias("seen"), F.count_if(F.col("score") == F.col("best")).alias("wins"), F.min("score").alias("least"), F.max("score").alias("most"), F.bround(F.avg("score"), 4).alias("mean"))
 
 
-@query("strategy_optimizer", "WITH c(config, w) AS (VALUES (1, 0.2), (2, 0.5), (3, 0.8)) SELECT config::INTEGER AS config, count(*) AS cases, count(*) FILTER ((length(text) * w > 700) = (quality = 1)) AS correct, round_even(count(*) FILTER ((length(text) * w > 700) = (quality = 1)) / count(*), 4) AS accuracy FROM labels JOIN documents USING (doc_id), c GROUP BY 1")
-def strategy_optimizer(spark, sf):
-    """Accuracy of three settings on the labelled cases; each case meets each of a fixed handful of settings."""
-    cases = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", F.length("text").alias("n")), "doc_id")
-    runs = cases.select("quality", "n", F.explode(F.array(*[F.struct(F.lit(i).alias("config"), F.lit(w).alias("w")) for i, w in ((1, 0.2), (2, 0.5), (3, 0.8))])).alias("c")).select("quality", "n", "c.*")
-    right = F.count_if((F.col("n") * F.col("w") > 700) == (F.col("quality") == 1))
-    return runs.groupBy("config").agg(F.count("*").alias("cases"), right.alias("correct"), F.bround(right / F.count("*"), 4).alias("accuracy"))
-
-
 @query("catalog_validate", f"WITH {MATCHED_SQL} SELECT lower(p_name) AS text, any_value(match_type) AS match_type, CASE WHEN any_value(brand) IS NULL THEN 'no_match' WHEN count(DISTINCT p_brand) > 1 THEN 'duplicate_string' ELSE 'ok' END AS issue, count(DISTINCT p_brand) AS filed_under FROM mt GROUP BY 1")
 def catalog_validate(spark, sf):
     """Where each verified text is filed, against what resolves now."""

@@ -319,18 +319,6 @@ def resolve_entities(spark, sf):
     return resolution.resolved(table(spark, sf, "part"), "p_name", verified(spark, sf), CATALOG, NAMES).select("p_partkey", "match.brand", "match_type")
 
 
-LADDER = [("PROMO", "DE", 1), ("PROMO", "Half DE", 2), ("PROMO", "AC", 3), ("SMALL", "AC", 1), ("SMALL", "GEM", 2), ("LARGE", "GEM", 1), ("LARGE", "Injector", 2), ("ECONOMY", "Injector", 1), ("ECONOMY", "DE", 2), ("STANDARD", "Half DE", 1), ("STANDARD", "DE", 2)]
-
-
-@query("blade_ctx", "WITH l(context, format, step) AS (VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in LADDER) + """), c AS (SELECT DISTINCT author, razor_format AS context, blade_format AS format, blade_model, length(blade_model)::INTEGER AS priority FROM posts),
-    j AS (SELECT author, context, step, priority, blade_model, format, row_number() OVER (PARTITION BY author, context ORDER BY step, priority, format, blade_model) AS k FROM c JOIN l USING (context, format)) SELECT author, context, step::INTEGER AS step, priority, format, blade_model FROM j WHERE k = 1""", posts=True)
-def blade_ctx(spark, sf):
-    """For each person and razor format, the blade whose format comes first on the ladder of that razor."""
-    ladder = spark.createDataFrame(LADDER, "context string, format string, step int")
-    candidates = posts(spark, sf).select("author", F.col("razor_format").alias("context"), F.col("blade_format").alias("format"), "blade_model", F.length("blade_model").alias("priority")).distinct()
-    return resolution.laddered(candidates, ladder, "context", ["author", "context"])
-
-
 @query("blade_pattern_score", """WITH d AS (SELECT DISTINCT p_type, p_name FROM part) SELECT p_type, p_name, p_type <> 'STANDARD' AS special, length(p_name) AS length, length(p_name) - length(replace(p_name, 'e', '')) AS metas, row_number() OVER (ORDER BY p_type = 'STANDARD', length(p_name) DESC, length(p_name) - length(replace(p_name, 'e', '')) DESC, p_name, p_type)::INTEGER AS priority FROM d""")
 def blade_pattern_score(spark, sf):
     """Order of a pattern dimension: special formats first, then length, then metacharacters. Only distinct names are put in one order."""
@@ -369,15 +357,6 @@ def soap_cascade(spark, sf):
 
 
 BRUSH_TEXT = "coalesce(handle_brand, 'Own') || CASE use_count % 4 WHEN 0 THEN ' w/ ' WHEN 1 THEN ' + ' WHEN 2 THEN ' with ' ELSE ' / ' END || knot_brand || ' ' || lower(fiber) || CASE WHEN use_count % 3 = 0 THEN ' ' || CAST(knot_size_mm AS VARCHAR(10)) || 'mm' WHEN use_count % 3 = 1 THEN ' 26x52' ELSE ' 24' END"
-DELIMITERS = (("w/", "high"), (" with ", "high"), (" in ", "high"), (" + ", "medium"), (" / ", "medium"), (" - ", "medium"))
-
-
-@query("auto_split", f"WITH t AS (SELECT DISTINCT {BRUSH_TEXT} AS t FROM posts), d(delimiter, confidence) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in DELIMITERS) + """)
-    SELECT t, delimiter, confidence, trim(substring(t, 1, instr(lower(t), delimiter) - 1)) AS handle, trim(substring(t, instr(lower(t), delimiter) + length(delimiter))) AS knot FROM t, d WHERE instr(lower(t), delimiter) > 1 AND instr(lower(t), delimiter) + length(delimiter) - 1 < length(t)""", posts=True)
-def auto_split(spark, sf):
-    texts = posts(spark, sf).select(F.expr(BRUSH_TEXT).alias("t")).distinct()
-    cuts = texts.select("t", F.explode(resolution.split_candidates(F.col("t"), DELIMITERS)).alias("c"))
-    return cuts.select("t", "c.delimiter", "c.confidence", F.col("c.left").alias("handle"), F.col("c.right").alias("knot"))
 
 
 def _fiber_sql(t: str) -> str:
@@ -416,40 +395,11 @@ def knot_match(spark, sf):
     return texts.join(known, "t", "left").select("t", F.coalesce(*[c for _, c in steps]).alias("knot"), F.coalesce(*[F.when(c.isNotNull(), n) for n, c in steps]).alias("strategy"))
 
 
-WEIGHTS = [("known", "exact", 10.0), ("known", "size", 2.0), ("split", "exact", 6.0), ("split", "fiber", 3.0), ("full", "fiber", 5.0)]
-BASES = [("known", 50.0), ("split", 48.0), ("full", 52.0)]
-STRATEGIES = "[('known', 1), ('split', 2), ('full', 3)]"
-
-
-@query("brush_score", "WITH w(strategy, modifier, weight) AS (VALUES " + ", ".join(f"('{a}', '{b}', {c})" for a, b, c in WEIGHTS) + "), base(strategy, base) AS (VALUES " + ", ".join(f"('{a}', {b})" for a, b in BASES) + """),
-    m AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s.strategy, s.ord, m.modifier, ((l_quantity + s.ord * m.n) % 7) / 7 AS value FROM lineitem, (VALUES ('known', 1), ('split', 2), ('full', 3)) s(strategy, ord), (VALUES ('exact', 1), ('size', 2), ('fiber', 3)) m(modifier, n)),
-    g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, m.strategy, ord, any_value(base)::DOUBLE + sum(value * coalesce(weight, 0))::DOUBLE AS score FROM m LEFT JOIN w ON m.strategy = w.strategy AND m.modifier = w.modifier JOIN base ON base.strategy = m.strategy GROUP BY 1, 2, 3, 4, 5, 6),
-    k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey ORDER BY round(score, 9) DESC, ord) AS k FROM g) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, strategy, round(score, 6) AS score FROM k WHERE k = 1""")
-def brush_score(spark, sf):
-    """Each row's three strategies with three modifiers, scored by weight; the best one stays."""
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    grid = [(s, o, m, n) for s, o in (("known", 1), ("split", 2), ("full", 3)) for m, n in (("exact", 1), ("size", 2), ("fiber", 3))]
-    cells = F.array(*[F.struct(F.lit(s).alias("strategy"), F.lit(o).alias("ord"), F.lit(m).alias("modifier"), ((F.col("l_quantity") + o * n) % 7 / 7).alias("value")) for s, o, m, n in grid])
-    rows = table(spark, sf, "lineitem").select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*")
-    weights, bases = spark.createDataFrame(WEIGHTS, "strategy string, modifier string, weight double"), spark.createDataFrame(BASES, "strategy string, base double")
-    scored = rows.join(weights, ["strategy", "modifier"], "left").groupBy(*keys, "strategy", "ord").agg(F.sum(F.col("value") * F.coalesce("weight", F.lit(0.0))).alias("_p"))
-    scored = scored.join(bases, "strategy").withColumn("score", F.round(F.col("base") + F.col("_p"), 9))
-    top = scored.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("ord")).alias("_o"), "strategy")).alias("_t"))
-    return top.select(*keys, "_t.strategy", F.round("_t.score", 6).alias("score"))
-
-
 @query("component_score", "SELECT id, (CASE WHEN handle_brand <> '' THEN 5 ELSE 0 END + CASE WHEN handle_model <> '' THEN 5 ELSE 0 END + CASE WHEN fiber <> '' THEN 5 ELSE 0 END + CASE WHEN knot_size_mm IS NOT NULL THEN 2 ELSE 0 END + CASE use_count % 3 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END)::INTEGER AS score FROM posts", posts=True)
 def component_score(spark, sf):
     return posts(spark, sf).select("id", resolution.component_score(F.col("handle_brand"), F.col("handle_model"), F.col("fiber"), F.col("knot_size_mm"), F.col("use_count") % 3).alias("score"))
 
 
-@query("conflict_detect", "SELECT author, month, count(DISTINCT razor_brand) > 1 AS brand, count(DISTINCT fiber) > 1 AS fiber, count(DISTINCT razor_format) > 1 AS format FROM posts GROUP BY 1, 2", posts=True)
-def conflict_detect(spark, sf):
-    """Fields that have several values among a group's candidates."""
-    many = lambda c: (F.count_distinct(c) > 1)
-    return posts(spark, sf).groupBy("author", "month").agg(many("razor_brand").alias("brand"), many("fiber").alias("fiber"), many("razor_format").alias("format"))
-
-
 @query("filtered_semi", "WITH f AS (SELECT DISTINCT lower(p_name) AS name FROM part WHERE p_size > 48) SELECT p_partkey, CASE WHEN lower(p_name) IN (SELECT name FROM f) THEN 'filtered' END AS match_type FROM part")
 def filtered_semi(spark, sf):
     parts = table(spark, sf, "part")
