@@ -1,4 +1,4 @@
-"""Text normalisation as Column functions. All but `clean_body` and `strip_soap_rules` run on the JVM."""
+"""Text normalisation as Column functions. All but `clean_body` run on the JVM."""
 
 from __future__ import annotations
 
@@ -26,7 +26,6 @@ USAGE = (
 )
 #: The same without look-ahead, as other regular expression engines take it: counts of at most three digits.
 PLAIN_USAGE = (rf"(?i)[(\[{{][ ]*(?:[0-9]{{1,3}}|[0-9]+x|x[0-9]+|[0-9]+[ ]+uses?|[0-9]+(?:st|nd|rd|th)(?:[ ]+(?:shave|use))?)[ ]*[)\]}}]", r"(?i)[ ]#[0-9]+")
-SOAP_SUFFIX = r"(?i)[\s\-]*\b(shav(e|ing)\s+)?(soap|cream|croap|stick|tube|puck|sample|tester)s?\s*[.!]*$"
 
 
 def _fold(text: Column, patterns: Sequence[str], to: str = "") -> Column:
@@ -115,56 +114,37 @@ def titled(name: Column) -> Column:
     return F.array_join(words, " ")
 
 
-def strip_soap_suffixes(text: Column, passes: int = 3) -> Column:
-    """Product words at the end, again and again as several may follow each other, then empty brackets."""
-    for _ in range(passes):
-        text = F.regexp_replace(text, SOAP_SUFFIX, "")
-    return one_space(F.regexp_replace(text, r"\(\s*\)|\[\s*\]", ""))
-
-
-def _soap_rules() -> list[re.Pattern]:
-    """Remarks in brackets, then words at the end, in the surveyed order."""
-    mark = r"\s*[.!?]*\s*$"
-    either = lambda word, end=mark: [rf"\s*-\s*{word}{end}", rf"\s+{word}{end}"]
-    samples, formats = ("sample", "tester", "samp", "smush"), ("cream", "gel", "foam", "puck", "stick", "croap", "soap")
-    remarks = [rf"{w}[^)]*" for w in samples] + [r"\d+oz", r"big\s+ass\s+og\s+\d+oz[^)]*", r"est\.\s*\d+[^)]*"]
-    remarks += [r"premium\s+base", r"luxury\s+base", r"omnibus\s+base", "milksteak", "tusk", "professional", r"tallow\s+base", r"tallow\s+formulation", "tallow", "vegan"]
-    rules = [rf"\s*\({r}\)\s*" for r in remarks]
-    rules += [rf"\s*-\s*{w}\s*$" for w in samples] + [rf"\s+{w}\s*$" for w in samples]
-    for verb in ("shaving", "shave"):
-        rules += [rf"\s*-\s*{verb}\s+{f}{mark}" for f in formats] + [rf"\s+{verb}\s+{f}{mark}" for f in formats]
-    for word in ("stick", "tube", "hard", r"crema\s+da\s+barba"):
-        rules += either(word)
-    # "soap" needs a dash, as makers' names end with it
-    rules.append(rf"\s*-\s*soap{mark}")
-    for word in ("cream", "gel", "foam", "puck", "croap"):
-        rules += either(word)
-    rules += [r"\s+crema\s+da\s+barba\s+", *either("omnibus", r"\s*$"), *either("shaving")]
-    return [re.compile(r, re.IGNORECASE) for r in rules]
-
-
-SOAP_RULES = _soap_rules()
-
-
-def plain_soap(text: str | None) -> str | None:
-    """A soap's text by all rules in order, again and again until nothing changes."""
-    if text is None or not text.strip():
-        return text
-    before = None
-    while before != text:
-        before = text
-        for rule in SOAP_RULES:
-            text = rule.sub("", text)
-        text = re.sub(r"\s+", " ", text)
-        text = re.sub(r"^\s*-\s*", "", re.sub(r"\s*-\s*$", "", text)).strip()
-    return text
+# What the text of a soap says beside its name.
+SAMPLES = ("samp", "sample", "smush", "tester")
+FORMS = ("cream", "croap", "foam", "gel", "puck", "stick")
+OTHER_ENDS = ("crema da barba", "hard", "omnibus", "shaving", "tube")
+BASES = ("luxury", "omnibus", "premium", "tallow")
+BASE_NAMES = ("milksteak", "professional", "tallow", "tusk", "vegan")
 
+#: Blanks, as all regular expression engines take them.
+_B = r"[ \t\r\n\f]"
 
-@F.pandas_udf(StringType())
-def strip_soap_rules(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Soap remarks and product words until nothing changes; a loop of unknown length, hence Arrow."""
-    for batch in batches:
-        yield batch.map(plain_soap)
+
+def _any(*words: str) -> str:
+    return "(?:" + "|".join(w.replace(" ", f"{_B}+") for w in words) + ")"
+
+
+#: A remark in brackets is on a sample, an amount, a year of foundation, or the base.
+SOAP_REMARK = rf"(?i){_B}*\({_B}*(?:{_any(*SAMPLES)}[^()]*|(?:[^()]*[^()0-9])?[0-9]+{_B}*oz\b[^()]*|est\.{_B}*[0-9]+[^()]*|{_any(*BASES)}{_B}+{_any('base', 'formulation')}|{_any(*BASE_NAMES)}){_B}*\){_B}*"
+#: Words at the end, any number of them: samples, forms with or without a verb, and others. Makers' names end with "soap", so that needs a dash or a verb.
+_FORM = rf"(?:shav(?:e|ing){_B}+{_any('soap', *FORMS)}|{_any(*FORMS, *OTHER_ENDS)}){_B}*[.!?]*"
+SOAP_END = rf"(?i)(?:[ \t\r\n\f-]+(?:{_any(*SAMPLES)}|{_FORM})|{_B}*-[ \t\r\n\f-]*soap{_B}*[.!?]*)+[ \t\r\n\f-]*$"
+SOAP_INSIDE = rf"(?i){_B}+{_any('crema da barba')}{_B}+"
+#: In this order, each with what takes its place. One pass is enough: nothing that goes last uncovers what goes first.
+SOAP_STEPS = ((SOAP_REMARK, " "), (SOAP_INSIDE, " "), (SOAP_END, ""), (r"^[ \t\r\n\f]*-[ \t\r\n\f-]*|[ \t\r\n\f-]*-[ \t\r\n\f]*$", ""))
+
+
+def strip_soap_rules(text: Column) -> Column:
+    """The maker and name of a soap without remarks in brackets and product words at the end, however many follow each other.
+
+    A remark within the text leaves one blank. Null stays null.
+    """
+    return one_space(functools.reduce(lambda c, step: F.regexp_replace(c, *step), SOAP_STEPS, text))
 
 
 def strip_end(text: Column) -> Column:

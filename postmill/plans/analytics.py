@@ -184,15 +184,22 @@ def soap_duplicates_full(spark, sf):
     return counted.select("maker", "name", "other_maker", "other_name", F.round("similarity", 3).alias("similarity"), (F.col("rows") + F.col("other_rows")).alias("rows"))
 
 
-@query("soap_neighbors", "WITH d AS (SELECT DISTINCT p_brand AS brand, p_name AS name FROM part), w AS (SELECT *, lag(name) OVER p AS a, lead(name) OVER p AS b FROM d WINDOW p AS (PARTITION BY brand ORDER BY name)) SELECT brand, name, round_even(greatest(coalesce(1.0 - levenshtein(name, a) / greatest(length(name), length(a)), 0), coalesce(1.0 - levenshtein(name, b) / greatest(length(name), length(b)), 0)), 4) AS similarity FROM w")
-def soap_neighbors(spark, sf):
-    """The larger of the likenesses to the names before and after within a brand."""
-    from pyspark.sql import Window
+_near = lambda side: f"CASE WHEN {side} IS NULL OR EXISTS (SELECT 1 FROM x WHERE (x.a = name AND x.b = {side}) OR (x.b = name AND x.a = {side})) THEN 0.0 ELSE 1.0 - levenshtein(name, {side})::DOUBLE / greatest(length(name), length({side})) END"
+_pass = lambda rows, more="": f"SELECT *, greatest({_near('before')}, {_near('after')}) AS likeness FROM (SELECT name{more}, lag(name) OVER (ORDER BY name) AS before, lead(name) OVER (ORDER BY name) AS after FROM {rows})"
+SOAP_NAME = "lower(p_brand || ' - ' || p_name)"
+
 
-    order = Window.partitionBy("brand").orderBy("name")
-    rows = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_name").alias("name")).distinct()
-    near = [F.coalesce(similarity.edit_ratio(F.col("name"), f("name").over(order)), F.lit(0.0)) for f in (F.lag, F.lead)]
-    return rows.select("brand", "name", F.bround(F.greatest(*near), 4).alias("similarity"))
+@query("soap_neighbors", f"""WITH x AS (SELECT DISTINCT lower(p.p_brand || ' - ' || p.p_name) AS a, lower(q.p_brand || ' - ' || q.p_name) AS b FROM part p JOIN part q ON p.p_brand = q.p_brand AND p.p_name < q.p_name WHERE p.p_size = 50 AND q.p_size > 48),
+    d AS (SELECT DISTINCT {SOAP_NAME} AS name FROM part), one AS ({_pass('d')}), k AS (SELECT name, likeness AS first_pass FROM one WHERE likeness >= 0.75), two AS ({_pass('k', ', first_pass')})
+    SELECT name, round_even(first_pass, 6) AS first_pass, before, after, round_even(likeness, 6) AS similarity FROM two""")
+def soap_neighbors(spark, sf):
+    """Products in one order with the likeness to their neighbours, known different pairs aside, and again among those that are like one."""
+    parts = table(spark, sf, "part")
+    name = F.expr(SOAP_NAME)
+    of = lambda c, as_: parts.where(c).select("p_brand", F.col("p_name").alias(f"n{as_}"), name.alias(as_)).distinct()
+    apart = of("p_size = 50", "a").join(of("p_size > 48", "b"), "p_brand").where("na < nb").select("a", "b")
+    found = similarity.sorted_neighbours(parts.select(name.alias("name")), "name", apart, 0.75)
+    return found.withColumns({c: F.bround(c, 6) for c in ("first_pass", "similarity")})
 
 
 @query("soap_clusters")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from postmill.operators import annual, periods
+from postmill.operators import annual, periods, similarity
 from postmill.operators.categories import SPECS, category_table
 from postmill.operators.ranking import limited_field, numbered, ranked, reranked, rows_with_capped_tie, rows_with_ties, tie_marks, within_ranks
 from postmill.plans.base import query
@@ -273,10 +273,9 @@ def observations(spark, sf):
 @query("neighbor_lag_lead", """WITH d AS (SELECT DISTINCT p_name AS name FROM part WHERE p_name IS NOT NULL), w AS (SELECT name, lag(name) OVER (ORDER BY name) AS before, lead(name) OVER (ORDER BY name) AS after FROM d)
     SELECT name, before, after, levenshtein(name, before)::INTEGER AS to_before, levenshtein(name, after)::INTEGER AS to_after FROM w""")
 def neighbor_lag_lead(spark, sf):
-    """Names in order with the edit distance to their neighbours. Only distinct names are put in one order."""
-    order = Window.orderBy("name")
+    """Names in order with the edit distance to their neighbours."""
     names = table(spark, sf, "part").select(F.col("p_name").alias("name")).where("name IS NOT NULL").distinct()
-    pairs = names.withColumns({"before": F.lag("name").over(order), "after": F.lead("name").over(order)})
+    pairs = similarity.with_neighbours(names, "name")
     return pairs.withColumns({"to_before": F.levenshtein("name", "before"), "to_after": F.levenshtein("name", "after")})
 
 

@@ -87,16 +87,25 @@ def strip_usage_counts_full(spark, sf):
     return posts(spark, sf).select("id", text.strip_usage(F.expr(COUNTED)).alias("text"))
 
 
-@query("norm_soap_suffix", """SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, p, ''), p, ''), p, ''), '\\([ ]*\\)|\\[[ ]*\\]', '', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g')) AS text
-    FROM (SELECT doc_id, source || ' shaving soap () sample.' AS t, '(?i)[ \\t\\r\\n\\-]*\\b(shav(e|ing)[ \\t]+)?(soap|cream|croap|stick|tube|puck|sample|tester)s?[ \\t]*[.!]*$' AS p FROM documents)""".replace("''), p, '')", "''), p, '')"))
+def _soap_sql(e: str) -> str:
+    for pattern, to in text.SOAP_STEPS:
+        e = f"regexp_replace({e}, '{pattern}', '{to}', 'g')"
+    return _trimmed(e)
+
+
+#: Soaps with remarks, several product words one behind the other, and dashes.
+SOAP_RAW = "CASE use_count % 7 WHEN 0 THEN soap_brand || ' Soap - ' || soap_scent || ' (sample, thanks) shaving cream!' WHEN 1 THEN soap_brand || ' - ' || soap_scent || ' cream stick - soap -' WHEN 2 THEN soap_brand || ' (tallow base) ' || soap_scent || ' - tester' WHEN 3 THEN soap_brand || ' ' || soap_scent || ' (my ' || use_count || 'oz tub) puck. hard tube' WHEN 4 THEN '- ' || soap_scent || ' (est. 1890) crema da barba' WHEN 5 THEN soap_brand || ' Shaving Soap' ELSE soap_brand || ' Soaps' END"
+
+
+@query("norm_soap_suffix", f"SELECT id, {_soap_sql(SOAP_RAW)} AS text FROM posts", posts=True)
 def norm_soap_suffix(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.strip_soap_suffixes(F.concat("source", F.lit(" shaving soap () sample."))).alias("text"))
+    return posts(spark, sf).select("id", text.strip_soap_rules(F.expr(SOAP_RAW)).alias("text"))
 
 
-@query("norm_soap_suffix_full")
+@query("norm_soap_suffix_full", f"SELECT doc_id, {_soap_sql('text')} AS text FROM documents")
 def norm_soap_suffix_full(spark, sf):
-    """All surveyed rules over the whole texts until nothing changes; other engines cannot loop so, and tests cover it."""
-    return table(spark, sf, "documents").select("doc_id", text.strip_soap_rules("text").alias("text"))
+    """The same over the whole texts of another table."""
+    return table(spark, sf, "documents").select("doc_id", text.strip_soap_rules(F.col("text")).alias("text"))
 
 
 @query("strip_trailing_punct", "SELECT doc_id, regexp_replace(text, '[.!,;: \\t\\r\\n]+$', '') AS text FROM documents")
