@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from postmill.functions import text
-from postmill.operators import resolution, similarity
+from postmill.operators import catalog, resolution, similarity, validation
 from postmill.operators.ranking import numbered
 from postmill.plans.base import query
-from postmill.plans.texts import BRUSH_TEXT, CATALOG, NAMES, VERIFIED_SQL, _fiber_sql, first_pattern_sql, verified
+from postmill.plans.texts import BRUSH_TEXT, CATALOG, CATALOG_SQL, NAMES, PRODUCT, VERIFIED_SQL, _fiber_sql, catalog_best_sql, first_pattern_sql, made_catalog, verified
 from postmill.sources import store
 from postmill.sources.posts import posts, table
 
@@ -133,11 +135,30 @@ def learning_report(spark, sf):
     return rows.groupBy("strategy").agg(F.count("*").alias("seen"), F.count_if(F.col("score") == F.col("best")).alias("wins"), F.min("score").alias("least"), F.max("score").alias("most"), F.bround(F.avg("score"), 4).alias("mean"))
 
 
-@query("catalog_validate", f"WITH {MATCHED_SQL} SELECT lower(p_name) AS text, any_value(match_type) AS match_type, CASE WHEN any_value(brand) IS NULL THEN 'no_match' WHEN count(DISTINCT p_brand) > 1 THEN 'duplicate_string' ELSE 'ok' END AS issue, count(DISTINCT p_brand) AS filed_under FROM mt GROUP BY 1")
+#: Filed entries: what resolved once, with values changed, fields taken away, texts that are gone, and capitals, by size.
+FILED_SQL = f"""{CATALOG_SQL}, t AS (SELECT DISTINCT {PRODUCT} AS t, p_size FROM part), b AS {catalog_best_sql('t')},
+    now AS (SELECT t, m.brand AS brand, m.model AS model FROM b),
+    filed AS (SELECT DISTINCT CASE WHEN p_size % 2 = 0 THEN 'whole' ELSE 'parts' END AS section, CASE WHEN p_size % 13 = 0 THEN 'gone ' || t WHEN p_size % 3 = 0 THEN upper(t) ELSE t END AS text, CASE WHEN p_size % 9 = 0 THEN 'Other' ELSE brand END AS brand, CASE WHEN p_size % 11 = 0 THEN NULL ELSE model END AS model FROM t LEFT JOIN now USING (t) WHERE p_size > 35)"""
+
+
+@query("catalog_validate", f"""WITH {FILED_SQL}, k AS (SELECT lower(text) AS key, section, count(*) AS times FROM filed GROUP BY 1, 2), s AS (SELECT key, list_sort(list(section)) AS sections FROM k GROUP BY 1),
+    g AS (SELECT DISTINCT lower(text) AS t FROM filed), gb AS {catalog_best_sql('g')},
+    r AS (SELECT f.*, times, sections, gb.m.brand AS nb, gb.m.model AS nm, gb.t IS NULL AS gone FROM filed f JOIN k ON k.key = lower(f.text) AND k.section = f.section JOIN s ON s.key = lower(f.text) LEFT JOIN gb ON gb.t = lower(f.text)),
+    d AS (SELECT *, concat_ws(',', CASE WHEN (brand IS NULL) <> (nb IS NULL) THEN 'brand' END, CASE WHEN (model IS NULL) <> (nm IS NULL) THEN 'model' END) AS changed, concat_ws(',', CASE WHEN lower(brand) <> lower(nb) THEN 'brand' END, CASE WHEN lower(model) <> lower(nm) THEN 'model' END) AS differ FROM r)
+    SELECT section, text, 'no_match' AS issue, '' AS detail FROM d WHERE gone UNION ALL SELECT section, text, 'structural_change', changed FROM d WHERE NOT gone AND changed <> '' UNION ALL SELECT section, text, 'data_mismatch', differ FROM d WHERE NOT gone AND differ <> ''
+    UNION ALL SELECT section, text, 'duplicate_string', times::VARCHAR FROM d WHERE times > 1 UNION ALL SELECT section, text, 'cross_section_conflict', array_to_string(sections, ',') FROM d WHERE len(sections) > 1""")
 def catalog_validate(spark, sf):
-    """Where each verified text is filed, against what resolves now."""
-    brands = F.count_distinct("p_brand")
-    return matched(spark, sf).groupBy(F.lower("p_name").alias("text")).agg(F.first("match_type").alias("match_type"), F.when(F.first("brand").isNull(), "no_match").when(brands > 1, "duplicate_string").otherwise("ok").alias("issue"), brands.alias("filed_under"))
+    """Filed entries against what their texts resolve to now, by a catalog of thousands of patterns."""
+    size, t = F.col("p_size"), F.col("t")
+    index = catalog.catalog_frame(spark, made_catalog())
+    texts = table(spark, sf, "part").select(F.expr(PRODUCT).alias("t"), "p_size").distinct().where(size > 35)
+    once = texts.join(catalog.matched(texts, index, "t", NAMES), "t", "left")
+    filed = once.select(
+        F.when(size % 2 == 0, "whole").otherwise("parts").alias("section"), F.when(size % 13 == 0, F.concat(F.lit("gone "), t)).when(size % 3 == 0, F.upper(t)).otherwise(t).alias("text"),
+        F.when(size % 9 == 0, "Other").otherwise(F.col("match.brand")).alias("brand"), F.when(size % 11 != 0, F.col("match.model")).alias("model"),
+    ).distinct()
+    found = catalog.matched(filed.select(F.lower("text").alias("text")), index, "text", NAMES).select("text", "match.brand", "match.model")
+    return validation.filed_issues(filed, found, ["brand", "model"])
 
 
 @query("duplicate_strings", "SELECT lower(p_name) AS text, count(DISTINCT p_brand) AS sections, array_to_string(list_sort(list(DISTINCT p_brand)), ',') AS names FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1")
@@ -212,8 +233,8 @@ def soap_clusters(spark, sf):
 def fuzzy_align(spark, sf):
     """Each part's best catalog names by 0.6 brand and 0.4 sorted words, of all catalog entries; tests have a plain version."""
     parts = table(spark, sf, "part").select("p_brand", "p_name").distinct()
-    catalog = parts.where("length(p_name) % 3 = 0").select(F.col("p_brand").alias("c_brand"), F.col("p_name").alias("c_name"))
-    return numbered(similarity.aligned(parts, catalog, 60.0), [F.desc("score"), F.asc("c_brand"), F.asc("c_name")], ["p_brand", "p_name"]).where("rank <= 3")
+    known = parts.where("length(p_name) % 3 = 0").select(F.col("p_brand").alias("c_brand"), F.col("p_name").alias("c_name"))
+    return numbered(similarity.aligned(parts, known, 60.0), [F.desc("score"), F.asc("c_brand"), F.asc("c_name")], ["p_brand", "p_name"]).where("rank <= 3")
 
 
 @query("non_match_filter", "SELECT DISTINCT p_brand, p_name FROM part WHERE (p_brand, p_name) NOT IN (SELECT p_brand, p_name FROM part WHERE p_size = 50)")
@@ -285,10 +306,19 @@ def thread_overrides(spark, sf):
     return store.with_thread_overrides(pick("o_orderstatus = 'F'"), pick("o_orderkey % 7 = 0"), pick("o_orderpriority = '1-URGENT'"), "o_orderkey")
 
 
-@query("scan_year", "SELECT month, count(*) AS posts FROM posts WHERE year = 2000 GROUP BY 1", posts=True)
+@query("scan_year", """WITH m AS (SELECT '2000-' || lpad(i::VARCHAR, 2, '0') AS month, i FROM range(1, 13) r(i)), p AS (SELECT month, count(*) AS posts, count(DISTINCT author) AS people FROM posts WHERE year = 2000 GROUP BY 1)
+    SELECT month, CASE WHEN posts IS NULL OR i % 5 = 0 THEN 'missing' WHEN i % 4 = 1 THEN 'corrupt' ELSE 'included' END AS status, CASE WHEN posts IS NULL OR i % 5 = 0 THEN 0 ELSE posts END AS rows, CASE WHEN posts IS NOT NULL AND i % 5 <> 0 AND i % 4 <> 1 THEN people END AS people FROM m LEFT JOIN p USING (month)""", posts=True)
 def scan_year(spark, sf):
-    """A year of the view; only its folder is read."""
-    return posts(spark, sf).where("year = 2000").groupBy("month").agg(F.count("*").alias("posts"))
+    """A year of month files, of which some are missing and some are broken: what became of each month, and the people of the whole ones."""
+    place = f"{store.shared_folder(spark)}/year-{uuid.uuid4().hex}"
+    number = F.split_part("month", F.lit("-"), F.lit(2)).cast("int")
+    rows = posts(spark, sf).where("year = 2000").where(number % 5 != 0).select("month", "id", "author", "use_count")
+    store.write_month_json(rows, place)
+    broken = rows.where(number % 4 == 1).select("month", F.substring(F.to_json(F.struct("id", "author")), 1, 9).alias("value"))
+    broken.write.mode("append").partitionBy("month").text(place)
+    whole, report = store.read_year(spark, place, 2000, "id string, author string, use_count int")
+    people = whole.groupBy("month").agg(F.count_distinct("author").alias("people"))
+    return report.join(people, "month", "left").select("month", "status", "rows", "people")
 
 
 # ---- script-level reports ---------------------------------------------------------------------------------------

@@ -46,6 +46,4 @@ def stream_once(spark, sf):
 def stream_upsert(spark, sf):
     place = _place(spark)
     streams.upsert_into(_events(spark, sf), f"{place}/table", f"{place}/checkpoint").awaitTermination()
-    versions = spark.read.parquet(f"{place}/table")
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == newest).select("event_id", "user_id", "event_type")
+    return streams.newest(spark.read.parquet(f"{place}/table")).select("event_id", "user_id", "event_type")

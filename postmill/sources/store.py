@@ -40,6 +40,24 @@ def read_month_rows(spark: SparkSession, path: str, record: str) -> DataFrame:
     return spark.read.schema(f"{record}, month string").json(path)
 
 
+def read_year(spark: SparkSession, path: str, year: int, record: str) -> tuple[DataFrame, DataFrame]:
+    """A year of such folders: the rows of its whole months, and of each of the twelve months (month, status, rows, broken_files).
+
+    A month is `included`, `missing` without a folder, or `corrupt` where a file holds what is no record; a corrupt month
+    gives no rows, and the others are read all the same. broken_files names those files, and rows counts what could be read.
+    """
+    schema = f"{record}, _corrupt_record string, month string"
+    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path).where(F.col("month").startswith(f"{year}-"))
+    names = [f.name for f in StructType.fromDDL(record)]
+    marked = lines.select("month", *names, F.when(F.col("_corrupt_record").isNotNull(), F.col("_metadata.file_name")).alias("_broken"))
+    # a month has a handful of files
+    seen = marked.groupBy("month").agg(F.count_if(F.col("_broken").isNull() & F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()).alias("rows"), F.sort_array(F.collect_set("_broken")).alias("broken_files"))
+    months = spark.range(1, 13).select(F.format_string("%d-%02d", F.lit(year), "id").alias("month"))
+    status = F.when(F.col("rows").isNull(), "missing").when(F.size("broken_files") > 0, "corrupt").otherwise("included")
+    report = months.join(seen, "month", "left").select("month", status.alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("broken_files", F.array().cast("array<string>")).alias("broken_files"))
+    return marked.drop("_broken").join(report.where("status = 'included'").select("month"), "month", "left_semi"), report
+
+
 def write_months(frame: DataFrame, path: str, month: str = "month") -> None:
     """Replace only those months of a table that the frame has."""
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from postmill.sources.store import upsert
 
@@ -41,15 +42,34 @@ def once(events: DataFrame, key: str = "event_id", stamp: str = "ts") -> DataFra
     return events.withWatermark(stamp, LATE).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_into(events: DataFrame, path: str, checkpoint: str, key: str = "event_id", stamp: str = "ts") -> StreamingQuery:
-    """Merge each micro-batch into a table of versions, so that a failed batch can run again.
+#: Keys of a bucket: a batch rewrites the buckets of its keys and no others.
+BUCKET = 1_000
 
-    A batch reads the version before it and writes its own, named by its number; a rerun overwrites the same version.
+
+def newest(table: DataFrame, before: int | None = None) -> DataFrame:
+    """The rows of the newest version of each bucket, of those before a version if one is given."""
+    versions = table if before is None else table.where(F.col("version") < before)
+    last = versions.groupBy("bucket").agg(F.max("version").alias("version"))
+    return versions.join(last, ["bucket", "version"], "left_semi")
+
+
+def upsert_into(events: DataFrame, path: str, checkpoint: str, key: str = "event_id", stamp: str = "ts", width: int = BUCKET) -> StreamingQuery:
+    """Merge each micro-batch into a table in buckets of neighbouring keys, so that a batch rewrites only what it touches.
+
+    A batch reads the newest versions of its own buckets and writes these under its number; other buckets stay as they
+    are. A batch that runs again reads older versions only and overwrites its own, so it gives the same. `newest` reads
+    the table.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        newest = batch.sparkSession.createDataFrame([], batch.schema) if number == 0 else batch.sparkSession.read.parquet(f"{path}/version={number - 1}").select(*batch.columns)
-        upsert(newest, batch, key, stamp).write.mode("overwrite").parquet(f"{path}/version={number}")
+        spark, batch = batch.sparkSession, batch.withColumn("bucket", F.floor(F.col(key) / width))
+        if number:
+            schema = StructType([*batch.schema.fields, StructField("version", IntegerType())])
+            held = newest(spark.read.schema(schema).parquet(path), number).join(batch.select("bucket").distinct(), "bucket", "left_semi")
+            merged = upsert(held.select(*batch.columns), batch, key, stamp)
+        else:
+            merged = upsert(batch.limit(0), batch, key, stamp)
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number}")
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
