@@ -63,11 +63,15 @@ def catalog_frame(spark: SparkSession, patterns: Sequence[Pattern]) -> DataFrame
     return spark.createDataFrame(rows, SCHEMA)
 
 
+#: Bytes of YAML that a driver parses.
+LARGEST = 64 << 20
+
+
 def read_catalog(spark: SparkSession, path: str, levels: Sequence[str] = ("brand", "model")) -> list[Pattern]:
     """Patterns of YAML files: nested names, one level each, down to mappings with a list `patterns`; other plain values are attributes.
 
     Texts are brought to composed Unicode form. A name that comes twice in one mapping is an error. Files are read through
-    Spark, so they can lie wherever tables do; a catalog is parsed on the driver.
+    Spark, so they can lie wherever tables do; a catalog is parsed on the driver, and one above LARGEST is an error.
     """
     import yaml
 
@@ -92,10 +96,26 @@ def read_catalog(spark: SparkSession, path: str, levels: Sequence[str] = ("brand
             if isinstance(below, Mapping):
                 yield from entries(below, (*names, str(name)), {**known, **({"section": str(section)} if section else {})})
 
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), "value").orderBy("f").collect()
+    texts = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), "value")
+    if (texts.agg(F.sum(F.octet_length("value"))).first()[0] or 0) > LARGEST:
+        raise ValueError(f"more than {LARGEST} bytes of catalog")
+    files = texts.orderBy("f").collect()
     return [p for r in files for p in entries(yaml.load(unicodedata.normalize("NFC", r["value"]), Loader) or {}, (), {})]
 
 
+def name_catalog(names: DataFrame, name: str, attributes: Sequence[str], section: Column | None = None) -> DataFrame:
+    """A catalog out of rows: each name, as a whole and in any case, is a pattern; attributes and section come from its row.
+
+    Rows may be as many as there are names. Equal lengths of one section go by attributes, then by pattern.
+    """
+    low = F.lower(name)
+    quoted = F.regexp_replace(low, r"([^a-z0-9 ])", r"\\$1")
+    pattern = F.concat(F.lit("(^|[^a-z0-9])"), quoted, F.lit("([^a-z0-9]|$)"))
+    values = F.create_map(*[x for a in attributes for x in (F.lit(a), F.col(a).cast("string"))])
+    filled = names.where(F.length(name) > 0)
+    return filled.select(F.lit(0).alias("ord"), (F.lit(0) if section is None else section).cast("int").alias("section"), pattern.alias("pattern"), F.filter(text_grams(low), lambda g: g != "").alias("grams"), values.alias("attributes"))
+
+
 def text_grams(text: Column) -> Column:
     """Distinct three-letter grams of a text in lower case, and the empty one, under which patterns without grams are filed."""
     low = F.lower(text)
@@ -111,9 +131,9 @@ def candidates(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[
     distinct = texts.select(F.col(text).alias("_t")).where("_t IS NOT NULL").distinct()
     spread = distinct.select("_t", F.explode(text_grams(F.col("_t"))).alias("_gram"))
     counts = spread.groupBy("_gram").agg(F.count("*").alias("_n"))
-    filed = catalog.select("ord", F.explode(F.when(F.size("grams") > 0, F.col("grams")).otherwise(F.array(F.lit("")))).alias("_gram"))
-    filed = filed.join(counts, "_gram", "left").groupBy("ord").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
-    indexed = catalog.join(filed, "ord").select("_gram", "section", (-F.length("pattern")).alias("less"), "ord", "pattern", *[F.col("attributes")[n].alias(n) for n in names])
+    filed = catalog.select("pattern", F.explode(F.when(F.size("grams") > 0, F.col("grams")).otherwise(F.array(F.lit("")))).alias("_gram")).distinct()
+    filed = filed.join(counts, "_gram", "left").groupBy("pattern").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
+    indexed = catalog.join(filed, "pattern").select("_gram", "section", (-F.length("pattern")).alias("less"), "ord", "pattern", *[F.col("attributes")[n].alias(n) for n in names])
     fits = spread.join(indexed, "_gram").where(F.regexp_like("_t", F.concat(F.lit("(?i)"), "pattern")))
     return fits.select(F.col("_t").alias(text), "section", "less", "ord", "pattern", *names)
 

@@ -56,15 +56,30 @@ def compatibility(razor: Column, blade: Column) -> Column:
     )
 
 
-GRINDS = ("full hollow", "extra hollow", "half hollow", "quarter hollow", "wedge", "frameback")
-POINTS = ("barber's notch", "round", "square", "spike", "french")
+# Quarters of a hollow by number, kinds of hollows and other grinds, and points.
+QUARTERS = ("quarter", "half", "three quarter", "full")
+HOLLOWS = ("extra", "full", "pretty", "three quarter", "half", "quarter")
+POINTS, PLAIN_POINTS = ("round", "square", "spike", "french", "spanish", "spear"), ("round", "square", "spike")
 
 
-def _listed(text: Column, names: tuple[str, ...]) -> Column:
+def _title(name: str) -> str:
+    return " ".join(w.capitalize() for w in name.split())
+
+
+#: Grinds and points by the first expression that fits a text in lower case: the more special ones come first.
+GRIND_FORMS = (
+    *((rf"\b{n}/4[ ]*hollow\b", _title(f"{q} hollow")) for n, q in enumerate(QUARTERS, 1)),
+    *((rf"\b{h.replace(' ', '[ ]*')}[ ]*hollow\b", _title(f"{h} hollow")) for h in HOLLOWS),
+    (r"\bhollow\b", "Hollow"), (r"\bnear[ ]*wedge\b", "Near Wedge"), (r"\bwedge\b", "Wedge"), (r"\bframeback\b", "Frameback"),
+)
+POINT_FORMS = (*((rf"\b{p}[ ]*(?:point|tip)\b", _title(p)) for p in POINTS), (r"\bbarber.?s[ ]*notch\b", "Barber's Notch"), *((rf"\b{p}\b", _title(p)) for p in PLAIN_POINTS))
+
+
+def _first_form(text: Column, forms: tuple[tuple[str, str], ...]) -> Column:
     t = F.lower(text)
     out = F.lit(None).cast("string")
-    for name in reversed(names):
-        out = F.when(t.contains(name), F.initcap(F.lit(name))).otherwise(out)
+    for pattern, name in reversed(forms):
+        out = F.when(t.rlike(pattern), F.lit(name)).otherwise(out)
     return out
 
 
@@ -72,7 +87,7 @@ def straight_razor(text: Column) -> Column:
     """Struct of width in eighths, grind, point and steel; steel is carbon unless stainless is named."""
     width = F.nullif(F.regexp_extract(text, r"\b([0-9]{1,2}/(?:8|16))\b", 1), F.lit(""))
     steel = F.when(F.lower(text).contains("stainless"), "Stainless").otherwise("Carbon")
-    return F.struct(width.alias("width"), _listed(text, GRINDS).alias("grind"), _listed(text, POINTS).alias("point"), steel.alias("steel"))
+    return F.struct(width.alias("width"), _first_form(text, GRIND_FORMS).alias("grind"), _first_form(text, POINT_FORMS).alias("point"), steel.alias("steel"))
 
 
 def plates(text: Column) -> Column:

@@ -48,13 +48,27 @@ def resolved(rows: DataFrame, text: str, lookup: DataFrame, patterns: Sequence[P
     return rows.withColumn("_key", F.lower(text)).join(found, "_key", "left").drop("_key")
 
 
+# Words of each fibre, and of mixtures.
+_BADGER, _BOAR, _HORSE, _SYNTHETIC = r"badg(?:er)?", r"(?:boar|shoat)", r"horse(?:hair)?", r"syn(?:th(?:etic)?)?"
+SYNTHETIC_WORDS = ("synt", "synbad", "acrylic", "nylon", "fibre", "faux (?:horse|boar|badger)", "timber", "tuxedo", "cashmere", "plissoft", "trafalgar", "quartermoon", "mother ?(?:lode|load)", "g5[abc]", r"\b[gt][0-9]\b")
+BADGER_WORDS = ("badger", "silvertip", "(?:2|3|two|three)[ -]*band", "high.?mo(?:untain)?", "gelo", "finest", "ultralux", "[fm]anchuria")
+
+
+def _mixture(a: str, b: str) -> str:
+    joint = "[ ]*[/+&-][ ]*"
+    return f"{a}{joint}{b}|{b}{joint}{a}"
+
+
 #: Fibre by the first expression that fits; mixtures come before pure ones.
 FIBERS = (
-    ("Mixed", r"(badger|boar|horse)[ ]*[/+&-][ ]*(badger|boar|horse|synth)|hybrid|mixed|fusion"),
-    ("Synthetic", r"synt|tuxedo|cashmere|timber|plissoft|faux|g5[abc]|nylon|acrylic"),
-    ("Badger", r"badger|silvertip|two[ -]?band|2[ -]?band|3[ -]?band|finest|manchuria"),
-    ("Boar", r"\bboar\b"),
-    ("Horse", r"\bhorse(hair)?\b"),
+    ("Mixed Badger/Synthetic", _mixture(_BADGER, _SYNTHETIC)),
+    ("Mixed Badger/Horse", _mixture(_BADGER, _HORSE)),
+    ("Mixed Boar/Horse", _mixture(_BOAR, _HORSE)),
+    ("Mixed Badger/Boar", f"{_mixture(_BADGER, _BOAR)}|hybrid|mixed|fusion"),
+    ("Synthetic", "|".join(SYNTHETIC_WORDS)),
+    ("Badger", "|".join(BADGER_WORDS)),
+    ("Boar", r"\b(?:boar|shoat)\b"),
+    ("Horse", r"\bhorse(?:hair)?\b"),
 )
 
 

@@ -46,12 +46,20 @@ def unmatched(spark, sf):
     return rows.groupBy("text").agg(F.count("*").alias("parts")).join(few, "text")
 
 
-MISMATCH_SQL = f"{MATCHED_SQL}, mm AS (SELECT *, levenshtein(lower(p_name), lower(model)) AS distance, {' + '.join(f'''regexp_matches(p_name, '(?i){p.pattern}')::INTEGER''' for p in CATALOG)} AS hits FROM mt)"
+#: Entries that several texts may fit: names of some parts, and what is left of others without the first word.
+KNOWN_SQL = "k AS (SELECT DISTINCT lower(p_name) AS name FROM part WHERE p_size % 7 = 0 UNION SELECT DISTINCT lower(split_part(p_name, ' ', 2)) FROM part WHERE p_size > 48 AND split_part(p_name, ' ', 2) <> ''), kh AS (SELECT t, count(*) AS hits FROM (SELECT DISTINCT lower(p_name) AS t FROM part) x JOIN k ON regexp_matches(t, '(^|[^a-z0-9])' || name || '([^a-z0-9]|$)') GROUP BY t)"
+MISMATCH_SQL = f"{MATCHED_SQL}, {KNOWN_SQL}, mm AS (SELECT mt.*, levenshtein(lower(p_name), lower(model)) AS distance, coalesce(hits, 0) AS hits FROM mt LEFT JOIN kh ON t = lower(p_name))"
 
 
 def _mismatch(spark, sf):
-    hits = sum((F.col("p_name").rlike("(?i)" + p.pattern).cast("int") for p in CATALOG), F.lit(0))
-    return matched(spark, sf).withColumns({"distance": F.levenshtein(F.lower("p_name"), F.lower("model")), "hits": hits})
+    """Matches with the distance between text and model, and how many entries of a catalog made from the table fit."""
+    parts = table(spark, sf, "part")
+    rest = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
+    known = parts.where("p_size % 7 = 0").select(F.lower("p_name").alias("name")).union(parts.where("p_size > 48").select(F.lower(rest))).distinct()
+    fits = catalog.candidates(parts.select(F.lower("p_name").alias("t")), catalog.name_catalog(known, "name", ["name"]), "t", ["name"])
+    hits = fits.groupBy("t").agg(F.count("*").alias("hits"))
+    rows = matched(spark, sf).join(hits, F.lower("p_name") == F.col("t"), "left")
+    return rows.withColumns({"distance": F.levenshtein(F.lower("p_name"), F.lower("model")), "hits": F.coalesce("hits", F.lit(0))})
 
 
 @query("mismatch", f"WITH {MISMATCH_SQL} SELECT p_partkey, concat_ws(',', CASE WHEN match_type = 'exact' THEN 'confirmed' END, CASE WHEN distance > 5 THEN 'levenshtein' END, CASE WHEN distance <= 5 THEN 'good' END, CASE WHEN hits > 1 THEN 'multi_pattern' END, CASE WHEN match_type IS NULL THEN 'low_confidence' END) AS buckets FROM mm")
@@ -99,11 +107,15 @@ def catalog_quality(spark, sf):
     return table(spark, sf, "part").groupBy(F.col("p_brand").alias("brand"), F.when(fields == 4, "complete").when(fields >= 2, "partial").otherwise("poor").alias("tier")).agg(F.count("*").alias("parts"))
 
 
-@query("pattern_specificity", "WITH p(pattern) AS (VALUES " + ", ".join(f"('{p.pattern}')" for p in CATALOG) + ") SELECT pattern, (length(pattern) + CASE WHEN contains(pattern, '^') THEN 10 ELSE 0 END - CASE WHEN contains(pattern, '.*') THEN 5 ELSE 0 END + CASE WHEN contains(pattern, '(') THEN 3 ELSE 0 END)::INTEGER AS specificity FROM p")
+SPECIFIED = "CASE p_size % 4 WHEN 0 THEN '^' || lower(p_name) WHEN 1 THEN replace(lower(p_name), ' ', '.*') WHEN 2 THEN '(' || replace(lower(p_name), ' ', '|') || ')' ELSE lower(p_brand || ' ' || p_name) END"
+
+
+@query("pattern_specificity", f"WITH p AS (SELECT {SPECIFIED} AS pattern, count(*) AS entries FROM part GROUP BY 1) SELECT pattern, entries, (length(pattern) + CASE WHEN contains(pattern, '^') THEN 10 ELSE 0 END - CASE WHEN contains(pattern, '.*') THEN 5 ELSE 0 END + CASE WHEN contains(pattern, '(') THEN 3 ELSE 0 END)::INTEGER AS specificity FROM p")
 def pattern_specificity(spark, sf):
-    rows = spark.createDataFrame([(p.pattern,) for p in CATALOG], "pattern string")
+    """How special the patterns of a table of entries are."""
+    rows = table(spark, sf, "part").groupBy(F.expr(SPECIFIED).alias("pattern")).agg(F.count("*").alias("entries"))
     add = lambda mark, n: F.when(F.contains("pattern", F.lit(mark)), n).otherwise(0)
-    return rows.select("pattern", (F.length("pattern") + add("^", 10) + add(".*", -5) + add("(", 3)).alias("specificity"))
+    return rows.select("pattern", "entries", (F.length("pattern") + add("^", 10) + add(".*", -5) + add("(", 3)).alias("specificity"))
 
 
 @query("validation_counts", f"WITH t AS (SELECT DISTINCT {BRUSH_TEXT} AS t FROM posts), d AS (SELECT DISTINCT t FROM (SELECT {BRUSH_TEXT} AS t, use_count FROM posts) WHERE use_count > 40) SELECT count(*) AS texts, count(d.t) AS processed, count(*) - count(d.t) AS open, round_even(100.0 * count(d.t) / count(*), 2) AS rate FROM t LEFT JOIN d USING (t)", posts=True)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postmill.functions import text
-from postmill.operators import catalog, extraction, periods, resolution
+from postmill.operators import brushes, catalog, extraction, periods, resolution
 from postmill.operators.ranking import ranked
 from postmill.plans.base import query
-from postmill.plans.texts import BLADE, BODIES_SQL, BRUSH_TEXT, COUNTED, ENTRIES, NAMES, RAZOR, _trimmed, bodies, catalog_best_sql, first_pattern_sql
+from postmill.plans.brushes import CUTS_SQL
+from postmill.plans.texts import BLADE, BODIES_SQL, BRUSH_TEXT, COUNTED, ENTRIES, NAMES, RAZOR, _trimmed, bodies, catalog_best_sql
 from postmill.sources import store
 from postmill.sources.posts import posts, table
 
@@ -77,9 +78,6 @@ def false_positive_guard(spark, sf):
 
 # ---- brush parts ------------------------------------------------------------------------------------------------
 
-HANDLES = tuple(resolution.Pattern(p, {"brand": b}, s) for p, b, s in (("brand#1[0-9]", "First Turners", 1), ("brand#[2-4]", "Second Turners", 2), ("^own", "Own", 3), ("brand#", "Other Turners", 3)))
-KNOTS = tuple(resolution.Pattern(p, {"brand": b}) for p, b in (("knot 1( |$)", "Knot One"), ("knot [2-9]", "Other Knot")))
-KNOWN = tuple(resolution.Pattern(p, {"brand": b, "model": m, "handle": h}) for p, b, m, h in (("knot 1 .*badger", "Known One", "Badger", "Own"), ("knot 2 .*boar", "Known Two", "Boar", "Turned"), ("knot 3", "Known Three", "Three", "Turned")))
 TEXTS_SQL = f"t AS (SELECT DISTINCT {BRUSH_TEXT} AS t FROM posts)"
 
 
@@ -103,34 +101,74 @@ def handle_match(spark, sf):
     return texts.join(found, "t", "left").select("t", "match.brand", "match.model", "match.pattern")
 
 
-@query("known_brush", f"WITH {TEXTS_SQL} SELECT t, {', '.join(f'{first_pattern_sql('t', KNOWN, n)} AS {n}' for n in ('brand', 'model', 'handle'))} FROM t", posts=True)
+def _named_sql(names: str, texts: str, fields: str) -> str:
+    """Of each text t the entry of a table with name and fields whose name it holds as a whole: the longest, then the least."""
+    return f"(SELECT t, arg_min({{{', '.join(f'{f}: {f}' for f in fields.split(', '))}}}, [(-length(name))::VARCHAR, {fields}]) AS m FROM (SELECT DISTINCT t FROM {texts}) x JOIN {names} ON contains(lower(t), name) AND regexp_matches(lower(t), '(^|[^a-z0-9])' || name || '([^a-z0-9]|$)') GROUP BY t)"
+
+
+KNOWN_SQL = "kb AS (SELECT lower(knot_brand || ' ' || fiber) AS name, knot_brand AS brand, fiber AS model, min(coalesce(handle_brand, 'Own')) AS handle FROM posts WHERE use_count % 4 = 1 AND knot_brand <> 'Knot 5' GROUP BY 1, 2, 3)"
+
+
+@query("known_brush", f"WITH {TEXTS_SQL}, {KNOWN_SQL}, d AS {_named_sql('kb', 't', 'brand, model, handle')} SELECT t.t, m.brand AS brand, m.model AS model, m.handle AS handle FROM t LEFT JOIN d USING (t)", posts=True)
 def known_brush(spark, sf):
-    """Known brushes, whose catalog entry also names the handle."""
-    names = ("brand", "model", "handle")
-    return brush_texts(spark, sf).select("t", resolution.first_pattern(F.col("t"), KNOWN, names).alias("k")).select("t", *[f"k.{n}" for n in names])
+    """Known brushes, whose entry also names the handle, out of a catalog that other posts make."""
+    made = posts(spark, sf).where("use_count % 4 = 1 AND knot_brand <> 'Knot 5'").groupBy(F.concat_ws(" ", F.lower("knot_brand"), F.lower("fiber")).alias("name"), F.col("knot_brand").alias("brand"), F.col("fiber").alias("model")).agg(F.min(F.coalesce("handle_brand", F.lit("Own"))).alias("handle"))
+    names, texts = ("brand", "model", "handle"), brush_texts(spark, sf)
+    found = catalog.matched(texts, catalog.name_catalog(made, "name", names), "t", names)
+    return texts.join(found, "t", "left").select("t", *[f"match.{n}" for n in names])
+
+
+#: Curated splits: texts of one use count, in capitals, of which those of one fibre must not be split.
+CURATED_SQL = f"cu AS (SELECT DISTINCT upper({BRUSH_TEXT}) AS entry, fiber = 'Boar' AS keep_whole FROM posts WHERE use_count = 12)"
+
+
+def curated(spark, sf):
+    return posts(spark, sf).where("use_count = 12").select(F.upper(F.expr(BRUSH_TEXT)).alias("entry"), (F.col("fiber") == "Boar").alias("keep_whole")).distinct()
 
 
-@query("known_split", f"WITH {TEXTS_SQL}, c AS (SELECT DISTINCT upper({BRUSH_TEXT}) AS entry FROM posts WHERE use_count = 12) SELECT t, trim(split_part(entry, ' W/ ', 1)) AS handle, trim(split_part(entry, ' W/ ', 2)) AS knot FROM t JOIN c ON lower(t) = lower(entry)", posts=True)
+@query("known_split", f"WITH {TEXTS_SQL}, {CURATED_SQL} SELECT t, trim(split_part(entry, ' W/ ', 1)) AS handle, trim(split_part(entry, ' W/ ', 2)) AS knot FROM t JOIN cu ON lower(t) = lower(entry) WHERE NOT keep_whole", posts=True)
 def known_split(spark, sf):
-    """Texts that a curated split has, in any case; the curated entries are those of one use count in capitals."""
-    entries = posts(spark, sf).where("use_count = 12").select(F.upper(F.expr(BRUSH_TEXT)).alias("entry")).distinct()
+    """Texts that a curated split has, in any case, but those that must not be split."""
     half = lambda n: F.trim(F.split_part(F.col("entry"), F.lit(" W/ "), F.lit(n)))
-    return brush_texts(spark, sf).join(entries, F.lower("t") == F.lower("entry")).select("t", half(1).alias("handle"), half(2).alias("knot"))
+    return brush_texts(spark, sf).join(curated(spark, sf).where("NOT keep_whole"), F.lower("t") == F.lower("entry")).select("t", half(1).alias("handle"), half(2).alias("knot"))
 
 
-@query("full_input", f"WITH {TEXTS_SQL}, m AS (SELECT t, {first_pattern_sql('t', HANDLES, 'brand')} AS handle, {first_pattern_sql('t', KNOTS, 'brand')} AS knot FROM t) SELECT *, CASE WHEN handle IS NOT NULL AND knot IS NOT NULL THEN 'both' WHEN handle IS NOT NULL THEN 'handle' WHEN knot IS NOT NULL THEN 'knot' END AS parts FROM m", posts=True)
+@query("splits_guard", f"WITH {TEXTS_SQL}, {CURATED_SQL}, {CUTS_SQL} SELECT t, count(*) AS cuts FROM cuts WHERE lower(t) NOT IN (SELECT lower(entry) FROM cu WHERE keep_whole) GROUP BY 1", posts=True)
+def splits_guard(spark, sf):
+    """How many ways there are to cut a text, of those that may be cut."""
+    whole = curated(spark, sf).where("keep_whole").select(F.lower("entry").alias("_e"))
+    texts = brush_texts(spark, sf).join(whole, F.lower("t") == F.col("_e"), "left_anti")
+    return texts.select("t", F.size(brushes.cuts(F.col("t"))).cast("long").alias("cuts")).where("cuts > 0")
+
+
+MAKERS_SQL = "hm AS (SELECT DISTINCT lower(p_brand) AS name, p_brand AS brand FROM part WHERE p_size % 5 <> 0 AND p_brand <> 'Brand#7'), km AS (SELECT DISTINCT lower(knot_brand) AS name, knot_brand AS brand FROM posts WHERE knot_brand <> 'Knot 4')"
+
+
+def _makers(spark, sf):
+    """Handle makers of the products, and knot makers of the posts, each with one that is not known."""
+    handles = table(spark, sf, "part").where("p_size % 5 <> 0 AND p_brand <> 'Brand#7'").select(F.lower("p_brand").alias("name"), F.col("p_brand").alias("brand")).distinct()
+    knots = posts(spark, sf).where("knot_brand <> 'Knot 4'").select(F.lower("knot_brand").alias("name"), F.col("knot_brand").alias("brand")).distinct()
+    return [catalog.name_catalog(m, "name", ["brand"]) for m in (handles, knots)]
+
+
+@query("full_input", f"WITH {TEXTS_SQL}, {MAKERS_SQL}, h AS {_named_sql('hm', 't', 'brand')}, k AS {_named_sql('km', 't', 'brand')}, m AS (SELECT t.t, h.m.brand AS handle, k.m.brand AS knot FROM t LEFT JOIN h ON h.t = t.t LEFT JOIN k ON k.t = t.t) SELECT *, CASE WHEN handle IS NOT NULL AND knot IS NOT NULL THEN 'both' WHEN handle IS NOT NULL THEN 'handle' WHEN knot IS NOT NULL THEN 'knot' END AS parts FROM m", posts=True)
 def full_input(spark, sf):
-    """Handle and knot both looked for in the whole text."""
-    found = brush_texts(spark, sf).select("t", resolution.first_pattern(F.col("t"), HANDLES, ("brand",))["brand"].alias("handle"), resolution.first_pattern(F.col("t"), KNOTS, ("brand",))["brand"].alias("knot"))
+    """Handle and knot both looked for in the whole text, among the makers of the tables."""
+    found = brush_texts(spark, sf)
+    for side, makers in zip(("handle", "knot"), _makers(spark, sf)):
+        mine = catalog.matched(brush_texts(spark, sf), makers, "t", ["brand"]).select("t", F.col("match.brand").alias(side))
+        found = found.join(mine, "t", "left")
     h, k = F.col("handle").isNotNull(), F.col("knot").isNotNull()
     return found.withColumn("parts", F.when(h & k, "both").when(h, "handle").when(k, "knot"))
 
 
-@query("other_brush", f"WITH {TEXTS_SQL} SELECT t, nullif(regexp_extract(t, '(?i)\\b(brand#[0-9]+)', 1), '') AS brand, try_cast(nullif(regexp_extract(t, '(?i)\\bknot ([0-9]+)', 1), '') AS INTEGER) AS model FROM t", posts=True)
+@query("other_brush", f"WITH {TEXTS_SQL}, {MAKERS_SQL}, h AS {_named_sql('hm', 't', 'brand')} SELECT t.t, h.m.brand AS brand, CASE WHEN h.m IS NOT NULL THEN try_cast(nullif(regexp_extract(t.t, '(?i)\\bknot ([0-9]+)', 1), '') AS INTEGER) END AS model FROM t LEFT JOIN h ON h.t = t.t", posts=True)
 def other_brush(spark, sf):
-    """Makers with a fixed way of naming: brand and model number straight out of the text."""
-    part = lambda p: F.nullif(F.regexp_extract("t", p, 1), F.lit(""))
-    return brush_texts(spark, sf).select("t", part(r"(?i)\b(brand#[0-9]+)").alias("brand"), part(r"(?i)\bknot ([0-9]+)").try_cast("int").alias("model"))
+    """Makers with a fixed way of naming: the maker by the catalog, and the model number straight out of the text."""
+    texts = brush_texts(spark, sf)
+    makers = catalog.matched(texts, _makers(spark, sf)[0], "t", ["brand"])
+    model = F.nullif(F.regexp_extract("t", r"(?i)\bknot ([0-9]+)", 1), F.lit("")).try_cast("int")
+    return texts.join(makers, "t", "left").select("t", "match.brand", F.when(F.col("match").isNotNull(), model).alias("model"))
 
 
 # ---- blades and verified names ----------------------------------------------------------------------------------

@@ -313,14 +313,15 @@ def regex_theta(spark, sf):
 
 if find_spec("yaml"):
 
-    @query("scan_yaml_catalog", f"WITH {CATALOG_SQL} SELECT n::INTEGER AS ord, section::INTEGER AS section, brand, model, pattern FROM c")
+    @query("scan_yaml_catalog", "SELECT DISTINCT p_brand AS brand, p_name AS model, p_type AS format, (length(p_name) % 3)::INTEGER AS section, '^' || replace(lower(p_brand || ' ' || p_name), ' ', '[ ]+') AS pattern FROM part")
     def scan_yaml_catalog(spark, sf):
-        """A catalog written as YAML and read back."""
+        """Products of a table written as a YAML catalog and read back."""
         place = f"{store.shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
-        texts = [f"{p.attributes['brand']} {n}:\n  {p.attributes['model']}:\n    brand: {p.attributes['brand']}\n    section: {p.section}\n    patterns: ['{p.pattern}']\n" for n, p in enumerate(made_catalog())]
-        spark.createDataFrame([("".join(texts),)], "value string").coalesce(1).write.text(place)
+        parts = table(spark, sf, "part").select("p_brand", "p_name", "p_type").distinct()
+        entry = F.format_string("'%s, %s, %s':\n  '%s':\n    brand: '%s'\n    format: '%s'\n    section: %d\n    patterns: ['^%s']\n", "p_brand", "p_name", "p_type", "p_name", "p_brand", "p_type", F.length("p_name") % 3, F.regexp_replace(F.lower(F.concat_ws(" ", "p_brand", "p_name")), " ", "[ ]+"))
+        parts.select(entry.alias("value")).coalesce(1).write.text(place)
         found = catalog.catalog_frame(spark, catalog.read_catalog(spark, place))
-        return found.select("ord", "section", F.col("attributes")["brand"].alias("brand"), F.col("attributes")["model"].alias("model"), "pattern")
+        return found.select(*[F.col("attributes")[n].alias(n) for n in ("brand", "model", "format")], "section", "pattern")
 
 
 @query("resolve_entities", f"WITH {VERIFIED_SQL}, r AS (SELECT p_partkey, v.key, p_name, {first_pattern_sql('p_name', CATALOG, 'brand')} AS b, {first_pattern_sql('p_name', CATALOG, 'model')} AS m FROM part LEFT JOIN v ON lower(p_name) = v.key) SELECT p_partkey, CASE WHEN key IS NOT NULL THEN 'Verified' ELSE b END AS brand, CASE WHEN key IS NOT NULL THEN 'exact' WHEN b IS NOT NULL THEN 'regex' END AS match_type FROM r")
@@ -416,12 +417,6 @@ def filtered_semi(spark, sf):
     return parts.join(names, F.lower("p_name") == F.col("_n"), "left").select("p_partkey", F.when(F.col("_n").isNotNull(), "filtered").alias("match_type"))
 
 
-@query("splits_guard", "SELECT p_partkey, p_name FROM part WHERE lower(p_name) NOT IN (SELECT lower(p_name) FROM part WHERE p_size > 48)")
-def splits_guard(spark, sf):
-    parts = table(spark, sf, "part")
-    return parts.join(parts.where("p_size > 48").select(F.lower("p_name").alias("_n")).distinct(), F.lower("p_name") == F.col("_n"), "left_anti").select("p_partkey", "p_name")
-
-
 @query("positional_compare", "SELECT a.id, a.razor_brand IS NOT DISTINCT FROM b.handle_brand AS brand_same, a.fiber IS NOT DISTINCT FROM b.plate AS fiber_same FROM posts a JOIN posts b USING (id)", posts=True)
 def positional_compare(spark, sf):
     """Two systems' results by id, compared with nulls as equal."""
@@ -489,12 +484,12 @@ def blade_razor_conflicts(spark, sf):
 STRAIGHT_TEXT = "razor_brand || ' ' || width || ' ' || grind || ', ' || lower(point) || CASE WHEN use_count % 2 = 0 THEN ' stainless' ELSE '' END"
 
 
-def _listed_sql(names) -> str:
-    title = lambda n: " ".join(w[:1].upper() + w[1:] for w in n.split(" ")).replace("'", "''")
-    return "CASE " + " ".join(f"""WHEN contains(lower(t), '{n.replace("'", "''")}') THEN '{title(n)}'""" for n in names) + " END"
+def _forms_sql(forms) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return "CASE " + " ".join(f"WHEN regexp_matches(lower(t), {quoted(p)}) THEN {quoted(n)}" for p, n in forms) + " END"
 
 
-@query("enrich_straight", rf"WITH t AS (SELECT DISTINCT {STRAIGHT_TEXT} AS t FROM posts) SELECT t, nullif(regexp_extract(t, '\b([0-9]{{1,2}}/(?:8|16))\b', 1), '') AS width, {_listed_sql(enrichment.GRINDS)} AS grind, {_listed_sql(enrichment.POINTS)} AS point, CASE WHEN contains(lower(t), 'stainless') THEN 'Stainless' ELSE 'Carbon' END AS steel FROM t", posts=True)
+@query("enrich_straight", rf"WITH t AS (SELECT DISTINCT {STRAIGHT_TEXT} AS t FROM posts) SELECT t, nullif(regexp_extract(t, '\b([0-9]{{1,2}}/(?:8|16))\b', 1), '') AS width, {_forms_sql(enrichment.GRIND_FORMS)} AS grind, {_forms_sql(enrichment.POINT_FORMS)} AS point, CASE WHEN contains(lower(t), 'stainless') THEN 'Stainless' ELSE 'Carbon' END AS steel FROM t", posts=True)
 def enrich_straight(spark, sf):
     return posts(spark, sf).select(F.expr(STRAIGHT_TEXT).alias("t")).distinct().select("t", enrichment.straight_razor(F.col("t")).alias("s")).select("t", "s.*")
 
@@ -508,14 +503,27 @@ def enrich_plates(spark, sf):
     return posts(spark, sf).select(F.expr(PLATE_TEXT).alias("t")).distinct().select("t", enrichment.plates(F.col("t")).alias("s")).select("t", "s.*")
 
 
-@query("enrich_brush", f"""WITH x AS (SELECT id, {_fiber_sql('t')} AS user_fiber, {SIZE_SQL} AS user_size, fiber, knot_size_mm, t, knot_brand, coalesce(handle_brand, 'Own') AS h FROM (SELECT *, {BRUSH_TEXT} AS t FROM posts))
-    SELECT id, coalesce(user_fiber, fiber) AS fiber, coalesce(user_size, knot_size_mm) AS knot_size_mm, concat_ws(',', CASE WHEN lower(user_fiber) <> lower(fiber) THEN 'fiber' END, CASE WHEN abs(user_size - knot_size_mm) > 0.1 THEN 'knot_size' END) AS mismatches,
-      CASE WHEN instr(lower(t), lower(h)) > 0 AND instr(lower(t), lower(knot_brand)) > 0 THEN CASE WHEN instr(lower(t), lower(h)) <= instr(lower(t), lower(knot_brand)) THEN 'handle_primary' ELSE 'knot_primary' END END AS user_intent FROM x""", posts=True)
+#: What a maker's knots usually are: the fibre and size of most of its posts, the lesser of equally frequent ones.
+DEFAULTS_SQL = """f AS (SELECT handle_brand, fiber, knot_size_mm, row_number() OVER (PARTITION BY handle_brand ORDER BY count(*) DESC, fiber, knot_size_mm) AS n FROM posts WHERE handle_brand IS NOT NULL AND use_count > 10 GROUP BY 1, 2, 3), m AS (SELECT handle_brand, fiber AS maker_fiber, knot_size_mm AS maker_size FROM f WHERE n = 1)"""
+BARE_BRUSH = f"CASE WHEN use_count % 6 = 0 THEN coalesce(handle_brand, 'Own') || ' with ' || knot_brand ELSE {BRUSH_TEXT} END"
+
+
+@query("enrich_brush", f"""WITH {DEFAULTS_SQL}, x AS (SELECT id, {_fiber_sql('t')} AS user_fiber, {SIZE_SQL} AS user_size, CASE WHEN use_count % 4 <> 2 THEN fiber END AS fiber, CASE WHEN use_count % 4 <> 2 THEN knot_size_mm END AS knot_size_mm, t, knot_brand, handle_brand, coalesce(handle_brand, 'Own') AS h FROM (SELECT *, {BARE_BRUSH} AS t FROM posts))
+    SELECT id, coalesce(user_fiber, fiber, maker_fiber) AS fiber, CASE WHEN user_fiber IS NOT NULL THEN 'user_comment' WHEN fiber IS NOT NULL THEN 'catalog_data' WHEN maker_fiber IS NOT NULL THEN 'handle_maker' END AS fiber_source, coalesce(user_size, knot_size_mm, maker_size) AS knot_size_mm,
+      concat_ws(',', CASE WHEN lower(user_fiber) <> lower(fiber) THEN 'fiber' END, CASE WHEN abs(user_size - knot_size_mm) > 0.1 THEN 'knot_size' END) AS mismatches,
+      CASE WHEN instr(lower(t), lower(h)) > 0 AND instr(lower(t), lower(knot_brand)) > 0 THEN CASE WHEN instr(lower(t), lower(h)) <= instr(lower(t), lower(knot_brand)) THEN 'handle_primary' ELSE 'knot_primary' END END AS user_intent FROM x LEFT JOIN m USING (handle_brand)""", posts=True)
 def enrich_brush(spark, sf):
-    """Fibre and size of the text before those of the catalog, where they differ, and which part is named first."""
-    rows = posts(spark, sf).withColumn("t", F.expr(BRUSH_TEXT)).withColumns({"uf": resolution.fiber(F.col("t")), "us": resolution.knot_size(F.col("t"))})
+    """Fibre and size of the text, else of the catalog, else what the handle's maker usually has; where the first two differ, and which part is named first."""
+    view = posts(spark, sf)
+    counted = view.where("handle_brand IS NOT NULL AND use_count > 10").groupBy("handle_brand", "fiber", "knot_size_mm").agg(F.count("*").alias("n"))
+    makers = counted.groupBy("handle_brand").agg(F.min(F.struct((-F.col("n")).alias("less"), "fiber", "knot_size_mm")).alias("usual"))
+    known = F.col("use_count") % 4 != 2
+    rows = view.withColumns({"t": F.expr(BARE_BRUSH), "fiber": F.when(known, F.col("fiber")), "knot_size_mm": F.when(known, F.col("knot_size_mm"))})
+    rows = rows.withColumns({"uf": resolution.fiber(F.col("t")), "us": resolution.knot_size(F.col("t"))}).join(makers, "handle_brand", "left")
     reasons = enrichment.mismatch_reasons({"fiber": (F.col("uf"), F.col("fiber")), "knot_size": (F.col("us"), F.col("knot_size_mm"))})
-    return rows.select("id", F.coalesce("uf", "fiber").alias("fiber"), F.coalesce("us", F.col("knot_size_mm").cast("double")).alias("knot_size_mm"), F.array_join(reasons, ",").alias("mismatches"), enrichment.intent(F.col("t"), F.coalesce("handle_brand", F.lit("Own")), F.col("knot_brand")).alias("user_intent"))
+    source = F.when(F.col("uf").isNotNull(), "user_comment").when(F.col("fiber").isNotNull(), "catalog_data").when(F.col("usual").isNotNull(), "handle_maker")
+    size = F.coalesce("us", F.col("knot_size_mm").cast("double"), F.col("usual.knot_size_mm").cast("double"))
+    return rows.select("id", F.coalesce("uf", "fiber", "usual.fiber").alias("fiber"), source.alias("fiber_source"), size.alias("knot_size_mm"), F.array_join(reasons, ",").alias("mismatches"), enrichment.intent(F.col("t"), F.coalesce("handle_brand", F.lit("Own")), F.col("knot_brand")).alias("user_intent"))
 
 
 @query("enrich_merge", "SELECT id, coalesce(nullif(sample_type, ''), nullif(handle_brand, '')) AS value, nullif(concat_ws(' + ', CASE WHEN sample_type IS NOT NULL THEN 'user_comment' END, CASE WHEN handle_brand IS NOT NULL THEN 'catalog_data' END), '') AS source FROM posts", posts=True)

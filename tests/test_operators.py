@@ -132,7 +132,7 @@ def test_exact_comes_before_patterns_and_texts_resolve_once(spark):
     assert got == {"Old Ring": ("V", "exact"), "old ring": ("V", "exact"), "new ring": ("P", "regex"), "none": (None, None), None: (None, None)}
 
 
-@pytest.mark.parametrize("raw, fiber, size", [("badger/boar 26x52", "Mixed", 26.0), ("silvertip 24mm", "Badger", 24.0), ("Boar 28", "Boar", 28.0), ("G5C synthetic", "Synthetic", None), ("plain 99", None, None)])
+@pytest.mark.parametrize("raw, fiber, size", [("badger/boar 26x52", "Mixed Badger/Boar", 26.0), ("horse + badger", "Mixed Badger/Horse", None), ("syn / badger 26mm", "Mixed Badger/Synthetic", 26.0), ("T3 fan", "Synthetic", None), ("silvertip 24mm", "Badger", 24.0), ("Boar 28", "Boar", 28.0), ("G5C synthetic", "Synthetic", None), ("plain 99", None, None)])
 def test_fibre_and_size(spark, raw, fiber, size):
     assert (one(spark, resolution.fiber(F.lit(raw))), one(spark, resolution.knot_size(F.lit(raw)))) == (fiber, size)
 
