@@ -109,7 +109,7 @@ SALTS = 16
 
 
 def _seen(key: str) -> StructType:
-    return StructType.fromDDL(f"key {key}, part int, pos int, n int, spans string, entity long, term long, s int, e int")
+    return StructType.fromDDL(f"key {key}, part long, pos int, n int, spans string, entity long, term long, s int, e int")
 
 
 def _first_pass(schema: StructType):
@@ -131,8 +131,13 @@ def _first_pass(schema: StructType):
                 spans = base_spans(content)
                 if spans:
                     rows.append((key, part, 0, None, ",".join(f"{k}:{s}:{e}" for k, s, e in spans), None, None, None, None))
-                    rows += [(key, part, 1, None, None, *found) for found in near_terms(content, spans)]
-                counts.update(set(WORD.findall(content.lower())))
+                    met: set[tuple[int, ...]] = set()
+                    for entity, term, s, e in near_terms(content, spans):
+                        # of a row, the first span of an entity counts it, and the first of a pair the pair
+                        first = 2 * ((entity,) not in met) + ((entity, term) not in met)
+                        met |= {(entity,), (entity, term)}
+                        rows.append((key, part, 1, first, None, entity, term, s, e))
+                counts.update({w.lower() for w in set(WORD.findall(content))})
                 if len(counts) > HELD_TERMS:
                     yield batch_of(rows)
                     yield counted(counts)
@@ -146,7 +151,7 @@ def _first_pass(schema: StructType):
 
 def keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     """What stands for a row: its key and a hash of its text."""
-    return docs.select(F.col(key).alias("key"), F.hash(text).alias("part"), F.col(text).alias("text"))
+    return docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("part"), F.col(text).alias("text"))
 
 
 def find_private(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -160,9 +165,9 @@ def find_private(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     seen = cut(keyed(docs, text, key).mapInArrow(_first_pass(schema), schema))
     documents = docs.count()
     base = seen.where("pos = 0").groupBy("key", "part").agg(F.first("spans").alias("base"))
-    pairs = seen.where("pos = 1").select("key", "part", "entity", "term", "s", "e")
-    met = pairs.select("key", "part", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("j")).where(F.col("j") >= MIN_MEETINGS)
-    entities = pairs.select("key", "part", "entity").distinct().groupBy("entity").agg(F.count("*").alias("dc"))
+    pairs = seen.where("pos = 1").select("key", "part", "n", "entity", "term", "s", "e")
+    met = pairs.groupBy("entity", "term").agg(F.sum(F.col("n") % 2).alias("j")).where(F.col("j") >= MIN_MEETINGS)
+    entities = pairs.groupBy("entity").agg(F.sum(F.expr("n div 2")).alias("dc"))
     terms = seen.where("pos = 2").groupBy("term").agg(F.sum("n").alias("dt"))
     n = F.lit(float(documents))
     content = F.log(n / F.col("dc"))
@@ -199,7 +204,7 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     # names that no input column is likely to have
     own = {c: f"__private_{c.strip('_')}" for c in ("_key", "_part", "base", "terms", "removed")}
     found = find_private(docs, text, key).withColumnsRenamed(own)
-    same = F.col(key).eqNullSafe(F.col(own["_key"])) & (F.hash(text) == F.col(own["_part"]))
+    same = F.col(key).eqNullSafe(F.col(own["_key"])) & (F.xxhash64(text) == F.col(own["_part"]))
     joined = docs.join(found, same, "left")
     schema = StructType(docs.schema.fields)
 

@@ -21,7 +21,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = docs.select("doc_id", F.hash("text").alias("_text")).join(private.find_private(docs), F.col("doc_id").eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_part")), "left")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_text")).join(private.find_private(docs), F.col("doc_id").eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_part")), "left")
     base, terms = (F.coalesce(c, F.lit("")) for c in ("base", "terms"))
     counts = [F.size(F.filter(F.split(base, ","), lambda x: F.substring_index(x, ":", 1) == kind)).cast("long").alias(f"n_{kind}") for kind in private.KINDS[:4]]
     spans = F.array_join(F.filter(F.array(base, terms), lambda x: x != ""), ",")

@@ -99,7 +99,7 @@ def _batch(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
 
 def stretches(texts: DataFrame, length: int, passage: int) -> DataFrame:
     """Of texts (key, part, text), a row for each stretch of suffixes lo to hi: its anchor, and a hash of all its bytes with `length` for the last suffix."""
-    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(texts)}, part int, lo int, hi int, at int")
+    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(texts)}, part long, lo int, hi int, at int")
     gram = min(GRAM, passage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +244,7 @@ REPEATED, SHARED = 0, 1
 
 def sorted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
     """Spans (key, part, lo, hi, kind) of suffixes among stretches (anchor, whole, key, part, lo, at, bytes) that meet by anchor; also their anchor, whole and at."""
-    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(ends)}, part int, at int, lo int, hi int, kind int")
+    schema = StructType.fromDDL(f"anchor long, whole long, key {_key_type(ends)}, part long, at int, lo int, hi int, kind int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(BASES[0])
@@ -328,7 +328,7 @@ def parted(ends: DataFrame, length: int, passage: int) -> DataFrame:
 
 def counted_repeats(ends: DataFrame, length: int, passage: int) -> DataFrame:
     """The same spans of stretches of busy anchors, of one suffix each, by a 128-bit hash of a suffix's bytes; its rows are dealt out by that."""
-    schema = StructType.fromDDL(f"x long, y long, kind int, anchor long, whole long, key {_key_type(ends)}, part int, at int, lo int")
+    schema = StructType.fromDDL(f"x long, y long, kind int, anchor long, whole long, key {_key_type(ends)}, part long, at int, lo int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = [Powers(b) for b in BASES]
@@ -382,7 +382,7 @@ def find_repeats(texts: DataFrame, length: int = LENGTH, passage: int = PASSAGE)
     drop_table(rows)
     drop_table(kinds)
 
-    schema = StructType.fromDDL(f"anchor long, whole long, kinds long, key {_key_type(texts)}, part int, lo int, at int, n int, bytes binary")
+    schema = StructType.fromDDL(f"anchor long, whole long, kinds long, key {_key_type(texts)}, part long, lo int, at int, n int, bytes binary")
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -453,6 +453,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     too, n_passages their maximal runs; `passage` is `length` at most. Null and empty texts have no bytes. Rows alike in
     key and text are repeats of each other and get one result.
     """
-    texts = docs.select(F.col(key).alias("key"), F.hash(text).alias("part"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("part"), F.col(text).alias("text"))
     found = find_repeats(texts, length, min(passage, length))
     return cut_out(texts, found, length, min(passage, length)).drop("kept").withColumnRenamed("key", key)

@@ -176,6 +176,18 @@ def test_terms_far_from_their_entity_are_found(spark):
     assert [r.removed for r in got] == ["term:517:525"] * 2
 
 
+def test_terms_of_repeated_rows_null_ids_and_letters_that_grow(spark):
+    """Rows count one by one, and a word is one word whatever its lower case looks like."""
+    common = [(i, f"plain words here number{i} and more plain words") for i in range(100)]
+    told = [(200, "call Zanzibar at +1 (017) 555-7713 now")] * 3 + [(None, f"İstanbulda{x} İstanbulda a@b.de gülİ{x}") for x in ("", "x", "xx")]
+    rows = common + told
+    want = {(rows[k], s, e): whole for (k, s, e), whole in plain_terms(rows).items()}
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    texts = {(r.doc_id, r.part): r.text for r in private.keyed(frame, "text", "doc_id").withColumnRenamed("key", "doc_id").collect()}
+    got = {((r._key, texts[r._key, r._part]), int(s), int(e)): f"term:{s}:{e}" in r.removed.split(",") for r in private.find_private(frame).collect() for _, s, e in (x.split(":") for x in r.terms.split(",") if x)}
+    assert got == want and {(200, 5, 13), (None, 0, 10)} <= {(k[0][0], k[1], k[2]) for k in got}
+
+
 def test_sanitising_odd_rows(odd, none):
     got = private.sanitise(odd.withColumns({"base": F.lit("b"), "terms": F.lit("t")})).collect()
     assert len(got) == len(odd_rows()) and {r.base for r in got} == {"b"}
