@@ -65,26 +65,28 @@ class PrefixHash:
         up, self.down = powers.upto(len(data) + 1)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUES[which][data] * up[: len(data)], dtype=np.uint64)])
 
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all substrings of `length` bytes."""
+        return (self.sums[length:] - self.sums[: len(self.sums) - length]) * self.down[: len(self.sums) - length]
+
     def of(self, start, length) -> np.ndarray:
         """Hash of `length` bytes from `start`, which may both be arrays."""
         return (self.sums[start + length] - self.sums[start]) * self.down[start]
 
 
 def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
-    """Position of the least value, the leftmost of equal ones, in each window of `width`."""
+    """Position of the least upper half of a value, the leftmost of equal ones, in each window of `width`."""
     n = len(h) - width + 1
-    # ranks make values distinct, so a plain minimum finds the position too
-    order = np.argsort(h, kind="stable")
-    rank = np.empty(len(h), np.int64)
-    rank[order] = np.arange(len(h))
+    # the position in place of the lower half makes values distinct, so a plain minimum finds it too; halves are the same in all texts
+    mask = np.uint64(0xFFFFFFFF)
     # minima of blocks from the left and from the right; a window spans two blocks
     blocks = -(-len(h) // width)
-    padded = np.full(blocks * width, len(h), np.int64)
-    padded[: len(h)] = rank
+    padded = np.full(blocks * width, ~np.uint64(0))
+    np.bitwise_or(h & ~mask, np.arange(len(h), dtype=np.uint64), out=padded[: len(h)])
     grid = padded.reshape(blocks, width)
     left = np.minimum.accumulate(grid, axis=1).ravel()
     right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return order[np.minimum(right[:n], left[width - 1 : width - 1 + n])]
+    return (np.minimum(right[:n], left[width - 1 : width - 1 + n]) & mask).astype(np.int64)
 
 
 def _key_type(texts: DataFrame) -> str:
@@ -115,7 +117,7 @@ def stretches(texts: DataFrame, length: int, passage: int) -> DataFrame:
                 if len(raw) < passage:
                     continue
                 data = np.frombuffer(raw, np.uint8)
-                grams = _mixed(PrefixHash(data, powers).of(np.arange(len(raw) - gram + 1), gram))
+                grams = _mixed(PrefixHash(data, powers).every(gram))
                 at = sliding_least(grams, passage - gram + 1)
                 lo = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
                 hi = np.concatenate([lo[1:] - 1, [len(at) - 1]])
