@@ -134,7 +134,9 @@ def candidates(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[
     filed = catalog.select("pattern", F.explode(F.when(F.size("grams") > 0, F.col("grams")).otherwise(F.array(F.lit("")))).alias("_gram")).distinct()
     filed = filed.join(counts, "_gram", "left").groupBy("pattern").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
     indexed = catalog.join(filed, "pattern").select("_gram", "section", (-F.length("pattern")).alias("less"), "ord", "pattern", *[F.col("attributes")[n].alias(n) for n in names])
-    fits = spread.join(indexed, "_gram").where(F.regexp_like("_t", F.concat(F.lit("(?i)"), "pattern")))
+    # by pattern, so that each is compiled once in a row of texts
+    met = spread.join(indexed, "_gram").sortWithinPartitions("pattern")
+    fits = met.where(F.regexp_instr("_t", F.concat(F.lit("(?i)"), "pattern")) > 0)
     return fits.select(F.col("_t").alias(text), "section", "less", "ord", "pattern", *names)
 
 

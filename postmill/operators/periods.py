@@ -45,21 +45,20 @@ def rank_moves(tables: DataFrame, keys: Sequence[str], backs: Sequence[int], per
     return out.drop(*[f"_then_{k}" for k in backs])
 
 
-def paired_ranks(tables: DataFrame, key: str, now: str, then: str, period: str = "month") -> DataFrame:
-    """(key, now_rank, then_rank) of what both periods have."""
-    a = tables.where(F.col(period) == now).select(key, F.col("rank").alias("now_rank"))
-    b = tables.where(F.col(period) == then).select(key, F.col("rank").alias("then_rank"))
-    return a.join(b, key)
+def paired_ranks(tables: DataFrame, key: str, back: int = 1, period: str = "month") -> DataFrame:
+    """(period, key, now_rank, then_rank) of what a period and the one `back` months before both have, for all periods at once."""
+    met = earlier_ranks(tables, [key], {"then_rank": months_before(F.col(period), -back)}, period)
+    return met.where("then_rank IS NOT NULL").select(period, key, F.col("rank").alias("now_rank"), "then_rank")
 
 
-def tier_moves(pairs: DataFrame) -> DataFrame:
-    """Per earlier rank: its members now, whether any moved, and whether the tier was split over several ranks."""
-    return pairs.groupBy("then_rank").agg(F.count("*").alias("members"), F.bool_or(F.col("now_rank") != F.col("then_rank")).alias("changed"), (F.count_distinct("now_rank") > 1).alias("split"))
+def tier_moves(pairs: DataFrame, period: str = "month") -> DataFrame:
+    """Per period and earlier rank: its members now, whether any moved, and whether the tier was split over several ranks."""
+    return pairs.groupBy(period, "then_rank").agg(F.count("*").alias("members"), F.bool_or(F.col("now_rank") != F.col("then_rank")).alias("changed"), (F.count_distinct("now_rank") > 1).alias("split"))
 
 
-def tier_merges(pairs: DataFrame) -> DataFrame:
-    """Per rank now: its members, and whether they come from several earlier ranks."""
-    return pairs.groupBy("now_rank").agg(F.count("*").alias("members"), (F.count_distinct("then_rank") > 1).alias("merged"))
+def tier_merges(pairs: DataFrame, period: str = "month") -> DataFrame:
+    """Per period and rank now: its members, and whether they come from several earlier ranks."""
+    return pairs.groupBy(period, "now_rank").agg(F.count("*").alias("members"), (F.count_distinct("then_rank") > 1).alias("merged"))
 
 
 def rank_history(tables: DataFrame, key: str, period: str, periods: Sequence, best: int = 3) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postmill.sources.store import shared_folder
+
 
 def _window(partition: Sequence[str], order: Sequence[Column]):
     return Window.partitionBy(*partition).orderBy(*order)
@@ -22,6 +25,23 @@ def numbered(frame: DataFrame, order: Sequence[Column], partition: Sequence[str]
     return frame.withColumn(name, F.row_number().over(_window(partition, order)))
 
 
+def numbered_all(frame: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Position 1 to n over all rows, without one task for them all; the order should name a tie-break.
+
+    Rows are dealt out by ranges of the order and written, each range is numbered by itself, and begins after as many as
+    the ranges before it hold; of those there are only as many as ranges.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/order-{uuid.uuid4().hex}"
+    frame.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct("_range", "n"))).alias("all"))
+    before = F.aggregate(F.slice("all", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    starts = sizes.select("all", F.posexplode("all").alias("k", "r")).select("r._range", before.alias("_before"))
+    numbered_ = placed.withColumn("_n", F.row_number().over(_window(["_range"], order))).join(starts, "_range")
+    return numbered_.withColumn(name, (F.col("_n") + F.col("_before")).cast("int")).drop("_range", "_n", "_before")
+
+
 def within_ranks(frame: DataFrame, most: int, name: str = "rank") -> DataFrame:
     """Rows up to a rank."""
     return frame.where(F.col(name) <= most)

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from postmill.functions import text
-from postmill.operators import catalog, resolution, similarity, validation
+from postmill.operators import brushes, catalog, periods, resolution, similarity, validation
 from postmill.operators.ranking import numbered
 from postmill.plans.base import query
+from postmill.plans.brushes import BRUSH, HANDLES, KNOTS, KNOWN, SCORED_SQL
 from postmill.plans.texts import BRUSH_TEXT, CATALOG, CATALOG_SQL, NAMES, PRODUCT, VERIFIED_SQL, _fiber_sql, catalog_best_sql, first_pattern_sql, made_catalog, verified
 from postmill.sources import store
 from postmill.sources.posts import posts, table
@@ -139,12 +140,19 @@ def system_agreement(spark, sf):
     return rows.withColumn("share", F.bround(100.0 * F.col("posts") / F.sum("posts").over(Window.partitionBy()), 2))
 
 
-@query("learning_report", "WITH x AS (SELECT unnest(['known', 'split', 'full']) AS strategy, unnest([(use_count * 1) % 7, (use_count * 2) % 7, (use_count * 3) % 7]) AS score, greatest(use_count % 7, use_count * 2 % 7, use_count * 3 % 7) AS best FROM posts) SELECT strategy, count(*) AS seen, count(*) FILTER (score = best) AS wins, min(score) AS least, max(score) AS most, round_even(avg(score), 4) AS mean FROM x GROUP BY 1", posts=True)
+@query("learning_report", f"""WITH b AS (SELECT {BRUSH} AS t, count(*) AS posts FROM posts GROUP BY 1), t AS (SELECT t FROM b), {SCORED_SQL},
+    s AS (SELECT t, strategy, ord, (score + CASE strategy WHEN 'automated_split' THEN 55 WHEN 'full_input' THEN 120 * two ELSE 0 END)::DOUBLE AS score FROM z),
+    r AS (SELECT s.*, posts, row_number() OVER (PARTITION BY t ORDER BY score DESC, ord) = 1 AS won FROM s JOIN b USING (t))
+    SELECT strategy, count(*) AS candidates, sum(posts)::BIGINT AS seen, coalesce(sum(posts) FILTER (won), 0)::BIGINT AS wins, min(score) AS least, max(score) AS most, round_even(sum(score * posts) / sum(posts), 4) AS mean FROM r GROUP BY 1""", posts=True)
 def learning_report(spark, sf):
-    """How often each strategy has the best score, and its scores."""
-    of = lambda k: F.col("use_count") * k % 7
-    rows = posts(spark, sf).select(F.greatest(of(1), of(2), of(3)).alias("best"), F.explode(F.array(*[F.struct(F.lit(n).alias("strategy"), of(k).alias("score")) for n, k in (("known", 1), ("split", 2), ("full", 3))])).alias("x")).select("best", "x.*")
-    return rows.groupBy("strategy").agg(F.count("*").alias("seen"), F.count_if(F.col("score") == F.col("best")).alias("wins"), F.min("score").alias("least"), F.max("score").alias("most"), F.bround(F.avg("score"), 4).alias("mean"))
+    """How often each strategy has a candidate and the best one, and the scores of its candidates."""
+    texts = posts(spark, sf).groupBy(F.expr(BRUSH).alias("t")).agg(F.count("*").alias("posts"))
+    scored = texts.select("posts", brushes.scored(brushes.candidates(F.col("t"), KNOWN, HANDLES, KNOTS), brushes.weight_rows(brushes.WEIGHTS)).alias("all"))
+    rows = scored.select("posts", F.array_max("all").alias("best"), F.explode("all").alias("c"))
+    won = F.when((F.col("c.score") == F.col("best.score")) & (F.col("c.first") == F.col("best.first")), F.col("posts")).otherwise(0)
+    score = F.col("c.score")
+    counts = rows.groupBy(brushes.strategy_name(F.col("c.strategy")).alias("strategy")).agg(F.count("*").alias("candidates"), F.sum("posts").alias("seen"), F.sum(won).alias("wins"), F.min(score).alias("least"), F.max(score).alias("most"), (F.sum(score * F.col("posts")) / F.sum("posts")).alias("mean"))
+    return counts.withColumn("mean", F.bround("mean", 4))
 
 
 #: Filed entries: what resolved once, with values changed, fields taken away, texts that are gone, and capitals, by size.
@@ -266,18 +274,20 @@ def slug_lookup(spark, sf):
 # ---- set operations ---------------------------------------------------------------------------------------------
 
 
-@query("union_months", "SELECT month, count(*) AS posts FROM posts WHERE month BETWEEN '2000-01' AND '2000-03' GROUP BY 1", posts=True)
+@query("union_months", "SELECT month, part, count(*) AS posts FROM (SELECT month, 'odd' AS part FROM posts WHERE year % 2 = 1 UNION ALL BY NAME SELECT 'even' AS part, month FROM posts WHERE year % 2 = 0) GROUP BY 1, 2", posts=True)
 def union_months(spark, sf):
+    """Months of two parts, by name of their columns."""
     view = posts(spark, sf)
-    parts = [view.where(F.col("month") == m) for m in ("2000-01", "2000-02", "2000-03")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("month").agg(F.count("*").alias("posts"))
+    odd, even = view.where("year % 2 = 1").select("month", F.lit("odd").alias("part")), view.where("year % 2 = 0").select(F.lit("even").alias("part"), "month")
+    return odd.unionByName(even).groupBy("month", "part").agg(F.count("*").alias("posts"))
 
 
-@query("intersect_names", "SELECT DISTINCT razor_model AS name FROM posts WHERE month = '2000-02' INTERSECT SELECT DISTINCT razor_model FROM posts WHERE month = '2000-03'", posts=True)
+@query("intersect_names", "SELECT month, razor_model AS name FROM posts INTERSECT SELECT strftime(strptime(month || '-01', '%Y-%m-%d') + INTERVAL 1 MONTH, '%Y-%m'), razor_model FROM posts", posts=True)
 def intersect_names(spark, sf):
+    """Names of each month that the month before has as well."""
     view = posts(spark, sf)
-    of = lambda m: view.where(F.col("month") == m).select(F.col("razor_model").alias("name"))
-    return of("2000-02").intersect(of("2000-03"))
+    of = lambda month: view.select(month.alias("month"), F.col("razor_model").alias("name")).distinct()
+    return of(F.col("month")).intersect(of(periods.months_before(F.col("month"), -1)))
 
 
 @query("dedupe_ids", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")

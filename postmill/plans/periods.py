@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -111,26 +114,26 @@ def flagship_report(spark, sf):
     return within_ranks(periods.rank_moves(category_table(posts(spark, sf), SPECS["razors"]), ["name"], (1,)), 50)
 
 
-PAIRS = f"g0 AS ({MAKERS}), p AS (SELECT a.brand, a.rank AS now_rank, b.rank AS then_rank FROM g0 a JOIN g0 b USING (brand) WHERE a.month = '2000-03' AND b.month = '2000-02')"
+PAIRS = f"""g0 AS MATERIALIZED ({MAKERS}), e AS (SELECT *, strftime(strptime(month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m') AS earlier FROM g0),
+    p AS (SELECT a.month, a.brand, a.rank AS now_rank, b.rank AS then_rank FROM e a JOIN g0 b ON a.brand = b.brand AND b.month = a.earlier)"""
 
 
-@query("delta_rank", f"""WITH {PAIRS} SELECT a.brand, a.rank, b.rank - a.rank AS delta, CASE WHEN b.rank IS NULL THEN 'n/a' WHEN b.rank > a.rank THEN '↑' || (b.rank - a.rank) WHEN b.rank < a.rank THEN '↓' || (a.rank - b.rank) ELSE '=' END AS move
-    FROM g0 a LEFT JOIN g0 b ON a.brand = b.brand AND b.month = '2000-02' WHERE a.month = '2000-03'""", posts=True)
+@query("delta_rank", f"""WITH {PAIRS} SELECT a.month, a.brand, a.rank, b.rank - a.rank AS delta, CASE WHEN b.rank IS NULL THEN 'n/a' WHEN b.rank > a.rank THEN '↑' || (b.rank - a.rank) WHEN b.rank < a.rank THEN '↓' || (a.rank - b.rank) ELSE '=' END AS move
+    FROM e a LEFT JOIN g0 b ON a.brand = b.brand AND b.month = a.earlier""", posts=True)
 def delta_rank(spark, sf):
-    tables = makers(spark, sf)
-    now, then = tables.where("month = '2000-03'"), tables.where("month = '2000-02'").select("brand", F.col("rank").alias("_then"))
-    delta = F.col("_then") - F.col("rank")
-    return now.join(then, "brand", "left").select("brand", "rank", delta.alias("delta"), periods.move_text(delta).alias("move"))
+    """Each month's ranks with the moves against the month before."""
+    moved = periods.rank_moves(makers(spark, sf), ["brand"], (1,))
+    return moved.select("month", "brand", "rank", F.col("delta_1").alias("delta"), F.col("move_1").alias("move"))
 
 
-@query("delta_tier", f"WITH {PAIRS} SELECT then_rank, count(*) AS members, bool_or(now_rank <> then_rank) AS changed, count(DISTINCT now_rank) > 1 AS split FROM p GROUP BY 1", posts=True)
+@query("delta_tier", f"WITH {PAIRS} SELECT month, then_rank, count(*) AS members, bool_or(now_rank <> then_rank) AS changed, count(DISTINCT now_rank) > 1 AS split FROM p GROUP BY 1, 2", posts=True)
 def delta_tier(spark, sf):
-    return periods.tier_moves(periods.paired_ranks(makers(spark, sf), "brand", "2000-03", "2000-02"))
+    return periods.tier_moves(periods.paired_ranks(makers(spark, sf), "brand"))
 
 
-@query("tier_splits_merges", f"WITH {PAIRS} SELECT now_rank, count(*) AS members, count(DISTINCT then_rank) > 1 AS merged FROM p GROUP BY 1", posts=True)
+@query("tier_splits_merges", f"WITH {PAIRS} SELECT month, now_rank, count(*) AS members, count(DISTINCT then_rank) > 1 AS merged FROM p GROUP BY 1, 2", posts=True)
 def tier_splits_merges(spark, sf):
-    return periods.tier_merges(periods.paired_ranks(makers(spark, sf), "brand", "2000-03", "2000-02"))
+    return periods.tier_merges(periods.paired_ranks(makers(spark, sf), "brand"))
 
 
 @query("delta_category_batch", f"""WITH a0 AS ({MAKERS}), b0 AS ({category_sql(SPECS['brush_fibers'])}), c0 AS ({category_sql(SPECS['soap_makers'])}),
@@ -244,10 +247,12 @@ def topk_search(spark, sf):
 
 @query("yearly_product_summary", f"""WITH g AS (SELECT month, {RAZOR_NAME} AS product, count(*) AS shaves, count(DISTINCT author) AS users FROM posts WHERE month > '1999-03' AND month <= '2000-03' GROUP BY 1, 2),
     r AS (SELECT *, rank() OVER (PARTITION BY month ORDER BY shaves DESC, users DESC)::INTEGER AS rank FROM g) SELECT * FROM r WHERE product = 'Brand#7 red bolt' OR product LIKE '%cold gear'""", posts=True)
-def yearly_product_summary(spark, sf):
-    """Use and rank of some products in the twelve months up to one."""
-    recent = posts(spark, sf).where("month > '1999-03' AND month <= '2000-03'").groupBy("month", F.expr(RAZOR_NAME).alias("product")).agg(F.count("*").alias("shaves"), F.count_distinct("author").alias("users"))
-    return ranked(recent, [F.desc("shaves"), F.desc("users")], ["month"]).where("product = 'Brand#7 red bolt' OR product LIKE '%cold gear'")
+def yearly_product_summary(spark, sf, last="2000-03", products=("%cold gear", "Brand#7 red bolt")):
+    """Use and rank of some products, by patterns of their names, in the twelve months up to one."""
+    month = F.col("month")
+    recent = posts(spark, sf).where((month > periods.months_before(F.lit(last), 12)) & (month <= last)).groupBy("month", F.expr(RAZOR_NAME).alias("product")).agg(F.count("*").alias("shaves"), F.count_distinct("author").alias("users"))
+    wanted = [F.col("product").like(p) for p in products]
+    return ranked(recent, [F.desc("shaves"), F.desc("users")], ["month"]).where(functools.reduce(operator.or_, wanted))
 
 
 @query("observations", """WITH f AS (SELECT month, razor_format, count(*) AS n FROM posts GROUP BY 1, 2), t AS (SELECT month, sum(n) AS total FROM f GROUP BY 1), u AS (SELECT month, count(DISTINCT author) AS people FROM posts GROUP BY 1),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions import dates, text
 from postmill.operators import catalog, enrichment, extraction, resolution
+from postmill.operators.ranking import numbered_all
 from postmill.plans.base import query
 from postmill.sources import store
 from postmill.sources.posts import posts, table
@@ -331,11 +332,9 @@ def resolve_entities(spark, sf):
 
 @query("blade_pattern_score", """WITH d AS (SELECT DISTINCT p_type, p_name FROM part) SELECT p_type, p_name, p_type <> 'STANDARD' AS special, length(p_name) AS length, length(p_name) - length(replace(p_name, 'e', '')) AS metas, row_number() OVER (ORDER BY p_type = 'STANDARD', length(p_name) DESC, length(p_name) - length(replace(p_name, 'e', '')) DESC, p_name, p_type)::INTEGER AS priority FROM d""")
 def blade_pattern_score(spark, sf):
-    """Order of a pattern dimension: special formats first, then length, then metacharacters. Only distinct names are put in one order."""
-    from postmill.operators.ranking import numbered
-
+    """Order of a pattern dimension: special formats first, then length, then metacharacters."""
     dim = table(spark, sf, "part").select("p_type", "p_name").distinct().select("p_type", "p_name", (F.col("p_type") != "STANDARD").alias("special"), F.length("p_name").cast("long").alias("length"), (F.length("p_name") - F.length(F.replace("p_name", F.lit("e"), F.lit("")))).cast("long").alias("metas"))
-    return numbered(dim, [F.desc("special"), F.desc("length"), F.desc("metas"), F.asc("p_name"), F.asc("p_type")], (), "priority")
+    return numbered_all(dim, [F.desc("special"), F.desc("length"), F.desc("metas"), F.asc("p_name"), F.asc("p_type")], "priority")
 
 
 @query("cartridge_auto", "SELECT razor_format, blade_format, count(*) AS posts, CASE razor_format WHEN 'LARGE' THEN 'auto_cartridge' WHEN 'PROMO' THEN 'irrelevant_razor_format' ELSE 'match' END AS route FROM posts GROUP BY 1, 2", posts=True)

@@ -17,16 +17,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Where the view of an application and an input lies.
-_WRITTEN: dict[tuple[str, str], str] = {}
+#: Where the view of an application and an input lies, by the files of the input as they are.
+_WRITTEN: dict[tuple[str, tuple], str] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bytes, files and time of change of the order tables, as the store has them; a few questions however many files there are."""
+    found = []
+    for name in ("lineitem", "orders", "part"):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        size = store.getContentSummary(at)
+        found.append((at.toString(), size.getLength(), size.getFileCount(), store.getFileStatus(at).getModificationTime()))
+    return tuple(found)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The posts view, written once per application and input, in folders by year, and read from there.
 
-    The two large tables thus meet once for all queries, which read only the columns and years that they need.
+    The two large tables thus meet once for all queries, which read only the columns and years that they need. Where the
+    input's files change, the view is written anew.
     """
-    at = (spark.sparkContext.applicationId, sf_dir)
+    at = (spark.sparkContext.applicationId, _state(spark, sf_dir))
     if at not in _WRITTEN:
         path = f"{shared_folder(spark)}/posts-{uuid.uuid4().hex}"
         joined_posts(spark, sf_dir).write.partitionBy("year").parquet(path)

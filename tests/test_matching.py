@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postmill.operators import blades, brushes, catalog, similarity, validation
+from postmill.operators.ranking import numbered_all
 from postmill.operators.resolution import Pattern
 from postmill.sources import store
 from postmill.streaming import events as streams
@@ -141,6 +142,24 @@ def test_issues_of_filed_entries(spark):
     }
 
 
+@pytest.mark.parametrize("count", [0, 1, 50])
+def test_numbers_across_ranges(spark, count):
+    rows = [(n * 7 % 10, n) for n in range(count)]
+    got = {(r.a, r.b): r.place for r in numbered_all(spark.createDataFrame(rows, "a int, b int").repartition(3), [F.desc("a"), F.asc("b")], "place").collect()}
+    assert got == {x: i for i, x in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])), 1)}
+
+
+def test_the_view_follows_its_input(spark, tmp_path):
+    from postmill.sources.posts import posts
+
+    for name in ("lineitem", "orders", "part"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(10**9).write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = posts(spark, str(tmp_path)).count()
+    assert posts(spark, str(tmp_path)).inputFiles() == posts(spark, str(tmp_path)).inputFiles()
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(7).write.mode("append").parquet(str(tmp_path / "lineitem.parquet"))
+    assert posts(spark, str(tmp_path)).count() == before + 7
+
+
 @pytest.mark.parametrize("count", [0, 1, 2, 37])
 def test_neighbours_across_ranges(spark, count):
     values = [f"v{n * 17 % 100:02}" for n in range(count)]
