@@ -10,6 +10,7 @@ All of it is DataFrame functions on one row at a time: no shuffle, no Python.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +78,23 @@ SENTENCES: dict[str, str] = {
     "licensed under the bsd 3 clause license": "BSD-3-NAMED",
     "licensed under the bsd 2 clause license": "BSD-2-NAMED",
     "all rights reserved": "RESERVED",
+    "apache license version 2 0": "APACHE-2-TITLE",
+    "apache license version 2 0 january 2004": "APACHE-2-TITLE",
+    "apache license version 2 0 january 2004 http www apache org licenses": "APACHE-2-TITLE",
+    "bsd 2 clause license": "BSD-2-TITLE",
+    "bsd 3 clause license": "BSD-3-TITLE",
+    "eclipse public license v 2 0": "EPL-2-TITLE",
+    "gnu affero general public license version 3": "AGPL-3-TITLE",
+    "gnu affero general public license version 3 19 november 2007": "AGPL-3-TITLE",
+    "gnu general public license version 2": "GPL-2-TITLE",
+    "gnu general public license version 2 june 1991": "GPL-2-TITLE",
+    "gnu general public license version 3": "GPL-3-TITLE",
+    "gnu general public license version 3 29 june 2007": "GPL-3-TITLE",
+    "gnu lesser general public license version 2 1": "LGPL-2-1-TITLE",
+    "gnu lesser general public license version 2 1 february 1999": "LGPL-2-1-TITLE",
+    "gnu lesser general public license version 3": "LGPL-3-TITLE",
+    "gnu lesser general public license version 3 29 june 2007": "LGPL-3-TITLE",
+    "mozilla public license version 2 0": "MPL-2-TITLE",
 }
 # Licence rules in the order in which they are tried, the more specific ones first.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
@@ -119,8 +137,22 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", ("CC-BY-4-NAMED",)),
     ("MPL-2.0", ("MPL-2-NAMED", "MPL-2-COPY")),
     ("MPL-2.0", ("MPL-2-NAMED",)),
+    ("Apache-2.0", ("APACHE-2-TITLE",)),
+    ("BSD-2-Clause", ("BSD-2-TITLE",)),
+    ("BSD-3-Clause", ("BSD-3-TITLE",)),
+    ("EPL-2.0", ("EPL-2-TITLE",)),
+    ("AGPL-3.0-only", ("AGPL-3-TITLE",)),
+    ("GPL-2.0-only", ("GPL-2-TITLE",)),
+    ("GPL-3.0-only", ("GPL-3-TITLE",)),
+    ("LGPL-2.1-only", ("LGPL-2-1-TITLE",)),
+    ("LGPL-3.0-only", ("LGPL-3-TITLE",)),
+    ("MPL-2.0", ("MPL-2-TITLE",)),
     ("Proprietary", ("RESERVED",)),
 )
+# a tag names any of these licences by its identifier
+_TAGS = sorted({name for name, _ in RULES} - {"Proprietary"})
+SENTENCES |= {"spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower()): f"SPDX-{name}" for name in _TAGS}
+RULES = (*((name, (f"SPDX-{name}",)) for name in _TAGS), *RULES)
 #: Rules of the third cut, before the others: a reservation in front of a licence's terms belongs to that licence.
 FILE_RULES = tuple((name, ("RESERVED", *need)) for name, need in RULES if need[0] in ("BSD-GRANT", "MIT-GRANT"))
 WRAPPED, LINED = r"[.!?;]+[ \t\r\n]+", r"[.!?;]+[ \t\r\n]+|\n"
