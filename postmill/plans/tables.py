@@ -8,13 +8,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.operators.categories import SPECS, category_table
 from postmill.operators.periods import rank_moves
-from postmill.operators.ranking import reranked, rows_with_ties, tie_marks, within_ranks
-from postmill.plans.base import query
+from postmill.operators.ranking import numbered, reranked, rows_with_ties, tie_marks, within_ranks
+from postmill.plans.base import QUERIES, query
 from postmill.plans.categories import category_sql
 from postmill.sources.posts import posts
 
@@ -104,6 +104,19 @@ def render(frame: DataFrame, people: tuple[str, ...] = ("user",)) -> str:
     return "\n".join(lines + ["| " + " | ".join(cell(c, v) for c, v in zip(frame.columns, row)) + " |" for row in frame.collect()])
 
 
+def month_variables(spark: SparkSession, sf_dir: str, month: str) -> dict[str, str]:
+    """The figures of a month as texts for a template: whole numbers with thousands separated, others with one decimal, and the month's name."""
+    row = QUERIES["month_metadata"](spark, sf_dir).where(F.col("month") == month).select(F.date_format(F.to_date(F.concat("month", F.lit("-01"))), "MMMM yyyy").alias("month_year"), "*").first()
+    if row is None:
+        raise ValueError(f"no posts in {month}")
+    return {k: f"{v:,}" if isinstance(v, int) and not isinstance(v, bool) else f"{v:.1f}" if isinstance(v, float) else str(v) for k, v in row.asDict().items() if v is not None}
+
+
+def report_text(template: str, spark: SparkSession, sf_dir: str, month: str) -> str:
+    """A template's report of a month: its figures, its tables, and whatever text stands between."""
+    return fill(template, month_variables(spark, sf_dir, month), spark, sf_dir, month)
+
+
 def fill(template: str, variables: dict[str, str], spark: SparkSession, sf_dir: str, month: str) -> str:
     """A template with its variables, longest names first, and its tables. Unknown placeholders are an error."""
     for name in sorted(variables, key=len, reverse=True):
@@ -120,6 +133,33 @@ def fill(template: str, variables: dict[str, str], spark: SparkSession, sf_dir:
     return out
 
 
+def rendered(table: DataFrame, columns: dict[str, str], order: list, period: str = "month", people: tuple[str, ...] = ("user",)) -> DataFrame:
+    """Tables of all periods as lines of markdown, made where the rows are: (period, place, line); columns are shown as titles.
+
+    Whole numbers have their thousands separated, people a u/ before them, and nulls are empty. A table's head has the
+    places -1 and 0.
+    """
+    kinds = dict(table.dtypes)
+
+    def cell(name: str) -> Column:
+        value = F.format_number(name, 0) if kinds[name] in ("int", "bigint", "smallint", "tinyint") else F.col(name).cast("string")
+        return F.coalesce(F.concat(F.lit("u/"), value) if name in people else value, F.lit(""))
+
+    row = lambda cells: F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    lines = numbered(table, order, [period], "place").select(period, "place", row([cell(c) for c in columns]).alias("line"))
+    head = F.array(F.struct(F.lit(-1).alias("place"), row([F.lit(t) for t in columns.values()]).alias("line")), F.struct(F.lit(0).alias("place"), F.lit("|" + " --- |" * len(columns)).alias("line")))
+    heads = table.select(period).distinct().select(period, F.explode(head).alias("h")).select(period, "h.*")
+    return heads.unionByName(lines)
+
+
+@query("table_render", f"""WITH g0 AS ({category_sql(SPECS['razor_manufacturers'])}), t AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY rank, brand)::INTEGER AS place FROM g0 WHERE rank <= 10)
+    SELECT month, place, '| ' || rank || ' | ' || brand || ' | ' || format('{{:,}}', shaves) || ' | ' || format('{{:,}}', unique_users) || ' |' AS line FROM t UNION ALL SELECT DISTINCT month, -1, '| Rank | Maker | Shaves | Users |' FROM t UNION ALL SELECT DISTINCT month, 0, '| --- | --- | --- | --- |' FROM t""", posts=True)
+def table_render(spark, sf):
+    """The ten first makers of each month as a table of markdown."""
+    tables = within_ranks(category_table(posts(spark, sf), SPECS["razor_manufacturers"]), 10)
+    return rendered(tables, {"rank": "Rank", "brand": "Maker", "shaves": "Shaves", "unique_users": "Users"}, [F.asc("rank"), F.asc("brand")])
+
+
 @query("table_dsl", f"""WITH g0 AS ({category_sql(SPECS['razor_manufacturers'])}), r AS (SELECT * EXCLUDE rank, rank() OVER (PARTITION BY month ORDER BY unique_users DESC)::INTEGER AS rank FROM g0 WHERE shaves >= 5)
     SELECT rank || CASE WHEN count(*) OVER (PARTITION BY rank) > 1 THEN '=' ELSE ' ' END AS rank, brand AS maker, unique_users FROM r WHERE month = '2000-03' AND rank <= 10""", posts=True)
 def table_dsl(spark, sf):

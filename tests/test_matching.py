@@ -223,3 +223,26 @@ def test_upserts_rewrite_only_their_buckets(spark, tmp_path):
     assert {r.version: r["count"] for r in table.groupBy("version").count().collect()} == {0: 10_000, 1: 200}
     got = {r.event_id: r.value for r in streams.newest(table).collect()}
     assert len(got) == 10_000 and all(got[i] == (2 if 500 <= i < 600 else 1) for i in got)
+
+
+def test_a_report_from_a_template(spark):
+    from postmill.plans import tables
+    from postmill.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    month = QUERIES["month_metadata"](spark, sf).agg(F.max("month")).first()[0]
+    row = QUERIES["month_metadata"](spark, sf).where(F.col("month") == month).first().asDict()
+    text = tables.report_text("# {{month_year}}\n{{total_shaves}} shaves\n{{tables.razors|ranks:3}}\nBye" if "total_shaves" in row else "# {{month_year}}\n{{tables.razors|ranks:3}}\nBye", spark, sf, month)
+    assert text.startswith("# ") and text.endswith("Bye") and "{{" not in text and "| Rank |" in text
+    with pytest.raises(ValueError, match="unknown placeholders"):
+        tables.report_text("{{no_such_figure}}", spark, sf, month)
+    with pytest.raises(ValueError, match="no posts"):
+        tables.report_text("x", spark, sf, "1900-01")
+
+
+def test_rendered_cells(spark):
+    from postmill.plans import tables
+
+    rows = spark.createDataFrame([("m", 1, "ann", 1234567, None), ("m", 2, None, 5, 2.5)], "month string, rank int, user string, n long, x double")
+    got = tables.rendered(rows, {"rank": "Rank", "user": "Who", "n": "N", "x": "X"}, [F.asc("rank")]).orderBy("place").collect()
+    assert [r.line for r in got] == ["| Rank | Who | N | X |", "| --- | --- | --- | --- |", "| 1 | u/ann | 1,234,567 |  |", "| 2 |  | 5 | 2.5 |"]
