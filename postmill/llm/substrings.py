@@ -26,7 +26,7 @@ WINDOW = 20
 #: Rows of the sketch, cells of a row for each window, and bits of a cell's number within a range.
 DEPTH, SPARE, RANGE = 2, 8, 21
 #: Bytes of text of a block, and windows for each range of digests.
-BLOCK, DIGESTS = 8 << 20, 1 << 21
+BLOCK, DIGESTS = 4 << 20, 1 << 21
 #: Bytes of texts that are hashed at a time.
 PIECE = 1 << 18
 #: In place of a null key, which comes after all others.
