@@ -20,7 +20,7 @@ SINGLE_EDGES = {"AC": ("AC", "GEM", "INJECTOR"), "INJECTOR": ("INJECTOR", "GEM",
 SHAVETTE_LAST = ("HAIR SHAPER", "FHS", "A77", "HALF DE", "DE")
 #: Formats of razors that do not name their blade, and those that hold any blade or none.
 ASKS = {"DISPOSABLE": "CARTRIDGE", "UNSPECIFIED": "DE", "PREDEFINED": "DE", "HALF DE (MULTI-BLADE)": "HALF DE"}
-GENERIC, BLADELESS = ("SHAVETTE", "OTHER"), "STRAIGHT"
+GENERIC, BLADELESS, OWN_BLADE = ("SHAVETTE", "OTHER"), "STRAIGHT", ("CARTRIDGE", "CARTRIDGE/DISPOSABLE")
 SHAVETTE = r"^SHAVETTE\s*\((.*)\)$"
 
 
@@ -48,6 +48,12 @@ def steps(razor: Column) -> Column:
     return F.when(asked == BLADELESS, F.lit(None)).when(name.isin(*GENERIC), texts(())).otherwise(order)
 
 
+def route(razor: Column) -> Column:
+    """What becomes of a razor's blade: `auto_cartridge` where the razor brings its own, `irrelevant_razor_format` where it takes none, else `match`."""
+    asked = target(razor)
+    return F.when(asked.isin(*OWN_BLADE), "auto_cartridge").when(asked == BLADELESS, "irrelevant_razor_format").otherwise("match")
+
+
 def best_blades(rows: DataFrame, text: str, razor: str, verified: DataFrame, candidates: DataFrame, names: Sequence[str]) -> DataFrame:
     """Add match (struct of names, format and pattern), match_type (exact or regex) and step to rows, by text and razor.
 

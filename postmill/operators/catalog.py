@@ -123,6 +123,10 @@ def text_grams(text: Column) -> Column:
     return F.array_distinct(F.array_append(every, F.lit("")))
 
 
+#: Patterns of a catalog that is sent to all texts; the grams of texts go to a larger one.
+SMALL = 20_000
+
+
 def candidates(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[str]) -> DataFrame:
     """All patterns that fit a distinct text: (text, section, less, ord, pattern, names), the best ones least in section, less and ord.
 
@@ -134,6 +138,8 @@ def candidates(texts: DataFrame, catalog: DataFrame, text: str, names: Sequence[
     filed = catalog.select("pattern", F.explode(F.when(F.size("grams") > 0, F.col("grams")).otherwise(F.array(F.lit("")))).alias("_gram")).distinct()
     filed = filed.join(counts, "_gram", "left").groupBy("pattern").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram"))["_gram"].alias("_gram"))
     indexed = catalog.join(filed, "pattern").select("_gram", "section", (-F.length("pattern")).alias("less"), "ord", "pattern", *[F.col("attributes")[n].alias(n) for n in names])
+    if catalog.limit(SMALL + 1).count() <= SMALL:
+        indexed = F.broadcast(indexed)
     # by pattern, so that each is compiled once in a row of texts
     met = spread.join(indexed, "_gram").sortWithinPartitions("pattern")
     fits = met.where(F.regexp_instr("_t", F.concat(F.lit("(?i)"), "pattern")) > 0)

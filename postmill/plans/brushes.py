@@ -57,6 +57,19 @@ def blade_ctx(spark, sf):
     return best.select("razor", "text", "posts", "step", "match_type", "match.*")
 
 
+ROUTE_CONTEXT = "CASE razor_format WHEN 'LARGE' THEN 'Cartridge/Disposable' WHEN 'PROMO' THEN 'straight' WHEN 'SMALL' THEN 'Shavette (Disposable)' WHEN 'MEDIUM' THEN 'Shavette (Straight)' WHEN 'ECONOMY' THEN '' ELSE blade_format END"
+
+
+@query("cartridge_auto", f"""WITH r AS (SELECT {ROUTE_CONTEXT} AS razor, CASE WHEN razor_format IN ('LARGE', 'SMALL') THEN 'auto_cartridge' WHEN razor_format IN ('PROMO', 'MEDIUM') THEN 'irrelevant_razor_format' ELSE 'match' END AS route, blade_brand || ' ' || blade_model AS blade, author FROM posts)
+    SELECT razor, route, count(*) AS posts, count(DISTINCT author) AS people, count(DISTINCT CASE route WHEN 'match' THEN blade WHEN 'auto_cartridge' THEN 'Cartridge' END) AS blades FROM r GROUP BY 1, 2""", posts=True)
+def cartridge_auto(spark, sf):
+    """Posts by what becomes of their blade: those of razors that bring their own have one blade, those of bladeless ones none."""
+    rows = posts(spark, sf).select(F.expr(ROUTE_CONTEXT).alias("razor"), "author", F.expr(BLADE).alias("text"))
+    routed = rows.withColumn("route", blades.route(F.col("razor")))
+    blade = F.when(F.col("route") == "match", F.col("text")).when(F.col("route") == "auto_cartridge", F.lit("Cartridge"))
+    return routed.groupBy("razor", "route").agg(F.count("*").alias("posts"), F.count_distinct("author").alias("people"), F.count_distinct(blade).alias("blades"))
+
+
 # ---- cuts and scores of brushes -----------------------------------------------------------------------------------
 
 #: Brush texts with a second place to cut, a bracket, and slashes that are none.

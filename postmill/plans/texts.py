@@ -337,13 +337,6 @@ def blade_pattern_score(spark, sf):
     return numbered_all(dim, [F.desc("special"), F.desc("length"), F.desc("metas"), F.asc("p_name"), F.asc("p_type")], "priority")
 
 
-@query("cartridge_auto", "SELECT razor_format, blade_format, count(*) AS posts, CASE razor_format WHEN 'LARGE' THEN 'auto_cartridge' WHEN 'PROMO' THEN 'irrelevant_razor_format' ELSE 'match' END AS route FROM posts GROUP BY 1, 2", posts=True)
-def cartridge_auto(spark, sf):
-    """Razor formats that bring their own blade, or for which blades do not matter, skip the blade lookup."""
-    route = F.when(F.col("razor_format") == "LARGE", "auto_cartridge").when(F.col("razor_format") == "PROMO", "irrelevant_razor_format").otherwise("match")
-    return posts(spark, sf).groupBy("razor_format", "blade_format").agg(F.count("*").alias("posts")).withColumn("route", route)
-
-
 BRANDS = tuple(resolution.Pattern(p, {"brand": b}) for p, b in (("^brand#1( |$)", "First"), ("^brand#2( |$)", "Second"), ("^hot", "Heat")))
 SOAP_TEXT = "CASE WHEN p_size % 3 = 0 THEN p_brand || ' - ' || p_name ELSE p_brand || ' ' || p_name END"
 
