@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.sources.store import shared_folder
+from postmill.sources.store import scratch
 
 
 def _window(partition: Sequence[str], order: Sequence[Column]):
@@ -32,7 +31,7 @@ def numbered_all(frame: DataFrame, order: Sequence[Column], name: str = "rank")
     the ranges before it hold; of those there are only as many as ranges.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/order-{uuid.uuid4().hex}"
+    path = scratch(spark, "order")
     frame.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
     placed = spark.read.parquet(path)
     sizes = placed.groupBy("_range").agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct("_range", "n"))).alias("all"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from postmill.functions.text import for_alignment, strip_last_soap
-from postmill.sources.store import shared_folder
+from postmill.sources.store import scratch, shared_folder
 
 
 def edit_ratio(a: Column, b: Column) -> Column:
@@ -172,7 +171,7 @@ def with_neighbours(rows: DataFrame, column: str) -> DataFrame:
     of the range before and the first one of the range after; of those there are only as many as ranges.
     """
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}"
+    path = scratch(spark, "ranges")
     rows.repartitionByRange(F.col(column)).withColumn("_range", F.spark_partition_id()).write.parquet(path)
     placed = spark.read.parquet(path)
     ends = placed.groupBy("_range").agg(F.min(column).alias("first"), F.max(column).alias("last")).agg(F.array_sort(F.collect_list(F.struct("_range", "first", "last"))).alias("all"))

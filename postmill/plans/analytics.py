@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from postmill.functions import text
@@ -332,7 +330,7 @@ def thread_overrides(spark, sf):
     SELECT month, CASE WHEN posts IS NULL OR i % 5 = 0 THEN 'missing' WHEN i % 4 = 1 THEN 'corrupt' ELSE 'included' END AS status, CASE WHEN posts IS NULL OR i % 5 = 0 THEN 0 ELSE posts END AS rows, CASE WHEN posts IS NOT NULL AND i % 5 <> 0 AND i % 4 <> 1 THEN people END AS people FROM m LEFT JOIN p USING (month)""", posts=True)
 def scan_year(spark, sf):
     """A year of month files, of which some are missing and some are broken: what became of each month, and the people of the whole ones."""
-    place = f"{store.shared_folder(spark)}/year-{uuid.uuid4().hex}"
+    place = store.scratch(spark, "year")
     number = F.split_part("month", F.lit("-"), F.lit(2)).cast("int")
     rows = posts(spark, sf).where("year = 2000").where(number % 5 != 0).select("month", "id", "author", "use_count")
     store.write_month_json(rows, place)

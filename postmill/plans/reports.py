@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +59,7 @@ def report_annual(spark, sf, year=YEAR, ranks=RANKS):
 @query("scan_month_json", "SELECT strftime(ts, '%Y-%m') AS month, event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def scan_month_json(spark, sf):
     """Events as JSON files of months, written and read back with a schema; a filter on month reads its folders only."""
-    place = f"{store.shared_folder(spark)}/months-{uuid.uuid4().hex}"
+    place = store.scratch(spark, "months")
     rows = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM").alias("month"), "event_id", "event_type", "value")
     store.write_month_json(rows, place)
     found = store.read_month_rows(spark, place, "event_id long, event_type string, value double")
@@ -72,7 +70,7 @@ def scan_month_json(spark, sf):
     SELECT month, kind, 'user_analysis' AS made, count(DISTINCT author) AS rows, count(*)::BIGINT AS shaves FROM x GROUP BY 1, 2 UNION ALL SELECT month, kind, 'product_usage', count(DISTINCT product), count(*)::BIGINT FROM x GROUP BY 1, 2""", posts=True)
 def regenerate_nested(spark, sf):
     """Both nested tables of all months made anew, month by month in place of the old ones, and what is then in them."""
-    place, parts = f"{store.shared_folder(spark)}/nested-{uuid.uuid4().hex}", []
+    place, parts = store.scratch(spark, "nested"), []
     for name, made, shaves in (("user_analysis", user_analysis(spark, sf), "shaves"), ("product_usage", product_usage(spark, sf), "total_usage")):
         store.write_months(made, f"{place}/{name}")
         written = spark.read.schema(made.schema).parquet(f"{place}/{name}")

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from postmill.plans.base import query
-from postmill.sources.store import shared_folder
+from postmill.sources.store import scratch
 from postmill.streaming import events as streams
 
 
 def _place(spark) -> str:
     """A new folder that all executors share."""
-    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    return scratch(spark, "stream")
 
 
 def _events(spark, sf):

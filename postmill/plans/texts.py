@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from importlib.util import find_spec
 
 from pyspark.sql import functions as F
@@ -317,7 +316,7 @@ if find_spec("yaml"):
     @query("scan_yaml_catalog", "SELECT DISTINCT p_brand AS brand, p_name AS model, p_type AS format, (length(p_name) % 3)::INTEGER AS section, '^' || replace(lower(p_brand || ' ' || p_name), ' ', '[ ]+') AS pattern FROM part")
     def scan_yaml_catalog(spark, sf):
         """Products of a table written as a YAML catalog and read back."""
-        place = f"{store.shared_folder(spark)}/catalog-{uuid.uuid4().hex}"
+        place = store.scratch(spark, "catalog")
         parts = table(spark, sf, "part").select("p_brand", "p_name", "p_type").distinct()
         entry = F.format_string("'%s, %s, %s':\n  '%s':\n    brand: '%s'\n    format: '%s'\n    section: %d\n    patterns: ['^%s']\n", "p_brand", "p_name", "p_type", "p_name", "p_brand", "p_type", F.length("p_name") % 3, F.regexp_replace(F.lower(F.concat_ws(" ", "p_brand", "p_name")), " ", "[ ]+"))
         parts.select(entry.alias("value")).coalesce(1).write.text(place)

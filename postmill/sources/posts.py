@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.sources.store import shared_folder
+from postmill.sources.store import scratch
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -40,7 +38,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     at = (spark.sparkContext.applicationId, _state(spark, sf_dir))
     if at not in _WRITTEN:
-        path = f"{shared_folder(spark)}/posts-{uuid.uuid4().hex}"
+        path = scratch(spark, "posts")
         joined_posts(spark, sf_dir).write.partitionBy("year").parquet(path)
         _WRITTEN[at] = path
     return spark.read.schema(joined_posts(spark, sf_dir).schema).parquet(_WRITTEN[at])

@@ -3,12 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: The scratch folder of an application.
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, for what later steps and the result read; it goes when the driver's process ends."""
+    context = spark.sparkContext
+    if context.applicationId not in _SCRATCH:
+        top = f"{shared_folder(spark)}/postmill-{context.applicationId}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _SCRATCH[context.applicationId] = top
+    return f"{_SCRATCH[context.applicationId]}/{name}-{uuid.uuid4().hex}"
+
+
 POST_SCHEMA = "id string, author string, body string, created_utc string, thread_id string, thread_title string, url string"
 
 
