@@ -3,11 +3,13 @@
 One hash per shingle is dealt to BINS bins by its high bits; the least of each bin is its value, and an empty bin takes
 that of the first filled one in an order of its own. Equal shingle sets collapse to one node first, so exact copies make
 no pairs. Nodes that agree in all values of a band share a bucket. Each bucket is a star around its least node, and a
-node is compared with the one centre with which it shares most buckets. Where after that a bucket still spans several
-components, the members outside its largest one are compared with the members of other components, so no link between
-bucket mates is lost. Which of these pairs go on is decided within the join by parity sketches: each shingle flips one
-of ODD bits, so two sketches differ in no more bits than their sets differ in shingles, and a pair whose sketches differ
-in more bits than a link allows is none for certain. Links are confirmed on the full shingle sets.
+node is compared with the one centre with which it shares most buckets. Buckets that still span several components get
+new stars around a few drawn members, round after round, as long as many pairs are left and a round halves their number.
+What is left after that, the members outside a bucket's largest component, is compared with the members of other
+components, so no link between bucket mates is lost. Which of these pairs go on is decided within the join by parity
+sketches: each shingle flips one of ODD bits, so two sketches differ in no more bits than their sets differ in shingles,
+and a pair whose sketches differ in more bits than a link allows is none for certain. Links are confirmed on the full
+shingle sets.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import cut, cut_table, drop_table
@@ -26,6 +28,9 @@ BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
 #: Bits of a parity sketch.
 ODD = 1024
+WORDS = range(ODD // 64)
+#: Centres of an open bucket in a round of stars, pairs a member below which no round is needed, and members in a block of the pairs that are left.
+CENTRES, FEW, BLOCK = 8, 64, 1000
 #: Words of a shingle, and the least similarity of a link in hundredths.
 SHINGLE, PERCENT = 2, 80
 #: Words whose hashes a task keeps.
@@ -175,6 +180,60 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _close(x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (bucket, node, n) with the components that links have made so far."""
+    placed = members.select("bucket", "node", "n").join(found, "node", "left")
+    return placed.select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+
+
+def open_buckets(placed: DataFrame) -> DataFrame:
+    """Buckets that span several components: the largest one (top), the members, and those outside the largest (minor)."""
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    spans = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("members"), F.count("*").alias("parts"))
+    return spans.where("parts > 1").select("bucket", F.col("top.component").alias("top"), "members", (F.col("members") - F.col("top.size")).alias("minor"))
+
+
+def _sketched(placed: DataFrame, spans: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of open buckets with their sketches as columns o0, o1, ..."""
+    return cut(placed.join(spans, "bucket").join(nodes.select("node", *[F.col("odd")[k].alias(f"o{k}") for k in WORDS]), "node"))
+
+
+def _may_link(one: DataFrame, other: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """Rows of both that meet, lie in different components and can be linked by their sizes and sketches; (x, node) and how much the sketches differ."""
+    one = one.select(*on, F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), *[F.col(f"o{k}").alias(f"x{k}") for k in WORDS])
+    differ = sum((F.bit_count(F.col(f"o{k}").bitwiseXOR(F.col(f"x{k}"))) for k in WORDS), F.lit(0))
+    may = differ * (100 + percent) <= (F.col("n") + F.col("xn")) * (100 - percent)
+    return one.join(other, on).where("component <> xc").where(_close(F.col("n"), F.col("xn"), percent)).where(may).withColumn("differ", differ)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
+def centre_pairs(open_: DataFrame, seed: float, percent: int = PERCENT) -> DataFrame:
+    """New stars in open buckets: each member and, of each component that a centre of its buckets lies in, the centre most like it.
+
+    A bucket has CENTRES of them at most, drawn by a hash, so pairs are linear in the members.
+    """
+    draw = F.xxhash64("node", "bucket", F.lit(seed))
+    drawn = open_.groupBy("bucket", F.pmod(draw, F.lit(CENTRES)).alias("slot")).agg(F.min(F.struct(draw.alias("draw"), "node", "n", "component", *[f"o{k}" for k in WORDS])).alias("c"))
+    met = _may_link(drawn.select("bucket", "c.*"), open_, ["bucket"], percent)
+    return _ordered(met.groupBy("node", "xc").agg(F.min(F.struct("differ", "x")).alias("best")).select("node", F.col("best.x").alias("x")))
+
+
+def open_pairs(open_: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs that can be links between components of an open bucket. Large buckets are dealt out in blocks of BLOCK members outside the largest component."""
+    blocks = F.ceil(F.col("minor") / BLOCK).cast("int")
+    minor = open_.where("component <> top").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    whole = open_.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return _ordered(_may_link(minor, whole, ["bucket", "block"], percent))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of each row: key, n_shingles, component_id (least key reachable by links, itself included), and kept.
 
@@ -189,8 +248,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     members = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
     centre = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.max("node").alias("most")).where("most > c.node").select("bucket", "c")
     stars = cut_table(members.join(centre, "bucket"))  # buckets of two and more
-    close = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    mates = stars.where(F.col("node") != F.col("c.node")).where(close(F.col("n"), F.col("c.n")))
+    mates = stars.where(F.col("node") != F.col("c.node")).where(_close(F.col("n"), F.col("c.n"), percent))
     shared = mates.groupBy("node", F.col("c.node").alias("a")).agg(F.count("*").alias("shared"))
     first = shared.groupBy(F.col("node").alias("b")).agg(F.max(F.struct("shared", (-F.col("a")).alias("minus"))).alias("x")).select((-F.col("x.minus")).alias("a"), "b")
     first = cut(first)
@@ -200,25 +258,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     links = cut(linked(first, texts, shingle, percent))
     found = components(links)
 
-    # buckets that still span several components: their members outside the largest meet those of other components
-    placed = stars.select("bucket", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut_table(placed)
+    placed = cut_table(_placed(stars, found))
     drop_table(stars)
-    spans = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    words = range(ODD // 64)
-    open_ = placed.join(spans.select("bucket", F.col("top.component").alias("top")), "bucket")
-    open_ = cut(open_.join(nodes.select("node", *[F.col("odd")[k].alias(f"o{k}") for k in words]), "node"))
-    minor = open_.where("component <> top").select("bucket", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), *[F.col(f"o{k}").alias(f"x{k}") for k in words])
-    differ = sum((F.bit_count(F.col(f"o{k}").bitwiseXOR(F.col(f"x{k}"))) for k in words), F.lit(0))
-    may = differ * (100 + percent) <= (F.col("n") + F.col("xn")) * (100 - percent)
-    pairs = minor.join(open_, "bucket").where("component <> xc").where(close(F.col("n"), F.col("xn"))).where(may)
-    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-    more = cut(linked(pairs, texts, shingle, percent))
+    tried, before = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
+    while True:
+        spans = open_buckets(placed)
+        left = spans.agg(F.sum("members").alias("members"), F.sum(F.col("minor").cast("double") * F.col("members")).alias("pairs")).first()
+        if not left["members"] or left["pairs"] <= FEW * left["members"] or (before is not None and 2 * left["pairs"] > before):
+            break
+        before = left["pairs"]
+        pairs = cut(centre_pairs(_sketched(placed, spans, nodes), before, percent).join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(pairs)
+        links = cut(links.union(linked(pairs, texts, shingle, percent)))
+        found = components(links)
+        closer = cut_table(_placed(placed.join(spans, "bucket", "left_semi"), found))
+        drop_table(placed)
+        placed = closer
+    if left["members"]:
+        pairs = cut(open_pairs(_sketched(placed, spans, nodes), percent).join(tried, ["a", "b"], "left_anti"))
+        more = cut(linked(pairs, texts, shingle, percent))
+        found = components(links.union(more)) if not more.isEmpty() else found
     drop_table(texts)
     drop_table(placed)
-    found = components(links.union(more)) if not more.isEmpty() else found
 
     labels = nodes.select("sig", "node").join(found, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
     placed = signed.select("id", "n", "sig").join(labels, "sig", "left")

@@ -252,6 +252,29 @@ def test_family_of_close_texts_loses_no_link(spark):
     assert {r.doc_id: r.component_id for r in got} == plain_components(rows, 2)[0]
 
 
+@pytest.mark.parametrize("few, block", [(0, 1), (0, 1000), (64, 3)])
+def test_rounds_of_stars_and_blocks_lose_no_link(spark, documents, monkeypatch, few, block):
+    monkeypatch.setattr(near, "FEW", few)
+    monkeypatch.setattr(near, "BLOCK", block)
+    rng = np.random.default_rng(17)
+    rows = [(10**6 + i, " ".join(f"b{k}" if rng.random() > 0.05 else f"x{rng.integers(10**6)}" for k in range(90))) for i in range(80)]
+    got = near.near_duplicates(spark.createDataFrame([*documents, *rows], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain_components([*documents, *rows], 2)[0]
+
+
+def test_pairs_of_a_round_are_linear_in_the_members_of_a_bucket(spark):
+    # one bucket of many sets that are all alike but for one bit, none linked yet
+    sketch = [F.expr(f"IF(id % 16 = {k}, shiftleft(1L, CAST(id % 64 AS int)), 0L) AS o{k}") for k in near.WORDS]
+    n = 20_000
+    open_ = spark.range(n).select(F.lit(1).alias("bucket"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.col("id").alias("component"), *sketch)
+    spans = near.open_buckets(open_).first()
+    assert (spans.members, spans.minor) == (n, n - 1)
+    pairs = near.centre_pairs(open_, 1.0)
+    assert n - 1 <= pairs.count() <= near.CENTRES * n
+    reached = near.components(pairs).agg(F.countDistinct("component"), F.count("*")).first()
+    assert tuple(reached) == (1, n)
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = near.near_duplicates(odd.withColumn("component_id", F.lit(1))).collect()
     assert len(got) == len(odd_rows())
