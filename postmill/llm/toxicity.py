@@ -1,9 +1,11 @@
 """Toxicity by a weighted finite-state grammar: matched clauses are scored, not isolated words.
 
 A lexicon turns the words of a clause into symbols with weights. Four small transducers for threats, negation, reported
-speech and targets are composed into one machine, which reads the symbols and says in which way each insult is meant;
-its arcs multiply the weight. The insult lexicon holds fixed words and words or word beginnings learned from labelled
-texts; a calibrated logistic curve turns a document's summed clause weights into a score.
+speech and targets are composed into one machine, which reads the symbols and marks in which way each insult is meant: a
+threat to someone, negated, reported, aimed at someone, or several of these. The weight of a marked insult is multiplied
+by a factor for each mark. Factors are learned from labelled texts and drawn to prior ones. The insult lexicon holds fixed
+words and words or word beginnings learned from labelled texts; a calibrated logistic curve turns a document's summed
+clause weights into a score.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,19 @@ THREATS = "kill hurt destroy punch stab beat tuer frapper tuerai töten schlagen
 TARGETS = "you your yours you're he she they them him her everyone du dich dir ihr euch sie tu toi vous ils elles tú usted ustedes ellos ti".split()
 NEGATIONS = "not never isn't aren't don't doesn't didn't wasn't nicht kein keine nie jamais aucun nunca ningún".split()
 REPORTS = "said says claimed claims wrote reported quoted called sagte behauptete schrieb dit disait affirmait dijo decía afirmó".split()
-MULTIPLIERS = {"-": 0.5, "~": 0.6, "+": 1.3}
+
+#: Marks of a reading: threat to someone, negated, reported, aimed at someone. Of each the prior factor, and the least and the largest one that can be learned.
+MARKS: dict[str, tuple[float, float, float]] = {"!": (1.0, 0.25, 4.0), "-": (0.5, 0.05, 1.0), "~": (0.6, 0.05, 1.0), "+": (1.3, 1.0, 4.0)}
+PRIOR = {mark: prior for mark, (prior, _, _) in MARKS.items()}
+#: How strongly factors are drawn to the prior, in log likelihood for a factor e times as large; factors tried, and rounds over all marks.
+PULL, TRIED, ROUNDS = 2.0, 13, 3
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
 CLAUSE = re.compile(r"[.!?;:\n|]+")
 
 
 class Transducer:
-    """States are anything hashable; step(state, symbol) gives the next state, the symbol to write and a factor."""
+    """States are anything hashable; step(state, symbol) gives the next state, the symbol to write and its marks."""
 
     def __init__(self, start, step) -> None:
         self.start, self.step = start, step
@@ -54,46 +61,62 @@ class Transducer:
         def step(state, symbol):
             a, middle, x = self.step(state[0], symbol)
             b, out, y = other.step(state[1], middle)
-            return (a, b), out, x * y
+            return (a, b), out, x + y
 
         return Transducer((self.start, other.start), step)
 
     def tabled(self, symbols: str) -> dict:
-        """All reachable arcs: (state number, symbol) to (state number, output, factor)."""
+        """All reachable arcs: (state number, symbol) to (state number, output, marks)."""
         numbers, arcs, open_ = {self.start: 0}, {}, deque([self.start])
         while open_:
             state = open_.popleft()
             for symbol in symbols:
-                after, out, factor = self.step(state, symbol)
+                after, out, marks = self.step(state, symbol)
                 if after not in numbers:
                     numbers[after] = len(numbers)
                     open_.append(after)
-                arcs[numbers[state], symbol] = numbers[after], out, factor
+                arcs[numbers[state], symbol] = numbers[after], out, marks
         return arcs
 
 
-def within(opener: str, words: int, changes: str, to: str, factor: float) -> Transducer:
-    """After `opener`, the next of `changes` within so many words is written as `to`, with a factor."""
+def within(opener: str, words: int, changes: str, to: str, mark: str) -> Transducer:
+    """After `opener`, the next of `changes` within so many words is written as `to`, with a mark."""
 
     def step(left, symbol):
         if symbol == opener:
-            return words, symbol, 1.0
+            return words, symbol, ""
         if left and symbol in changes:
-            return 0, to, factor
-        return max(left - 1, 0), symbol, 1.0
+            return 0, to, mark
+        return max(left - 1, 0), symbol, ""
 
     return Transducer(0, step)
 
 
 def grammar() -> dict:
     """Symbols: I insult, T threat word, Y target, N negation, R reporting, O other. H is written for a threat to someone."""
-    reported = Transducer(False, lambda on, s: (on or s == "R", s, MULTIPLIERS["~"] if on and s in "IH" else 1.0))
-    machine = within("T", 3, "Y", "H", 1.0)
-    for part in (within("N", 2, "IH", "I", MULTIPLIERS["-"]), reported, within("Y", 4, "I", "I", MULTIPLIERS["+"])):
+    reported = Transducer(False, lambda on, s: (on or s == "R", s, "~" if on and s in "IH" else ""))
+    machine = within("T", 3, "Y", "H", "!")
+    for part in (within("N", 2, "IH", "I", "-"), reported, within("Y", 4, "I", "I", "+")):
         machine = machine.compose(part)
     return machine.tabled("ITYNRO")
 
 
+#: All marks that an insult or threat can have together.
+READINGS = sorted({marks for _, out, marks in grammar().values() if out in "IH"})
+#: Words that the grammar reads as something else than an insult.
+GRAMMAR_WORDS = {w: s for s, words in (("T", THREATS), ("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in words}
+
+
+def folded(arcs: dict[str, float]) -> dict[str, float]:
+    """Arcs without those that one of their own beginnings outweighs: it reads all their words. No weight of a word changes."""
+
+    def spare(arc: str, weight: float) -> bool:
+        word = arc.rstrip("*")
+        return any(k < len(word) and arcs.get(word[:k] + "*", 0.0) >= weight for k in BEGINNINGS)
+
+    return {arc: weight for arc, weight in arcs.items() if not spare(arc, weight)}
+
+
 def text_arcs(text: str) -> set[str]:
     """Lower-case words of a text, and their beginnings with a star."""
     words = set(WORD.findall(text.lower()))
@@ -103,13 +126,13 @@ def text_arcs(text: str) -> set[str]:
 class Scorer:
     """Summed weights of the clauses of a text."""
 
-    def __init__(self, arcs: dict[str, float]) -> None:
+    def __init__(self, arcs: dict[str, float], factors: dict[str, float] = PRIOR) -> None:
         import ahocorasick
 
-        self.arcs, self.table = arcs, grammar()
-        self.symbols = {w: s for s, words in (("T", THREATS), ("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in words}
+        self.arcs, self.table = folded(arcs), grammar()
+        self.factors = {marks: math.prod(factors[m] for m in marks) for marks in READINGS}
         self.finder = ahocorasick.Automaton()
-        for word in [*arcs, *THREATS]:
+        for word in [*self.arcs, *THREATS]:
             self.finder.add_word(word.rstrip("*"), len(word.rstrip("*")))
         self.finder.make_automaton()
 
@@ -118,29 +141,33 @@ class Scorer:
         get = self.arcs.get
         return max([get(word, 0.0), *(get(word[:k] + "*", 0.0) for k in BEGINNINGS if len(word) > k)])
 
-    def clause(self, clause: str) -> float:
-        state, total = 0, 0.0
-        for word in WORD.findall(clause):
-            weight = self.weight(word)
-            state, out, factor = self.table[state, "I" if weight else self.symbols.get(word, "O")]
-            total += factor * (weight if out == "I" else THREAT_WEIGHT if out == "H" else 0.0)
-        return total
+    def readings(self, text: str) -> dict[str, float]:
+        """Summed weights of insults and threats by their marks. Only texts in which the automaton sees the beginning of a word of the lexicon are read."""
+        text, sums = text.lower(), {}
+        if not any(end + 1 == size or not text[end - size].isalpha() for end, size in self.finder.iter(text)):
+            return sums
+        for clause in CLAUSE.split(text):
+            state = 0
+            for word in WORD.findall(clause):
+                weight = self.weight(word)
+                state, out, marks = self.table[state, "I" if weight else GRAMMAR_WORDS.get(word, "O")]
+                weight = THREAT_WEIGHT if out == "H" else weight
+                if weight:
+                    sums[marks] = sums.get(marks, 0.0) + weight
+        return sums
 
     def total(self, text: str) -> float:
-        """Only clauses in which the automaton sees the beginning of a word of the lexicon are read."""
-        text = text.lower()
-        if not any(end + 1 == size or not text[end - size].isalpha() for end, size in self.finder.iter(text)):
-            return 0.0
-        return math.fsum(self.clause(c) for c in CLAUSE.split(text))
+        return math.fsum(self.factors[marks] * weight for marks, weight in self.readings(text).items())
 
 
 @dataclass
 class ToxicityModel:
-    """Arcs of the insult lexicon, and slope and shift of the calibration over log(1 + total)."""
+    """Arcs of the insult lexicon, slope and shift of the calibration over log(1 + total), and the factors of marks."""
 
     arcs: dict[str, float]
     slope: float
     shift: float
+    factors: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
 
     def score(self, total: float) -> float:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.slope * math.log1p(total) + self.shift))))
@@ -152,7 +179,7 @@ def held_out():
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
-    """Learn insult arcs and the calibration from labelled rows that are not held out; equal texts count once.
+    """Learn insult arcs, the factors of marks and the calibration from labelled rows that are not held out; equal texts count once.
 
     Without labels of both classes, only the fixed lexicon is used.
     """
@@ -172,7 +199,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", max_row
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[1][w] for w in words], pa.int64()), pa.array([seen[0][w] for w in words], pa.int64())], names=["arc", "a", "b"])
 
     counts = chosen.where(~calibrates).select("toxic", "text").mapInArrow(counted, "arc string, a long, b long").groupBy("arc").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    strong = (F.col("arc") == "") | ((F.col("a") >= MIN_TEXTS) & (F.col("a") / (F.col("a") + F.col("b") + 0.5) >= MIN_PRECISION))
+    insult = ~F.col("arc").isin(*GRAMMAR_WORDS)
+    strong = (F.col("arc") == "") | (insult & (F.col("a") >= MIN_TEXTS) & (F.col("a") / (F.col("a") + F.col("b") + 0.5) >= MIN_PRECISION))
     # the labelled sample bounds their number
     rows = sorted(counts.where(strong).collect())
     arcs = dict.fromkeys(INSULTS, FIXED_WEIGHT)
@@ -183,13 +211,40 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", max_row
         if r["arc"]:
             arcs[r["arc"]] = math.log((r["a"] + 0.5) / (everything["a"] + 1)) - math.log((r["b"] + 0.5) / (everything["b"] + 1))
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    arcs = folded(arcs)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(arcs)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([scorer.total(v) for v in batch["text"].to_pylist()], pa.float64()), batch["toxic"]], names=["x", "toxic"])
+            sums = [scorer.readings(v) for v in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([[x.get(marks, 0.0) for marks in READINGS] for x in sums], pa.list_(pa.float64())), batch["toxic"]], names=["x", "toxic"])
+
+    got = chosen.where(calibrates).select("toxic", "text").mapInArrow(read, "x array<double>, toxic int").collect()
+    rows = sorted((tuple(r["x"]), r["toxic"]) for r in got)
+    return ToxicityModel(arcs, *_fitted(np.array([x for x, _ in rows]).reshape(-1, len(READINGS)), np.array([t for _, t in rows], np.float64)))
+
+
+def _fitted(sums: np.ndarray, y: np.ndarray) -> tuple[float, float, dict[str, float]]:
+    """Slope, shift and factors of the marks: one mark after the other takes the factor of greatest likelihood, with the pull to its prior.
+
+    Marks that no row has keep the prior.
+    """
+    factors = dict(PRIOR)
+    has = {m: any(sums[:, k].any() for k, marks in enumerate(READINGS) if m in marks) for m in MARKS}
+
+    def curve(tried: dict[str, float]) -> tuple[float, float, float]:
+        x = np.log1p(sums @ np.array([math.prod(tried[m] for m in marks) for marks in READINGS]))
+        slope, shift = _platt(x, y)
+        z = np.clip(slope * x + shift, -30, 30)
+        loss = np.logaddexp(0, z).sum() - (z * y).sum() + PULL * sum(math.log(tried[m] / PRIOR[m]) ** 2 for m in MARKS)
+        return float(loss), slope, shift
 
-    got = chosen.where(calibrates).select("toxic", "text").mapInArrow(totals, "x double, toxic int").toPandas().sort_values(["x", "toxic"])
-    return ToxicityModel(arcs, *_platt(np.log1p(got["x"].to_numpy()), got["toxic"].to_numpy(np.float64)))
+    if 0 < y.sum() < len(y):
+        for _ in range(ROUNDS):
+            for mark in filter(has.get, MARKS):
+                options = [factors[mark], *np.geomspace(*MARKS[mark][1:], TRIED).tolist()]
+                factors[mark] = min(options, key=lambda v: curve(factors | {mark: v})[0])
+    return (*curve(factors)[1:], factors)
 
 
 def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -214,7 +269,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
     docs = docs.drop("score", "predicted")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.arcs)
+        scorer = Scorer(model.arcs, model.factors)
         for batch in batches:
             scores = [model.score(scorer.total(value.as_py() or "")) for value in batch[text]]
             predicted = [int(s >= THRESHOLD) for s in scores]

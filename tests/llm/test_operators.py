@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,8 +85,25 @@ def test_licences_of_odd_rows(odd, none):
     assert licenses.scan_licences(none).count() == 0
 
 
+LICENCE_FILES = [(Path(__file__).parent / "files" / f"{n}.txt").read_text() for n in ("mit", "bsd3", "apache2")]
+
+
+def test_licence_files_as_by_sql(spark):
+    mit, bsd, apache = LICENCE_FILES
+    texts = [None, "", *LICENCE_FILES, *(x.replace("\n", "\r\n") for x in LICENCE_FILES), *(x.replace("\n\n", "\n") for x in LICENCE_FILES), bsd + apache + mit, bsd.replace("Doe\nAll", "Doe. All"), bsd + "\nBook. All rights reserved."]
+    texts += ["\n".join(f" {mark} {line}" for line in x.split("\n")) for x in LICENCE_FILES for mark in ("*", "//", "#")]
+    texts += ["My text\n\nCopyright (c) 2020 X\nAll rights reserved.\n\nMore.", "Copyright [2020] A\nAll rights reserved. Released under the MIT License.", "© X\n 1. Licensed under CC0 1.0.\n (a) All rights reserved", "Note:\nlicensed under the ISC license"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    found = licenses.scan_licences(docs)
+    got = found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+    assert_same(got, oracles.ORACLES["op1_license_scan"], con)
+
+
 def test_whole_licence_files(spark):
-    mit, bsd, apache = ((Path(__file__).parent / "files" / f"{n}.txt").read_text() for n in ("mit", "bsd3", "apache2"))
+    mit, bsd, apache = LICENCE_FILES
     rows = {
         "mit": mit, "bsd": bsd, "apache": apache, "crlf": bsd.replace("\n", "\r\n"), "dense": bsd.replace("\n\n", "\n"), "dense mit": mit.replace("\n\n", "\n"), "between": "Read this.\n\n" + mit + "\nAnd go on.",
         "same line": bsd.replace("Doe\nAll", "Doe. All"), "comment": "\n".join(" * " + x for x in bsd.split("\n")), "reserved": "My text\n\nCopyright (c) 2020 X\nAll rights reserved.\n\nMore.", "other": bsd + "\nBook. All rights reserved.",
@@ -568,6 +586,74 @@ def test_composed_grammar_as_by_four_passes():
         assert scorer.total(". ".join(map(" ".join, clauses))) == pytest.approx(sum(plain_clause(c, weight) for c in clauses))
 
 
+def test_folded_arcs_weigh_all_words_alike():
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abc"), int(rng.integers(3, 11)))) for _ in range(400)]
+    arcs = {a: float(rng.integers(1, 4)) for w in words[:60] for a in toxicity.text_arcs(w)}
+    few, plain = toxicity.Scorer(arcs), lambda w: max([arcs.get(w, 0.0), *(arcs.get(w[:k] + "*", 0.0) for k in toxicity.BEGINNINGS if len(w) > k)])
+    assert [few.weight(w) for w in words] == [plain(w) for w in words]
+    assert len(few.arcs) < len(arcs) / 2
+
+
+def clause_corpus(n, reports_are_toxic=False):
+    """Texts whose label depends on how an insult is meant, not on which one it is; all kinds of words are in both classes."""
+    rng = np.random.default_rng(31)
+    pick = lambda words: str(rng.choice(words))
+    rows = []
+    for i in range(n):
+        bad = pick(["idiot", "moron", "loser", "clown", "scum"])
+        toxic = int(rng.random() < 0.4)
+        meant = [f"you are a {bad}", f"they are a {bad}", f"I will kill you, {bad}"]
+        other = [f"this is not a {bad}", f"it is never a {bad}"]
+        (meant if reports_are_toxic else other).append(f"she said it was a {bad}")
+        rest = ["you are at home", "they are late", "she said it was cold", "this is not a house", "it is never late", "I will kill time", "you said it was late", "they are not at home"]
+        # several insults that are not meant weigh as much as one that is, unless the reading counts for little
+        clauses = [pick(meant)] if toxic else [pick(other) for _ in range(int(rng.integers(1, 5)))]
+        clauses += [pick(rest), pick(rest)]
+        if rng.random() < 0.05:
+            toxic = 1 - toxic
+        rows.append((i, ". ".join(str(c) for c in rng.permutation(clauses)) + f". number {i}", toxic))
+    return rows
+
+
+def area(scores, labels):
+    good, bad = [s for s, t in zip(scores, labels) if not t], [s for s, t in zip(scores, labels) if t]
+    return float(np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good]))
+
+
+def test_learned_readings_beat_the_sum_of_words_on_held_out_rows(spark):
+    rows = clause_corpus(1600)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    labels = [t for _, _, t in held]
+    words, prior, learned = (toxicity.Scorer(model.arcs, f) for f in (dict.fromkeys(toxicity.MARKS, 1.0), toxicity.PRIOR, model.factors))
+    by = [area([s.total(text) for _, text, _ in held], labels) for s in (words, prior, learned)]
+    # a twentieth of the labels is wrong, so that no order of the rows comes much above 0.95
+    assert by[0] < by[1] < by[2] and by[2] > max(0.9, by[0] + 0.15), by
+    assert model.factors["-"] < toxicity.PRIOR["-"] and model.factors["~"] < toxicity.PRIOR["~"]
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(frame, model).collect()}
+    assert np.mean([got[i] == t for i, _, t in held]) > 0.9
+    # the order of words and clauses counts
+    assert learned.total("she said you are an idiot") < learned.total("you are an idiot, she said") and learned.total("not. an idiot") > learned.total("an idiot. not an idiot") / 2
+
+
+def test_factors_follow_the_labels_against_the_prior(spark):
+    rows = clause_corpus(1600, reports_are_toxic=True)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert model.factors["~"] > toxicity.PRIOR["~"] and model.factors["-"] < toxicity.PRIOR["-"]
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    labels = [t for _, _, t in held]
+    prior, learned = (toxicity.Scorer(model.arcs, f) for f in (toxicity.PRIOR, model.factors))
+    assert area([learned.total(x) for _, x, _ in held], labels) > area([prior.total(x) for _, x, _ in held], labels)
+
+
+def test_readings_that_no_row_has_keep_their_factors(spark):
+    frame = spark.createDataFrame([(i, f"some {'idiot' if i % 3 else 'house'} number {i}", int(i % 3 > 0)) for i in range(300)], "doc_id long, text string, toxic int")
+    assert toxicity.fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic")).factors == toxicity.PRIOR
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     model = toxicity.fit_toxicity(odd, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int"))
     got = toxicity.score_toxicity(odd.withColumn("score", F.lit("x")), model).collect()
