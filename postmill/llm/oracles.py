@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from postmill.llm import licenses, urls
 
 
@@ -12,32 +14,39 @@ def quoted(text: str) -> str:
 def _op1() -> str:
     pairs = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in licenses.SENTENCES.items())
     shortest = min(map(len, licenses.SENTENCES))
+    # DuckDB's patterns neither look ahead nor hold what they have read: owners are read to the line's end, and phrases that open a paragraph get a mark before it
+    owner = licenses.OWNER.replace("*+", "*").replace("(?=[0-9<\\[{])", "[0-9<\\[{]")
+    paragraphs, opening = licenses.PARAGRAPHS.replace("*+", "*").rsplit("|\\n(?=", 1)
+    opened = f"regexp_replace(regexp_replace(coalesce(text, ''), {quoted(owner)}, E'\\n\\n\\\\1\\n\\n', 'g'), {quoted('(?i)' + chr(92) + 'n(' + opening)}, E'\\x01\\\\1', 'g')"
 
-    def ids(cut: str) -> str:
+    def ids(text: str, cut: str) -> str:
         return f"""SELECT doc_id, list(id ORDER BY pos) AS ids FROM (
             SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS part
-            FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), {quoted(cut)}) AS parts FROM documents)) s
+            FROM (SELECT doc_id, regexp_split_to_array({text}, {quoted(cut)}) AS parts FROM documents)) s
             JOIN (VALUES {pairs}) k(sentence, id)
             ON length(part) >= {shortest} AND trim(regexp_replace(translate(part, '{urls.UPPER}', '{urls.LOWER}'), '[^a-z0-9]+', ' ', 'g')) = sentence
             GROUP BY doc_id"""
 
-    def fold(name: str, source: str) -> str:
+    def fold(name: str, source: str, rules: Sequence[tuple[str, tuple[str, ...]]] = licenses.RULES) -> str:
         steps = [f"{name}0 AS (SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS rest, []::VARCHAR[] AS found FROM {source})"]
-        for n, (licence, need) in enumerate(licenses.RULES, 1):
+        for n, (licence, need) in enumerate(rules, 1):
             pattern = quoted("".join(f"<{n}>" for n in need))
             steps.append(
                 f"{name}{n} AS (SELECT doc_id, ids, replace(rest, {pattern}, '<>') AS rest, "
                 f"CASE WHEN contains(rest, {pattern}) THEN list_append(found, {quoted(licence)}) ELSE found END AS found FROM {name}{n - 1})"
             )
-        return ", ".join(steps)
-
-    last = len(licenses.RULES)
-    return f"""WITH a AS ({ids(licenses.WRAPPED)}), b AS ({ids(licenses.LINED)}), {fold('fa', 'a')}, {fold('fb', 'b')}
-        SELECT d.doc_id,
-          greatest(coalesce(len(x.ids), 0), coalesce(len(y.ids), 0))::BIGINT AS n_sentences,
-          coalesce(array_to_string(CASE WHEN coalesce(len(y.ids), 0) >= coalesce(len(x.ids), 0) THEN y.ids ELSE x.ids END, ','), '') AS sentence_ids,
-          coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(x.found, []), coalesce(y.found, [])))), ','), '') AS licences
-        FROM documents d LEFT JOIN fa{last} x USING (doc_id) LEFT JOIN fb{last} y USING (doc_id)"""
+        return ", ".join([*steps, f"{name} AS (SELECT doc_id, ids, found FROM {name}{len(rules)})"])
+
+    whole = "coalesce(text, '')"
+    return f"""WITH a AS ({ids(whole, licenses.WRAPPED)}), b AS ({ids(whole, licenses.LINED)}), c AS ({ids(opened, paragraphs + '|' + chr(92) + 'x01')}),
+        {fold('fa', 'a')}, {fold('fb', 'b')}, {fold('fc', 'c', (*licenses.FILE_RULES, *licenses.RULES))},
+        m AS (SELECT d.doc_id, coalesce(x.ids, []) AS xi, coalesce(y.ids, []) AS yi, coalesce(z.ids, []) AS zi, coalesce(z.found, []) AS zf,
+            list_concat(coalesce(x.found, []), coalesce(y.found, []), coalesce(z.found, [])) AS found
+          FROM documents d LEFT JOIN fa x USING (doc_id) LEFT JOIN fb y USING (doc_id) LEFT JOIN fc z USING (doc_id)),
+        n AS (SELECT doc_id, CASE WHEN len(zi) > greatest(len(xi), len(yi)) THEN zi WHEN len(yi) >= len(xi) THEN yi ELSE xi END AS ids,
+            CASE WHEN list_contains(zi, 'RESERVED') AND NOT list_contains(zf, 'Proprietary') THEN list_filter(found, lambda x: x <> 'Proprietary') ELSE found END AS found FROM m)
+        SELECT doc_id, len(ids)::BIGINT AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+          coalesce(array_to_string(list_sort(list_distinct(found)), ','), '') AS licences FROM n"""
 
 
 def _op4() -> str:
