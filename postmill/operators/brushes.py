@@ -153,12 +153,6 @@ def candidates(text: Column, known: str, handles: Makers, knots: Makers) -> Colu
     return F.array_compact(F.concat(bound(facts, whole), F.transform(F.array_sort(cuts(text)), split)))
 
 
-def best_of(text: Column, known: str, handles: Makers, knots: Makers, weights: Mapping[str, Mapping[str, float]] = WEIGHTS) -> Column:
-    """The best candidate of a text under one setting of weights; the text is computed once."""
-    vector = F.array(*[F.lit(w) for w in weight_vector(weights)])
-    return bound(text, lambda t: best(candidates(t, known, handles, knots), vector))
-
-
 def scored(found: Column, weights: Column) -> Column:
     """Candidates with their scores, the sum of the strategy's features times their weights: array of (score, first, strategy, handle, knot)."""
 
@@ -174,25 +168,6 @@ def best(found: Column, weights: Column) -> Column:
     return F.array_max(scored(found, weights))
 
 
-def best_of(text: Column, known: str, handles: Makers, knots: Makers, weights: Mapping[str, Mapping[str, float]] = WEIGHTS) -> Column:
-    """The best candidate of a text under one setting of weights; the text is computed once."""
-    vector = F.array(*[F.lit(w) for w in weight_vector(weights)])
-    return bound(text, lambda t: best(candidates(t, known, handles, knots), vector))
-
-
-def best(found: Column, weights: Column) -> Column:
-    """Of an array of candidates the one of the greatest score, the first of equal ones: (score, first, strategy, handle, knot); null for none.
-
-    A score is the sum of the strategy's features times their weights.
-    """
-
-    def scored(c: Column) -> Column:
-        score = F.aggregate(F.zip_with(c["features"], F.get(weights, c["strategy"]), lambda x, w: x * w), F.lit(0.0), lambda total, x: total + x)
-        return F.struct(score.alias("score"), (-c["ord"]).alias("first"), c["strategy"].alias("strategy"), c["handle"].alias("handle"), c["knot"].alias("knot"))
-
-    return F.array_max(F.transform(found, scored))
-
-
 def best_of(text: Column, known: str, handles: Makers, knots: Makers, weights: Mapping[str, Mapping[str, float]] = WEIGHTS) -> Column:
     """The best candidate of a text under one setting of weights; the text is computed once."""
     return bound(text, lambda t: best(candidates(t, known, handles, knots), weight_rows(weights)))
