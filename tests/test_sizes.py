@@ -2,6 +2,7 @@
 
 from postmill.plans.parts import curated
 from postmill.plans.registry import QUERIES
+from postmill.sources.posts import joined_posts, posts
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,3 +13,11 @@ def test_known_splits_are_all_there(spark):
     entries = {(r["entry"].lower(), r["keep_whole"]) for r in curated(spark, SF).collect()}
     assert {k for _, k in entries} == {True, False}
     assert got == {e for e, _ in entries}
+
+
+def test_the_view_is_written_without_a_sort(spark):
+    """Folders by year would sort whole wide rows in each task of the write."""
+    view = posts(spark, SF)
+    assert not [f for f in view.inputFiles() if "year=" in f]
+    made = joined_posts(spark, SF).select(*view.columns)
+    assert view.exceptAll(made).isEmpty() and made.exceptAll(view).isEmpty()
