@@ -1,14 +1,14 @@
 """Brushes from their texts: every cut at a delimiter with its roles, strategies with what speaks for them, and scores.
 
-All of a text's candidates and their features are arrays within its row, and weights are literals, so that scoring by one
-setting of weights or by many needs no shuffle.
+All of a text's candidates and their features are arrays within its row, and weights are literals, so that one setting of
+weights or many are scored in one pass. Posts repeat their texts, so each distinct text is scored once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.resolution import fiber, knot_size
@@ -178,5 +178,20 @@ def best_by_setting(found: Column, settings: Sequence[Mapping[str, Mapping[str,
     return bound(found, lambda all_: F.transform(F.array(*[weight_rows(s) for s in settings]), lambda weights: best(all_, weights)))
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Distinct texts dealt out evenly before they are scored, as scoring costs far more than a text's few bytes tell.
+
+    The number of partitions is named, or texts of a few MB in all would be put together in few tasks. They are dealt out by
+    no column, as Spark leaves out a second shuffle by the same one.
+    """
+    return texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def best_of_texts(rows: DataFrame, text: str, known: str, handles: Makers, knots: Makers) -> DataFrame:
+    """Rows with `b`, the best candidate of their text: each distinct text is scored once and joined back."""
+    once = spread(rows.select(text).where(F.col(text).isNotNull()).distinct())
+    return rows.join(once.select(text, best_of(F.col(text), known, handles, knots).alias("b")), text, "left")
+
+
 def strategy_name(place: Column) -> Column:
     return F.get(F.array(*[F.lit(s) for s in STRATEGIES]), place)

@@ -143,10 +143,13 @@ def system_agreement(spark, sf):
     r AS (SELECT s.*, posts, row_number() OVER (PARTITION BY t ORDER BY score DESC, ord) = 1 AS won FROM s JOIN b USING (t))
     SELECT strategy, count(*) AS candidates, sum(posts)::BIGINT AS seen, coalesce(sum(posts) FILTER (won), 0)::BIGINT AS wins, min(score) AS least, max(score) AS most, round_even(sum(score * posts) / sum(posts), 4) AS mean FROM r GROUP BY 1""", posts=True)
 def learning_report(spark, sf):
-    """How often each strategy has a candidate and the best one, and the scores of its candidates."""
-    texts = posts(spark, sf).groupBy(F.expr(BRUSH).alias("t")).agg(F.count("*").alias("posts"))
+    """How often each strategy has a candidate and the best one, and the scores of its candidates.
+
+    explode_outer with a condition behind it, as a plain explode is preceded by a filter that computes all candidates again.
+    """
+    texts = brushes.spread(posts(spark, sf).groupBy(F.expr(BRUSH).alias("t")).agg(F.count("*").alias("posts")))
     scored = texts.select("posts", brushes.scored(brushes.candidates(F.col("t"), KNOWN, HANDLES, KNOTS), brushes.weight_rows(brushes.WEIGHTS)).alias("all"))
-    rows = scored.select("posts", F.array_max("all").alias("best"), F.explode("all").alias("c"))
+    rows = scored.select("posts", F.array_max("all").alias("best"), F.explode_outer("all").alias("c")).where("c.strategy IS NOT NULL")
     won = F.when((F.col("c.score") == F.col("best.score")) & (F.col("c.first") == F.col("best.first")), F.col("posts")).otherwise(0)
     score = F.col("c.score")
     counts = rows.groupBy(brushes.strategy_name(F.col("c.strategy")).alias("strategy")).agg(F.count("*").alias("candidates"), F.sum("posts").alias("seen"), F.sum(won).alias("wins"), F.min(score).alias("least"), F.max(score).alias("most"), (F.sum(score * F.col("posts")) / F.sum("posts")).alias("mean"))

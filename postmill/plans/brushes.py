@@ -92,8 +92,8 @@ CUTS_SQL = f"""d(delimiter, confidence) AS (VALUES {', '.join(f"('{a}', '{b}')"
 @query("auto_split", f"WITH t AS (SELECT DISTINCT {BRUSH} AS t FROM posts), {CUTS_SQL} SELECT t AS text, position, delimiter, confidence, handle, knot, lead FROM cuts", posts=True)
 def auto_split(spark, sf):
     """Every cut of each brush text, with the roles of its parts."""
-    texts = posts(spark, sf).select(F.expr(BRUSH).alias("text")).distinct()
-    return texts.select("text", F.explode(brushes.cuts(F.col("text"))).alias("c")).select("text", "c.*")
+    texts = brushes.spread(posts(spark, sf).select(F.expr(BRUSH).alias("text")).distinct())
+    return texts.select("text", F.explode_outer(brushes.cuts(F.col("text"))).alias("c")).where("c.position IS NOT NULL").select("text", "c.*")
 
 
 HANDLE_PATTERNS, KNOT_PATTERNS, KNOWN = (r"\b(brand#[1-9])\b", r"\b(brand#1[0-9])\b"), (r"\b(knot [0-3])\b", r"\b(knot [4-6])\b"), r"^brand#[1-5]\b.*\bknot [0-2]\b"
@@ -137,8 +137,8 @@ SCORED_SQL = f"""{CUTS_SQL},
     s AS (SELECT t, strategy, h, k, (score + CASE strategy WHEN 'automated_split' THEN 55 WHEN 'full_input' THEN 120 * two ELSE 0 END)::DOUBLE AS score, ord FROM z),
     w AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY score DESC, ord) AS n FROM s) SELECT id, strategy, score, h AS handle, k AS knot FROM b LEFT JOIN (SELECT * FROM w WHERE n = 1) USING (t)""", posts=True)
 def brush_score(spark, sf):
-    """Each post's best strategy for its brush, from features of the text, within the row."""
-    found = posts(spark, sf).select("id", brushes.best_of(F.expr(BRUSH), KNOWN, HANDLES, KNOTS).alias("b"))
+    """Each post's best strategy for its brush, from features of the text; each distinct text is scored once."""
+    found = brushes.best_of_texts(posts(spark, sf).select("id", F.expr(BRUSH).alias("t")), "t", KNOWN, HANDLES, KNOTS)
     return found.select("id", brushes.strategy_name(F.col("b.strategy")).alias("strategy"), "b.score", "b.handle", "b.knot")
 
 
@@ -155,11 +155,11 @@ SETTINGS = [(a, b) for a in SPLIT_BASES for b in FULL_WEIGHTS]
 def strategy_optimizer(spark, sf):
     """How often each setting of weights finds the true makers: features once for each text, scored against all settings in one pass."""
     rows = posts(spark, sf).select(F.expr(BRUSH).alias("t"), HANDLES.name(F.coalesce("handle_brand", F.lit(""))).alias("true_h"), KNOTS.name(F.col("knot_brand")).alias("true_k"))
-    cases = rows.groupBy("t", "true_h", "true_k").agg(F.count("*").alias("n"))
+    cases = brushes.spread(rows.groupBy("t", "true_h", "true_k").agg(F.count("*").alias("n")))
     changed = lambda a, b: {**brushes.WEIGHTS, "automated_split": {**brushes.WEIGHTS["automated_split"], "base": a}, "full_input": {**brushes.WEIGHTS["full_input"], "multiple_brands": b}}
     found = brushes.best_by_setting(brushes.candidates(F.col("t"), KNOWN, HANDLES, KNOTS), [changed(*s) for s in SETTINGS])
     good = F.col("b").isNotNull() & F.col("b.handle").eqNullSafe(F.col("true_h")) & F.col("b.knot").eqNullSafe(F.col("true_k"))
-    runs = cases.select("n", "true_h", "true_k", F.posexplode(found).alias("s", "b")).groupBy("s").agg(F.sum("n").alias("cases"), F.sum(F.when(good, F.col("n")).otherwise(0)).alias("correct"))
+    runs = cases.select("n", "true_h", "true_k", F.posexplode_outer(found).alias("s", "b")).groupBy("s").agg(F.sum("n").alias("cases"), F.sum(F.when(good, F.col("n")).otherwise(0)).alias("correct"))
     value = lambda k: F.get(F.array(*[F.lit(s[k]) for s in SETTINGS]), F.col("s"))
     return runs.select((F.col("s") + 1).alias("setting"), value(0).alias("split_base"), value(1).alias("full_weight"), "cases", "correct", F.bround(F.col("correct") / F.col("cases"), 4).alias("accuracy"))
 

@@ -21,3 +21,12 @@ def test_the_view_is_written_without_a_sort(spark):
     assert not [f for f in view.inputFiles() if "year=" in f]
     made = joined_posts(spark, SF).select(*view.columns)
     assert view.exceptAll(made).isEmpty() and made.exceptAll(view).isEmpty()
+
+
+def test_brush_texts_are_scored_once_and_in_many_tasks(spark):
+    """One scoring for all posts of a text; no filter on candidates that computes them again; no small texts put in one task."""
+    plans = {n: QUERIES[n](spark, SF)._jdf.queryExecution().optimizedPlan().toString() for n in ("brush_score", "learning_report", "strategy_optimizer", "auto_split")}
+    for name, plan in plans.items():
+        assert "Repartition 4, true" in plan, name
+        assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line], name
+    assert plans["brush_score"].index("Join LeftOuter") < plans["brush_score"].index("array_max") < plans["brush_score"].index("Aggregate")
