@@ -30,3 +30,11 @@ def test_brush_texts_are_scored_once_and_in_many_tasks(spark):
         assert "Repartition 4, true" in plan, name
         assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line], name
     assert plans["brush_score"].index("Join LeftOuter") < plans["brush_score"].index("array_max") < plans["brush_score"].index("Aggregate")
+
+
+def test_people_are_counted_after_the_shuffle(spark):
+    """No task fills its memory with counts of keys that hardly any two of its rows share."""
+    for name in ("user_analysis", "product_usage", "user_razor_diversity", "user_blade_diversity"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        first = min(n for n, line in enumerate(plan.splitlines()) if "REPARTITION_BY_NUM" in line)
+        assert not [line for line in plan.splitlines()[first:] if "Aggregate" in line], name
