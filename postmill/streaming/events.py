@@ -59,17 +59,22 @@ def upsert_into(events: DataFrame, path: str, checkpoint: str, key: str = "event
     A batch reads the newest versions of its own buckets and writes these under its number; other buckets stay as they
     are. A batch that runs again reads older versions only and overwrites its own, so it gives the same. `newest` reads
     the table.
+
+    A file holds a range of buckets in their order: files are as many as the rows ask for, not one for each bucket and
+    task, and Parquet's statistics keep a batch from what lies outside its range.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark, batch = batch.sparkSession, batch.withColumn("bucket", F.floor(F.col(key) / width))
         if number:
             schema = StructType([*batch.schema.fields, StructField("version", IntegerType())])
-            held = newest(spark.read.schema(schema).parquet(path), number).join(batch.select("bucket").distinct(), "bucket", "left_semi")
-            merged = upsert(held.select(*batch.columns), batch, key, stamp)
+            first, last = batch.agg(F.min("bucket"), F.max("bucket")).first()
+            near = spark.read.schema(schema).parquet(path).where(F.col("bucket").between(first, last))
+            held = newest(near, number).join(batch.select("bucket").distinct(), "bucket", "left_semi")
+            merged = upsert(held.select(*batch.columns), batch, key, stamp, "bucket")
         else:
-            merged = upsert(batch.limit(0), batch, key, stamp)
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number}")
+            merged = upsert(batch.limit(0), batch, key, stamp, "bucket")
+        merged.write.mode("overwrite").parquet(f"{path}/version={number}")
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,8 +1,11 @@
 """Whole jobs, and plans that keep their size in bounds on large tables."""
 
+from pyspark.sql import functions as F
+
 from postmill.plans.parts import curated
 from postmill.plans.registry import QUERIES
 from postmill.sources.posts import joined_posts, posts
+from postmill.streaming import events as streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +41,20 @@ def test_people_are_counted_after_the_shuffle(spark):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         first = min(n for n, line in enumerate(plan.splitlines()) if "REPARTITION_BY_NUM" in line)
         assert not [line for line in plan.splitlines()[first:] if "Aggregate" in line], name
+
+
+def test_an_upsert_writes_few_files_in_ranges_of_buckets(spark, tmp_path):
+    """Not one file for each bucket and task; a later batch finds its buckets, which stay in one file each."""
+    rows = spark.range(10_000).select(F.col("id").alias("event_id"), F.lit("2000-01-01").cast("timestamp").alias("ts"), F.lit(1).alias("value"))
+    later = rows.where("event_id IN (15, 9995)").withColumns({"ts": F.lit("2000-01-02").cast("timestamp"), "value": F.lit(2)})
+    for frame in (rows, later, later.where("false")):
+        frame.repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("event_id long, ts timestamp, value int").parquet(str(tmp_path / "in"))
+        streams.upsert_into(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), width=10).awaitTermination()
+    table = spark.read.parquet(str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("version=0/**/*.parquet"))) <= 4
+    assert {r.version: r["count"] for r in table.groupBy("version").count().collect()} == {0: 10_000, 1: 20}
+    places = table.where("version = 0").select("bucket", F.input_file_name().alias("file")).distinct()
+    assert places.groupBy("bucket").count().where("count > 1").isEmpty()
+    got = {r.event_id: r.value for r in streams.newest(table).collect()}
+    assert len(got) == 10_000 and all(got[i] == (2 if i in (15, 9995) else 1) for i in got)
