@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+import operator
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,12 +69,37 @@ def one_field_a_line(body: Column) -> Column:
     return F.regexp_replace(F.coalesce(body, F.lit("")), FURTHER, "\n$1")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once; named several times, it would be computed as often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def needed_words(names: Sequence[str]) -> list[str]:
+    """Words of which each text with one of the names has one: names without a blank, and a word of each that has none of these."""
+    single = [n for n in names if " " not in n]
+    return single + [max(n.split(), key=len) for n in names if not set(n.split()) & set(single)]
+
+
 def field_value(body: Column, field: str, aliases: Mapping[str, Sequence[str]] = ALIASES) -> Column:
-    """Value of a field: of the first marked line, else of the first bare one. One expression reads the whole body."""
-    unlike, marked = unlike_field(field), marked_line(aliases[field])
-    body = F.regexp_replace(body, unlike, "") if unlike else body
-    part = lambda pattern, group: F.nullif(F.trim(F.regexp_extract(body, pattern, group)), F.lit(""))
-    return F.coalesce(part(marked, 2), part(marked, 1), part(bare_line(aliases[field]), 1))
+    """Value of a field: of the first marked line, else of the first bare one.
+
+    The body is searched once for either, and only where it has a word of the field. The marked line alone is then taken
+    apart. Lines that only begin like the field have no mark, so they are left out of the search for bare ones alone.
+    """
+    unlike, marked, bare, empty = unlike_field(field), marked_line(aliases[field]), bare_line(aliases[field]), F.lit("")
+
+    def of_bare(text: Column) -> Column:
+        return F.regexp_extract(F.regexp_replace(text, unlike, "") if unlike else text, bare, 1)
+
+    def of_either(text: Column) -> Column:
+        parts = lambda line: F.concat(F.regexp_extract(line, marked, 1), F.regexp_extract(line, marked, 2))
+        return _bound(F.regexp_extract(text, marked, 0), lambda line: F.when(line != "", parts(line)).otherwise(of_bare(text)))
+
+    def of(text: Column) -> Column:
+        has = functools.reduce(operator.or_, (F.contains(F.lower(text), F.lit(w)) for w in needed_words(aliases[field])))
+        return _bound(F.trim(F.when(has, of_either(text)).otherwise(empty)), lambda value: F.when(value != "", value))
+
+    return _bound(body, of)
 
 
 def marking(line: Column, field: str) -> Column:
@@ -112,9 +139,12 @@ def exclusion_reasons(value: Column, rules: Mapping[str, str]) -> Column:
 
 
 def with_overrides(extracted: DataFrame, overrides: DataFrame, field: str) -> DataFrame:
-    """Replace or create a field's value by (month, id, field, value) rows; `overridden` says where."""
-    mine = overrides.where(F.col("field") == field).select("month", "id", F.col("value").alias("_value"))
-    joined = extracted.join(mine, ["month", "id"], "left")
+    """Replace or create a field's value by (month, id, field, value) rows; `overridden` says where.
+
+    The id comes first among the keys: rows are sorted by it, and hardly any two are alike in it as they are in the month.
+    """
+    mine = overrides.where(F.col("field") == field).select("id", "month", F.col("value").alias("_value"))
+    joined = extracted.join(mine, ["id", "month"], "left")
     return joined.withColumns({field: F.coalesce("_value", field), "overridden": F.col("_value").isNotNull()}).drop("_value")
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from postmill.operators import extraction
 from postmill.plans.parts import curated
 from postmill.plans.registry import QUERIES
 from postmill.sources.posts import joined_posts, posts
@@ -58,3 +59,12 @@ def test_an_upsert_writes_few_files_in_ranges_of_buckets(spark, tmp_path):
     assert places.groupBy("bucket").count().where("count > 1").isEmpty()
     got = {r.event_id: r.value for r in streams.newest(table).collect()}
     assert len(got) == 10_000 and all(got[i] == (2 if i in (15, 9995) else 1) for i in got)
+
+
+def test_fields_are_searched_once(spark):
+    """A body is searched once for a marked line and once for a bare one; rows with overrides are sorted by their ids first."""
+    plan = QUERIES["extract_override"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("razor[ ]+test") == 1 and plan.count(":=*_") == 1
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert join.index("(id#") < join.index("(month#")
+    assert extraction.needed_words(("x", "long x", "one three", "y")) == ["x", "y", "three"]
