@@ -1,12 +1,15 @@
 """Whole jobs, and plans that keep their size in bounds on large tables."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from postmill.operators import extraction
 from postmill.plans.parts import curated
-from postmill.plans.registry import QUERIES
+from postmill.plans.people import _unpivoted
+from postmill.plans.registry import ORACLES, QUERIES
 from postmill.sources.posts import joined_posts, posts
 from postmill.streaming import events as streams
+from tests.compare import assert_same
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,6 +47,34 @@ def test_people_are_counted_after_the_shuffle(spark):
         assert not [line for line in plan.splitlines()[first:] if "Aggregate" in line], name
 
 
+def test_product_usage_has_all_people_and_posts(spark):
+    """Not only the first person and a number of days: each post is there under its person and under its day."""
+    people, days = set(), set()
+    for r in QUERIES["product_usage"](spark, SF).collect():
+        users = [u.replace("=", "|", 1).split("|") for u in r.users.split(";")]
+        at = [d.split("=") for d in r.comments_by_date.split(";")]
+        assert (len(users), users[0][:2], sum(int(u[1]) for u in users), len(at)) == (r.unique_users, [r.top_user, str(r.most_by_one_user)], r.total_usage, r.days)
+        assert all(int(n) == len(ids.split(",")) and set(on.split(",")) <= {d for d, _ in at} for _, n, on, ids in users)
+        people |= {(r.month, r.kind, r.product, user, i) for user, _, _, ids in users for i in ids.split(",")}
+        days |= {(r.kind, r.product, d, i) for d, ids in at for i in ids.split(",")}
+    want = _unpivoted(posts(spark, SF), "id").collect()
+    assert people == {(r.month, r.kind, r.product, r.author, r.id) for r in want}
+    assert days == {(r.kind, r.product, str(r.posted_date), r.id) for r in want}
+
+
+def test_product_usage_of_odd_posts(spark, tmp_path):
+    """Busy products, posts twice over, posts without a date, a person, or a product."""
+    con = duckdb.connect()
+    for name, sql in {
+        "orders": f"SELECT * REPLACE (CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS o_orderdate, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey % 13 END AS o_custkey) FROM '{SF}/orders.parquet'",
+        "lineitem": f"SELECT * REPLACE (l_suppkey % 2 AS l_suppkey) FROM read_parquet(['{SF}/lineitem.parquet', '{SF}/lineitem.parquet'])",
+        "part": f"SELECT * REPLACE (CASE WHEN p_partkey % 3 > 0 THEN 'one' END AS p_name, CASE WHEN p_partkey % 2 > 0 THEN 'Busy' END AS p_brand) FROM '{SF}/part.parquet'",
+    }.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    assert_same(QUERIES["product_usage"](spark, str(tmp_path)), ORACLES["product_usage"], con)
+
+
 def test_an_upsert_writes_few_files_in_ranges_of_buckets(spark, tmp_path):
     """Not one file for each bucket and task; a later batch finds its buckets, which stay in one file each."""
     rows = spark.range(10_000).select(F.col("id").alias("event_id"), F.lit("2000-01-01").cast("timestamp").alias("ts"), F.lit(1).alias("value"))
